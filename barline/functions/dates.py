@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def utc_date(epoch_ms: Column) -> Column:
     """The UTC date of a millisecond timestamp (the session is pinned to UTC)."""
-    return F.to_date(F.timestamp_millis(epoch_ms))
+    return F.to_date(F.timestamp_millis(epoch_ms.cast("bigint")))
 
 
 def is_weekday(date: Column) -> Column:

@@ -10,7 +10,7 @@ PRICE = T.DecimalType(19, 4)
 
 # --- JSON documents, as DDL for from_json -----------------------------------
 
-BAR = "v double, vw double, o double, c double, h double, l double, t bigint, n double"
+BAR = "v double, vw double, o double, c double, h double, l double, t double, n double"
 BAR_DOCUMENT = f"ticker string, resultsCount int, results array<struct<{BAR}>>"
 GROUPED_DOCUMENT = (
     f"resultsCount int, request_id string, results array<struct<T string, {BAR}>>"
