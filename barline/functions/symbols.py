@@ -30,6 +30,7 @@ def contract(symbol: Column, pattern: str = MARKET_SYMBOL) -> dict[str, Column]:
 def expiry(yymmdd: Column) -> Column:
     """A date from six digits, null for an impossible one such as month 99.
 
-    Two-digit years are read as 20yy, which holds for every listed contract.
+    Two-digit years follow the POSIX rule: 69 to 99 are 19yy, the rest 20yy.
     """
-    return F.try_to_date(yymmdd, "yyMMdd")
+    century = F.when(F.substring(yymmdd, 1, 2) >= "69", "19").otherwise("20")
+    return F.try_to_date(F.concat(century, yymmdd), "yyyyMMdd")

@@ -34,16 +34,16 @@ class Check:
 
 @dataclass(frozen=True)
 class RowCheck(Check):
-    """Fails on each row where ``broken`` is true; null counts as passing."""
+    """Fails on each row where the condition ``broken`` holds; null passes."""
 
-    broken: Column | None = None
+    broken: str = "false"
 
     def violations(self, df: DataFrame) -> DataFrame:
         return self.applies(df).filter(self.broken)
 
     def failures(self) -> Column:
         scope = F.expr(self.where) if self.where else F.lit(True)
-        return F.count_if(scope & self.broken)
+        return F.count_if(scope & F.expr(self.broken))
 
 
 @dataclass(frozen=True)
@@ -73,11 +73,11 @@ def unique(column: str) -> UniqueCheck:
 
 
 def not_null(column: str) -> RowCheck:
-    return RowCheck(f"not_null_{column}", None, F.col(column).isNull())
+    return RowCheck(f"not_null_{column}", None, f"{column} IS NULL")
 
 
 def matches(column: str, pattern: str) -> RowCheck:
-    return RowCheck(f"match_regex_{column}", None, ~F.rlike(F.col(column), F.lit(pattern)))
+    return RowCheck(f"match_regex_{column}", None, f"NOT rlike({column}, r'{pattern}')")
 
 
 def of_type(column: str, kind: T.DataType) -> TypeCheck:
@@ -85,11 +85,11 @@ def of_type(column: str, kind: T.DataType) -> TypeCheck:
 
 
 def at_least(column: str, least: float = 0, where: str | None = None) -> RowCheck:
-    return RowCheck(f"between_{column}", where, F.col(column) < F.lit(least))
+    return RowCheck(f"between_{column}", where, f"{column} < {least}")
 
 
 def pair_ordered(larger: str, smaller: str) -> RowCheck:
-    return RowCheck(f"pair_{larger}_{smaller}", None, F.col(larger) < F.col(smaller))
+    return RowCheck(f"pair_{larger}_{smaller}", None, f"{larger} < {smaller}")
 
 
 def staged_stock_checks() -> list[Check]:

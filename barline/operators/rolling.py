@@ -40,11 +40,8 @@ def percent_change(x: Column, frame: Frame) -> Column:
 def change_ratio(x: Column, previous: Column) -> Column:
     """``x / previous - 1``; from zero it is infinite, and null for zero to zero."""
     x, previous = x.cast("double"), previous.cast("double")
-    return (
-        F.when(previous != 0, x / previous - 1)
-        .when(x > 0, F.lit(float("inf")))
-        .when(x < 0, F.lit(float("-inf")))
-    )
+    from_zero = F.when(x > 0, F.lit(float("inf"))).when(x < 0, F.lit(float("-inf")))
+    return F.when(previous != 0, x / previous - 1).when(previous == 0, from_zero)
 
 
 def forward_fill(x: Column, frame: Frame) -> Column:

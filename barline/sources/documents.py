@@ -145,8 +145,10 @@ def option_history_bars(docs: DataFrame) -> DataFrame:
 def grouped_bars(docs: DataFrame, tickers: DataFrame) -> DataFrame:
     """A market-wide document per date to one single-result row per listed ticker."""
     rows = _parsed(docs, schemas.GROUPED_DOCUMENT).filter(_has_bars())
-    rows = rows.select(F.col("d.request_id").alias("request_id"), F.explode("d.results").alias("bar"))
-    return listed(rows.withColumn("ticker", F.col("bar.T")), tickers)
+    # Names resolve without regard to case, so the feed's T and t need other ones.
+    bars = F.col("d.results").cast(f"array<struct<ticker string, {schemas.BAR}>>")
+    rows = rows.select(F.col("d.request_id").alias("request_id"), F.explode(bars).alias("bar"))
+    return listed(rows.withColumn("ticker", F.col("bar.ticker")), tickers)
 
 
 def listed(rows: DataFrame, tickers: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,21 +23,39 @@ TRACKED_TICKERS = (
 # --- Parquet tables -----------------------------------------------------------------
 
 
-def replace_partitions(df: DataFrame, path: str, partition: str = "trade_date") -> None:
-    """Overwrite only the partitions ``df`` has rows for."""
-    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        partition
+PERIOD = "period"
+
+
+def period(grain: str) -> Column:
+    """The partition of a bar: its ``day``, ``month`` or ``year``, as a date."""
+    day = F.col("trade_date")
+    return day if grain == "day" else F.trunc(day, grain)
+
+
+def replace_periods(df: DataFrame, path: str, grain: str) -> None:
+    """Overwrite the periods ``df`` has rows for, and no others.
+
+    Rebalancing brings a period's rows together for few files, and splits a
+    period too big for one task.
+    """
+    rows = df.withColumn(PERIOD, period(grain)).hint("rebalance", PERIOD)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        PERIOD
     ).parquet(path)
 
 
-def rebuild(df: DataFrame, path: str, partition: str | None = None) -> None:
+def rebuild(df: DataFrame, path: str) -> None:
     """Write a table from scratch."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(partition) if partition else writer).parquet(path)
+    df.write.mode("overwrite").parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    return spark.read.schema(schema).parquet(path)
+def read_table(spark: SparkSession, path: str, schema: T.StructType, periods: Sequence[date] | None = None) -> DataFrame:
+    """A bar table, or only the given periods' folders of it."""
+    stored = T.StructType([*schema.fields, T.StructField(PERIOD, T.DateType())])
+    table = spark.read.schema(stored).parquet(path)
+    if periods is not None:
+        table = table.filter(F.col(PERIOD).isin(list(periods)))
+    return table.select(schema.names)
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -53,22 +71,27 @@ def upsert_table(
     batch: DataFrame,
     keys: Sequence[str],
     now: datetime,
-    partition: str = "trade_date",
+    grain: str = "month",
 ) -> None:
-    """Upsert ``batch`` into the table at ``path``, rewriting touched dates only.
+    """Upsert ``batch`` into the table at ``path``, rewriting touched periods only.
 
-    The key holds the partition column, so rows of other partitions cannot
-    match; the semi join prunes them from the scan. Running a batch twice with
-    one ``now`` gives the same table, so a failed run is simply run again.
+    The key holds the date, so rows of other periods cannot match. The touched
+    periods come to the driver to prune the scan: there are no more of them than
+    the calendar has. Running a batch twice with one ``now`` gives the same
+    table, so a failed run is simply run again.
     """
-    if table_exists(spark, path):
-        target = read_table(spark, path, schema)
-        touched = batch.select(partition).distinct()
-        target = target.join(touched, partition, "left_semi")
-    else:
-        target = spark.createDataFrame([], schema)
-    merged = upsert(target.select(schema.names), batch, keys, now)
-    replace_partitions(merged.repartition(partition), path, partition)
+    batch = batch.persist()
+    try:
+        touched = [row[0] for row in batch.select(period(grain)).distinct().collect()]
+        if not touched:
+            return
+        if table_exists(spark, path):
+            target = read_table(spark, path, schema, touched)
+        else:
+            target = spark.createDataFrame([], schema)
+        replace_periods(upsert(target, batch, keys, now), path, grain)
+    finally:
+        batch.unpersist()
 
 
 def mart_rows(mart: DataFrame) -> DataFrame:

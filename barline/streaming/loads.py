@@ -24,19 +24,25 @@ from barline.sources.tables import table_exists, upsert_table
 
 @dataclass(frozen=True)
 class Feed:
-    """A kind of document, the table it loads and that table's key."""
+    """A kind of document, the table it loads, its key and its partition grain.
+
+    A month of stock bars or a day of option bars makes a partition worth a file.
+    """
 
     parse: Callable[[DataFrame], DataFrame]
     schema: T.StructType
     keys: tuple[str, ...]
+    grain: str
 
 
 FEEDS = {
-    "stock_bars": Feed(documents.stock_bars, schemas.STOCK_BARS, schemas.STOCK_KEY),
-    "option_bars": Feed(documents.option_bars, schemas.OPTION_BARS, schemas.OPTION_KEY),
-    "broker_stock_bars": Feed(documents.history_bars, schemas.BROKER_STOCK_BARS, schemas.STOCK_KEY),
+    "stock_bars": Feed(documents.stock_bars, schemas.STOCK_BARS, schemas.STOCK_KEY, "month"),
+    "option_bars": Feed(documents.option_bars, schemas.OPTION_BARS, schemas.OPTION_KEY, "day"),
+    "broker_stock_bars": Feed(
+        documents.history_bars, schemas.BROKER_STOCK_BARS, schemas.STOCK_KEY, "month"
+    ),
     "broker_option_bars": Feed(
-        documents.option_history_bars, schemas.BROKER_OPTION_BARS, schemas.OPTION_KEY
+        documents.option_history_bars, schemas.BROKER_OPTION_BARS, schemas.OPTION_KEY, "day"
     ),
 }
 
@@ -57,7 +63,7 @@ def load_batch(
     quarantine: str | None = None, batch_id: int = 0,
 ) -> None:
     """Upsert one batch of documents; refused ones go to the quarantine folder."""
-    upsert_table(spark, table, feed.schema, typed_batch(docs, feed), feed.keys, now)
+    upsert_table(spark, table, feed.schema, typed_batch(docs, feed), feed.keys, now, feed.grain)
     if quarantine is not None:
         refused = documents.rejected(feed.parse(docs))
         refused.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
