@@ -1,4 +1,7 @@
-"""RSI, MACD and Bollinger bands as columns over a series frame.
+"""RSI, MACD and Bollinger bands over a series frame.
+
+Indicators are asked for first and added together, so any number of them, for
+any number of parameter sets, takes the same few passes over the sorted rows.
 
 Prices come in as decimals. Sums of gains, losses and prices stay decimal, so
 they are exact and "no losses at all" is a plain test for zero; only the ratios
@@ -11,81 +14,115 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.operators.rolling import ema_lookback, full_frame, with_ema
+from barline.operators.rolling import ema_lookback, with_emas, with_rolling_sums
 from barline.operators.series import POS, Frame
 
 # Two averages of equal prices can differ in their last bits. A gap below this
 # share of the price is such noise, not a crossing.
 NOISE = 1e-12
-
-
-def with_rsi(df: DataFrame, frame: Frame, window: int, out: str, price: str = "close_price") -> DataFrame:
-    """Add the relative strength index; the first row counts as no change.
-
-    Null until ``window`` rows are there and where the price never moved; 100
-    where it only rose.
-    """
-    move = f"_{out}_move"
-    gain, loss = f"_{out}_gain", f"_{out}_loss"
-    delta = F.when(F.col(POS) == 1, F.lit(0)).otherwise(
-        F.col(price) - F.lag(price).over(frame.window)
-    )
-    zero = F.lit(0)
-    up = F.greatest(F.coalesce(move, zero), zero)
-    down = F.greatest(-F.coalesce(move, zero), zero)
-    last = frame.last(window)
-    g, ls = F.col(gain).cast("double"), F.col(loss).cast("double")
-    return (
-        df.withColumn(move, delta)
-        .withColumn(gain, F.sum(up).over(last))
-        .withColumn(loss, F.sum(down).over(last))
-        .withColumn(
-            out,
-            F.when(
-                F.col(POS) >= window,
-                F.when(ls > 0, 100 - 100 / (1 + g / ls)).when(g > 0, F.lit(100.0)),
-            ),
+PREFIX = "_i_"
+
+
+class Indicators:
+    """The indicator columns a job needs; asking twice for one gives the same column."""
+
+    def __init__(self, price: str = "close_price") -> None:
+        self.price = price
+        self._sums: dict[str, tuple[str, int]] = {}
+        self._rsi: set[int] = set()
+        self._bands: dict[int, set[float]] = {}
+        self._macd: set[tuple[int, int, int]] = set()
+
+    # --- asking -----------------------------------------------------------------
+
+    def total(self, rows: int) -> Column:
+        """The exact sum of the last closes, fewer at the start."""
+        self._sums[f"{PREFIX}sum{rows}"] = (self.price, rows)
+        return F.col(f"{PREFIX}sum{rows}")
+
+    def mean(self, rows: int) -> Column:
+        return self.total(rows).cast("double") / F.least(F.col(POS), F.lit(rows))
+
+    def rsi(self, window: int) -> Column:
+        """Relative strength; the first row counts as no change.
+
+        Null until ``window`` rows are there and where the price never moved;
+        100 where it only rose.
+        """
+        self._rsi.add(window)
+        for side in ("up", "down"):
+            self._sums[f"{PREFIX}{side}{window}"] = (f"{PREFIX}{side}", window)
+        gain, loss = (F.col(f"{PREFIX}{side}{window}").cast("double") for side in ("up", "down"))
+        ratio = F.when(loss > 0, 100 - 100 / (1 + gain / loss)).when(gain > 0, F.lit(100.0))
+        return F.when(F.col(POS) >= window, ratio)
+
+    def bollinger(self, window: int, width: float) -> tuple[Column, Column]:
+        """Upper and lower band: mean and sample deviation of a full window.
+
+        A flat window's bands are its price: a mean of equal doubles may miss it
+        by a bit, and would then report prices outside bands of no width.
+        """
+        self._bands.setdefault(window, set()).add(width)
+        mean, spread, low, high = (
+            F.col(f"{PREFIX}{part}{window}") for part in ("mean", "std", "min", "max")
         )
-        .drop(move, gain, loss)
-    )
-
-
-def rsi_lookback(window: int) -> int:
-    return window
-
-
-def with_macd(
-    df: DataFrame, frame: Frame, short: int, long: int, signal: int,
-    line: str = "macd", signal_line: str = "signal_line", price: str = "close_price",
-) -> DataFrame:
-    """Add the short average less the long one, and that line's own average."""
-    x, s, l = f"_{line}_x", f"_{line}_s", f"_{line}_l"
-    df = df.withColumn(x, F.col(price).cast("double"))
-    df = with_ema(with_ema(df, frame, x, short, s), frame, x, long, l)
-    df = df.withColumn(line, F.col(s) - F.col(l)).drop(x, s, l)
-    return with_ema(df, frame, line, signal, signal_line)
-
-
-def macd_lookback(short: int, long: int, signal: int) -> int:
-    return max(ema_lookback(short), ema_lookback(long)) + ema_lookback(signal)
-
-
-def macd_above(line: Column, signal_line: Column, price: Column) -> Column:
-    return F.coalesce(line - signal_line > NOISE * F.abs(price.cast("double")), F.lit(False))
-
-
-def bollinger(frame: Frame, window: int, width: float, price: str = "close_price") -> tuple[Column, Column]:
-    """Upper and lower band: mean and sample deviation of a full window.
-
-    A flat window's bands are its price: a mean of equal doubles may miss it by
-    a bit, and would then report prices outside bands of no width.
-    """
-    x = F.col(price).cast("double")
-    last = frame.last(window)
-    flat = F.min(price).over(last) == F.max(price).over(last)
-    mean, spread = F.avg(x).over(last), F.stddev_samp(x).over(last) * F.lit(float(width))
-
-    def band(edge: Column) -> Column:
-        return full_frame(x, frame, window, F.when(flat, x).otherwise(edge))
-
-    return band(mean + spread), band(mean - spread)
+        flat, x = low == high, F.col(self.price).cast("double")
+
+        def band(edge: Column) -> Column:
+            return F.when(F.col(POS) >= window, F.when(flat, x).otherwise(edge))
+
+        step = spread * F.lit(float(width))
+        return band(mean + step), band(mean - step)
+
+    def macd(self, short: int, long: int, signal: int) -> tuple[Column, Column]:
+        """The short average less the long one, and that line's own average."""
+        self._macd.add((short, long, signal))
+        line = f"{PREFIX}macd{short}_{long}"
+        return F.col(line), F.col(f"{line}_{signal}")
+
+    def macd_above(self, line: Column, signal_line: Column) -> Column:
+        return line - signal_line > NOISE * F.abs(F.col(self.price).cast("double"))
+
+    # --- adding -----------------------------------------------------------------
+
+    @property
+    def _spans(self) -> set[int]:
+        return {span for spans in self._macd for span in spans}
+
+    @property
+    def lookback(self) -> int:
+        """How many rows before the current one any of the columns depends on."""
+        rows = [0, *(rows for _, rows in self._sums.values()), *self._bands]
+        if self._macd:
+            rows.append(2 * ema_lookback(*self._spans))
+        return max(rows)
+
+    def add(self, df: DataFrame, frame: Frame) -> DataFrame:
+        """Add every column asked for. ``df`` has a price on every row."""
+        price = F.col(self.price)
+        if self._rsi:
+            move = F.coalesce(F.when(F.col(POS) > 1, price - F.lag(price).over(frame.window)), F.lit(0))
+            df = df.withColumns(
+                {f"{PREFIX}up": F.greatest(move, F.lit(0)), f"{PREFIX}down": F.greatest(-move, F.lit(0))}
+            )
+        x, beside = price.cast("double"), {}
+        for rows in self._bands:
+            last = frame.last(rows)
+            parts = {"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(price), "max": F.max(price)}
+            beside |= {f"{PREFIX}{part}{rows}": c.over(last) for part, c in parts.items()}
+        df = with_rolling_sums(df, frame, self._sums, beside)
+        return self._add_macd(df, frame) if self._macd else df
+
+    def _add_macd(self, df: DataFrame, frame: Frame) -> DataFrame:
+        df = df.withColumn(f"{PREFIX}x", F.col(self.price).cast("double"))
+        averages = {
+            f"{PREFIX}ema{span}": (f"{PREFIX}x", span)
+            for short, long, _ in self._macd for span in (short, long)
+        }
+        df = with_emas(df, frame, averages, self._spans)
+        lines, signals = {}, {}
+        for short, long, signal in self._macd:
+            line = f"{PREFIX}macd{short}_{long}"
+            lines[line] = F.col(f"{PREFIX}ema{short}") - F.col(f"{PREFIX}ema{long}")
+            signals[f"{line}_{signal}"] = (line, signal)
+        return with_emas(df.withColumns(lines), frame, signals, self._spans)

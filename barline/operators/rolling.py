@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barline.operators.series import BLOCK, POS, Frame, Series, number_rows, over_series
@@ -48,59 +48,115 @@ def forward_fill(x: Column, frame: Frame) -> Column:
     return F.last(x, ignorenulls=True).over(frame.so_far)
 
 
+def with_rolling_sums(
+    df: DataFrame,
+    frame: Frame,
+    sums: dict[str, tuple[str, int]],
+    beside: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Add sums of a column over the last rows, each given as (column, rows).
+
+    A sum is the running sum less the one so many rows before, so its cost does
+    not grow with the frame; Spark adds a sliding frame up again for each row.
+    Only for decimals and integers, whose differences are exact. Columns given
+    ``beside`` are added in the same pass over the rows.
+    """
+    sources = {column for column, _ in sums.values()}
+    running = {f"_run_{c}": F.coalesce(F.sum(c).over(frame.so_far), F.lit(0)) for c in sources}
+    added = running | (beside or {})
+    if added:
+        df = df.withColumns(added)
+
+    def last(column: str, rows: int) -> Column:
+        before = F.lag(f"_run_{column}", rows).over(frame.window)
+        return F.col(f"_run_{column}") - F.coalesce(before, F.lit(0))
+
+    if not sums:
+        return df
+    return df.withColumns({out: last(*spec) for out, spec in sums.items()}).drop(*running)
+
+
 # --- Exponential moving average -----------------------------------------------
 
 
 def ema_segment(span: float) -> int:
     """Rows after which a value's weight is below 1e-18, so past double precision."""
-    if span <= 1:
+    if span < 1:
+        raise ValueError("span must be at least 1")
+    if span == 1:
         return 1
     return math.ceil(math.log(1e-18) / math.log1p(-2.0 / (span + 1.0)))
 
 
-def ema_lookback(span: float) -> int:
-    """Rows an average can depend on: its segment's start and the segment before."""
-    return 2 * ema_segment(span)
+def ema_lookback(*spans: float) -> int:
+    """Rows averages can depend on: their segment's start and the segment before."""
+    return 2 * max(ema_segment(span) for span in spans)
 
 
-def with_ema(df: DataFrame, frame: Frame, x: str, span: float, out: str) -> DataFrame:
-    """Add y(0) = x(0), y = a x + (1 - a) y', a = 2 / (span + 1), for non-null ``x``.
+def _sizes(spans: Iterable[float], shared: Iterable[float]) -> dict[float, int]:
+    """Segment rows for each span: one size for all, unless weights would overflow.
+
+    With the longest span's segments the shortest span's weights grow by far the
+    most; past 1e250 each span keeps segments of its own.
+    """
+    size = max(ema_segment(span) for span in shared)
+    fastest = min(span for span in shared if span > 1) if any(s > 1 for s in shared) else None
+    fits = fastest is None or -size * math.log1p(-2.0 / (fastest + 1.0)) < math.log(1e250)
+    return {span: size if fits else ema_segment(span) for span in spans}
+
+
+def with_emas(
+    df: DataFrame,
+    frame: Frame,
+    averages: dict[str, tuple[str, float]],
+    shared: Iterable[float] | None = None,
+) -> DataFrame:
+    """Add averages, each given as (column, span), of columns without nulls.
+
+    y(0) = x(0), then y = a x + (1 - a) y' with a = 2 / (span + 1).
 
     The recursion is linear, so inside a segment of rows y is a running sum of x
     with weights growing by 1/(1-a), scaled back. The segment is short enough
     that weights stay far from overflow and long enough that only the end of the
     previous segment still matters. All terms keep their sign and old rounding
     errors decay with their terms, so this is as exact as the recursion, at one
-    addition per row.
+    addition per row. Segments follow the row order, so ordering by segment and
+    then row is the same order, and one sort serves both windows.
+
+    ``shared`` are the spans whose segments to use. Calls that share them sort
+    once, which is why the segment columns (``_seg...``) stay in the result.
     """
-    if span < 1:
-        raise ValueError("span must be at least 1")
-    if span == 1:
-        return df.withColumn(out, F.col(x))
-    alpha = 2.0 / (span + 1.0)
-    keep = F.lit(1.0 - alpha)
-    size = ema_segment(span)
-    step, segment, local = f"_{out}_i", f"_{out}_seg", f"_{out}_sum"
-
-    weight = F.when(F.col(POS) == 1, 1.0).otherwise(alpha) * F.pow(keep, -F.col(step))
-    within = frame.inside(segment)
-    carry = F.last(
-        F.when(F.col(step) == size - 1, F.col(local)), ignorenulls=True
-    ).over(frame.before)
-    return (
-        df.withColumn(step, F.pmod(F.col(POS) - 1, F.lit(size)))
-        .withColumn(segment, F.floor((F.col(POS) - 1) / F.lit(size)))
-        .withColumn(
-            local, F.pow(keep, F.col(step)) * F.sum(weight * F.col(x)).over(within.so_far)
+    trivial = {out: F.col(x) for out, (x, span) in averages.items() if span == 1}
+    averages = {out: spec for out, spec in averages.items() if spec[1] > 1}
+    if trivial:
+        df = df.withColumns(trivial)
+    if not averages:
+        return df
+    spans = {span for _, span in averages.values()}
+    sizes = _sizes(spans, tuple(shared or spans))
+    place = F.col(POS) - 1
+    segments = {f"_seg{n}": F.floor(place / F.lit(n)) for n in set(sizes.values())}
+    missing = {name: c for name, c in segments.items() if name not in df.columns}
+    if missing:
+        df = df.withColumns(missing)
+
+    sums, ends = {}, {}
+    for out, (x, span) in averages.items():
+        size, keep = sizes[span], F.lit((span - 1.0) / (span + 1.0))
+        step = F.pmod(place, F.lit(size))
+        alpha = F.when(F.col(POS) == 1, 1.0).otherwise(2.0 / (span + 1.0))
+        segment = Window.partitionBy(*frame.by, f"_seg{size}").orderBy(frame.order).rowsBetween(
+            Window.unboundedPreceding, 0
         )
-        .withColumn(
-            out,
-            F.when(F.col(segment) == 0, F.col(local)).otherwise(
-                F.col(local) + F.pow(keep, F.col(step) + 1) * carry
-            ),
+        sums[f"_sum_{out}"] = F.pow(keep, step) * F.sum(alpha * F.pow(keep, -step) * F.col(x)).over(segment)
+        before = Window.partitionBy(*frame.by).orderBy(f"_seg{size}", frame.order).rowsBetween(
+            Window.unboundedPreceding, -1
         )
-        .drop(step, segment, local)
-    )
+        end = F.last(F.when(step == size - 1, F.col(f"_sum_{out}")), ignorenulls=True).over(before)
+        ends[out] = F.col(f"_sum_{out}") + F.when(
+            F.col(f"_seg{size}") > 0, F.pow(keep, step + 1) * end
+        ).otherwise(0.0)
+    return df.withColumns(sums).withColumns(ends).drop(*sums)
 
 
 # --- Ready-made frames for one value column -------------------------------------

@@ -9,12 +9,13 @@ from barline.functions.dates import days_to_expiration
 from barline.functions.keys import bar_id
 from barline.functions.prices import moneyness, round_price
 from barline.operators.history import current
-from barline.operators.rolling import rolling_mean
+from barline.operators.rolling import with_rolling_sums
 from barline.operators.series import POS, Frame, Series, over_series
 
 # Rows before the current one that an enriched bar depends on.
 ENRICHED_LOOKBACK = 119
 AVERAGES = {"moving_avg_20d": 20, "moving_avg_50d": 50, "moving_avg_120d": 120}
+AVERAGE_TYPE = "decimal(23,8)"  # what an average of prices has
 ROUNDED = (
     "open_price", "high_price", "low_price", "close_price",
     "volume_weighted_average_price", *AVERAGES,
@@ -53,10 +54,21 @@ def stage_option_bars(history: DataFrame) -> DataFrame:
 def with_averages(df: DataFrame, frame: Frame) -> DataFrame:
     """Moving averages, change and range, all from unrounded prices."""
     close = F.col("close_price")
-    added = {name: rolling_mean(close, frame, rows) for name, rows in AVERAGES.items()}
-    added["price_change_1d"] = close - F.lag(close).over(frame.window)
-    added["daily_price_range"] = F.col("high_price") - F.col("low_price")
-    return df.withColumns(added)
+    sums = {f"_sum_{name}": ("close_price", rows) for name, rows in AVERAGES.items()}
+    counts = {f"_n_{name}": ("_has_close", rows) for name, rows in AVERAGES.items()}
+    df = df.withColumns(
+        {
+            "price_change_1d": close - F.lag(close).over(frame.window),
+            "daily_price_range": F.col("high_price") - F.col("low_price"),
+            "_has_close": F.when(close.isNotNull(), 1).otherwise(0),
+        }
+    )
+    df = with_rolling_sums(df, frame, sums | counts)
+    means = {
+        name: F.try_divide(F.col(f"_sum_{name}"), F.col(f"_n_{name}")).cast(AVERAGE_TYPE)
+        for name in AVERAGES
+    }
+    return df.withColumns(means).drop("_has_close", *sums, *counts)
 
 
 def enrich_stock_bars(staged: DataFrame, series: Series) -> DataFrame:

@@ -1,9 +1,9 @@
 """Trading signals for every ticker and parameter set in one pass.
 
-Each strategy is a frame builder that adds a ``signal`` of 0 or 1 to bars. The
-indicators of all requested strategies are computed side by side over the same
-series windows, then each row becomes one row per strategy, so the bars are
-shuffled and sorted once however many parameter sets there are.
+Each strategy asks for the indicators it reads and gives a condition on them.
+The indicators of all strategies are computed side by side over the same series
+windows, then each row becomes one row per strategy, so the bars are shuffled
+once however many parameter sets there are.
 """
 
 from __future__ import annotations
@@ -14,9 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.operators.indicators import (
-    bollinger, macd_above, macd_lookback, rsi_lookback, with_macd, with_rsi,
-)
+from barline.operators.indicators import Indicators
 from barline.operators.series import POS, Frame, Series, over_series
 
 LABELS = ("strategy", "params")
@@ -30,28 +28,16 @@ class Momentum:
     rsi_overbought: float = 70
     name = "momentum"
 
-    @property
-    def lookback(self) -> int:
-        return max(self.short_window, self.long_window, rsi_lookback(self.rsi_period)) + 1
-
-    def add(self, df: DataFrame, frame: Frame, p: str) -> tuple[DataFrame, dict[str, Column], Column]:
+    def signal(self, ind: Indicators) -> tuple[dict[str, Column], Column]:
         """Long while the short mean is above the long one and RSI is below its bound."""
-        df = with_rsi(df, frame, self.rsi_period, f"{p}rsi")
-        for label, rows in (("short", self.short_window), ("long", self.long_window)):
-            last = frame.last(rows)
-            df = df.withColumn(f"{p}{label}_sum", F.sum("close_price").over(last)).withColumn(
-                f"{p}{label}_n", F.count("close_price").over(last)
-            )
-
-        def mean(label: str) -> Column:
-            return F.col(f"{p}{label}_sum").cast("double") / F.col(f"{p}{label}_n")
-
-        # Compared as products of exact sums and counts: equal means stay equal.
-        n = {k: F.col(f"{p}{k}_n").cast("decimal(9,0)") for k in ("short", "long")}
-        above = F.col(f"{p}short_sum") * n["long"] > F.col(f"{p}long_sum") * n["short"]
-        on = (F.col(POS) > self.short_window) & above & (F.col(f"{p}rsi") < self.rsi_overbought)
-        shown = {"ma_short": mean("short"), "ma_long": mean("long"), "rsi": F.col(f"{p}rsi")}
-        return df, shown, on
+        rsi = ind.rsi(self.rsi_period)
+        rows = F.col(POS).cast("decimal(9,0)")
+        n_short, n_long = F.least(rows, F.lit(self.short_window)), F.least(rows, F.lit(self.long_window))
+        # Means compared as products of exact sums and counts: equal stays equal.
+        above = ind.total(self.short_window) * n_long > ind.total(self.long_window) * n_short
+        on = (F.col(POS) > self.short_window) & above & (rsi < self.rsi_overbought)
+        shown = {"ma_short": ind.mean(self.short_window), "ma_long": ind.mean(self.long_window), "rsi": rsi}
+        return shown, on
 
 
 @dataclass(frozen=True)
@@ -60,16 +46,11 @@ class MeanReversion:
     num_std_dev: float = 2.0
     name = "mean_reversion"
 
-    @property
-    def lookback(self) -> int:
-        return self.window + 1
-
-    def add(self, df: DataFrame, frame: Frame, p: str) -> tuple[DataFrame, dict[str, Column], Column]:
+    def signal(self, ind: Indicators) -> tuple[dict[str, Column], Column]:
         """Long only on the bars that close under the lower band."""
-        upper, lower = bollinger(frame, self.window, self.num_std_dev)
-        df = df.withColumns({f"{p}upper": upper, f"{p}lower": lower})
-        on = F.col("close_price").cast("double") < F.col(f"{p}lower")
-        return df, {"upper_band": F.col(f"{p}upper"), "lower_band": F.col(f"{p}lower")}, on
+        upper, lower = ind.bollinger(self.window, self.num_std_dev)
+        on = F.col("close_price").cast("double") < lower
+        return {"upper_band": upper, "lower_band": lower}, on
 
 
 @dataclass(frozen=True)
@@ -79,18 +60,10 @@ class Macd:
     signal_window: int = 9
     name = "macd"
 
-    @property
-    def lookback(self) -> int:
-        return macd_lookback(self.short_window, self.long_window, self.signal_window) + 1
-
-    def add(self, df: DataFrame, frame: Frame, p: str) -> tuple[DataFrame, dict[str, Column], Column]:
+    def signal(self, ind: Indicators) -> tuple[dict[str, Column], Column]:
         """Long while the MACD line is above its signal line."""
-        line, signal = f"{p}macd", f"{p}signal_line"
-        df = with_macd(
-            df, frame, self.short_window, self.long_window, self.signal_window, line, signal
-        )
-        on = macd_above(F.col(line), F.col(signal), F.col("close_price"))
-        return df, {"macd": F.col(line), "signal_line": F.col(signal)}, on
+        line, signal_line = ind.macd(self.short_window, self.long_window, self.signal_window)
+        return {"macd": line, "signal_line": signal_line}, ind.macd_above(line, signal_line)
 
 
 @dataclass(frozen=True)
@@ -100,19 +73,13 @@ class Rsi:
     rsi_overbought: float = 70
     name = "rsi"
 
-    @property
-    def lookback(self) -> int:
-        return rsi_lookback(self.rsi_period) + 1
-
-    def add(self, df: DataFrame, frame: Frame, p: str) -> tuple[DataFrame, dict[str, Column], Column]:
+    def signal(self, ind: Indicators) -> tuple[dict[str, Column], Column]:
         """Long above the oversold bound unless below the overbought one.
 
         The second rule wins, so this holds only while RSI is overbought.
         """
-        df = with_rsi(df, frame, self.rsi_period, f"{p}rsi")
-        rsi = F.col(f"{p}rsi")
-        on = (rsi > self.rsi_oversold) & (rsi >= self.rsi_overbought)
-        return df, {"rsi": rsi}, on
+        rsi = ind.rsi(self.rsi_period)
+        return {"rsi": rsi}, (rsi > self.rsi_oversold) & (rsi >= self.rsi_overbought)
 
 
 Strategy = Momentum | MeanReversion | Macd | Rsi
@@ -144,21 +111,22 @@ def trading_bars(mart: DataFrame, start: str | None = None, end: str | None = No
     return bars
 
 
-def _price(df: DataFrame) -> DataFrame:
-    return df.withColumn("price", F.col("close_price"))
+def _held(on: Column) -> Column:
+    return F.when(F.coalesce(on, F.lit(False)), 1).otherwise(0)
 
 
 def signals(bars: DataFrame, strategy: Strategy, series: Series) -> DataFrame:
     """One strategy's indicator columns, ``signal`` and its change, ``positions``."""
+    ind = Indicators()
+    shown, on = strategy.signal(ind)
 
     def build(df: DataFrame, frame: Frame) -> DataFrame:
-        columns = df.columns
-        df, shown, on = strategy.add(df, frame, "_x_")
-        df = df.withColumn("signal", F.when(F.coalesce(on, F.lit(False)), 1).otherwise(0))
-        df = df.withColumn("positions", F.col("signal") - F.lag("signal").over(frame.window))
-        return df.select(*columns, *[c.alias(n) for n, c in shown.items()], "signal", "positions")
+        held = ind.add(df, frame).select(
+            *df.columns, *[c.alias(name) for name, c in shown.items()], _held(on).alias("signal")
+        )
+        return held.withColumn("positions", F.col("signal") - F.lag("signal").over(frame.window))
 
-    return over_series(bars, series, strategy.lookback, build).drop(POS)
+    return over_series(bars, series, ind.lookback + 1, build).drop(POS)
 
 
 def all_signals(
@@ -170,26 +138,22 @@ def all_signals(
     keeps rows where they are: the bars' partitioning by ticker also serves
     windows by ticker, strategy and parameters.
     """
+    ind = Indicators()
+    held = {f"_on{i}": _held(s.signal(ind)[1]) for i, s in enumerate(strategies)}
 
     def build(df: DataFrame, frame: Frame) -> DataFrame:
-        columns = df.columns
-        names = []
-        for i, strategy in enumerate(strategies):
-            df, _, on = strategy.add(df, frame, f"_s{i}_")
-            df = df.withColumn(f"_on{i}", F.when(F.coalesce(on, F.lit(False)), 1).otherwise(0))
-            names.append(f"_on{i}")
-        change = {f"{n}d": F.col(n) - F.lag(n).over(frame.window) for n in names}
-        df = df.withColumns(change).select(*columns, *names, *change)
+        rows = ind.add(df, frame).select(*df.columns, *[c.alias(n) for n, c in held.items()])
         entries = [
             F.struct(
                 F.lit(s.name).alias("strategy"), F.lit(label(s)).alias("params"),
-                F.col(n).alias("signal"), F.col(f"{n}d").alias("positions"),
+                F.col(n).alias("signal"), (F.col(n) - F.lag(n).over(frame.window)).alias("positions"),
             )
-            for s, n in zip(strategies, names)
+            for s, n in zip(strategies, held)
         ]
-        return df.select(*columns, F.inline(F.array(*entries)))
+        changed = rows.select(*df.columns, F.array(*entries).alias("_entries"))
+        return changed.select(*df.columns, F.inline("_entries"))
 
-    return over_series(bars, series, max(s.lookback for s in strategies), build)
+    return over_series(bars, series, ind.lookback + 1, build)
 
 
 def trade_events(signalled: DataFrame) -> DataFrame:

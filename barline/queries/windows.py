@@ -4,10 +4,8 @@ from pyspark.sql import functions as F
 
 from barline import fixtures as fx
 from barline.operators import rolling
-from barline.operators.indicators import (
-    bollinger as bollinger_bands, macd_lookback, rsi_lookback, with_macd, with_rsi,
-)
-from barline.operators.series import POS, Series, over_series
+from barline.operators.indicators import Indicators
+from barline.operators.series import Series, over_series
 from barline.plans import models
 from barline.queries.models import closes
 from barline.queries.registry import BARS, CLOSES, ENRICHED, STAGED, query, shown, with_sql
@@ -62,6 +60,12 @@ def with_price(spark, sf_dir):
     return bars.drop("volume").withColumn("x", F.col("close_price").cast("double")), series
 
 
+def indicated(spark, sf_dir, ind, columns):
+    bars, series = closes(spark, sf_dir)
+    added = over_series(bars, series, ind.lookback, ind.add)
+    return added.select("ticker", "trade_date", *[c.alias(name) for name, c in columns.items()])
+
+
 @query("sma", with_sql(BARS, STAGED, ENRICHED, f"SELECT {shown('ticker trade_date:d moving_avg_20d:n moving_avg_50d:n moving_avg_120d:n')} FROM enriched"))
 def sma(spark, sf_dir):
     staged = fx.staged_stock(spark, sf_dir)
@@ -101,13 +105,8 @@ def rolling_std(spark, sf_dir):
 
 @query("bollinger", with_sql(BARS, CLOSES, bands_sql("bands", 20, 2.0), f"SELECT {LABEL}, {shown('upper_band:r lower_band:r')} FROM bands"))
 def bollinger(spark, sf_dir):
-    bars, series = closes(spark, sf_dir)
-
-    def bands(frame):
-        upper, lower = bollinger_bands(frame, 20, 2.0)
-        return {"upper_band": upper, "lower_band": lower}
-
-    return rolling.add_columns(bars, series, 20, bands).select("ticker", "trade_date", "upper_band", "lower_band")
+    upper, lower = (ind := Indicators()).bollinger(20, 2.0)
+    return indicated(spark, sf_dir, ind, {"upper_band": upper, "lower_band": lower})
 
 
 @query("ema", with_sql(BARS, CLOSES, f"SELECT {LABEL}, {rounded(ema_sql('x', 12), 'ema_12')}, {rounded(ema_sql('x', 26), 'ema_26')} FROM closes"))
@@ -115,9 +114,9 @@ def ema(spark, sf_dir):
     bars, series = with_price(spark, sf_dir)
 
     def averages(df, frame):
-        return rolling.with_ema(rolling.with_ema(df, frame, "x", 12, "ema_12"), frame, "x", 26, "ema_26")
+        return rolling.with_emas(df, frame, {"ema_12": ("x", 12), "ema_26": ("x", 26)})
 
-    return over_series(bars, series, rolling.ema_lookback(26), averages).select("ticker", "trade_date", "ema_12", "ema_26")
+    return over_series(bars, series, rolling.ema_lookback(12, 26), averages).select("ticker", "trade_date", "ema_12", "ema_26")
 
 
 @query("diff", with_sql(BARS, CLOSES, f"SELECT {LABEL}, CAST(close_price - lag(close_price) OVER ({BY_DATE}) AS DOUBLE) AS change FROM closes"))
@@ -161,13 +160,11 @@ def ffill(spark, sf_dir):
 
 @query("rsi", with_sql(BARS, CLOSES, rsi_sql("strength", 14), f"SELECT {LABEL}, {shown('rsi:r')} FROM strength"))
 def rsi(spark, sf_dir):
-    bars, series = closes(spark, sf_dir)
-    added = over_series(bars, series, rsi_lookback(14), lambda d, f: with_rsi(d, f, 14, "rsi"))
-    return added.select("ticker", "trade_date", "rsi")
+    rsi_14 = (ind := Indicators()).rsi(14)
+    return indicated(spark, sf_dir, ind, {"rsi": rsi_14})
 
 
 @query("macd", with_sql(BARS, CLOSES, macd_sql("lines", 12, 26, 9), f"SELECT {LABEL}, {shown('macd:r signal_line:r')} FROM lines"))
 def macd(spark, sf_dir):
-    bars, series = closes(spark, sf_dir)
-    added = over_series(bars, series, macd_lookback(12, 26, 9), lambda d, f: with_macd(d, f, 12, 26, 9))
-    return added.drop(POS).select("ticker", "trade_date", "macd", "signal_line")
+    line, signal_line = (ind := Indicators()).macd(12, 26, 9)
+    return indicated(spark, sf_dir, ind, {"macd": line, "signal_line": signal_line})
