@@ -55,6 +55,19 @@ def loaded_paths(rows: DataFrame) -> DataFrame:
     return accepted(rows).select("path").distinct()
 
 
+# The wire names of a bar's prices.
+PRICE_FIELDS = ("o", "h", "l", "c", "vw")
+PRICE_LIMIT = 1e15  # of decimal(19,4)
+COUNT_LIMIT = 9.2e18  # of bigint
+
+
+def _unstorable(prices: list[Column], counts: list[Column]) -> Column:
+    """Whether a number does not fit its column, which would fail the whole load."""
+    return (F.greatest(*[F.abs(p) for p in prices]) >= PRICE_LIMIT) | (
+        F.greatest(*[F.abs(c) for c in counts]) >= COUNT_LIMIT
+    )
+
+
 def _bar_columns(bar: Column) -> dict[str, Column]:
     fields = {"volume": "v", "vwap": "vw", "open": "o", "close": "c", "high": "h", "low": "l", "transactions": "n"}
     return {name: bar[field] for name, field in fields.items()}
@@ -72,7 +85,7 @@ def nonempty(docs: DataFrame) -> DataFrame:
 def stock_bars(docs: DataFrame) -> DataFrame:
     """One bar from each document that holds exactly one result."""
     rows = _parsed(docs, schemas.BAR_DOCUMENT)
-    bar = F.col("d.results")[0]
+    bar = F.get("d.results", F.lit(0))  # null, not an error, for an empty list
     single = (F.col("d.resultsCount") == 1) & (F.size("d.results") > 0)
     rows = rows.withColumn(
         REASON,
@@ -81,6 +94,7 @@ def stock_bars(docs: DataFrame) -> DataFrame:
             (~F.coalesce(single, F.lit(False)), "no single result"),
             (F.col("d.ticker").isNull(), "no ticker"),
             (bar["t"].isNull(), "no time"),
+            (_unstorable([bar[f] for f in PRICE_FIELDS], [bar["v"], bar["n"]]), "number out of range"),
         ),
     )
     return rows.select(
@@ -126,10 +140,15 @@ def history_bars(docs: DataFrame) -> DataFrame:
     )
     rows = rows.withColumn("day", F.explode_outer("_days"))
     date = F.try_to_date(F.col("day.date"))
-    bad_date = F.col(REASON).isNull() & date.isNull()
+    prices = [F.col(f"day.{c}") for c in ("open", "high", "low", "close", "vwap")]
+    volume = F.col("day.volume")
+    refused = (
+        F.when(F.col(REASON).isNotNull(), F.col(REASON))
+        .when(date.isNull(), "no trade date")
+        .when(_unstorable(prices, [volume, volume]), "number out of range")
+    )
     return rows.select(
-        "path", "doc",
-        F.when(bad_date, "no trade date").otherwise(F.col(REASON)).alias(REASON),
+        "path", "doc", refused.alias(REASON),
         file_key(F.col("path")).alias("ticker"), date.alias("trade_date"),
         *[F.col(f"day.{c}").alias(c) for c in ("volume", "vwap", "open", "close", "high", "low")],
     )
