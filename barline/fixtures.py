@@ -85,7 +85,7 @@ def _source_state(spark: SparkSession, sf_dir: str) -> tuple:
 _written: dict[tuple, str] = {}
 
 
-def _stored(build: Callable[[SparkSession, str], DataFrame], schema: T.StructType):
+def stored(build: Callable[[SparkSession, str], DataFrame], schema: T.StructType | None = None):
     """A table that is written on first use in a session and read from then on.
 
     The models read tables that loads have written, not views that work each
@@ -99,7 +99,8 @@ def _stored(build: Callable[[SparkSession, str], DataFrame], schema: T.StructTyp
             path = fresh_path(spark, build.__name__)
             rebuild(build(spark, sf_dir), path)
             _written[key] = path
-        return spark.read.schema(schema).parquet(_written[key])
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        return reader.parquet(_written[key])
 
     return read
 
@@ -145,9 +146,9 @@ def _option_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _loaded(bars, FIRST_LOAD, schemas.OPTION_BARS)
 
 
-stock_bars = _stored(_stock_bars, schemas.STOCK_BARS)
-corrections = _stored(_corrections, schemas.STOCK_BARS)
-option_bars = _stored(_option_bars, schemas.OPTION_BARS)
+stock_bars = stored(_stock_bars, schemas.STOCK_BARS)
+corrections = stored(_corrections, schemas.STOCK_BARS)
+option_bars = stored(_option_bars, schemas.OPTION_BARS)
 
 
 def staged_stock(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def computed_once(df: DataFrame, name: str, column: Column) -> DataFrame:
+    """Add a costly column that later filters and projections must not repeat.
+
+    Exploding an array of one is a step that neither filters nor projections
+    move through, so a parse or a match is not copied into each of its uses.
+    """
+    return df.withColumn(name, F.explode(F.array(column)))
+
+
 def objects(text: Column, fields: str) -> Column:
     """An array of structs from JSON text that is one object or a list of them.
 

@@ -2,29 +2,36 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from barline.functions.shapes import computed_once
 from barline.schemas import PRICE
 
 # The two symbol formats. Text after the strike is allowed.
-MARKET_SYMBOL = r"^(?:O:)?([A-Z.]+)(\d{6})([CP])(\d{8})"
-BROKER_SYMBOL = r"^([A-Z]+)(\d{6})([CP])(\d{8})"
+MARKET_SYMBOL = r"^(?:O:)?([A-Z.]+\d{6}[CP]\d{8})"
+BROKER_SYMBOL = r"^([A-Z]+\d{6}[CP]\d{8})"
+TAIL = 15  # characters after the root
 
 
-def contract(symbol: Column, pattern: str = MARKET_SYMBOL) -> dict[str, Column]:
-    """The contract columns packed in ``symbol``; all null where it has no match."""
+def with_contract(df: DataFrame, symbol: str, pattern: str = MARKET_SYMBOL) -> DataFrame:
+    """Add the contract columns packed in a symbol; all null where it has no match.
 
-    def part(group: int) -> Column:
-        # regexp_extract gives '' rather than null where nothing matches.
-        return F.nullif(F.regexp_extract(symbol, pattern, group), F.lit(""))
-
-    return {
-        "underlying_ticker": part(1),
-        "expiration_date": expiry(part(2)),
-        "option_type": F.when(part(3) == "C", "call").when(part(3) == "P", "put"),
-        "strike_price": (part(4).cast("decimal(8,0)") / F.lit(1000)).cast(PRICE),
-    }
+    The tail has a fixed width, so one match finds every part.
+    """
+    found = F.regexp_extract(symbol, pattern, 1)
+    # regexp_extract gives '' rather than null where nothing matches.
+    df = computed_once(df, "_contract", F.when(found != "", found))
+    packed = F.col("_contract")
+    strike = F.substring(packed, -8, 8).cast("decimal(8,0)") / F.lit(1000)
+    return df.withColumns(
+        {
+            "underlying_ticker": F.substring(packed, F.lit(1), F.length(packed) - TAIL),
+            "expiration_date": expiry(F.substring(packed, -TAIL, 6)),
+            "option_type": F.when(F.substring(packed, -9, 1) == "C", "call").when(packed.isNotNull(), "put"),
+            "strike_price": strike.cast(PRICE),
+        }
+    ).drop("_contract")
 
 
 def expiry(yymmdd: Column) -> Column:

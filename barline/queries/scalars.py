@@ -36,15 +36,14 @@ def _contract_sql(pattern: str) -> str:
       FROM (SELECT symbol, regexp_matches(symbol, '{pattern}') AS ok FROM variants)""")
 
 
-@query("parse_occ", _contract_sql(symbols.MARKET_SYMBOL))
+@query("parse_occ", _contract_sql(r"^(?:O:)?([A-Z.]+)(\d{6})([CP])(\d{8})"))
 def parse_occ(spark, sf_dir):
-    return symbol_variants(spark, sf_dir).withColumns(symbols.contract(F.col("symbol")))
+    return symbols.with_contract(symbol_variants(spark, sf_dir), "symbol")
 
 
-@query("parse_occ_plain", _contract_sql(symbols.BROKER_SYMBOL))
+@query("parse_occ_plain", _contract_sql(r"^([A-Z]+)(\d{6})([CP])(\d{8})"))
 def parse_occ_plain(spark, sf_dir):
-    parts = symbols.contract(F.col("symbol"), symbols.BROKER_SYMBOL)
-    return symbol_variants(spark, sf_dir).withColumns(parts)
+    return symbols.with_contract(symbol_variants(spark, sf_dir), "symbol", symbols.BROKER_SYMBOL)
 
 
 @query("expiry_date", with_sql(OPTIONS, """

@@ -6,9 +6,8 @@ from barline import fixtures as fx
 from barline import schemas
 from barline.operators import history, merge
 from barline.operators.batches import batch_ids as add_batch_ids
-from barline.operators.series import Series
 from barline.plans import models, refresh
-from barline.queries.models import ENRICHED_SHOWN
+from barline.queries.models import ENRICHED_SHOWN, enriched_stock
 from barline.queries.registry import (
     BARS, ENRICHED, FIXES, OPTIONS, STAGED, STAGED_OPTIONS, enriched_sql, query, shown, with_sql,
 )
@@ -114,6 +113,9 @@ VERSION = """md5(ticker || '|' || CAST(trade_date AS VARCHAR) || '|' || strftime
   strftime(valid_from, '%Y-%m-%d %H:%M:%S') AS updated_at"""
 
 
+enriched_table = fx.stored(enriched_stock)
+
+
 def corrected_history(spark, sf_dir):
     before = history.first_snapshot(fx.stock_bars(spark, sf_dir), schemas.STOCK_KEY)
     return history.snapshot(before, corrected_bars(spark, sf_dir), schemas.STOCK_KEY)
@@ -138,11 +140,14 @@ LATE_STAGED = """late_staged AS (
 @query("late_bar_recompute", with_sql(BARS, FIXES, UPSERTED, LATE_STAGED, enriched_sql("late", "late_staged"),
                                       f"SELECT {shown(ENRICHED_SHOWN)} FROM late"))
 def late_bar_recompute(spark, sf_dir):
-    """Corrections reach the history, and only the windows they touch are redone."""
-    staged = fx.staged_stock(spark, sf_dir)
-    enriched = models.enrich_stock_bars(staged, Series.measured(staged))
-    restaged = models.stage_stock_bars(corrected_history(spark, sf_dir))
-    return refresh.recompute_enriched(enriched, restaged, fx.corrections(spark, sf_dir))
+    """Corrections reach a new version of the history, and only the windows they
+    touch are redone on what was enriched before."""
+    path = fresh_path(spark, "history")
+    tables.rebuild(corrected_history(spark, sf_dir), path)
+    restaged = models.stage_stock_bars(spark.read.parquet(path))
+    return refresh.recompute_enriched(
+        enriched_table(spark, sf_dir), restaged, fx.corrections(spark, sf_dir)
+    )
 
 
 @query("full_refresh", with_sql(BARS, STAGED, ENRICHED, OPTIONS, STAGED_OPTIONS, """

@@ -11,11 +11,19 @@ from pyspark.sql import SparkSession
 _local_folder: str | None = None
 
 
+# Bars are narrow and windows over them do much work per byte, so a megabyte,
+# the least a merged shuffle partition holds by default, is too much for one task.
+SMALL_PARTITION = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
+
+
 def tune(spark: SparkSession) -> SparkSession:
-    """Pin the settings that results depend on; sizing stays with the cluster."""
+    """Pin the settings that results and plans depend on; the rest is the cluster's."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    for name, value in SMALL_PARTITION.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
     return spark
 
 

@@ -14,14 +14,14 @@ from barline import schemas
 from barline.functions import symbols
 from barline.functions.dates import utc_date
 from barline.functions.keys import file_key, last_segment
-from barline.functions.shapes import objects, scalars
+from barline.functions.shapes import computed_once, objects, scalars
 
 REASON = "reject_reason"
 
 
 def read_documents(spark: SparkSession, path: str | list[str], one_per_file: bool = True) -> DataFrame:
     """(path, doc) rows of a folder: a document per file, or one per line."""
-    text = spark.read.option("wholetext", one_per_file).text(path, recursiveFileLookup=True)
+    text = spark.read.text(path, wholetext=one_per_file, recursiveFileLookup=True)
     return as_documents(text)
 
 
@@ -32,7 +32,7 @@ def as_documents(text: DataFrame) -> DataFrame:
 def _parsed(docs: DataFrame, fields: str) -> DataFrame:
     """Add ``d``, the parsed document, and ``_broken`` where the text is not JSON."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
-    parsed = docs.withColumn("d", F.from_json("doc", f"{fields}, _corrupt string", options))
+    parsed = computed_once(docs, "d", F.from_json("doc", f"{fields}, _corrupt string", options))
     return parsed.withColumn("_broken", F.col("d").isNull() | F.col("d._corrupt").isNotNull())
 
 
@@ -68,11 +68,6 @@ def _unstorable(prices: list[Column], counts: list[Column]) -> Column:
     )
 
 
-def _bar_columns(bar: Column) -> dict[str, Column]:
-    fields = {"volume": "v", "vwap": "vw", "open": "o", "close": "c", "high": "h", "low": "l", "transactions": "n"}
-    return {name: bar[field] for name, field in fields.items()}
-
-
 def _has_bars() -> Column:
     return (F.col("d.resultsCount") > 0) & (F.size("d.results") > 0)
 
@@ -82,45 +77,51 @@ def nonempty(docs: DataFrame) -> DataFrame:
     return _parsed(docs, schemas.BAR_DOCUMENT).filter(_has_bars()).select("path", "doc")
 
 
+def _single_bar(docs: DataFrame) -> tuple[DataFrame, list[tuple[Column, str]]]:
+    """Parsed documents with the first result as ``bar``, and what may be wrong with them."""
+    rows = _parsed(docs, schemas.BAR_DOCUMENT).withColumn("bar", F.get("d.results", F.lit(0)))
+    bar = F.col("bar")
+    single = (F.col("d.resultsCount") == 1) & (F.size("d.results") > 0)
+    rules = [
+        (F.col("_broken"), "malformed json"),
+        (F.col("d.ticker").isNull() & F.coalesce(single, F.lit(False)), "no ticker"),
+        (~F.coalesce(single, F.lit(False)), "no single result"),
+        (bar["t"].isNull(), "no time"),
+        (_unstorable([bar[f] for f in PRICE_FIELDS], [bar["v"], bar["n"]]), "number out of range"),
+    ]
+    return rows, rules
+
+
+def _bar_columns() -> list[Column]:
+    names = {"v": "volume", "vw": "vwap", "o": "open", "c": "close", "h": "high", "l": "low", "n": "transactions"}
+    return [utc_date(F.col("bar.t")).alias("trade_date"), *[F.col(f"bar.{f}").alias(n) for f, n in names.items()]]
+
+
 def stock_bars(docs: DataFrame) -> DataFrame:
     """One bar from each document that holds exactly one result."""
-    rows = _parsed(docs, schemas.BAR_DOCUMENT)
-    bar = F.get("d.results", F.lit(0))  # null, not an error, for an empty list
-    single = (F.col("d.resultsCount") == 1) & (F.size("d.results") > 0)
-    rows = rows.withColumn(
-        REASON,
-        _first(
-            (F.col("_broken"), "malformed json"),
-            (~F.coalesce(single, F.lit(False)), "no single result"),
-            (F.col("d.ticker").isNull(), "no ticker"),
-            (bar["t"].isNull(), "no time"),
-            (_unstorable([bar[f] for f in PRICE_FIELDS], [bar["v"], bar["n"]]), "number out of range"),
-        ),
-    )
-    return rows.select(
-        "path", "doc", REASON,
-        F.col("d.ticker").alias("ticker"), utc_date(bar["t"]).alias("trade_date"),
-        *[c.alias(n) for n, c in _bar_columns(bar).items()],
-    )
+    rows, rules = _single_bar(docs)
+    rows = computed_once(rows, REASON, _first(*rules))
+    return rows.select("path", "doc", REASON, F.col("d.ticker").alias("ticker"), *_bar_columns())
 
 
 def option_bars(docs: DataFrame) -> DataFrame:
     """As ``stock_bars``, with the contract read from the document's symbol."""
-    rows = stock_bars(docs).withColumnRenamed("ticker", "option_symbol")
-    parts = symbols.contract(F.col("option_symbol"), symbols.MARKET_SYMBOL)
-    return _refuse_bad_contracts(rows.withColumns(parts))
-
-
-def _refuse_bad_contracts(rows: DataFrame) -> DataFrame:
-    """Put a contract that cannot be read before reasons found further inside."""
-    reason = F.col(REASON)
-    return rows.withColumn(
-        REASON,
-        F.when(reason.isin("malformed json", "no ticker"), reason)
-        .when(F.col("underlying_ticker").isNull(), "unreadable symbol")
-        .when(F.col("expiration_date").isNull(), "impossible expiry")
-        .otherwise(reason),
-    )
+    rows, rules = _single_bar(docs)
+    rows = symbols.with_contract(rows.withColumn("option_symbol", F.col("d.ticker")), "option_symbol")
+    (broken, *others) = rules
+    named = (F.col("option_symbol").isNull(), "no ticker")
+    rows = computed_once(rows, REASON, _first(broken, named, *_contract_rules(), *others))
+    return rows.select("path", "doc", REASON, "option_symbol", *CONTRACT, *_bar_columns())
+
+
+CONTRACT = ("underlying_ticker", "expiration_date", "option_type", "strike_price")
+
+
+def _contract_rules() -> list[tuple[Column, str]]:
+    return [
+        (F.col("underlying_ticker").isNull(), "unreadable symbol"),
+        (F.col("expiration_date").isNull(), "impossible expiry"),
+    ]
 
 
 def history_bars(docs: DataFrame) -> DataFrame:
@@ -131,34 +132,29 @@ def history_bars(docs: DataFrame) -> DataFrame:
     """
     rows = _parsed(docs, schemas.HISTORY_DOCUMENT)
     days = objects(F.col("d.history.day"), schemas.HISTORY_DAY)
-    rows = rows.withColumn("_days", days).withColumn(
-        REASON,
-        _first(
-            (F.col("_broken"), "malformed json"),
-            (F.coalesce(F.size("_days"), F.lit(0)) <= 0, "no history"),
-        ),
-    )
+    rows = computed_once(rows, "_days", days)
     rows = rows.withColumn("day", F.explode_outer("_days"))
     date = F.try_to_date(F.col("day.date"))
     prices = [F.col(f"day.{c}") for c in ("open", "high", "low", "close", "vwap")]
     volume = F.col("day.volume")
-    refused = (
-        F.when(F.col(REASON).isNotNull(), F.col(REASON))
-        .when(date.isNull(), "no trade date")
-        .when(_unstorable(prices, [volume, volume]), "number out of range")
-    )
-    return rows.select(
-        "path", "doc", refused.alias(REASON),
-        file_key(F.col("path")).alias("ticker"), date.alias("trade_date"),
+    rules = [
+        (F.col("_broken"), "malformed json"),
+        (F.coalesce(F.size("_days"), F.lit(0)) <= 0, "no history"),
+        (date.isNull(), "no trade date"),
+        (_unstorable(prices, [volume, volume]), "number out of range"),
+    ]
+    return computed_once(rows, REASON, _first(*rules)).select(
+        "path", "doc", REASON, file_key(F.col("path")).alias("ticker"), date.alias("trade_date"),
         *[F.col(f"day.{c}").alias(c) for c in ("volume", "vwap", "open", "close", "high", "low")],
     )
 
 
 def option_history_bars(docs: DataFrame) -> DataFrame:
-    """Broker option histories; the contract comes from the file name."""
+    """Broker option histories; the contract comes from the file name, whose
+    faults come before any inside the document."""
     rows = history_bars(docs).withColumnRenamed("ticker", "option_symbol")
-    parts = symbols.contract(F.col("option_symbol"), symbols.BROKER_SYMBOL)
-    return _refuse_bad_contracts(rows.withColumns(parts))
+    rows = symbols.with_contract(rows, "option_symbol", symbols.BROKER_SYMBOL)
+    return computed_once(rows, REASON, F.coalesce(_first(*_contract_rules()), F.col(REASON)))
 
 
 def grouped_bars(docs: DataFrame, tickers: DataFrame) -> DataFrame:

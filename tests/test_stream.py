@@ -18,7 +18,8 @@ def clock(batch_id):
 def drop(folder, name, ticker, close, **changes):
     bar = {"v": 1, "vw": 1, "o": 1, "c": close, "h": 9, "l": 1, "t": TIME, "n": 1}
     folder.mkdir(exist_ok=True)
-    (folder / name).write_text(json.dumps({"ticker": ticker, "resultsCount": 1, "results": [bar]} | changes))
+    doc = {"ticker": ticker, "resultsCount": 1, "results": [bar]} | changes
+    (folder / name).write_text(json.dumps(doc, indent=2))
 
 
 def run(spark, tmp_path, feed="stock_bars", **options):
