@@ -52,9 +52,11 @@ class Indicators:
         self._rsi.add(window)
         for side in ("up", "down"):
             self._sums[f"{PREFIX}{side}{window}"] = (f"{PREFIX}{side}", window)
-        gain, loss = (F.col(f"{PREFIX}{side}{window}").cast("double") for side in ("up", "down"))
-        ratio = F.when(loss > 0, 100 - 100 / (1 + gain / loss)).when(gain > 0, F.lit(100.0))
-        return F.when(F.col(POS) >= window, ratio)
+        gain, loss = (f"CAST({PREFIX}{side}{window} AS DOUBLE)" for side in ("up", "down"))
+        return F.expr(
+            f"CASE WHEN {POS} < {window} THEN NULL"
+            f" WHEN {loss} > 0 THEN 100 - 100 / (1 + {gain} / {loss}) WHEN {gain} > 0 THEN 100.0D END"
+        )
 
     def bollinger(self, window: int, width: float) -> tuple[Column, Column]:
         """Upper and lower band: mean and sample deviation of a full window.
@@ -63,16 +65,15 @@ class Indicators:
         by a bit, and would then report prices outside bands of no width.
         """
         self._bands.setdefault(window, set()).add(width)
-        mean, spread, low, high = (
-            F.col(f"{PREFIX}{part}{window}") for part in ("mean", "std", "min", "max")
-        )
-        flat, x = low == high, F.col(self.price).cast("double")
+        mean, spread, low, high = (f"{PREFIX}{part}{window}" for part in ("mean", "std", "min", "max"))
 
-        def band(edge: Column) -> Column:
-            return F.when(F.col(POS) >= window, F.when(flat, x).otherwise(edge))
+        def band(sign: str) -> Column:
+            return F.expr(
+                f"CASE WHEN {POS} < {window} THEN NULL WHEN {low} = {high} THEN CAST({self.price} AS DOUBLE)"
+                f" ELSE {mean} {sign} {float(width)!r}D * {spread} END"
+            )
 
-        step = spread * F.lit(float(width))
-        return band(mean + step), band(mean - step)
+        return band("+"), band("-")
 
     def macd(self, short: int, long: int, signal: int) -> tuple[Column, Column]:
         """The short average less the long one, and that line's own average."""
@@ -99,17 +100,20 @@ class Indicators:
 
     def add(self, df: DataFrame, frame: Frame) -> DataFrame:
         """Add every column asked for. ``df`` has a price on every row."""
-        price = F.col(self.price)
+        price = self.price
         if self._rsi:
-            move = F.coalesce(F.when(F.col(POS) > 1, price - F.lag(price).over(frame.window)), F.lit(0))
+            move = f"coalesce(CASE WHEN {POS} > 1 THEN {price} - lag({price}) OVER ({frame.over}) END, 0)"
             df = df.withColumns(
-                {f"{PREFIX}up": F.greatest(move, F.lit(0)), f"{PREFIX}down": F.greatest(-move, F.lit(0))}
+                {f"{PREFIX}up": F.expr(f"greatest({move}, 0)"), f"{PREFIX}down": F.expr(f"greatest(-{move}, 0)")}
             )
-        x, beside = price.cast("double"), {}
-        for rows in self._bands:
-            last = frame.last(rows)
-            parts = {"mean": F.avg(x), "std": F.stddev_samp(x), "min": F.min(price), "max": F.max(price)}
-            beside |= {f"{PREFIX}{part}{rows}": c.over(last) for part, c in parts.items()}
+        x = f"CAST({price} AS DOUBLE)"
+        parts = {"mean": f"avg({x})", "std": f"stddev_samp({x})", "min": f"min({price})", "max": f"max({price})"}
+        beside = {
+            f"{PREFIX}{part}{rows}": F.expr(
+                f"{value} OVER ({frame.over} ROWS BETWEEN {rows - 1} PRECEDING AND CURRENT ROW)"
+            )
+            for rows in self._bands for part, value in parts.items()
+        }
         df = with_rolling_sums(df, frame, self._sums, beside)
         return self._add_macd(df, frame) if self._macd else df
 

@@ -111,8 +111,20 @@ def key_checks(column: str) -> list[Check]:
     return [unique(column), not_null(column)]
 
 
-def present_checks(*columns: str) -> list[Check]:
-    return [not_null(c) for c in columns]
+def model_checks() -> dict[str, list[Check]]:
+    """The declared checks of every table."""
+    return {
+        "stg_stock_bars": staged_stock_checks(),
+        "stg_option_bars": key_checks("option_bar_id"),
+        "enriched_stock_bars": key_checks("stock_bar_id"),
+        "enriched_option_bars": key_checks("option_bar_id"),
+        "stocks_options_joined": key_checks("option_bar_id"),
+        "fct_stock_performance": key_checks("stock_bar_id"),
+        "stock_history": [not_null("ticker"), not_null("trade_date")],
+        "option_history": [not_null("option_symbol"), not_null("trade_date")],
+        "companies": key_checks("ticker"),
+        "tickers": key_checks("ticker"),
+    }
 
 
 def freshness(tables: dict[str, DataFrame], as_of: datetime, warn_after_days: int = 1) -> DataFrame:

@@ -5,12 +5,16 @@ from __future__ import annotations
 import math
 from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.operators.series import BLOCK, POS, Frame, Series, number_rows, over_series
 
 
+SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
+BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
+
+
 def rolling_mean(x: Column, frame: Frame, rows: int) -> Column:
     """Mean of the rows there are, from the first row on."""
     return F.avg(x).over(frame.last(rows))
@@ -62,18 +66,19 @@ def with_rolling_sums(
     ``beside`` are added in the same pass over the rows.
     """
     sources = {column for column, _ in sums.values()}
-    running = {f"_run_{c}": F.coalesce(F.sum(c).over(frame.so_far), F.lit(0)) for c in sources}
+    running = {
+        f"_run_{c}": F.expr(f"coalesce(sum({c}) OVER ({frame.over} {SO_FAR}), 0)") for c in sources
+    }
     added = running | (beside or {})
     if added:
         df = df.withColumns(added)
-
-    def last(column: str, rows: int) -> Column:
-        before = F.lag(f"_run_{column}", rows).over(frame.window)
-        return F.col(f"_run_{column}") - F.coalesce(before, F.lit(0))
-
     if not sums:
         return df
-    return df.withColumns({out: last(*spec) for out, spec in sums.items()}).drop(*running)
+    last = {
+        out: F.expr(f"_run_{c} - coalesce(lag(_run_{c}, {rows}) OVER ({frame.over}), 0)")
+        for out, (c, rows) in sums.items()
+    }
+    return df.withColumns(last).drop(*running)
 
 
 # --- Exponential moving average -----------------------------------------------
@@ -134,28 +139,21 @@ def with_emas(
         return df
     spans = {span for _, span in averages.values()}
     sizes = _sizes(spans, tuple(shared or spans))
-    place = F.col(POS) - 1
-    segments = {f"_seg{n}": F.floor(place / F.lit(n)) for n in set(sizes.values())}
+    segments = {f"_seg{n}": F.expr(f"floor(({POS} - 1) / {n})") for n in set(sizes.values())}
     missing = {name: c for name, c in segments.items() if name not in df.columns}
     if missing:
         df = df.withColumns(missing)
 
     sums, ends = {}, {}
     for out, (x, span) in averages.items():
-        size, keep = sizes[span], F.lit((span - 1.0) / (span + 1.0))
-        step = F.pmod(place, F.lit(size))
-        alpha = F.when(F.col(POS) == 1, 1.0).otherwise(2.0 / (span + 1.0))
-        segment = Window.partitionBy(*frame.by, f"_seg{size}").orderBy(frame.order).rowsBetween(
-            Window.unboundedPreceding, 0
-        )
-        sums[f"_sum_{out}"] = F.pow(keep, step) * F.sum(alpha * F.pow(keep, -step) * F.col(x)).over(segment)
-        before = Window.partitionBy(*frame.by).orderBy(f"_seg{size}", frame.order).rowsBetween(
-            Window.unboundedPreceding, -1
-        )
-        end = F.last(F.when(step == size - 1, F.col(f"_sum_{out}")), ignorenulls=True).over(before)
-        ends[out] = F.col(f"_sum_{out}") + F.when(
-            F.col(f"_seg{size}") > 0, F.pow(keep, step + 1) * end
-        ).otherwise(0.0)
+        size, keep, alpha = sizes[span], f"{(span - 1.0) / (span + 1.0)!r}D", f"{2.0 / (span + 1.0)!r}D"
+        step, segment = f"pmod({POS} - 1, {size})", f"_seg{size}"
+        weight = f"CASE WHEN {POS} = 1 THEN 1.0D ELSE {alpha} END * pow({keep}, -{step})"
+        within, across = frame.inside(segment).over, frame.led_by(segment).over
+        sums[f"_sum_{out}"] = F.expr(f"pow({keep}, {step}) * sum({weight} * {x}) OVER ({within} {SO_FAR})")
+        end = f"last(CASE WHEN {step} = {size - 1} THEN _sum_{out} END, true) OVER ({across} {BEFORE})"
+        carried = f"CASE WHEN {segment} > 0 THEN pow({keep}, {step} + 1) * {end} ELSE 0.0D END"
+        ends[out] = F.expr(f"_sum_{out} + {carried}")
     return df.withColumns(sums).withColumns(ends).drop(*sums)
 
 

@@ -66,6 +66,12 @@ class Frame:
     def window(self) -> WindowSpec:
         return Window.partitionBy(*self.by).orderBy(self.order)
 
+    @property
+    def over(self) -> str:
+        """The window as SQL text: long lists of window columns are quicker to
+        build, and easier to read, as expressions."""
+        return f"PARTITION BY {', '.join(self.by)} ORDER BY {self.order}"
+
     def last(self, rows: int) -> WindowSpec:
         """The current row and the ``rows - 1`` before it."""
         return self.window.rowsBetween(1 - rows, 0)
@@ -79,8 +85,13 @@ class Frame:
         return self.window.rowsBetween(Window.unboundedPreceding, -1)
 
     def inside(self, *extra: str) -> Frame:
+        """The same order within a finer group."""
         return Frame(self.by + extra, self.order)
 
+    def led_by(self, column: str) -> Frame:
+        """The same order spelled with a column before it that never decreases."""
+        return Frame(self.by, f"{column}, {self.order}")
+
 
 def place_rows(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...], out: str) -> DataFrame:
     """Add each row's 1-based place among the rows of its keys, at any group size.

@@ -143,14 +143,12 @@ def all_signals(
 
     def build(df: DataFrame, frame: Frame) -> DataFrame:
         rows = ind.add(df, frame).select(*df.columns, *[c.alias(n) for n, c in held.items()])
-        entries = [
-            F.struct(
-                F.lit(s.name).alias("strategy"), F.lit(label(s)).alias("params"),
-                F.col(n).alias("signal"), (F.col(n) - F.lag(n).over(frame.window)).alias("positions"),
-            )
+        entries = ", ".join(
+            f"named_struct('strategy', '{s.name}', 'params', '{label(s)}', 'signal', {n},"
+            f" 'positions', {n} - lag({n}) OVER ({frame.over}))"
             for s, n in zip(strategies, held)
-        ]
-        changed = rows.select(*df.columns, F.array(*entries).alias("_entries"))
+        )
+        changed = rows.select(*df.columns, F.expr(f"array({entries})").alias("_entries"))
         return changed.select(*df.columns, F.inline("_entries"))
 
     return over_series(bars, series, ind.lookback + 1, build)

@@ -13,8 +13,8 @@ from barline.plans import models
 from barline.queries.registry import (
     BARS, ENRICHED, FIXES, OPTIONS, STAGED, STAGED_OPTIONS, query, shown, with_sql,
 )
-from barline.queries.models import mart
-from barline.queries.tables import RESULTS, UPSERTED, corrected_bars, test_results
+from barline.queries.models import JOINED
+from barline.queries.tables import RESULTS, UPSERTED, corrected_bars, enriched_table, test_results
 
 
 def uncertain_bars(spark, sf_dir):
@@ -85,40 +85,69 @@ def dq_freshness(spark, sf_dir):
     return q.freshness(tables, fx.CORRECTED + timedelta(hours=12))
 
 
+def _failures_sql(table: str, source: str, check: q.Check) -> str:
+    """One result row: the check written out again as SQL."""
+    kind = check.name
+    if isinstance(check, q.UniqueCheck):
+        count = f"SELECT count(*) FROM (SELECT {check.column} FROM {source} WHERE {check.column} IS NOT NULL GROUP BY 1 HAVING count(*) > 1)"
+    elif isinstance(check, q.TypeCheck):
+        count = "SELECT 0"
+    elif kind.startswith("match_regex_"):
+        column = kind.removeprefix("match_regex_")
+        count = rf"SELECT count(*) FROM {source} WHERE NOT regexp_matches({column}, '^[A-Z0-9\.]+_[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}$')"
+    elif kind.startswith("not_null_"):
+        count = f"SELECT count(*) FROM {source} WHERE {kind.removeprefix('not_null_')} IS NULL"
+    elif kind.startswith("pair_"):
+        count = f"SELECT count(*) FROM {source} WHERE high_price < low_price"
+    else:
+        where = " AND ticker NOT LIKE '%CASH%'" if kind == "between_open_price" else ""
+        count = f"SELECT count(*) FROM {source} WHERE {kind.removeprefix('between_')} < 0{where}"
+    return f"SELECT 'test.barline.{table}.{kind}' AS test_id, '{kind}' AS test_name, ({count}) AS failures"
+
+
+SQL_TABLES = {
+    "stg_stock_bars": "staged", "stg_option_bars": "staged_options", "enriched_stock_bars": "enriched",
+    "enriched_option_bars": "staged_options", "stocks_options_joined": "joined", "fct_stock_performance": "enriched",
+    "stock_history": "bars", "option_history": "options", "companies": "companies", "tickers": "tickers",
+    "uncertain_bars": "uncertain",
+}
+
+
+def declared_checks():
+    """The models' checks, and some that fail, on a faulty table."""
+    faulty = [q.unique("stock_bar_id"), q.not_null("open_price"), q.at_least("close_price")]
+    return q.model_checks() | {"uncertain_bars": faulty}
+
+
 RESULT_ROWS = " UNION ALL ".join(
-    f"SELECT 'test.barline.{table}.{name}' AS test_id, '{name}' AS test_name, ({sql}) AS failures"
-    for table, name, sql in (
-        ("stg_stock_bars", "unique_stock_bar_id", "SELECT count(*) FROM (SELECT stock_bar_id FROM staged GROUP BY 1 HAVING count(*) > 1)"),
-        ("stg_stock_bars", "not_null_stock_bar_id", "SELECT count(*) FROM staged WHERE stock_bar_id IS NULL"),
-        ("stg_stock_bars", "match_regex_stock_bar_id", r"SELECT count(*) FROM staged WHERE NOT regexp_matches(stock_bar_id, '^[A-Z0-9\.]+_[0-9]{4}-[0-9]{2}-[0-9]{2}$')"),
-        ("stg_stock_bars", "of_type_trade_date", "SELECT 0"),
-        *(("stg_stock_bars", f"between_{c}", f"SELECT count(*) FROM staged WHERE {c} < 0")
-          for c in ("open_price", "high_price", "low_price", "close_price", "volume")),
-        ("stg_stock_bars", "pair_high_price_low_price", "SELECT count(*) FROM staged WHERE high_price < low_price"),
-        ("stg_option_bars", "unique_option_bar_id", "SELECT count(*) FROM (SELECT option_bar_id FROM staged_options GROUP BY 1 HAVING count(*) > 1)"),
-        ("stg_option_bars", "not_null_option_bar_id", "SELECT count(*) FROM staged_options WHERE option_bar_id IS NULL"),
-        ("fct_stock_performance", "unique_stock_bar_id", "SELECT count(*) FROM (SELECT stock_bar_id FROM enriched GROUP BY 1 HAVING count(*) > 1)"),
-        ("fct_stock_performance", "not_null_stock_bar_id", "SELECT count(*) FROM enriched WHERE stock_bar_id IS NULL"),
-        ("uncertain_bars", "unique_stock_bar_id", "SELECT count(*) FROM (SELECT stock_bar_id FROM uncertain GROUP BY 1 HAVING count(*) > 1)"),
-        ("uncertain_bars", "not_null_open_price", "SELECT count(*) FROM uncertain WHERE open_price IS NULL"),
-        ("uncertain_bars", "between_close_price", "SELECT count(*) FROM uncertain WHERE close_price < 0"),
-    )
+    _failures_sql(table, SQL_TABLES[table], check) for table, checks in declared_checks().items() for check in checks
 )
+DIMENSIONS = "companies AS (SELECT c_name AS ticker FROM customer), tickers AS (SELECT DISTINCT ticker FROM bars)"
 
 
-@query("dq_results", with_sql(BARS, FIXES, UNCERTAIN, STAGED, ENRICHED, OPTIONS, STAGED_OPTIONS, f"""
+@query("dq_results", with_sql(BARS, FIXES, UNCERTAIN, STAGED, ENRICHED, OPTIONS, STAGED_OPTIONS, JOINED, DIMENSIONS, f"""
     SELECT test_id, test_name, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status, failures, 0.0::DOUBLE AS execution_time,
       '2024-06-08 00:00:00' AS run_generated_at FROM ({RESULT_ROWS})"""))
 def dq_results(spark, sf_dir):
-    """Check records for the staged tables, the mart and a faulty table."""
-    faulty = [q.unique("stock_bar_id"), q.not_null("open_price"), q.at_least("close_price")]
+    """The records of every declared check on every table."""
+    enriched = enriched_table(spark, sf_dir)
+    options = models.enrich_option_bars(fx.staged_options(spark, sf_dir))
+    bars = fx.stock_bars(spark, sf_dir)
     tables = {
-        "stg_stock_bars": (fx.staged_stock(spark, sf_dir), q.staged_stock_checks()),
-        "stg_option_bars": (fx.staged_options(spark, sf_dir), q.key_checks("option_bar_id")),
-        "fct_stock_performance": (mart(spark, sf_dir), q.key_checks("stock_bar_id")),
-        "uncertain_bars": (uncertain_bars(spark, sf_dir), faulty),
+        "stg_stock_bars": fx.staged_stock(spark, sf_dir),
+        "stg_option_bars": fx.staged_options(spark, sf_dir),
+        "enriched_stock_bars": enriched,
+        "enriched_option_bars": options,
+        "stocks_options_joined": models.join_options_to_stocks(options, enriched),
+        "fct_stock_performance": models.stock_performance(enriched),
+        "stock_history": first_snapshot(bars, schemas.STOCK_KEY),
+        "option_history": first_snapshot(fx.option_bars(spark, sf_dir), schemas.OPTION_KEY),
+        "companies": fx.table(spark, sf_dir, "customer").select(F.col("c_name").alias("ticker")),
+        "tickers": bars.select("ticker").distinct(),
+        "uncertain_bars": uncertain_bars(spark, sf_dir),
     }
-    return q.results(tables, fx.CORRECTED).drop("loaded_at")
+    checks = declared_checks()
+    return q.results({name: (df, checks[name]) for name, df in tables.items()}, fx.CORRECTED).drop("loaded_at")
 
 
 LATEST = "WHERE run_generated_at = (SELECT max(run_generated_at) FROM results)"

@@ -35,6 +35,8 @@ def local_session(cpus: int | str = 8, app: str = "barline") -> SparkSession:
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Looking up the call site of every column expression costs more than planning.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
