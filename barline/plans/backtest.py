@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from barline.operators.rolling import change_ratio
 from barline.operators.series import BLOCK, POS, Frame, Series, number_rows
 from barline.plans.strategies import DEFAULTS, LABELS, Strategy, all_signals
+from barline.session import ensure_checkpoints
 
 # Fixed values of the trading rules.
 CAPITAL = 10_000
@@ -62,7 +63,9 @@ def _split_paths(rows: DataFrame, series: Series) -> DataFrame:
     """
     if POS not in rows.columns:
         rows = number_rows(rows, series)
-    rows = rows.withColumn(BLOCK, series.block())
+    # Read twice below; without a checkpoint all signals would be worked out twice.
+    ensure_checkpoints(rows.sparkSession)
+    rows = rows.withColumn(BLOCK, series.block()).checkpoint()
     by = (*series.keys, BLOCK)
     local = Frame(by, POS)
     rows = rows.withColumn("_sum", F.sum("_spent").over(local.so_far)).withColumn(

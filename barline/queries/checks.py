@@ -66,7 +66,7 @@ def dq_unique(spark, sf_dir):
 
 
 @query("dq_type", with_sql(BARS, """
-    SELECT test_name, failures, (SELECT count(*) FROM bars) AS n_rows
+    SELECT test_name, CAST(failures AS BIGINT) AS failures, (SELECT count(*) FROM bars) AS n_rows
     FROM (VALUES ('of_type_trade_date', 0), ('of_type_ticker', 1)) AS t(test_name, failures)"""))
 def dq_type(spark, sf_dir):
     """A column of the right type, and one that is not a date."""

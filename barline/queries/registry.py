@@ -23,8 +23,12 @@ class Query:
 REGISTRY: dict[str, Query] = {}
 
 
+MAY_BE_MISSING = ("positions",)
+
+
 def presented(df: DataFrame) -> DataFrame:
-    """Plain output types: text for dates and times, doubles for numbers with a scale."""
+    """Plain output types: text for dates and times, doubles for numbers with a scale,
+    and for whole ones that may be missing; long integers otherwise."""
     columns = []
     for field in df.schema.fields:
         c, kind = F.col(f"`{field.name}`"), field.dataType
@@ -32,6 +36,8 @@ def presented(df: DataFrame) -> DataFrame:
             c = c.cast("double")
         elif isinstance(kind, T.DoubleType):
             c = F.round(c, 6) + F.lit(0.0)
+        elif isinstance(kind, T.IntegerType):
+            c = c.cast("double" if field.name in MAY_BE_MISSING else "bigint")
         elif isinstance(kind, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(kind, T.TimestampType):
@@ -57,12 +63,13 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFunction], QueryF
 
 
 def shown(columns: str) -> str:
-    """A select list from ``name:kind`` words: d date, t time, n decimal, r double."""
+    """A select list from ``name:kind`` words: d date, t time, n decimal, r double, i integer."""
     forms = {
         "": "{0}",
         "d": "CAST({0} AS VARCHAR) AS {0}",
         "t": "strftime({0}, '%Y-%m-%d %H:%M:%S') AS {0}",
         "n": "CAST({0} AS DOUBLE) AS {0}",
+        "i": "CAST({0} AS BIGINT) AS {0}",
         "r": "round(CAST({0} AS DOUBLE), 6) + 0.0 AS {0}",
     }
     parts = []

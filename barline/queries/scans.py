@@ -194,7 +194,7 @@ def grouped_daily_split(spark, sf_dir):
 
 @query("landing_envelope", with_sql(BARS, f"""
     SELECT 'raw_data/' || ticker || '_' || CAST(trade_date AS VARCHAR) || '.json' AS key, CAST(trade_date AS VARCHAR) AS trade_date,
-      ticker, 1 AS result_count, 'OK' AS status, CAST(close AS DOUBLE) AS close FROM bars WHERE {ALLOWED}"""))
+      ticker, CAST(1 AS BIGINT) AS result_count, 'OK' AS status, CAST(close AS DOUBLE) AS close FROM bars WHERE {ALLOWED}"""))
 def landing_envelope(spark, sf_dir):
     """Grouped documents rewritten as single-result ones, read back field by field."""
     rows = docs.grouped_bars(grouped_documents(spark, sf_dir), solvent_segments(spark, sf_dir))

@@ -52,8 +52,8 @@ def stream_load(spark, sf_dir):
 
 
 @query("archive_stream", with_sql(BARS, FIXES, """
-    SELECT 'processed' AS folder, 0 AS wave, count(*) AS documents FROM bars
-    UNION ALL SELECT 'raw_data', 1, count(*) FROM fixes"""))
+    SELECT 'processed' AS folder, CAST(0 AS BIGINT) AS wave, count(*) AS documents FROM bars
+    UNION ALL SELECT 'raw_data', CAST(1 AS BIGINT), count(*) FROM fixes"""))
 def archive_stream(spark, sf_dir):
     """After the second run the first wave's files have moved, the second's not yet."""
     root = fresh_path(spark, "archive")

@@ -20,6 +20,9 @@ TABLES = (
 ).split()
 
 
+SAME_TYPE = {"VARCHAR": "string", "BIGINT": "bigint", "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
 def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
     con = duckdb.connect()
     for name in TABLES:
@@ -53,6 +56,10 @@ def compare(spark, con, sf_dir: str, name: str) -> tuple[str, float, float, int]
     if sorted(names) != columns:
         return f"columns {columns} against {sorted(names)}", spark_time, 0.0, len(got)
     at = [names.index(c) for c in columns]
+    kinds = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    for name_, kind, *_ in cursor.description:
+        if SAME_TYPE.get(str(kind)) != kinds[name_]:
+            return f"{name_} is {kinds[name_]} against {kind}", spark_time, 0.0, len(got)
     want = sorted(tuple(plain(row[i]) for i in at) for row in cursor.fetchall())
     sql_time = time.time() - started
     if got == want:

@@ -66,3 +66,40 @@ def test_no_python_in_hot_paths(spark, name):
     from __spark_entry__ import queries
 
     assert "Python" not in plan(queries()[name](spark, SF))
+
+
+def test_a_hot_underlying_is_split_in_the_join(spark):
+    """A third of the options share one key; adaptive execution cuts its partition up."""
+    day, n = F.lit("2020-01-01").cast("date"), 300_000
+    price = F.rand(1).cast("decimal(19,4)")
+    hot = F.when(F.col("id") % 3 == 0, "HOT").otherwise(F.concat(F.lit("T"), (F.col("id") % 500).cast("string")))
+    prices = ("open_price", "high_price", "low_price", "close_price", "volume_weighted_average_price", "strike_price")
+    options = spark.range(n).select(
+        F.col("id").cast("string").alias("option_bar_id"), F.sha2(F.col("id").cast("string"), 256).alias("option_symbol"),
+        hot.alias("underlying_ticker"), day.alias("trade_date"), day.alias("expiration_date"), F.lit("call").alias("option_type"),
+        *[price.alias(c) for c in prices], F.col("id").alias("volume"), F.col("id").alias("transactions"), F.lit(0).alias("days_to_expiration"),
+    ).repartition(8)
+    stocks = options.select(F.col("underlying_ticker").alias("ticker"), "trade_date").distinct().withColumns(
+        {c: F.lit(1).cast("decimal(19,4)") for c in ("close_price", *models.AVERAGES)}
+    )
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "200k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "300k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name, None) for name in small}
+    try:
+        for name, value in small.items():
+            spark.conf.set(name, value)
+        joined = models.join_options_to_stocks(options, stocks)
+        assert len(joined.select("option_bar_id", "moneyness").toPandas()) == n
+        query = joined.select("option_bar_id", "moneyness")
+        execution = query._jdf.queryExecution()
+        query._jdf.collectToPython()
+        assert "SortMergeJoin(skew=true)" in execution.executedPlan().toString()
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
