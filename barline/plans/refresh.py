@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from barline.operators.series import Series
 from barline.plans import models
-from barline.sources.tables import rebuild
+from barline.sources.tables import PERIOD, period, read_table, rebuild, replace_periods
 
 
 def changed_from(batch: DataFrame) -> DataFrame:
@@ -42,6 +43,22 @@ def recompute_enriched(enriched: DataFrame, staged: DataFrame, batch: DataFrame)
     return kept.select(enriched.columns).unionByName(computed.select(enriched.columns))
 
 
+def update_enriched(
+    spark: SparkSession, path: str, staged: DataFrame, batch: DataFrame, grain: str = "month"
+) -> None:
+    """``recompute_enriched`` on the stored table, from the batch's first period on.
+
+    Rows before a ticker's first changed date stay as they are, so earlier
+    periods are neither read nor written: a day's load rewrites one of them.
+    """
+    since = batch.agg(F.min(period(grain))).first()[0]
+    if since is None:
+        return
+    schema = T.StructType([f for f in spark.read.parquet(path).schema if f.name != PERIOD])
+    recent = read_table(spark, path, schema, since=since)
+    replace_periods(recompute_enriched(recent, staged, batch), path, grain)
+
+
 def refresh(spark: SparkSession, stock_history: DataFrame, option_history: DataFrame, root: str) -> dict[str, str]:
     """Write every model table below ``root`` and return their paths.
 

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from barline import schemas
 from barline.functions.dates import weekdays
+from barline.operators.history import first_snapshot, snapshot
 from barline.operators.merge import upsert
 
 # The tickers tracked where no other list is given.
@@ -49,12 +50,20 @@ def rebuild(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType, periods: Sequence[date] | None = None) -> DataFrame:
-    """A bar table, or only the given periods' folders of it."""
+def read_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    periods: Sequence[date] | None = None,
+    since: date | None = None,
+) -> DataFrame:
+    """A bar table, or only the folders of the given periods or of one and later."""
     stored = T.StructType([*schema.fields, T.StructField(PERIOD, T.DateType())])
     table = spark.read.schema(stored).parquet(path)
     if periods is not None:
         table = table.filter(F.col(PERIOD).isin(list(periods)))
+    if since is not None:
+        table = table.filter(F.col(PERIOD) >= F.lit(since))
     return table.select(schema.names)
 
 
@@ -72,28 +81,61 @@ def upsert_table(
     keys: Sequence[str],
     now: datetime,
     grain: str = "month",
-) -> None:
+) -> list[date]:
     """Upsert ``batch`` into the table at ``path``, rewriting touched periods only.
 
     The key holds the date, so rows of other periods cannot match. The touched
     periods come to the driver to prune the scan: there are no more of them than
     the calendar has. Running a batch twice with one ``now`` gives the same
-    table, so a failed run is simply run again.
+    table, so a failed run is simply run again. Returns the touched periods.
     """
     batch = batch.persist()
     try:
         touched = [row[0] for row in batch.select(period(grain)).distinct().collect()]
-        if not touched:
-            return
-        if table_exists(spark, path):
-            target = read_table(spark, path, schema, touched)
-        else:
-            target = spark.createDataFrame([], schema)
-        replace_periods(upsert(target, batch, keys, now), path, grain)
+        if touched:
+            if table_exists(spark, path):
+                target = read_table(spark, path, schema, touched)
+            else:
+                target = spark.createDataFrame([], schema)
+            replace_periods(upsert(target, batch, keys, now), path, grain)
+        return touched
     finally:
         batch.unpersist()
 
 
+def history_schema(schema: T.StructType) -> T.StructType:
+    """A bar table's columns and those of its versions."""
+    times = [T.StructField(c, T.TimestampType()) for c in ("valid_from", "valid_to")]
+    rest = [T.StructField("scd_id", T.StringType()), T.StructField("updated_at", T.TimestampType())]
+    return T.StructType([*schema.fields, *times, *rest])
+
+
+def snapshot_table(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    raw_path: str,
+    keys: Sequence[str],
+    periods: Sequence[date] | None = None,
+    grain: str = "month",
+) -> None:
+    """Bring the history at ``path`` up to the raw table, for all or some periods.
+
+    A key's versions share its date, so a period's history needs only that
+    period's bars: a daily load leaves the rest of the history alone. Seeing the
+    same bars twice changes nothing.
+    """
+    if periods is not None and not periods:
+        return
+    raw = read_table(spark, raw_path, schema, periods)
+    if table_exists(spark, path):
+        before = read_table(spark, path, history_schema(schema), periods)
+        versions = snapshot(before, raw, keys)
+    else:
+        versions = first_snapshot(raw, keys)
+    replace_periods(versions, path, grain)
+
+
 def mart_rows(mart: DataFrame) -> DataFrame:
     """The mart by date; the ticker makes the order total and the sort splittable."""
     return mart.orderBy("trade_date", "ticker")

@@ -16,10 +16,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from barline import schemas
-from barline.operators.history import first_snapshot, snapshot
 from barline.operators.merge import latest_by_key
 from barline.sources import documents
-from barline.sources.tables import table_exists, upsert_table
+from barline.sources.tables import snapshot_table, upsert_table
 
 
 @dataclass(frozen=True)
@@ -60,10 +59,17 @@ def typed_batch(docs: DataFrame, feed: Feed) -> DataFrame:
 
 def load_batch(
     spark: SparkSession, docs: DataFrame, feed: Feed, table: str, now: datetime,
-    quarantine: str | None = None, batch_id: int = 0,
+    quarantine: str | None = None, history: str | None = None, batch_id: int = 0,
 ) -> None:
-    """Upsert one batch of documents; refused ones go to the quarantine folder."""
-    upsert_table(spark, table, feed.schema, typed_batch(docs, feed), feed.keys, now, feed.grain)
+    """Upsert one batch of documents and, if asked to, update the table's history.
+
+    Refused documents go to the quarantine folder.
+    """
+    touched = upsert_table(
+        spark, table, feed.schema, typed_batch(docs, feed), feed.keys, now, feed.grain
+    )
+    if history is not None:
+        snapshot_table(spark, history, feed.schema, table, feed.keys, touched, feed.grain)
     if quarantine is not None:
         refused = documents.rejected(feed.parse(docs))
         refused.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
@@ -89,13 +95,13 @@ def document_stream(
 def start_load(
     spark: SparkSession, folder: str, feed: Feed, table: str, checkpoint: str,
     clock: Callable[[int], datetime], one_per_file: bool = True, archive: str | None = None,
-    files_per_batch: int | None = None, quarantine: str | None = None,
+    files_per_batch: int | None = None, quarantine: str | None = None, history: str | None = None,
 ) -> StreamingQuery:
     """Load every file that is there, then stop. ``clock`` stamps a batch by its id."""
 
     def write(docs: DataFrame, batch_id: int) -> None:
         load_batch(
-            docs.sparkSession, docs, feed, table, clock(batch_id), quarantine, batch_id
+            docs.sparkSession, docs, feed, table, clock(batch_id), quarantine, history, batch_id
         )
 
     docs = document_stream(spark, folder, one_per_file, archive, files_per_batch)
@@ -105,17 +111,3 @@ def start_load(
         .trigger(availableNow=True)
         .start()
     )
-
-
-def update_history(spark: SparkSession, raw: DataFrame, path: str, keys: tuple[str, ...], version: int) -> str:
-    """Write the history after ``raw`` as a new version folder and return it.
-
-    A version reads the one before, so neither is ever overwritten while read.
-    """
-    before, after = f"{path}/version={version - 1}", f"{path}/version={version}"
-    if table_exists(spark, before):
-        versions = snapshot(spark.read.parquet(before), raw, keys)
-    else:
-        versions = first_snapshot(raw, keys)
-    versions.write.mode("overwrite").parquet(after)
-    return after

@@ -4,8 +4,7 @@ import json
 from datetime import datetime, timedelta
 
 from barline import schemas
-from barline.operators.history import current
-from barline.sources.tables import read_table
+from barline.sources.tables import history_schema, read_table
 from barline.streaming import loads
 
 TIME = 1704205800000
@@ -32,26 +31,25 @@ def run(spark, tmp_path, feed="stock_bars", **options):
 
 
 def test_corrections_overwrite_and_reach_the_history(spark, tmp_path):
-    raw = tmp_path / "raw"
+    raw, kept = tmp_path / "raw", str(tmp_path / "history")
     drop(raw, "A_1.json", "A", 5)
     drop(raw, "B_1.json", "B", 6)
     drop(raw, "C_1.json", "C", 7, resultsCount=0)
-    table = run(spark, tmp_path)
+    table = run(spark, tmp_path, history=kept)
     assert sorted((r.ticker, float(r.close)) for r in table.collect()) == [("A", 5.0), ("B", 6.0)]
     refused = spark.read.parquet(str(tmp_path / "quarantine"))
     assert [r.reject_reason for r in refused.collect()] == ["no single result"]
-    first = loads.update_history(spark, table, str(tmp_path / "history"), schemas.STOCK_KEY, 0)
 
     drop(raw, "A_2.json", "A", 8)
-    table = run(spark, tmp_path)
+    table = run(spark, tmp_path, history=kept)
     got = {r.ticker: (float(r.close), r.inserted_at) for r in table.collect()}
     assert got == {"A": (8.0, clock(1)), "B": (6.0, clock(0))}
-    second = loads.update_history(spark, table, str(tmp_path / "history"), schemas.STOCK_KEY, 1)
-    assert spark.read.parquet(first).count() == 2
-    history = spark.read.parquet(second)
-    assert history.count() == 3 and current(history).count() == 2
-
-    assert run(spark, tmp_path).count() == 2  # nothing new: nothing happens
+    history = read_table(spark, kept, history_schema(schemas.STOCK_BARS))
+    versions = sorted((r.ticker, float(r.close), r.valid_from, r.valid_to) for r in history.collect())
+    assert versions == [
+        ("A", 5.0, clock(0), clock(1)), ("A", 8.0, clock(1), None), ("B", 6.0, clock(0), None),
+    ]
+    assert run(spark, tmp_path, history=kept).count() == 2  # nothing new: nothing happens
 
 
 def test_the_last_file_of_a_key_wins_within_a_batch(spark, tmp_path):

@@ -106,6 +106,46 @@ def test_incremental_models_equal_a_full_rebuild(bars, seed):
     assert rows(got) == rows(enriched(after))
 
 
+def files(folder):
+    return {p.name: sorted(f.name for f in p.iterdir()) for p in folder.iterdir() if p.is_dir()}
+
+
+def test_stored_models_are_updated_from_the_first_changed_period(spark, bars, tmp_path):
+    days = range(0, 200)
+    before = bars(*[(t, d, 50 + (d * 7 + len(t)) % 13) for t in ("A", "BB") for d in days])
+    fixes = bars(("A", 150, 99, T1), ("CCC", 160, 5, T1))
+    after = merge.upsert(before, fixes, KEY, T1)
+
+    def staged(raw):
+        return models.stage_stock_bars(history.first_snapshot(raw, KEY))
+
+    path = tmp_path / "enriched"
+    tables.replace_periods(models.enrich_stock_bars(staged(before), Series()), str(path), "month")
+    old = files(path)
+    refresh.update_enriched(spark, str(path), staged(after), fixes)
+    got = spark.read.parquet(str(path)).drop(tables.PERIOD)
+    want = models.enrich_stock_bars(staged(after), Series())
+    assert rows(got, *want.columns) == rows(want)
+    new = files(path)
+    assert {p for p in new if new[p] != old[p]} == {f"period=2020-{m:02}-01" for m in (5, 6, 7)}
+
+
+def test_history_tables_touch_only_the_given_periods(spark, bars, tmp_path):
+    raw, kept = str(tmp_path / "raw"), tmp_path / "history"
+    first = bars(("A", 0, 5), ("A", 40, 6)).drop("inserted_at")
+    touched = tables.upsert_table(spark, raw, schemas.STOCK_BARS, first, KEY, T0)
+    tables.snapshot_table(spark, str(kept), schemas.STOCK_BARS, raw, KEY, touched)
+    old = files(kept)
+    touched = tables.upsert_table(spark, raw, schemas.STOCK_BARS, bars(("A", 40, 9)), KEY, T1)
+    for _ in range(2):
+        tables.snapshot_table(spark, str(kept), schemas.STOCK_BARS, raw, KEY, touched)
+    versions = tables.read_table(spark, str(kept), tables.history_schema(schemas.STOCK_BARS))
+    assert rows(versions, "close", "valid_from", "valid_to") == [
+        ("5.0000", str(T0), "None"), ("6.0000", str(T0), str(T1)), ("9.0000", str(T1), "None"),
+    ]
+    assert files(kept)["period=2020-01-01"] == old["period=2020-01-01"]
+
+
 def test_upserts_rewrite_only_touched_periods(spark, bars, tmp_path):
     path = str(tmp_path / "bars")
     first = bars(("A", 0, 5), ("A", 40, 6), ("B", 40, 7)).drop("inserted_at")
