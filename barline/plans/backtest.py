@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from barline.operators.rolling import change_ratio
 from barline.operators.series import BLOCK, POS, Frame, Series, number_rows
-from barline.plans.strategies import DEFAULTS, LABELS, Strategy, all_signals
+from barline.plans.strategies import DEFAULTS, PATH, Strategy, labelled, signal_paths
 from barline.session import ensure_checkpoints
 
 # Fixed values of the trading rules.
@@ -134,17 +134,26 @@ def metrics(paths: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _paths(bars: DataFrame, series: Series, strategies: Sequence[Strategy]) -> DataFrame:
+    return portfolio(signal_paths(bars, series, strategies), series.within(PATH))
+
+
 def paths(
     bars: DataFrame, series: Series, strategies: Sequence[Strategy] = DEFAULTS
 ) -> DataFrame:
-    return portfolio(all_signals(bars, series, strategies), series.within(*LABELS))
+    """The portfolio path of every ticker, strategy and parameter set."""
+    return labelled(_paths(bars, series, strategies), strategies)
 
 
 def report(
     bars: DataFrame, series: Series, strategies: Sequence[Strategy] = DEFAULTS
 ) -> DataFrame:
-    """All metrics for every ticker, strategy and parameter set."""
-    return metrics(paths(bars, series, strategies), (*series.keys, *LABELS))
+    """All metrics for every ticker, strategy and parameter set.
+
+    Names are put on the report's rows, not carried through its windows.
+    """
+    rows = metrics(_paths(bars, series, strategies), (*series.keys, PATH))
+    return labelled(rows, strategies)
 
 
 def formatted(report: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from barline.operators.indicators import Indicators
 from barline.operators.series import POS, Frame, Series, over_series
 
 LABELS = ("strategy", "params")
+PATH = "path"  # the place of a strategy in the list given, narrow enough to sort by
 
 
 @dataclass(frozen=True)
@@ -129,14 +130,14 @@ def signals(bars: DataFrame, strategy: Strategy, series: Series) -> DataFrame:
     return over_series(bars, series, ind.lookback + 1, build).drop(POS)
 
 
-def all_signals(
+def signal_paths(
     bars: DataFrame, series: Series, strategies: Sequence[Strategy] = DEFAULTS
 ) -> DataFrame:
-    """Rows of (bar, strategy, params, signal, positions) for every strategy given.
+    """Rows of (bar, path, signal, positions) for every strategy given.
 
     Keeps ``_pos`` for the portfolio that follows. Exploding after the windows
     keeps rows where they are: the bars' partitioning by ticker also serves
-    windows by ticker, strategy and parameters.
+    windows by ticker and path.
     """
     ind = Indicators()
     held = {f"_on{i}": _held(s.signal(ind)[1]) for i, s in enumerate(strategies)}
@@ -144,9 +145,8 @@ def all_signals(
     def build(df: DataFrame, frame: Frame) -> DataFrame:
         rows = ind.add(df, frame).select(*df.columns, *[c.alias(n) for n, c in held.items()])
         entries = ", ".join(
-            f"named_struct('strategy', '{s.name}', 'params', '{label(s)}', 'signal', {n},"
-            f" 'positions', {n} - lag({n}) OVER ({frame.over}))"
-            for s, n in zip(strategies, held)
+            f"named_struct('{PATH}', {i}, 'signal', {n}, 'positions', {n} - lag({n}) OVER ({frame.over}))"
+            for i, n in enumerate(held)
         )
         changed = rows.select(*df.columns, F.expr(f"array({entries})").alias("_entries"))
         return changed.select(*df.columns, F.inline("_entries"))
@@ -154,6 +154,22 @@ def all_signals(
     return over_series(bars, series, ind.lookback + 1, build)
 
 
+def labelled(rows: DataFrame, strategies: Sequence[Strategy]) -> DataFrame:
+    """Replace the path by the strategy's name and parameters."""
+    def pick(values: list[str]) -> Column:
+        return F.element_at(F.array(*[F.lit(v) for v in values]), F.col(PATH) + 1)
+
+    named = {"strategy": pick([s.name for s in strategies]), "params": pick([label(s) for s in strategies])}
+    return rows.withColumns(named).drop(PATH)
+
+
+def all_signals(
+    bars: DataFrame, series: Series, strategies: Sequence[Strategy] = DEFAULTS
+) -> DataFrame:
+    """Rows of (bar, strategy, params, signal, positions) for every strategy given."""
+    return labelled(signal_paths(bars, series, strategies), strategies).drop(POS)
+
+
 def trade_events(signalled: DataFrame) -> DataFrame:
     """Bars on which a position opens (buy) or closes (sell)."""
     side = F.when(F.col("positions") == 1, "buy").when(F.col("positions") == -1, "sell")
