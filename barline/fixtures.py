@@ -96,7 +96,7 @@ def stored(build: Callable[[SparkSession, str], DataFrame], schema: T.StructType
     def read(spark: SparkSession, sf_dir: str) -> DataFrame:
         key = (spark.sparkContext.applicationId, sf_dir, build.__name__, _source_state(spark, sf_dir))
         if key not in _written:
-            path = fresh_path(spark, build.__name__)
+            path = fresh_path(spark, build.__name__.strip("_"))  # a leading _ would hide it
             rebuild(build(spark, sf_dir), path)
             _written[key] = path
         reader = spark.read if schema is None else spark.read.schema(schema)

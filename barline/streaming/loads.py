@@ -21,6 +21,9 @@ from barline.sources import documents
 from barline.sources.tables import snapshot_table, upsert_table
 
 
+ADAPTIVE = "spark.sql.adaptive.enabled"
+
+
 @dataclass(frozen=True)
 class Feed:
     """A kind of document, the table it loads, its key and its partition grain.
@@ -100,9 +103,15 @@ def start_load(
     """Load every file that is there, then stop. ``clock`` stamps a batch by its id."""
 
     def write(docs: DataFrame, batch_id: int) -> None:
-        load_batch(
-            docs.sparkSession, docs, feed, table, clock(batch_id), quarantine, history, batch_id
-        )
+        # Streams turn adaptive execution off. A batch is an ordinary job, which
+        # needs it to size partitions and to split hot ones.
+        session = docs.sparkSession
+        before = session.conf.get(ADAPTIVE)
+        session.conf.set(ADAPTIVE, "true")
+        try:
+            load_batch(session, docs, feed, table, clock(batch_id), quarantine, history, batch_id)
+        finally:
+            session.conf.set(ADAPTIVE, before)
 
     docs = document_stream(spark, folder, one_per_file, archive, files_per_batch)
     return (
