@@ -2,37 +2,31 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-# A folder made for a local session, kept so that one test run uses one folder.
-_local_folder: str | None = None
-
-
-# Bars are narrow and windows over them do much work per byte, so a megabyte,
-# the least a merged shuffle partition holds by default, is too much for one task.
-SMALL_PARTITION = {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k"}
-
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Pin the settings that results and plans depend on; the rest is the cluster's."""
+    """Pin the settings that results depend on; the rest is the cluster's."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.adaptive.enabled", "true")
     spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    for name, value in SMALL_PARTITION.items():
-        if spark.conf.get(name, None) is None:
-            spark.conf.set(name, value)
     return spark
 
 
 def local_session(cpus: int | str = 8, app: str = "barline") -> SparkSession:
-    """A session for tests and the bench; on a cluster use the session it gives."""
+    """A session for tests and the bench; on a cluster use the session it gives.
+
+    Bars are narrow and windows over them do much work per byte, so a megabyte,
+    the least a merged shuffle partition holds by default, is too much for one
+    task at the sizes a local session sees.
+    """
     spark = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
         # Looking up the call site of every column expression costs more than planning.
@@ -45,22 +39,12 @@ def local_session(cpus: int | str = 8, app: str = "barline") -> SparkSession:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, named by ``spark.checkpoint.dir``.
-
-    Only a local session may fall back to a temporary folder: on a cluster a
-    machine-local one would be lost with the executor that wrote it.
-    """
-    global _local_folder
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or where that is
+    unset a folder below the session's warehouse."""
     named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get(
         "spark.checkpoint.dir", None
     )
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-    if _local_folder is None:
-        _local_folder = tempfile.mkdtemp(prefix="barline-")
-    return _local_folder
+    return (named or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/barline-work").rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
