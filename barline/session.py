@@ -15,15 +15,20 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def local_session(cpus: int | str = 8, app: str = "barline") -> SparkSession:
+def local_session(
+    cpus: int | str = 8, app: str = "barline", checkpoints: str | None = None
+) -> SparkSession:
     """A session for tests and the bench; on a cluster use the session it gives.
 
     Bars are narrow and windows over them do much work per byte, so a megabyte,
     the least a merged shuffle partition holds by default, is too much for one
-    task at the sizes a local session sees.
+    task at the sizes a local session sees. ``checkpoints`` is its shared folder.
     """
+    builder = SparkSession.builder
+    if checkpoints is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoints)
     spark = (
-        SparkSession.builder.master(f"local[{cpus}]")
+        builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")

@@ -11,8 +11,7 @@ from barline.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, "tests")
-    session.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+    session = local_session(8, "tests", str(tmp_path_factory.mktemp("shared")))
     session.conf.set("spark.sql.shuffle.partitions", "4")
     return session
 
