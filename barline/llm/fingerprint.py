@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from barline.llm.tables import stored, text
 
+MISSING = -(1 << 63)  # stands for a missing doc_id
 KMER_WORDS = 3
 PICKED = 2
 BIN_SHIFT, PLACE_BITS = 58, 24
@@ -121,7 +122,7 @@ def successors(docs: DataFrame) -> DataFrame:
 
 
 def key(name: str = "doc_id") -> Column:
-    return F.coalesce(F.col(name).cast("bigint"), F.lit(-(1 << 63)))
+    return F.coalesce(F.col(name).cast("bigint"), F.lit(MISSING))
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -133,10 +134,11 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     edited_fingerprint, near_edited and near_next. A null text is an empty one. Rows that
     share a doc_id each get a row; the next document of such an id is its least text.
     """
-    base = fingerprinted(docs.select(key().alias("id"), "doc_id", text().alias("text")), "text", "sketches")
+    # Both joins read this by the same key, so its exchange is made once and used twice.
+    base = fingerprinted(docs.select(key().alias("id"), text().alias("text")), "text", "sketches")
     pairs = stored(successors(docs), "fingerprint-pairs")
-    once = F.row_number().over(Window.partitionBy("id").orderBy("text"))
-    following = base.withColumn("copy", once).filter("copy = 1").select(
+    before = F.lag("id").over(Window.partitionBy("id").orderBy("text"))
+    following = base.withColumn("before", before).filter("before is null").select(
         F.col("id").alias("next_id"), F.col("text").alias("next_text"), F.col("sketches").alias("next_sketches")
     )
     heads = pairs.join(following, "next_id").select(
@@ -146,7 +148,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.left("text", length - half), F.left("head", half))
     whole = fingerprinted(base.join(heads, "id").withColumn("edited", edited), "edited", "edited_sketches")
     return whole.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.when(F.col("id") != MISSING, F.col("id")).alias("doc_id"),
         length.cast("bigint").alias("n_chars"),
         F.sha2("edited", 256).alias("edited_sha256"),
         as_text("sketches").alias("fingerprint"),
