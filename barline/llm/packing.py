@@ -33,7 +33,7 @@ LENGTH = 4096
 END_ID = 2
 SHARD_ROWS = 2048
 K1, B = 1.2, 0.75
-CACHED_WORDS = 1 << 19
+CACHED_WORDS = 1 << 20
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -77,7 +77,7 @@ class Vocabulary(dict):
             words = self.fresh[low : low + 4096]
             got = self.encode.encode(" ".join(words), add_special_tokens=False)
             begins = np.cumsum([0] + [len(w) + 1 for w in words])
-            at = np.array([o[0] for o in got.offsets], np.int64)
+            at = np.fromiter((o[0] for o in got.offsets), np.int64, len(got.ids))
             owner = np.searchsorted(begins, at, "right") - 1
             ids.append(np.array(got.ids, np.uint32))
             ends.append(base + np.cumsum(np.bincount(owner, minlength=len(words))[: len(words)]))
@@ -87,6 +87,12 @@ class Vocabulary(dict):
         self.fresh = []
 
 
+@lru_cache(maxsize=1)
+def shared_vocabulary(path: str) -> Vocabulary:
+    """One vocabulary for all tasks of a worker."""
+    return Vocabulary(path)
+
+
 def flat(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     """The places start, start + 1, ... of every run, one after the other."""
     return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
@@ -121,12 +127,12 @@ def cutter(path: str):
     alone, and rests with their ids and the words that begin in them."""
 
     def cut(batches):
-        vocabulary = Vocabulary(path)
         for batch in batches:
             at = 0
             for part in chunks(batch.column(2)):
-                if len(vocabulary) > CACHED_WORDS:
-                    vocabulary = Vocabulary(path)
+                if len(shared_vocabulary(path)) > CACHED_WORDS:
+                    shared_vocabulary.cache_clear()
+                vocabulary = shared_vocabulary(path)
                 n, rows = len(part), []
                 keys = zip(batch.column(0).slice(at, n).to_pylist(), batch.column(1).slice(at, n).to_pylist(), strict=True)
                 at += n
