@@ -11,6 +11,9 @@ so lines in reach of each other share the text around some block. Lines that sha
 half of their text with no other emit nothing; the rest are cut again into 16
 blocks, and only blocks whose surroundings are shared emit variants, hashed with
 those surroundings. No match is lost by this.
+
+Tables of marked lines grow with the texts and have no bound, so joins of texts with
+them ask for a sort-merge join at every size.
 """
 
 from __future__ import annotations
@@ -69,7 +72,7 @@ def neighbours(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     # A line's text is read where it first stands.
     firsts = distinct.join(near, list(ID), "left_semi").select(*ID, FIRST)
     spots = lines(docs).select(F.col("at").alias(FIRST), "line", *ID)
-    texts = stored(spots.join(firsts, [*ID, FIRST]).select(*ID, FIRST, "line"), "lines-texts")
+    texts = stored(spots.join(firsts.hint("merge"), [*ID, FIRST]).select(*ID, FIRST, "line"), "lines-texts")
     blocks = texts.select(
         *ID, FIRST, "line", F.explode(block_keys(F.col("line"), F.length("line"), BLOCKS)).alias("b")
     ).select(*ID, FIRST, F.col("b.key").alias("key"), "line", "b.low", "b.high", "b.short")
@@ -127,7 +130,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     marked = distinct.select(*ID, FIRST, "n").join(near, list(ID), "left").filter("n > 1 or near")
     marked = stored(marked, "lines-marked")
     gone = (
-        lines(docs).select("at", *ID).join(marked, list(ID))
+        lines(docs).select("at", *ID).join(marked.hint("merge"), list(ID))
         .filter(F.col("near").isNotNull() | (F.col("at") != F.col(FIRST)))
     )
     return gone.groupBy(F.col(f"at.{ROW}").alias(ROW), F.col("at.doc_id").alias("doc_id")).agg(
@@ -142,7 +145,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     but n_chars, which counts the new text if there is such a column.
     """
     gone = stored(dropped_lines(docs).select(ROW, F.col("places").alias("_llm_places")), "lines-gone")
-    rows = numbered(docs).join(gone, ROW, "left")
+    rows = numbered(docs).join(gone.hint("merge"), ROW, "left")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_llm_places", i))
     changed = F.col("_llm_places").isNotNull()
     rows = rows.withColumn("text", F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("text")))
