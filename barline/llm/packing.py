@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -33,7 +34,7 @@ LENGTH = 4096
 END_ID = 2
 SHARD_ROWS = 2048
 K1, B = 1.2, 0.75
-CACHED_WORDS = 1 << 20
+CACHED_PARTS = 1 << 19
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -51,27 +52,45 @@ def tokenizer(path: str):
 
 
 class Vocabulary(dict):
-    """Numbers for the words seen, and their ids once ``learn`` has met them.
+    """Numbers for the words seen, and the ids of their parts once ``learn`` has met them.
 
-    The tokenizer drops blanks and never joins what they part, so the ids of a text are
-    those of its words, and a word is encoded once and not at every place it stands.
+    The tokenizer drops blanks, never joins what they part, and never joins a letter with
+    a full stop or comma after it; it also lower-cases. So the ids of a text are those of
+    its words' parts, and a part is encoded once and not at every place it stands.
     """
 
     def __init__(self, path: str):
         super().__init__()
         self.encode = tokenizer(path)
+        self.parts: dict[str, int] = {}
         self.fresh: list[str] = []
+        self.heads, self.tails = array("q"), array("q")
+        # Part 0 has no ids: it is the tail of a word without one.
         self.ids = np.zeros(0, np.uint32)
-        self.ends = np.zeros(1, np.int64)
-        self.hashes = np.zeros(0, np.uint32)
+        self.ends = np.zeros(2, np.int64)
+        self.hashes = np.zeros(1, np.uint32)
 
     def __missing__(self, word: str) -> int:
+        head = word.rstrip(".,")
+        if not head or not head[-1].isalpha():
+            head = word
+        tail = word[len(head) :]
+        if head.isascii() and "<" not in head:
+            head = head.lower()
         self[word] = number = len(self)
-        self.fresh.append(word)
+        self.heads.append(self.part(head))
+        self.tails.append(self.part(tail) if tail else 0)
+        return number
+
+    def part(self, value: str) -> int:
+        number = self.parts.get(value)
+        if number is None:
+            self.parts[value] = number = len(self.parts) + 1
+            self.fresh.append(value)
         return number
 
     def learn(self) -> None:
-        """Encode the fresh words, many as one text; offsets tell whose a token is."""
+        """Encode the fresh parts, many as one text; offsets tell whose a token is."""
         ids, ends, base = [self.ids], [self.ends], self.ends[-1]
         for low in range(0, len(self.fresh), 4096):
             words = self.fresh[low : low + 4096]
@@ -83,7 +102,7 @@ class Vocabulary(dict):
             ends.append(base + np.cumsum(np.bincount(owner, minlength=len(words))[: len(words)]))
             base = ends[-1][-1]
         self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
-        self.hashes = np.append(self.hashes, np.array([zlib.crc32(w.lower().encode()) for w in self.fresh], np.uint32))
+        self.hashes = np.append(self.hashes, np.array([zlib.crc32(w.encode()) for w in self.fresh], np.uint32))
         self.fresh = []
 
 
@@ -99,16 +118,18 @@ def flat(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 
 def tokenized(texts: list[str], vocabulary: Vocabulary):
-    """(ids, word numbers, tokens before each word) of each text."""
-    numbers, sizes = [], []
+    """(ids, a hash for each word, tokens up to the end of each word) of each text."""
+    numbers = []
     for value in texts:
         words = [w for w in value.replace("\n", " ").split(" ") if w]
         numbers.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
-        sizes.append(len(words))
     vocabulary.learn()
+    heads, tails, ends = np.array(vocabulary.heads), np.array(vocabulary.tails), vocabulary.ends
     for number in numbers:
-        begin, count = vocabulary.ends[number], vocabulary.ends[number + 1] - vocabulary.ends[number]
-        yield np.append(vocabulary.ids[flat(begin, count)], np.uint32(END_ID)), number, np.cumsum(count)
+        parts = np.stack([heads[number], tails[number]], 1).ravel()
+        begin, count = ends[parts], ends[parts + 1] - ends[parts]
+        upto = np.cumsum(count)[1::2]
+        yield np.append(vocabulary.ids[flat(begin, count)], np.uint32(END_ID)), vocabulary.hashes[parts[::2]], upto
 
 
 RESTS = T.StructType([
@@ -130,18 +151,18 @@ def cutter(path: str):
         for batch in batches:
             at = 0
             for part in chunks(batch.column(2)):
-                if len(shared_vocabulary(path)) > CACHED_WORDS:
+                if len(shared_vocabulary(path).parts) > CACHED_PARTS:
                     shared_vocabulary.cache_clear()
                 vocabulary = shared_vocabulary(path)
                 n, rows = len(part), []
                 keys = zip(batch.column(0).slice(at, n).to_pylist(), batch.column(1).slice(at, n).to_pylist(), strict=True)
                 at += n
-                for (doc, shard), (ids, number, ends) in zip(keys, tokenized(part.to_pylist(), vocabulary), strict=True):
+                for (doc, shard), (ids, hashes, ends) in zip(keys, tokenized(part.to_pylist(), vocabulary), strict=True):
                     whole = len(ids) // LENGTH * LENGTH
                     for start in range(0, whole, LENGTH):
                         rows.append((doc, shard, start, len(ids), crc(ids[start : start + LENGTH]), None, None, None))
                     if whole < len(ids):
-                        words = vocabulary.hashes[number[np.searchsorted(ends, whole, "right") :]]
+                        words = hashes[np.searchsorted(ends, whole, "right") :]
                         terms, counts = np.unique(words, return_counts=True)
                         rows.append((
                             doc, shard, whole, len(ids), None, ids[whole:].astype("<u2").tobytes(),
