@@ -282,25 +282,28 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     count once; of several texts with one item_id any counts. A missing item_id is -1.
     """
     rows = numbered(docs).select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), text().alias("text"))
-    seen, total = document_frequencies(docs)
-    idf = np.log((total + 1) / (seen + 1.0)) + 1e-3
-    cut = stored(passages(benchmark, idf), "leaks-passages")
-    count = cut.count()
-    schema = f"{ROW} bigint, doc_id bigint, item_id bigint, share double"
-    found = docs.sparkSession.createDataFrame([], schema)
-    blocks = -(-count // BLOCK)
-    # Blocks are dealt by a hash of item and place, so their number alone bounds their size.
-    numbering = F.pmod(F.xxhash64("item_id", "at"), F.lit(max(1, 2 * blocks if blocks > 1 else 1)))
-    for b in range(2 * blocks if blocks > 1 else blocks):
-        block = cut.filter(numbering == b)
-        model = block_model(block, benchmark, idf)
-        if model is None:
-            continue
+    found = docs.sparkSession.createDataFrame([], f"{ROW} bigint, doc_id bigint, item_id bigint, share double")
+    for model in models(docs, benchmark):
         hits = rows.select(ROW, "doc_id", F.explode(searcher(model)("text")).alias("hit"))
         found = found.union(hits.select(ROW, "doc_id", "hit.item_id", "hit.share"))
     return found.groupBy(ROW, "doc_id", "item_id").agg(F.max("share").alias("share"))
 
 
+def models(docs: DataFrame, benchmark: DataFrame):
+    """What the search needs of each block of the benchmark, one block after the other."""
+    seen, total = document_frequencies(docs)
+    idf = np.log((total + 1) / (seen + 1.0)) + 1e-3
+    cut = stored(passages(benchmark, idf), "leaks-passages")
+    blocks = -(-cut.count() // BLOCK)
+    # Blocks are dealt by a hash of item and place, half full on average, so that none is
+    # much larger than BLOCK.
+    dealt = 2 * blocks if blocks > 1 else 1
+    for b in range(dealt):
+        model = block_model(cut.filter(F.pmod(F.xxhash64("item_id", "at"), F.lit(dealt)) == b), benchmark, idf)
+        if model is not None:
+            yield model
+
+
 def block_model(block: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> dict | None:
     """What the search tasks need of one block: bounded by the block, not by the texts."""
     size = block.count()
@@ -332,5 +335,7 @@ def block_model(block: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> dict
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
-    gone = stored(leaks(docs, benchmark).select(ROW).distinct(), "leaks-gone")
-    return numbered(docs).join(gone, ROW, "left_anti").select(docs.columns)
+    kept = docs
+    for model in models(docs, benchmark):
+        kept = kept.filter(F.size(searcher(model)(text())) == 0)
+    return kept

@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.tables import about, text
+from barline.llm.tables import about, stored, text
 from barline.llm.words import bounds, chunks, raw, run_hashes
 
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_CHARS = 1500, 2000, 12000
@@ -243,10 +243,15 @@ def fitted(docs: DataFrame, labels: DataFrame, usable: Column) -> Model | None:
     """A machine from the labelled rows for which ``usable`` holds; None unless both
     labels are there. A row with contradicting labels is toxic."""
     marks = labels.filter("toxic is not null").groupBy(F.col("doc_id").alias("marked")).agg(F.max("toxic").alias("toxic"))
-    rows = docs.select("doc_id", F.left(text(), F.lit(TRAIN_CHARS)).alias("text"), usable.alias("usable")).filter("usable")
-    rows = rows.join(marks, F.col("doc_id") == F.col("marked")).select("doc_id", "text", "toxic")
-    both = [about(rows.filter(F.col("toxic") == c), n, "doc_id").limit(2 * n) for c, n in ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))]
-    sample = sorted(both[0].union(both[1]).collect(), key=lambda r: (r.doc_id, r.text))
+    ids = docs.select("doc_id", usable.alias("usable")).filter("usable").select("doc_id").distinct()
+    marked = stored(ids.join(marks, F.col("doc_id") == F.col("marked")).select("marked", "toxic"), "toxicity-marked")
+    bounds_of = ((1, TRAIN_TOXIC), (0, TRAIN_CLEAN))
+    chosen = [about(marked.filter(F.col("toxic") == c), n, "marked").limit(2 * n) for c, n in bounds_of]
+    # At most twice the two bounds of ids: small enough to send to every task.
+    wanted = F.broadcast(chosen[0].union(chosen[1]))
+    texts = docs.select("doc_id", F.left(text(), F.lit(TRAIN_CHARS)).alias("text"))
+    texts = texts.join(wanted, F.col("doc_id") == F.col("marked")).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    sample = sorted(texts.collect(), key=lambda r: r.doc_id)
     if len({r.toxic for r in sample}) < 2:
         return None
     return train([r.text for r in sample], [int(r.toxic) for r in sample])
