@@ -7,8 +7,20 @@ from pyspark.sql import functions as F
 
 
 def utc_date(epoch_ms: Column) -> Column:
-    """The UTC date of a millisecond timestamp (the session is pinned to UTC)."""
-    return F.to_date(F.timestamp_millis(epoch_ms.cast("bigint")))
+    """The UTC date of a millisecond timestamp (the session is pinned to UTC).
+
+    Null outside the years 1 to 9999, which is what a date may be.
+    """
+    whole = F.when(in_calendar(epoch_ms), epoch_ms).cast("bigint")
+    return F.to_date(F.timestamp_millis(whole))
+
+
+# Milliseconds of the first instant of year 1 and of year 10000.
+FIRST_MS, END_MS = -62_135_596_800_000, 253_402_300_800_000
+
+
+def in_calendar(epoch_ms: Column) -> Column:
+    return (epoch_ms >= FIRST_MS) & (epoch_ms < END_MS)
 
 
 def is_weekday(date: Column) -> Column:

@@ -12,8 +12,13 @@ def bar_id(key: Column, trade_date: Column) -> Column:
 
 
 def file_key(path: Column) -> Column:
-    """The text before the first underscore of the last path segment."""
-    return F.split_part(F.element_at(F.split(path, "/"), -1), F.lit("_"), F.lit(1))
+    """The text before the first underscore of the last segment of a file's URI."""
+    return F.split_part(F.element_at(F.split(decoded(path), "/"), -1), F.lit("_"), F.lit(1))
+
+
+def decoded(uri: Column) -> Column:
+    """A URI's text without percent-encoding; text that is none stays as it is."""
+    return F.coalesce(F.try_url_decode(F.replace(uri, F.lit("+"), F.lit("%2B"))), uri)
 
 
 def last_segment(dotted: Column) -> Column:

@@ -179,12 +179,13 @@ def results(
     execution_time: Column | None = None,
 ) -> DataFrame:
     """The result records of all checks on all tables, one row per check."""
+    took = F.lit(None).cast("double") if execution_time is None else execution_time
     merged = None
     for table, (df, checks) in tables.items():
         part = failures(df, checks).select(
             F.concat(F.lit(f"test.barline.{table}."), "test_name").alias("test_id"), "test_name",
             status(F.col("failures")).alias("status"), "failures",
-            F.coalesce(execution_time or F.lit(None).cast("double"), F.lit(0.0)).alias("execution_time"),
+            F.coalesce(took, F.lit(0.0)).alias("execution_time"),
             F.lit(run_at).alias("run_generated_at"), F.lit(run_at).alias("loaded_at"),
         )
         merged = part if merged is None else merged.unionByName(part)

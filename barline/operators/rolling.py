@@ -94,8 +94,8 @@ def ema_segment(span: float) -> int:
 
 
 def ema_lookback(*spans: float) -> int:
-    """Rows averages can depend on: their segment's start and the segment before."""
-    return 2 * max(ema_segment(span) for span in spans)
+    """Rows averages can depend on: their segment's start and the two segments before."""
+    return 3 * max(ema_segment(span) for span in spans)
 
 
 def _sizes(spans: Iterable[float], shared: Iterable[float]) -> dict[float, int]:
@@ -122,8 +122,10 @@ def with_emas(
 
     The recursion is linear, so inside a segment of rows y is a running sum of x
     with weights growing by 1/(1-a), scaled back. The segment is short enough
-    that weights stay far from overflow and long enough that only the end of the
-    previous segment still matters. All terms keep their sign and old rounding
+    that weights stay far from overflow. What the segments before come to is
+    carried from their ends, two of them: a value before those has a weight under
+    1e-36, and prices, as decimal(19,4), are at most 1e19 times each other, so it
+    is past double precision. All terms keep their sign and old rounding
     errors decay with their terms, so this is as exact as the recursion, at one
     addition per row. Segments follow the row order, so ordering by segment and
     then row is the same order, and one sort serves both windows.
@@ -144,17 +146,21 @@ def with_emas(
     if missing:
         df = df.withColumns(missing)
 
-    sums, ends = {}, {}
+    sums, states, ends = {}, {}, {}
     for out, (x, span) in averages.items():
         size, keep, alpha = sizes[span], f"{(span - 1.0) / (span + 1.0)!r}D", f"{2.0 / (span + 1.0)!r}D"
         step, segment = f"pmod({POS} - 1, {size})", f"_seg{size}"
         weight = f"CASE WHEN {POS} = 1 THEN 1.0D ELSE {alpha} END * pow({keep}, -{step})"
         within, across = frame.inside(segment).over, frame.led_by(segment).over
         sums[f"_sum_{out}"] = F.expr(f"pow({keep}, {step}) * sum({weight} * {x}) OVER ({within} {SO_FAR})")
-        end = f"last(CASE WHEN {step} = {size - 1} THEN _sum_{out} END, true) OVER ({across} {BEFORE})"
-        carried = f"CASE WHEN {segment} > 0 THEN pow({keep}, {step} + 1) * {end} ELSE 0.0D END"
-        ends[out] = F.expr(f"_sum_{out} + {carried}")
-    return df.withColumns(sums).withColumns(ends).drop(*sums)
+
+        def carried(state: str) -> Column:
+            end = f"last(CASE WHEN {step} = {size - 1} THEN {state} END, true) OVER ({across} {BEFORE})"
+            return F.expr(f"_sum_{out} + CASE WHEN {segment} > 0 THEN pow({keep}, {step} + 1) * {end} ELSE 0.0D END")
+
+        states[f"_state_{out}"] = carried(f"_sum_{out}")
+        ends[out] = carried(f"_state_{out}")
+    return df.withColumns(sums).withColumns(states).withColumns(ends).drop(*sums, *states)
 
 
 # --- Ready-made frames for one value column -------------------------------------

@@ -32,8 +32,9 @@ class Momentum:
     def signal(self, ind: Indicators) -> tuple[dict[str, Column], Column]:
         """Long while the short mean is above the long one and RSI is below its bound."""
         rsi = ind.rsi(self.rsi_period)
-        rows = F.col(POS).cast("decimal(9,0)")
-        n_short, n_long = F.least(rows, F.lit(self.short_window)), F.least(rows, F.lit(self.long_window))
+        n_short, n_long = (
+            F.least(F.col(POS), F.lit(n)).cast("decimal(9,0)") for n in (self.short_window, self.long_window)
+        )
         # Means compared as products of exact sums and counts: equal stays equal.
         above = ind.total(self.short_window) * n_long > ind.total(self.long_window) * n_short
         on = (F.col(POS) > self.short_window) & above & (rsi < self.rsi_overbought)

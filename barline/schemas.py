@@ -11,9 +11,9 @@ PRICE = T.DecimalType(19, 4)
 # --- JSON documents, as DDL for from_json -----------------------------------
 
 BAR = "v double, vw double, o double, c double, h double, l double, t double, n double"
-BAR_DOCUMENT = f"ticker string, resultsCount int, results array<struct<{BAR}>>"
+BAR_DOCUMENT = f"ticker string, resultsCount double, results array<struct<{BAR}>>"
 GROUPED_DOCUMENT = (
-    f"resultsCount int, request_id string, results array<struct<T string, {BAR}>>"
+    f"resultsCount double, request_id string, results array<struct<T string, {BAR}>>"
 )
 CONTRACT_PAGE = "results array<struct<ticker string>>, next_url string"
 # Fields that arrive as one object or as a list are first read as JSON text.

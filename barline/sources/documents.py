@@ -7,12 +7,15 @@ rows. ``accepted`` and ``rejected`` split the two.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from barline import schemas
 from barline.functions import symbols
-from barline.functions.dates import utc_date
+from barline.functions.dates import in_calendar, utc_date
 from barline.functions.keys import file_key, last_segment
 from barline.functions.shapes import computed_once, objects, scalars
 
@@ -58,14 +61,12 @@ def loaded_paths(rows: DataFrame) -> DataFrame:
 # The wire names of a bar's prices.
 PRICE_FIELDS = ("o", "h", "l", "c", "vw")
 PRICE_LIMIT = 1e15  # of decimal(19,4)
-COUNT_LIMIT = 9.2e18  # of bigint
 
 
 def _unstorable(prices: list[Column], counts: list[Column]) -> Column:
     """Whether a number does not fit its column, which would fail the whole load."""
-    return (F.greatest(*[F.abs(p) for p in prices]) >= PRICE_LIMIT) | (
-        F.greatest(*[F.abs(c) for c in counts]) >= COUNT_LIMIT
-    )
+    too_many = [c.isNotNull() & c.try_cast("bigint").isNull() for c in counts]
+    return (F.greatest(*[F.abs(p) for p in prices]) >= PRICE_LIMIT) | reduce(or_, too_many)
 
 
 def _has_bars() -> Column:
@@ -87,6 +88,7 @@ def _single_bar(docs: DataFrame) -> tuple[DataFrame, list[tuple[Column, str]]]:
         (F.col("d.ticker").isNull() & F.coalesce(single, F.lit(False)), "no ticker"),
         (~F.coalesce(single, F.lit(False)), "no single result"),
         (bar["t"].isNull(), "no time"),
+        (~in_calendar(bar["t"]), "time out of range"),
         (_unstorable([bar[f] for f in PRICE_FIELDS], [bar["v"], bar["n"]]), "number out of range"),
     ]
     return rows, rules
@@ -175,7 +177,7 @@ def range_bars(docs: DataFrame) -> DataFrame:
     """A contract's document of many bars to one row per contract and UTC date."""
     rows = _parsed(docs, schemas.BAR_DOCUMENT).filter(_has_bars())
     rows = rows.select(F.col("d.ticker").alias("ticker"), F.explode("d.results").alias("bar"))
-    return rows.filter(F.col("bar.t").isNotNull()).withColumn("trade_date", utc_date(F.col("bar.t")))
+    return rows.filter(in_calendar(F.col("bar.t"))).withColumn("trade_date", utc_date(F.col("bar.t")))
 
 
 def contract_symbols(docs: DataFrame) -> DataFrame:

@@ -176,3 +176,15 @@ def test_two_digit_years(spark):
     days = spark.createDataFrame([("251219",), ("681231",), ("690101",), ("240230",), ("",)], "s string")
     got = [r[0] for r in days.select(symbols.expiry(F.col("s"))).collect()]
     assert got == [date(2025, 12, 19), date(2068, 12, 31), date(1969, 1, 1), None, None]
+
+
+@pytest.mark.parametrize("t", [1e16, 1e17, 1e20, -1e16])
+def test_an_impossible_time_refuses_its_document_only(folder, t):
+    rows = docs.stock_bars(folder({"A_1.json": envelope(), "B_1.json": envelope(results=[BAR | {"t": t}])}))
+    assert sorted(str(r[docs.REASON]) for r in rows.collect()) == ["None", "time out of range"]
+
+
+def test_counts_written_with_a_point_and_of_full_width(folder):
+    wide = envelope(resultsCount=1.0, results=[BAR | {"v": 9.2233e18}])
+    rows = docs.stock_bars(folder({"A_1.json": wide, "B_1.json": envelope(results=[BAR | {"v": 1e19}])}))
+    assert sorted(str(r[docs.REASON]) for r in rows.collect()) == ["None", "number out of range"]

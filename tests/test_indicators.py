@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators.indicators import Indicators
-from barline.operators.rolling import ema_lookback, with_emas
+from barline.operators.rolling import ema_lookback, ema_segment, with_emas
 from barline.operators.series import Series, over_series
 from barline.plans import strategies as st
 
@@ -87,6 +87,17 @@ def test_averages_match_pandas_at_any_span(prices, spans):
         same(got[f"e{span}"], x.ewm(span=span, adjust=False).mean(), 1e-12)
 
 
+@pytest.mark.parametrize("spike", [1e6, 1e9, 1e14])
+def test_averages_remember_a_spike_at_a_segment_end(prices, spike):
+    size = ema_segment(12)
+    for at in (size - 1, 2 * size - 1):
+        x = pd.Series([0.01] * (at + 3 * size))
+        x[at] = spike
+        bars = prices({"S": x.tolist()}).withColumn("x", F.col("close_price").cast("double"))
+        added = over_series(bars, PLAIN, ema_lookback(12), lambda d, f: with_emas(d, f, {"e": ("x", 12)}))
+        same(collected(added, "e")["S"]["e"], x.ewm(span=12, adjust=False).mean(), 1e-12)
+
+
 def test_split_and_plain_averages_are_the_same_bits(prices):
     bars = prices({"LONG": walk(3000, 6)}).withColumn("x", F.col("close_price").cast("double"))
 

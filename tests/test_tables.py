@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline import schemas
+from barline.functions.keys import file_key
 from barline.operators import history, merge
 from barline.operators.series import Series
 from barline.plans import models, refresh
@@ -200,4 +201,18 @@ def test_manifests_and_seeds(spark, tmp_path):
         tables.read_manifest(spark, str(tmp_path / "missing")).count()
     (tmp_path / "seed.csv").write_text('ticker,company_name,sector\nA,"Apple, Inc",Tech\n')
     assert rows(tables.read_seed(spark, str(tmp_path / "seed.csv"))) == [("A", "Apple, Inc", "Tech")]
-    assert tables.tracked_tickers(spark).count() == 15
+
+
+def test_manifest_reads_the_listed_files_of_the_listed_folders(spark, tmp_path):
+    names = ["C D_1.json", "A%_1.json", "B+x_1.json", "E_1.json"]
+    for day in ("d1", "d2"):
+        (tmp_path / day).mkdir()
+        for name in names:
+            (tmp_path / day / name).write_text(f"{day} {name}")
+    lines = ["d1/C D_1.json", f"{tmp_path}/d1/A%_1.json", f"file://{tmp_path}/d1/B+x_1.json", "d1/gone.json", "d9/gone.json"]
+    manifest = spark.createDataFrame([(x,) for x in lines], "path string")
+    listed, missing = tables.listed_documents(spark, manifest, str(tmp_path))
+    got = listed.withColumn("key", file_key(F.col("path"))).select("doc", "key")
+    assert sorted(rows(got)) == [("d1 A%_1.json", "A%"), ("d1 B+x_1.json", "B+x"), ("d1 C D_1.json", "C D")]
+    assert sorted(rows(missing)) == [("d1/gone.json",), ("d9/gone.json",)]
+    assert not any("/d2/" in f for f in listed.inputFiles())
