@@ -28,7 +28,7 @@ from barline.llm.tables import about, text
 from barline.llm.words import bounds, chunks, raw, run_hashes
 
 UNKNOWN = "und"
-TRAIN_TEXTS, TRAIN_CHARS = 3000, 2000
+TRAIN_TEXTS, TRAIN_CHARS = 1600, 2000
 CHAIN = 64
 BUCKETS = 1 << 18
 GRAMS = (2, 3, 4)
@@ -66,7 +66,7 @@ def read(texts: pa.Array) -> Words:
     begins = np.cumsum(sizes + 2) - sizes - 2
     within = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
     padded[np.repeat(begins + 1, sizes) + within] = data[np.repeat(first, sizes) + within]
-    room = np.repeat(begins + sizes + 2, sizes + 2) - np.arange(len(padded))
+    room = (np.repeat(begins + sizes + 2, sizes + 2) - np.arange(len(padded))).astype(np.int32)
     slots, code = [], padded.copy()
     for n in range(2, max(GRAMS) + 1):
         code = code * np.uint32(0x01000193)
@@ -74,7 +74,7 @@ def read(texts: pa.Array) -> Words:
         if n in GRAMS:
             # A gram that would leave its word is one that says nothing.
             h = np.where(room >= n, code, np.uint32(0)) * np.uint32(0x9E3779B1)
-            slots.append((h >> np.uint32(32 - 18)).astype(np.int64))
+            slots.append((h >> np.uint32(32 - 18)).astype(np.int32))
     return Words(slots, begins, (hashes >> np.uint64(64 - 18)).astype(np.int64), np.searchsorted(first, offsets))
 
 
@@ -136,7 +136,7 @@ def train(texts: list[str], labels: list[int], languages: list[str]) -> Model:
     words = read(parts[0])
     owner = np.repeat(np.asarray(labels), np.diff(words.starts))
     grams = np.zeros((len(GRAMS) + 1, BUCKETS, k), np.float32)
-    word_of = np.repeat(np.arange(len(owner)), np.diff(np.append(words.begins, len(words.slots[0]))))
+    word_of = np.repeat(np.arange(len(owner), dtype=np.int32), np.diff(np.append(words.begins, len(words.slots[0]))))
     for i, slot in enumerate([*words.slots, words.lexicon]):
         own = owner[word_of] if i < len(GRAMS) else owner
         counts = np.stack([np.bincount(slot[own == s], minlength=BUCKETS) for s in range(k)], 1) + 0.1
@@ -161,10 +161,11 @@ def train(texts: list[str], labels: list[int], languages: list[str]) -> Model:
         short = np.zeros((len(owner), k))
         np.add.at(short, place[present], (want - marginal)[present])
         for i, slot in enumerate([*words.slots, words.lexicon]):
-            per = short[word_of] if i < len(GRAMS) else short
-            slope = np.stack([np.bincount(slot, per[:, s], BUCKETS) for s in range(k)], 1) - DECAY * grams[i]
-            seen[i] += slope**2
-            grams[i] += RATE * slope / np.sqrt(seen[i])
+            for s in range(k):
+                part = short[:, s][word_of] if i < len(GRAMS) else short[:, s]
+                slope = np.bincount(slot, part, BUCKETS) - DECAY * grams[i, :, s]
+                seen[i, :, s] += slope**2
+                grams[i, :, s] += RATE * slope / np.sqrt(seen[i, :, s])
         slope = want_moves - pairs.sum(0)
         seen_moves += slope**2
         moves += RATE * slope / np.sqrt(seen_moves)
