@@ -34,7 +34,7 @@ LENGTH = 4096
 END_ID = 2
 SHARD_ROWS = 2048
 K1, B = 1.2, 0.75
-CACHED_PARTS = 1 << 19
+CACHED_CHARS = 1 << 24
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -64,6 +64,7 @@ class Vocabulary(dict):
         self.encode = tokenizer(path)
         self.parts: dict[str, int] = {}
         self.fresh: list[str] = []
+        self.chars = 0
         self.heads, self.tails = array("q"), array("q")
         # Part 0 has no ids: it is the tail of a word without one.
         self.ids = np.zeros(0, np.uint32)
@@ -78,6 +79,7 @@ class Vocabulary(dict):
         if head.isascii() and "<" not in head:
             head = head.lower()
         self[word] = number = len(self)
+        self.chars += len(word) + 32
         self.heads.append(self.part(head))
         self.tails.append(self.part(tail) if tail else 0)
         return number
@@ -108,7 +110,7 @@ class Vocabulary(dict):
 
 @lru_cache(maxsize=1)
 def shared_vocabulary(path: str) -> Vocabulary:
-    """One vocabulary for all tasks of a worker."""
+    """One vocabulary for all tasks of a worker, begun anew past ``CACHED_CHARS``."""
     return Vocabulary(path)
 
 
@@ -151,7 +153,7 @@ def cutter(path: str):
         for batch in batches:
             at = 0
             for part in chunks(batch.column(2)):
-                if len(shared_vocabulary(path).parts) > CACHED_PARTS:
+                if shared_vocabulary(path).chars > CACHED_CHARS:
                     shared_vocabulary.cache_clear()
                 vocabulary = shared_vocabulary(path)
                 n, rows = len(part), []
