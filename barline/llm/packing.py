@@ -16,13 +16,15 @@ whatever the texts are. Shards are dealt by the row, so equal documents spread.
 from __future__ import annotations
 
 import heapq
+import os
 import zlib
-from array import array
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +36,8 @@ LENGTH = 4096
 END_ID = 2
 SHARD_ROWS = 2048
 K1, B = 1.2, 0.75
-CACHED_CHARS = 1 << 24
+CHUNK_BYTES = 1 << 23
+CACHED_CHARS = 1 << 25
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -46,13 +49,15 @@ def crc(ids: np.ndarray) -> int:
 
 @lru_cache(maxsize=2)
 def tokenizer(path: str):
+    """The tokenizer, on one thread: the other cores have tasks of their own."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     return Tokenizer.from_file(path)
 
 
-class Vocabulary(dict):
-    """Numbers for the words seen, and the ids of their parts once ``learn`` has met them.
+class Vocabulary:
+    """Token ids of the parts of words, each encoded once.
 
     The tokenizer drops blanks, never joins what they part, and never joins a letter with
     a full stop or comma after it; it also lower-cases. So the ids of a text are those of
@@ -60,52 +65,49 @@ class Vocabulary(dict):
     """
 
     def __init__(self, path: str):
-        super().__init__()
         self.encode = tokenizer(path)
-        self.parts: dict[str, int] = {}
-        self.fresh: list[str] = []
+        # Part 0 is the empty one: the tail of a word without one, and a word between two blanks.
+        self.parts = {"": 0}
         self.chars = 0
-        self.heads, self.tails = array("q"), array("q")
-        # Part 0 has no ids: it is the tail of a word without one.
         self.ids = np.zeros(0, np.uint32)
         self.ends = np.zeros(2, np.int64)
         self.hashes = np.zeros(1, np.uint32)
 
-    def __missing__(self, word: str) -> int:
-        head = word.rstrip(".,")
-        if not head or not head[-1].isalpha():
-            head = word
-        tail = word[len(head) :]
-        if head.isascii() and "<" not in head:
-            head = head.lower()
-        self[word] = number = len(self)
-        self.chars += len(word) + 32
-        self.heads.append(self.part(head))
-        self.tails.append(self.part(tail) if tail else 0)
-        return number
-
-    def part(self, value: str) -> int:
-        number = self.parts.get(value)
-        if number is None:
-            self.parts[value] = number = len(self.parts) + 1
-            self.fresh.append(value)
-        return number
-
-    def learn(self) -> None:
-        """Encode the fresh parts, many as one text; offsets tell whose a token is."""
-        ids, ends, base = [self.ids], [self.ends], self.ends[-1]
-        for low in range(0, len(self.fresh), 4096):
-            words = self.fresh[low : low + 4096]
-            got = self.encode.encode(" ".join(words), add_special_tokens=False)
-            begins = np.cumsum([0] + [len(w) + 1 for w in words])
-            at = np.fromiter((o[0] for o in got.offsets), np.int64, len(got.ids))
-            owner = np.searchsorted(begins, at, "right") - 1
-            ids.append(np.array(got.ids, np.uint32))
-            ends.append(base + np.cumsum(np.bincount(owner, minlength=len(words))[: len(words)]))
-            base = ends[-1][-1]
-        self.ids, self.ends = np.concatenate(ids), np.concatenate(ends)
-        self.hashes = np.append(self.hashes, np.array([zlib.crc32(w.encode()) for w in self.fresh], np.uint32))
-        self.fresh = []
+    def split(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of each word's head and of the stops and commas after it."""
+        head = pc.utf8_rtrim(words, ".,")
+        head = pc.if_else(pc.match_substring_regex(head, r"\pL$"), head, words)
+        cut = np.flatnonzero(pc.not_equal(head, words).to_numpy(zero_copy_only=False))
+        sizes = pc.utf8_length(head.take(cut)).to_pylist()
+        tails = [w[n:] for w, n in zip(words.take(cut).to_pylist(), sizes, strict=True)]
+        simple = pc.and_(pc.string_is_ascii(head), pc.invert(pc.match_substring(head, "<")))
+        head = pc.if_else(simple, pc.ascii_lower(head), head)
+        numbers = self.numbers(head.to_pylist() + tails)
+        tail = np.zeros(len(words), np.int64)
+        tail[cut] = numbers[len(words) :]
+        return numbers[: len(words)], tail
+
+    def numbers(self, values: list[str]) -> np.ndarray:
+        """The numbers of parts; those not met before are encoded."""
+        known, fresh = self.parts, []
+        for value in values:
+            if value not in known:
+                known[value] = len(known)
+                fresh.append(value)
+        # Normalising and cutting leave lower-case letters as they are: those go to the merges at once.
+        plain = [w.isascii() and w.isalpha() and w.islower() for w in fresh]
+        others = [w for w, p in zip(fresh, plain, strict=True) if not p]
+        rest = iter(self.encode.encode_batch_fast(others, add_special_tokens=False))
+        merged = self.encode.model.tokenize
+        found = [[t.id for t in merged(w)] if p else next(rest).ids for w, p in zip(fresh, plain, strict=True)]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
+        hashes = np.fromiter((zlib.crc32(w.encode()) for w in fresh), np.uint32, len(fresh))
+        self.ids = np.concatenate([self.ids, ids])
+        self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+        self.hashes = np.concatenate([self.hashes, hashes])
+        self.chars += sum(map(len, fresh)) + 32 * len(fresh)
+        return np.fromiter(map(known.__getitem__, values), np.int64, len(values))
 
 
 @lru_cache(maxsize=1)
@@ -119,15 +121,15 @@ def flat(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - np.cumsum(sizes) + sizes, sizes) + np.arange(sizes.sum())
 
 
-def tokenized(texts: list[str], vocabulary: Vocabulary):
+def tokenized(texts: pa.Array, vocabulary: Vocabulary):
     """(ids, a hash for each word, tokens up to the end of each word) of each text."""
-    numbers = []
-    for value in texts:
-        words = [w for w in value.replace("\n", " ").split(" ") if w]
-        numbers.append(np.fromiter(map(vocabulary.__getitem__, words), np.int64, len(words)))
-    vocabulary.learn()
-    heads, tails, ends = np.array(vocabulary.heads), np.array(vocabulary.tails), vocabulary.ends
-    for number in numbers:
+    words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+    distinct = pc.dictionary_encode(words.flatten())
+    heads, tails = vocabulary.split(distinct.dictionary)
+    codes, starts, ends = distinct.indices.to_numpy(), words.offsets.to_numpy(), vocabulary.ends
+    for low, high in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True):
+        number = codes[low:high]
+        number = number[heads[number] > 0]
         parts = np.stack([heads[number], tails[number]], 1).ravel()
         begin, count = ends[parts], ends[parts + 1] - ends[parts]
         upto = np.cumsum(count)[1::2]
@@ -152,14 +154,14 @@ def cutter(path: str):
     def cut(batches):
         for batch in batches:
             at = 0
-            for part in chunks(batch.column(2)):
+            for part in chunks(batch.column(2), CHUNK_BYTES):
                 if shared_vocabulary(path).chars > CACHED_CHARS:
                     shared_vocabulary.cache_clear()
                 vocabulary = shared_vocabulary(path)
                 n, rows = len(part), []
                 keys = zip(batch.column(0).slice(at, n).to_pylist(), batch.column(1).slice(at, n).to_pylist(), strict=True)
                 at += n
-                for (doc, shard), (ids, hashes, ends) in zip(keys, tokenized(part.to_pylist(), vocabulary), strict=True):
+                for (doc, shard), (ids, hashes, ends) in zip(keys, tokenized(part, vocabulary), strict=True):
                     whole = len(ids) // LENGTH * LENGTH
                     for start in range(0, whole, LENGTH):
                         rows.append((doc, shard, start, len(ids), crc(ids[start : start + LENGTH]), None, None, None))
