@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import heapq
 import os
+import re
 import zlib
 from functools import lru_cache
 from itertools import chain
@@ -38,6 +39,7 @@ SHARD_ROWS = 2048
 K1, B = 1.2, 0.75
 CHUNK_BYTES = 1 << 23
 CACHED_CHARS = 1 << 25
+PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
 
@@ -56,6 +58,11 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def strings(values: pa.Array) -> list[str]:
+    """The values as Python strings, without a scalar object for each."""
+    return values.to_numpy(zero_copy_only=False).tolist()
+
+
 class Vocabulary:
     """Token ids of the parts of words, each encoded once.
 
@@ -65,7 +72,11 @@ class Vocabulary:
     """
 
     def __init__(self, path: str):
+        from tokenizers.pre_tokenizers import ByteLevel
+
         self.encode = tokenizer(path)
+        self.merge = self.encode.model.tokenize
+        self.as_bytes = ByteLevel(add_prefix_space=False, use_regex=False).pre_tokenize_str
         # Part 0 is the empty one: the tail of a word without one, and a word between two blanks.
         self.parts = {"": 0}
         self.chars = 0
@@ -73,16 +84,22 @@ class Vocabulary:
         self.ends = np.zeros(2, np.int64)
         self.hashes = np.zeros(1, np.uint32)
 
+    def merged(self, word: str) -> list[int]:
+        """The ids of one run of plain letters, whose bytes the merges see as characters."""
+        if not word.isascii():
+            word = self.as_bytes(word)[0][0]
+        return [t.id for t in self.merge(word)]
+
     def split(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The numbers of each word's head and of the stops and commas after it."""
         head = pc.utf8_rtrim(words, ".,")
         head = pc.if_else(pc.match_substring_regex(head, r"\pL$"), head, words)
         cut = np.flatnonzero(pc.not_equal(head, words).to_numpy(zero_copy_only=False))
-        sizes = pc.utf8_length(head.take(cut)).to_pylist()
-        tails = [w[n:] for w, n in zip(words.take(cut).to_pylist(), sizes, strict=True)]
+        sizes = pc.utf8_length(head.take(cut)).to_numpy().tolist()
+        tails = [w[n:] for w, n in zip(strings(words.take(cut)), sizes, strict=True)]
         simple = pc.and_(pc.string_is_ascii(head), pc.invert(pc.match_substring(head, "<")))
         head = pc.if_else(simple, pc.ascii_lower(head), head)
-        numbers = self.numbers(head.to_pylist() + tails)
+        numbers = self.numbers(strings(head) + tails)
         tail = np.zeros(len(words), np.int64)
         tail[cut] = numbers[len(words) :]
         return numbers[: len(words)], tail
@@ -94,12 +111,11 @@ class Vocabulary:
             if value not in known:
                 known[value] = len(known)
                 fresh.append(value)
-        # Normalising and cutting leave lower-case letters as they are: those go to the merges at once.
-        plain = [w.isascii() and w.isalpha() and w.islower() for w in fresh]
+        # Normalising and cutting leave composed lower-case letters as they are: those go to the merges at once.
+        plain = [PLAIN.fullmatch(w) is not None for w in fresh]
         others = [w for w, p in zip(fresh, plain, strict=True) if not p]
         rest = iter(self.encode.encode_batch_fast(others, add_special_tokens=False))
-        merged = self.encode.model.tokenize
-        found = [[t.id for t in merged(w)] if p else next(rest).ids for w, p in zip(fresh, plain, strict=True)]
+        found = [self.merged(w) if p else next(rest).ids for w, p in zip(fresh, plain, strict=True)]
         sizes = np.fromiter(map(len, found), np.int64, len(found))
         ids = np.fromiter(chain.from_iterable(found), np.uint32, int(sizes.sum()))
         hashes = np.fromiter((zlib.crc32(w.encode()) for w in fresh), np.uint32, len(fresh))

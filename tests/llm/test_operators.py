@@ -344,7 +344,7 @@ def test_packing_holds_every_id_once(spark, shard_rows):
 
     path = public_tokenizers.path(packing_tokenizer := "word_bpe_49k.json")
     assert packing_tokenizer
-    texts = ODD + [" ".join(prose(s, 40 * s)) for s in range(1, 30)] + ["It's 12,5 <|endoftext|> x　y ÀÉ Σας İ don't."] + ["same text"] * 20
+    texts = ODD + [" ".join(prose(s, 40 * s)) for s in range(1, 30)] + ["It's 12,5 <|endoftext|> x　y ÀÉ Σας İ don't. ßöÿ÷ø. e\u0301té Été, naïve... a.b,c. \u0301x  ."] + ["same text"] * 20
     docs = documents(spark, texts)
     rows = packing.packed(docs, path, shard_rows).toPandas()
     encode = Tokenizer.from_file(path)
