@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from barline.operators.series import Series
 from barline.plans import models
-from barline.sources.tables import PERIOD, period, read_table, rebuild, replace_periods
+from barline.sources.tables import PERIOD, finish_replacing, period, read_table, rebuild, replace_periods
 
 
 def changed_from(batch: DataFrame) -> DataFrame:
@@ -55,6 +55,7 @@ def update_enriched(
     if since is None:
         return
     schema = T.StructType([f for f in spark.read.parquet(path).schema if f.name != PERIOD])
+    finish_replacing(spark, path, schema)
     recent = read_table(spark, path, schema, since=since)
     replace_periods(recompute_enriched(recent, staged, batch), path, grain)
 

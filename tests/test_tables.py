@@ -1,6 +1,7 @@
 """Merges, history, incremental models and stored tables."""
 
 import random
+import shutil
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -163,6 +164,34 @@ def test_upserts_rewrite_only_touched_periods(spark, bars, tmp_path):
     assert sorted(p.name for p in (tmp_path / "bars" / "period=2020-01-01").iterdir()) == untouched
 
 
+@pytest.mark.parametrize("stopped", ["staging", "overwriting"])
+def test_a_stopped_upsert_is_finished_by_the_next(spark, bars, tmp_path, monkeypatch, stopped):
+    path = str(tmp_path / "bars")
+    first = bars(("A", 0, 5), ("A", 40, 6), ("B", 40, 7)).drop("inserted_at")
+    tables.upsert_table(spark, path, schemas.STOCK_BARS, first, KEY, T0)
+    batch = bars(("A", 40, 9), ("C", 41, 1)).drop("inserted_at")
+
+    def stop(*_):
+        if stopped == "overwriting":  # the old period is gone and the new one not there
+            shutil.rmtree(tmp_path / "bars" / "period=2020-02-01")
+        raise RuntimeError("lost")
+
+    step = {"staging": "hadoop_path", "overwriting": "overwrite_periods"}[stopped]
+    with monkeypatch.context() as patch:
+        if stopped == "staging":
+            patch.setattr(tables, "table_exists", lambda *_: not _[1].endswith(tables.COMPLETE))
+        patch.setattr(tables, step, stop)
+        with pytest.raises(RuntimeError, match="lost"):
+            tables.upsert_table(spark, path, schemas.STOCK_BARS, batch, KEY, T1)
+    spark.catalog.clearCache()
+    tables.upsert_table(spark, path, schemas.STOCK_BARS, batch, KEY, T1)
+    table = tables.read_table(spark, path, schemas.STOCK_BARS)
+    assert rows(table, "ticker", "close", "inserted_at") == [
+        ("A", "5.0000", str(T0)), ("A", "9.0000", str(T1)), ("B", "7.0000", str(T0)), ("C", "1.0000", str(T1)),
+    ]
+    assert not (tmp_path / "bars.staged").exists()
+
+
 def test_stored_numbers_round_as_typed_columns_do(spark):
     df = spark.createDataFrame([(2.5, 1.00005), (-2.5, 2.0), (2.4, None)], "volume double, close double")
     got = schemas.conform(df, schemas.STOCK_BARS).orderBy("volume").collect()
