@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.llm.tables import ROW, numbered, stored, text
+from barline.llm.tables import ROW, numbered_once, stored, text
 
 MIN_CHARS = 20
 HALVES, BLOCKS = 2, 16
@@ -30,8 +30,8 @@ ID = ("h1", "h2")  # two hashes of a line stand for its text
 
 
 def lines(docs: DataFrame) -> DataFrame:
-    """Every line long enough to be compared, with its place and identity."""
-    rows = numbered(docs).select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), text().alias("text"))
+    """Every line long enough to be compared of numbered rows, with its place and identity."""
+    rows = docs.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), text().alias("text"))
     rows = rows.select(ROW, "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
     rows = rows.withColumn("line", F.lower(F.trim("line"))).filter(F.length("line") >= MIN_CHARS)
     return rows.select(
@@ -118,6 +118,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     word. Null and empty texts have no lines to drop; of repeated rows all but the first
     lose their lines. A row without a doc_id is earliest.
     """
+    docs = numbered_once(docs.select("doc_id", "text", *({ROW} & {*docs.columns})), "lines-rows")
     line, n = F.col("line"), F.length("line")
     halves = F.transform(block_keys(line, n, HALVES), lambda b: b.key)
     distinct = stored(
@@ -144,8 +145,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     Rows that had no text to begin with stay as they are, and so does every other column
     but n_chars, which counts the new text if there is such a column.
     """
-    gone = stored(dropped_lines(docs).select(ROW, F.col("places").alias("_llm_places")), "lines-gone")
-    rows = numbered(docs).join(gone.hint("merge"), ROW, "left")
+    rows = numbered_once(docs, "lines-rows")
+    gone = stored(dropped_lines(rows).select(ROW, F.col("places").alias("_llm_places")), "lines-gone")
+    rows = rows.join(gone.hint("merge"), ROW, "left")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_llm_places", i))
     changed = F.col("_llm_places").isNotNull()
     rows = rows.withColumn("text", F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("text")))

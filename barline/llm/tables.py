@@ -23,10 +23,17 @@ def stored(df: DataFrame, label: str) -> DataFrame:
 
 
 def numbered(df: DataFrame) -> DataFrame:
-    """Rows with a number of their own, the same for every read of the same files."""
+    """Rows with a number of their own, for one read: another read of the same files may be
+    split otherwise, by the cores there are then, and number them anew."""
     return df.withColumn(ROW, F.monotonically_increasing_id())
 
 
+def numbered_once(df: DataFrame, label: str) -> DataFrame:
+    """Rows with a number of their own, the same for every read: numbered while they are
+    stored. A table that has its numbers stays as it is."""
+    return df if ROW in df.columns else stored(numbered(df), label)
+
+
 def text(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 

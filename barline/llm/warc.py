@@ -24,7 +24,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from barline.llm.tables import ROW, numbered, stored, text
+from barline.llm.tables import stored, text
 from barline.session import fresh_path
 
 FILE_BYTES = 256 << 20
@@ -128,35 +128,39 @@ def writer(folder: str):
     return write
 
 
+PAGE_KEY = ["known", "page_id", "digest", "bytes"]  # a page and its payload, whichever row holds them
+
+
 def keepers(pages: DataFrame) -> DataFrame:
-    """(_llm_row, keeper, own): which page holds each payload, and whether this one does."""
-    payload = text("html")
-    seen = stored(
-        pages.select(
-            ROW, F.col("page_id").cast("bigint").alias("page_id"), F.unhex(F.sha1(payload)).alias("digest"),
-            F.octet_length(payload).alias("bytes"),
-        ),
-        "warc-payloads",
-    )
+    """The keys of pages with a payload that several rows have, and the page that holds it."""
+    seen = stored(pages.groupBy(*PAGE_KEY).agg(F.count("*").alias("n")), "warc-payloads")
     shared = seen.filter(F.col("bytes") >= MIN_REVISIT).groupBy("digest", "bytes").agg(
-        F.max(F.struct(F.col("page_id").isNotNull().alias("known"), "page_id", ROW)).alias("last"), F.count("*").alias("n")
+        F.max(F.struct("known", "page_id")).alias("last"), F.sum("n").alias("n")
     )
     shared = stored(shared.filter("n > 1").select("digest", "bytes", "last"), "warc-shared")
-    own = F.col("last").isNull() | (F.col(f"last.{ROW}") == F.col(ROW))
-    return seen.join(shared, ["digest", "bytes"], "left").select(ROW, F.col("last.page_id").alias("keeper"), own.alias("own"))
+    return seen.join(shared, ["digest", "bytes"]).select(*PAGE_KEY, "last")
 
 
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Write a record per row of ``pages`` (page_id, url, html) below ``folder``; the index.
 
     A null html is an empty payload, a null url an empty one. Of rows with one page_id and
-    one payload the last keeps it and the others refer to their own page_id.
+    one payload that with the last url keeps it and the others refer to their own page_id.
+    Rows are told apart by what they hold, so it does not matter how a read splits files.
     """
     target, place = opened(folder)
     target.create_dir(place)
-    rows = numbered(pages)
-    marked = rows.join(stored(keepers(rows), "warc-keepers"), ROW).select(
-        F.col("page_id").cast("bigint").alias("page_id"), text("url").alias("url"), text("html").alias("html"), "keeper", "own"
+    page, payload = F.col("page_id").cast("bigint"), text("html")
+    rows = pages.select(
+        page.isNotNull().alias("known"), F.coalesce(page, F.lit(0)).alias("page_id"), F.unhex(F.sha1(payload)).alias("digest"),
+        F.octet_length(payload).alias("bytes"), text("url").alias("url"), payload.alias("html"),
+    )
+    marked = rows.join(stored(keepers(rows.drop("url", "html")), "warc-keepers"), PAGE_KEY, "left")
+    first = F.row_number().over(Window.partitionBy(*PAGE_KEY).orderBy(F.desc("url"))) == 1
+    own = F.col("last").isNull() | ((F.struct("known", "page_id") == F.col("last")) & first)
+    marked = marked.select(
+        F.when(F.col("known"), F.col("page_id")).alias("page_id"), "url", "html",
+        F.when(F.col("last.known"), F.col("last.page_id")).alias("keeper"), own.alias("own"),
     )
     return stored(marked.mapInArrow(writer(folder), INDEX), "warc-index")
 
