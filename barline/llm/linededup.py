@@ -29,11 +29,11 @@ FIRST = "first"
 ID = ("h1", "h2")  # two hashes of a line stand for its text
 
 
-def lines(docs: DataFrame) -> DataFrame:
-    """Every line long enough to be compared of numbered rows, with its place and identity."""
+def lines(docs: DataFrame, least: int = MIN_CHARS) -> DataFrame:
+    """Every line of at least ``least`` code points of numbered rows, with its place and identity."""
     rows = docs.select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), text().alias("text"))
     rows = rows.select(ROW, "doc_id", F.posexplode(F.split("text", "\n")).alias("place", "line"))
-    rows = rows.withColumn("line", F.lower(F.trim("line"))).filter(F.length("line") >= MIN_CHARS)
+    rows = rows.withColumn("line", F.lower(F.trim("line"))).filter(F.length("line") >= least)
     return rows.select(
         F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", ROW, "place").alias("at"), "line",
         F.xxhash64(F.lit(1), "line").alias("h1"), F.xxhash64(F.lit(2), "line").alias("h2"),
@@ -111,18 +111,20 @@ def neighbours(distinct: DataFrame, docs: DataFrame) -> DataFrame:
     return checked.filter(F.levenshtein("line", "ahead", 1) >= 0).select(*ID).distinct()
 
 
-def dropped_lines(docs: DataFrame) -> DataFrame:
+def dropped_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """(_llm_row, doc_id, places): the 0-based lines of each row that an earlier line stands for.
 
-    Lines under 20 code points are never dropped: at that length one edit makes another
-    word. Null and empty texts have no lines to drop; of repeated rows all but the first
+    Lines under 20 code points are not compared by edits: at that length one edit makes
+    another word. With ``short`` they are dropped if they repeat an earlier line exactly,
+    else never; an empty line is no line. Null and empty texts have no lines to drop; of repeated rows all but the first
     lose their lines. A row without a doc_id is earliest.
     """
     docs = numbered_once(docs.select("doc_id", "text", *({ROW} & {*docs.columns})), "lines-rows")
     line, n = F.col("line"), F.length("line")
-    halves = F.transform(block_keys(line, n, HALVES), lambda b: b.key)
+    least = 1 if short else MIN_CHARS
+    halves = F.when(n >= MIN_CHARS, F.transform(block_keys(line, n, HALVES), lambda b: b.key))
     distinct = stored(
-        lines(docs).groupBy(*ID).agg(
+        lines(docs, least).groupBy(*ID).agg(
             F.min("at").alias(FIRST), F.count("*").alias("n"), F.first(halves).alias("halves")
         ),
         "lines-distinct",
@@ -131,7 +133,7 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     marked = distinct.select(*ID, FIRST, "n").join(near, list(ID), "left").filter("n > 1 or near")
     marked = stored(marked, "lines-marked")
     gone = (
-        lines(docs).select("at", *ID).join(marked.hint("merge"), list(ID))
+        lines(docs, least).select("at", *ID).join(marked.hint("merge"), list(ID))
         .filter(F.col("near").isNotNull() | (F.col("at") != F.col(FIRST)))
     )
     return gone.groupBy(F.col(f"at.{ROW}").alias(ROW), F.col("at.doc_id").alias("doc_id")).agg(
@@ -139,14 +141,14 @@ def dropped_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     """``docs`` without their repeated lines; a row left without any visible text goes.
 
     Rows that had no text to begin with stay as they are, and so does every other column
     but n_chars, which counts the new text if there is such a column.
     """
     rows = numbered_once(docs, "lines-rows")
-    gone = stored(dropped_lines(rows).select(ROW, F.col("places").alias("_llm_places")), "lines-gone")
+    gone = stored(dropped_lines(rows, short).select(ROW, F.col("places").alias("_llm_places")), "lines-gone")
     rows = rows.join(gone.hint("merge"), ROW, "left")
     kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_llm_places", i))
     changed = F.col("_llm_places").isNotNull()

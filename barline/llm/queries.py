@@ -49,7 +49,7 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_linededup")
 def lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return linededup.drop_repeated_lines(table(spark, sf_dir, "documents")).select("doc_id", "text", "n_chars")
+    return linededup.drop_repeated_lines(table(spark, sf_dir, "documents"), short=True).select("doc_id", "text", "n_chars")
 
 
 # Base32 of a SHA-1 digest, five hexadecimal digits to four characters.

@@ -18,7 +18,7 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop repeated lines, and documents of which nothing is left."""
-    return linededup.drop_repeated_lines(docs)
+    return linededup.drop_repeated_lines(docs, short=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
