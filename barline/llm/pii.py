@@ -7,11 +7,12 @@ knows. Spark keeps the graph of patterns and instances as a table of distinct ed
 each round a pattern's confidence in a kind is the share of its instances that are known
 to be of that kind, a pattern with enough of them is trusted, and an instance gets the
 chance that any of its trusted patterns is right; instances over the limit are known in
-the next round. Finally, every place where a known instance stands in a trusted pattern
+the next round. Rounds end when no instance is new. Finally, every place where a known instance stands in a trusted pattern
 is a span.
 
 An instance is a run between blanks that holds a digit or an at sign, without the marks
-around it. So tables of the bootstrap grow with identifiers, not with prose.
+around it, or up to nine groups of digits with single blanks between them; a place inside
+a longer one that is found too is not listed. So tables of the bootstrap grow with identifiers, not with prose.
 """
 
 from __future__ import annotations
@@ -36,7 +37,6 @@ PATTERNS = {
 }
 COMPILED = {k: re.compile(p) for k, p in PATTERNS.items()}
 
-ROUNDS = 3
 MIN_KNOWN, CONFIDENCE, BELIEF = 3, 0.8, 0.8
 MIN_INSTANCE = 6
 
@@ -106,6 +106,24 @@ def context(value: str, start: int, end: int) -> list[str]:
     return patterns
 
 
+GROUP = r"[0-9][0-9().+/-]*"
+GROUPS = re.compile(
+    rf"(?<![^\s\"'\[{{<:;,])[(+]{{0,2}}[A-Za-z]{{0,3}}{GROUP}(?:[ \t\u00a0]\(?{GROUP}){{1,8}}(?![^\s,;:!?\"'\]}}>])(?!\s\(?[0-9])"
+)
+
+
+def digit_groups(value: str):
+    """(start, end) of the runs of two to nine groups of digits with one blank between them."""
+    for m in GROUPS.finditer(value):
+        low, high = m.span()
+        while value[high - 1] in "(.+/-" or value[high - 1] == ")" and "(" not in value[low:high]:
+            high -= 1
+        if value[low] == "(" and ")" not in value[low:high]:
+            low += 1
+        if any(c.isspace() for c in value[low:high]):
+            yield low, high
+
+
 def instances(value: str, base: list[tuple[int, int, int]]) -> list[tuple]:
     """(kind number or -1, start, end, instance, patterns) of base spans and other runs."""
     out = [(k, s, e, value[s:e].lower(), context(value, s, e)) for k, s, e in base]
@@ -117,6 +135,9 @@ def instances(value: str, base: list[tuple[int, int, int]]) -> list[tuple]:
             high -= 1
         if high - low >= MIN_INSTANCE and not any(s < high and low < e for s, e in taken):
             out.append((-1, low, high, value[low:high].lower(), context(value, low, high)))
+    for low, high in digit_groups(value):
+        if high - low >= MIN_INSTANCE and not any(s < high and low < e for s, e in taken):
+            out.append((-1, low, high, " ".join(value[low:high].lower().split()), context(value, low, high)))
     return out
 
 
@@ -147,24 +168,26 @@ def places(texts: pa.Array) -> pa.Array:
 
 def bootstrap(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(known, trusted) from occurrences (kind, instance, patterns): instances by kind, and
-    patterns by kind with their confidence, after the last round."""
+    patterns by kind with their confidence, once a round finds nothing new."""
     edges = stored(
         seen.select("kind", "instance", F.explode("patterns").alias("pattern")).distinct(), "pii-edges"
     )
     graph = stored(edges.select("pattern", "instance").distinct(), "pii-graph")
     sizes = graph.groupBy("pattern").agg(F.count("*").alias("n"))
     known = stored(seen.filter("kind >= 0").select("kind", "instance").distinct(), "pii-known")
-    trusted = None
-    for _ in range(ROUNDS):
+    count, before = known.count(), -1
+    while True:
         hits = graph.join(known, "instance").groupBy("pattern", "kind").agg(F.count("*").alias("hits"))
         scored = hits.filter(F.col("hits") >= MIN_KNOWN).join(sizes, "pattern")
         scored = scored.withColumn("confidence", F.col("hits") / F.col("n")).filter(F.col("confidence") >= CONFIDENCE)
         trusted = stored(scored.select("pattern", "kind", "confidence"), "pii-trusted")
+        if count == before:
+            return known, trusted
         doubt = F.exp(F.sum(F.log(F.greatest(1 - F.col("confidence"), F.lit(1e-6)))))
         believed = graph.join(trusted, "pattern").groupBy("kind", "instance").agg((1 - doubt).alias("belief"))
         believed = believed.filter(F.col("belief") >= BELIEF).select("kind", "instance")
         known = stored(known.union(believed).distinct(), "pii-known")
-    return known, trusted
+        count, before = known.count(), count
 
 
 def find(docs: DataFrame) -> DataFrame:
@@ -184,6 +207,8 @@ def find(docs: DataFrame) -> DataFrame:
     added = loose.join(trusted.select("pattern", "kind"), "pattern").join(known, ["kind", "instance"], "left_semi")
     added = added.groupBy(ROW, "start", "end").agg(F.min("kind").alias("kind"))
     added = added.groupBy(ROW).agg(F.collect_list(F.struct("kind", "start", "end")).alias("added"))
+    inside = lambda x, y: (y.start <= x.start) & (x.end <= y.end) & (y.end - y.start > x.end - x.start)
+    added = added.withColumn("added", F.filter("added", lambda x: ~F.exists("added", lambda y: inside(x, y))))
     base = F.filter("found", lambda x: x.kind >= 0)
     base = F.sort_array(F.transform(base, lambda x: F.struct(x.kind.alias("kind"), x.start.alias("start"), x.end.alias("end"))))
     none = F.array().cast("array<struct<kind:int,start:bigint,end:bigint>>")
