@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from barline.llm import chat, decontaminate, fingerprint, language, linededup, neardup, packing, pii, toxicity, warc
+from barline.llm import chat, decontaminate, fingerprint, language, linededup, mixing, neardup, packing, pii, toxicity, warc
 from barline.llm.tables import remainder, table
 from barline.queries.registry import Query, QueryFunction
 from barline.session import tune
@@ -119,6 +119,39 @@ def toxic(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.scored(docs, labels, remainder(5) == 0, remainder(5) != 0)
 
 
+MIX_SQL = r"""WITH given AS (
+  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size,
+    CAST('0x' || substr(md5('mix' || coalesce(CAST(doc_id AS VARCHAR), '') || chr(10) || coalesce(text, '')), 1, 13)
+      AS BIGINT) / 4503599627370496.0::DOUBLE AS draw FROM documents),
+sources AS (
+  SELECT source, CAST(sum(size) AS HUGEINT) AS source_size,
+    CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS HUGEINT) AS weight FROM given GROUP BY source),
+filled AS (
+  SELECT *, sum(source_size) OVER () AS total, sum(weight) OVER () AS weights,
+    coalesce(sum(source_size) OVER before, 0) AS size_before, coalesce(sum(weight) OVER before, 0) AS weight_before
+  FROM sources WINDOW before AS (ORDER BY source_size * 6 / weight, source NULLS LAST
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+capped AS (
+  SELECT *, weight * (total - 3 * size_before) > 3 * source_size * (weights - weight_before) AS is_full FROM filled),
+level AS (
+  SELECT max(total) - 3 * coalesce(sum(source_size) FILTER (WHERE is_full), 0) AS num,
+    max(weights) - coalesce(sum(weight) FILTER (WHERE is_full), 0) AS den FROM capped),
+targets AS (
+  SELECT source, CAST(source_size AS BIGINT) AS source_size,
+    CASE WHEN is_full THEN CAST(3 * source_size AS DOUBLE) ELSE CAST(weight * num AS DOUBLE) / CAST(den AS DOUBLE) END
+      AS target FROM capped, level),
+rated AS (SELECT *, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate FROM targets)
+SELECT g.doc_id, g.size, r.source_size, r.target, CAST(g.size * (floor(r.rate) +
+    CASE WHEN g.draw < r.rate - floor(r.rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM given g JOIN rated r ON g.source IS NOT DISTINCT FROM r.source"""
+
+
+@query("op11_mixing", MIX_SQL)
+def mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.allotted(table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+    return found.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barline.session import fresh_path
@@ -54,3 +54,28 @@ def about(df: DataFrame, rows: int, *key: str) -> DataFrame:
     share = 1.0 if total <= rows else rows / total
     place = F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 20))
     return df.filter(place < F.lit(int(share * (1 << 20))))
+
+
+def ordered(df: DataFrame, label: str, *order: Column) -> DataFrame:
+    """``df`` stored in ``order``, with ``place``: the number of its row in it, from 0.
+
+    The sort deals ranges of the order to tasks, and each writes one file; a row's place is
+    its place in its file, plus the rows of the files before. Only the files are numbered
+    together, and there are as many as shuffle partitions.
+    """
+    path = fresh_path(df.sparkSession, label)
+    df.sort(*order).write.option("maxRecordsPerFile", 0).parquet(path)
+    rows = df.sparkSession.read.schema(df.schema).parquet(path).select(
+        "*", file_number().alias("_file"), F.col("_metadata.row_index").alias("_row")
+    )
+    counts = rows.groupBy("_file").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))
+    files = counts.select("_file", F.coalesce(before, F.lit(0)).alias("before"))
+    return rows.join(F.broadcast(files), "_file").withColumn("place", F.col("before") + F.col("_row")).drop(
+        "_file", "_row", "before"
+    )
+
+
+def file_number() -> Column:
+    """The number that Spark gave the file of a row, in the order of the tasks that wrote."""
+    return F.regexp_extract(F.col("_metadata.file_name"), r"part-(\d+)", 1).cast("bigint")
