@@ -1,11 +1,13 @@
 """Phrase collocations, by merging sorted streams of counts.
 
-1. Each task lower-cases A to Z, cuts its texts into pieces and words, and counts the runs
-   of one to three words within pieces, a few megabytes of text at a time, so that a
-   frequent phrase leaves a task as one number per few megabytes. Words are told apart by
-   themselves, not by hashes. Order 0 counts all words of a language.
+1. Order by order, each task lower-cases A to Z, cuts its texts into pieces and words, and
+   counts the runs of one, two or three words within pieces, a few megabytes of text at a
+   time, so that a frequent phrase leaves a task as one number per few megabytes. Words are
+   told apart by themselves, not by hashes. Order 0 counts all words of a language.
 2. Counts are summed by phrase. A phrase is at most as frequent as its parts, so what is
-   rarer than a candidate is dropped there, and what goes on is short beside the corpus.
+   rarer than a candidate is dropped there, and the next order is counted only where both
+   parts may be frequent: tasks have a bit for each frequent one. The bits only spare work;
+   counts are exact, and what goes on is short beside the corpus.
 3. Counts form a stream per order, read in two orders. Longer phrases in prefix order are
    merged in lockstep with their beginnings, which gives left counts, and in suffix order
    with their ends, which gives right counts; going the other way, the greatest count of a
@@ -26,17 +28,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from barline.llm.tables import stored, text
-from barline.llm.words import bounds, chunks, raw
+from barline.llm.words import GOLDEN, bounds, chunks, mix, raw, run_hashes
 
 # What cuts texts and pieces, and the language of texts that name none.
 PIECE_ENDS, BLANKS, NO_LANG = b".,;:!?\n\x0b\x0c\r", b" \t", "und"
 SCALE = 1_000_000
 CHUNK_BYTES = 8 << 20
 SLICE_ROWS = 100_000
+MARK_BITS = 26
 
 KIND = np.zeros(256, np.uint8)
 KIND[list(BLANKS)], KIND[list(PIECE_ENDS)] = 1, 2
@@ -61,60 +65,145 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     return words, owner, follows
 
 
-def counted(langs: pa.Array, texts: pa.Array) -> Iterator[pa.RecordBatch]:
-    """The phrases of some texts with their counts: (lang, w1, w2, w3, n); words that a
-    phrase has not are null."""
+def hashes(texts: pa.Array) -> np.ndarray:
+    data, offsets = raw(texts)
+    out = run_hashes(data, offsets[:-1], np.maximum(offsets[1:] - 1, 0)) if len(data) else np.zeros(len(texts), np.uint64)
+    return np.where(np.diff(offsets) > 0, out, GOLDEN)
+
+
+class Marks:
+    """Which phrases of one order may be frequent: a bit for each frequent one, of a number
+    that does not grow with the corpus. Bits that others share let a rare phrase pass, which
+    its exact count then drops; no frequent one is lost."""
+
+    def __init__(self, bits: np.ndarray):
+        self.bits = bits
+
+    def __getitem__(self, found: np.ndarray) -> np.ndarray:
+        at = found >> np.uint64(64 - MARK_BITS)
+        return (self.bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+
+
+def counted(langs: pa.Array, texts: pa.Array, order: int, marks: Marks | None = None) -> Iterator[pa.RecordBatch]:
+    """The phrases of ``order`` words in some texts with their counts, as rows (phrase, n);
+    a phrase begins with its language and a line feed. Order 1 counts order 0 too.
+
+    With ``marks`` of the order before, only phrases whose parts of that order are marked.
+    """
     words, owner, follows = words_of(texts)
     if len(words) == 0:
         return
-    langs = pc_dictionary(langs)
-    words = pc_dictionary(words)
+    langs, words = dictionary(langs), dictionary(words)
     lang, word = langs.indices.to_numpy()[owner].astype(np.int64), words.indices.to_numpy().astype(np.int64)
     many = len(words.dictionary)
     one, at, n = np.unique(lang * many + word, return_inverse=True, return_counts=True)
     names, said = langs.dictionary.take(pa.array(one // many)), words.dictionary.take(pa.array(one % many))
-    total = np.bincount(lang, minlength=len(langs.dictionary))
-    yield from rows(langs.dictionary, [], total)
-    yield from rows(names, [said], n)
+    if order == 1:
+        yield from rows(langs.dictionary, [], np.bincount(lang, minlength=len(langs.dictionary)))
+        yield from rows(names, [said], n)
+        return
     begins = np.flatnonzero(follows)
+    marked = None
+    if marks is not None:
+        marked = mix(hashes(words.dictionary)[one % many] + GOLDEN * hashes(langs.dictionary)[one // many])
+        if order == 2:
+            frequent = marks[marked][at]
+            begins = begins[frequent[begins] & frequent[begins + 1]]
     two, pair, n = np.unique(at[begins] * len(one) + at[begins + 1], return_inverse=True, return_counts=True)
     heads, tails = two // len(one), two % len(one)
-    yield from rows(names.take(pa.array(heads)), [said.take(pa.array(x)) for x in (heads, tails)], n)
-    longer = np.flatnonzero(follows[begins + 1])  # the word after a pair's first is no piece's last
+    if order == 2:
+        yield from rows(names.take(pa.array(heads)), [said.take(pa.array(x)) for x in (heads, tails)], n)
+        return
+    longer = np.flatnonzero(follows[begins + 1])  # pairs whose last word another follows
+    if marks is not None:
+        frequent = marks[joint(marked[heads], marked[tails])][pair]
+        longer = longer[frequent[longer]]
+        longer = longer[frequent[longer + 1]]  # the pair that begins at the last word's place
     three, n = np.unique(pair[longer] * len(one) + at[begins[longer] + 2], return_counts=True)
-    heads, last = three // len(one), three % len(one)
-    parts = [two[heads] // len(one), two[heads] % len(one), last]
+    parts = [two[three // len(one)] // len(one), two[three // len(one)] % len(one), three % len(one)]
     yield from rows(names.take(pa.array(parts[0])), [said.take(pa.array(x)) for x in parts], n)
 
 
-def pc_dictionary(values: pa.Array) -> pa.DictionaryArray:
+def joint(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix(mix(first + GOLDEN) + second)
+
+
+def dictionary(values: pa.Array) -> pa.DictionaryArray:
     found = values.dictionary_encode()
     return found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
 
 
 def rows(lang: pa.Array, words: list[pa.Array], n: np.ndarray) -> Iterator[pa.RecordBatch]:
     for low in range(0, len(n), SLICE_ROWS):
-        size = min(SLICE_ROWS, len(n) - low)
-        columns = [x.slice(low, size).cast(pa.large_string()) for x in (lang, *words)]
-        columns += [pa.nulls(size, pa.large_string())] * (3 - len(words))
-        yield pa.record_batch([*columns, pa.array(n[low : low + size], pa.int64())], names=["lang", "w1", "w2", "w3", "n"])
+        part = [x.slice(low, SLICE_ROWS) for x in (lang, *words)]
+        said = pc.binary_join_element_wise(*part[1:], pa.scalar(" ", pa.large_string())) if words else pa.array([""] * len(part[0]), pa.large_string())
+        phrase = pc.binary_join_element_wise(part[0], said, pa.scalar("\n", pa.large_string()))
+        yield pa.record_batch([phrase, pa.array(n[low : low + SLICE_ROWS], pa.int64())], names=["phrase", "n"])
+
+
+def tally(order: int, marks=None):
+    """Counts of one order over batches of (lang, text); ``marks`` is a broadcast of bits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = Marks(marks.value) if marks is not None else None
+        for batch in batches:
+            low = 0
+            for part in chunks(batch.column(1), CHUNK_BYTES):
+                yield from counted(batch.column(0).slice(low, len(part)).cast(pa.large_string()), part, order, known)
+                low += len(part)
+
+    return run
+
+
+def marks_of(frequent: DataFrame, order: int):
+    """The bits of frequent phrases, set by tasks, put together by Spark and broadcast: at
+    most 2 to the ``MARK_BITS`` of them."""
+
+    def hash_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lang, *words = (hashes(c.cast(pa.large_string())) for c in batch.columns)
+            found = [mix(w + GOLDEN * lang) for w in words]
+            at = (found[0] if order == 1 else joint(*found)) >> np.uint64(64 - MARK_BITS)
+            yield pa.record_batch([pa.array(at.astype(np.int64))], names=["at"])
 
+    given = frequent.select("lang", *(f"w{i + 1}" for i in range(order)))
+    bits = given.mapInArrow(hash_up, "at bigint").groupBy(F.shiftright("at", 6).alias("slot")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("bits")
+    ).toArrow()
+    out = np.zeros(1 << (MARK_BITS - 6), np.uint64)
+    out[bits.column("slot").to_numpy()] = bits.column("bits").to_numpy().view(np.uint64)
+    return frequent.sparkSession.sparkContext.broadcast(out)
 
-def tally(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        low = 0
-        for part in chunks(batch.column(1), CHUNK_BYTES):
-            yield from counted(batch.column(0).slice(low, len(part)).cast(pa.large_string()), part)
-            low += len(part)
 
+def counts(docs: DataFrame, least: int = 10) -> list[DataFrame]:
+    """Four streams of counts, stored: (lang, n) of all words, then (lang, w1, n),
+    (lang, w1, w2, n) and (lang, w1, w2, w3, n) of what occurs ``least`` times.
 
-def counts(docs: DataFrame, least: int = 10) -> DataFrame:
-    """(lang, w1, w2, w3, n) of the phrases of up to three words that occur ``least`` times,
-    and of no words: all words of the language. Stored."""
+    A phrase is at most as frequent as its parts, so an order is counted only where both
+    parts of the order before may be frequent. What is shuffled is so kept to a fraction of
+    all runs of three words, nearly all of which are rare."""
     given = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), text().alias("text"))
-    each = given.mapInArrow(tally, "lang string, w1 string, w2 string, w3 string, n bigint")
-    summed = each.groupBy("lang", "w1", "w2", "w3").agg(F.sum("n").alias("n"))
-    return stored(summed.filter(F.col("w1").isNull() | (F.col("n") >= least)), "phrase-counts")
+    streams: list[DataFrame] = []
+    known = None
+    for order in (1, 2, 3):
+        each = given.mapInArrow(tally(order, known), "phrase string, n bigint")
+        summed = each.groupBy("phrase").agg(F.sum("n").alias("n"))
+        said = F.substring_index("phrase", "\n", -1)
+        lang = F.expr("left(phrase, length(phrase) - length(substring_index(phrase, '\n', -1)) - 1)")
+        words = F.split(said, " ")
+        kept = stored(
+            summed.filter((F.col("n") >= least) | (said == "")).select(
+                lang.alias("lang"), *(F.get(words, F.lit(i)).alias(f"w{i + 1}") for i in range(order)), "n"
+            ),
+            f"phrases-{order}",
+        )
+        if order == 1:
+            streams.append(kept.filter("w1 = ''").select("lang", "n"))
+            kept = kept.filter("w1 <> ''")
+        streams.append(kept)
+        if order < 3:
+            known = marks_of(kept, order)
+    return streams
 
 
 def merged(longer: DataFrame, shorter: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
@@ -122,14 +211,12 @@ def merged(longer: DataFrame, shorter: DataFrame, on: list[str], how: str = "inn
     return longer.join(shorter.hint("merge"), on, how)
 
 
-def scored(streams: DataFrame, share: int = 50) -> DataFrame:
+def scored(streams: list[DataFrame], share: int = 50) -> DataFrame:
     """(lang, phrase, a, l, r, score) of the candidates that no longer one covers."""
-    one = streams.filter("w1 is not null and w2 is null").select("lang", F.col("w1").alias("w"), "n")
-    two = streams.filter("w2 is not null and w3 is null").select("lang", "w1", "w2", "n")
-    three = streams.filter("w3 is not null").select("lang", "w1", "w2", "w3", "n")
+    one, two, three = streams
     # Pairs: prefix order beside first words, suffix order beside last words.
-    pairs = merged(two, one.select("lang", F.col("w").alias("w1"), F.col("n").alias("n1")), ["lang", "w1"])
-    pairs = merged(pairs, one.select("lang", F.col("w").alias("w2"), F.col("n").alias("n2")), ["lang", "w2"])
+    pairs = merged(two, one.select("lang", "w1", F.col("n").alias("n1")), ["lang", "w1"])
+    pairs = merged(pairs, one.select("lang", F.col("w1").alias("w2"), F.col("n").alias("n2")), ["lang", "w2"])
     # Triples: prefix order beside first pairs, suffix order beside last pairs.
     begins = pairs.select("lang", "w1", "w2", F.col("n").alias("n12"), "n1")
     ends = pairs.select(
@@ -165,10 +252,9 @@ def score(both: Column, left: Column, right: Column) -> Column:
 
 def collocations(docs: DataFrame, least: int = 10, share: int = 50, top: int = 2000) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``top`` phrases."""
-    streams = counts(docs, least)
+    totals, *streams = counts(docs, least)
     order = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), F.asc("phrase"))
     ranked = scored(streams, share).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= top)
-    totals = streams.filter("w1 is null").select("lang", "n")
     return ranked.join(totals, "lang").select(
         "lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score"
     )
