@@ -55,7 +55,7 @@ def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray, np.ndarray]:
     kind = KIND[data]
     first, last = bounds(kind == 0, offsets)
     owner = np.searchsorted(offsets, first, "right") - 1
-    piece = np.cumsum(kind == 2)[first] if len(first) else first
+    piece = np.searchsorted(np.flatnonzero(kind == 2), first)
     follows = np.zeros(len(first), bool)
     if len(first):
         follows[:-1] = (piece[1:] == piece[:-1]) & (owner[1:] == owner[:-1])
@@ -109,11 +109,14 @@ def counted(langs: pa.Array, texts: pa.Array, order: int, marks: Marks | None =
         if order == 2:
             frequent = marks[marked][at]
             begins = begins[frequent[begins] & frequent[begins + 1]]
-    two, pair, n = np.unique(at[begins] * len(one) + at[begins + 1], return_inverse=True, return_counts=True)
-    heads, tails = two // len(one), two % len(one)
+    pairs = at[begins] * len(one) + at[begins + 1]
     if order == 2:
+        two, n = np.unique(pairs, return_counts=True)
+        heads, tails = two // len(one), two % len(one)
         yield from rows(names.take(pa.array(heads)), [said.take(pa.array(x)) for x in (heads, tails)], n)
         return
+    two, pair = np.unique(pairs, return_inverse=True)
+    heads, tails = two // len(one), two % len(one)
     longer = np.flatnonzero(follows[begins + 1])  # pairs whose last word another follows
     if marks is not None:
         frequent = marks[joint(marked[heads], marked[tails])][pair]
