@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.operators.rolling import ema_lookback, with_emas, with_rolling_sums
+from barline.operators.rolling import Averages, with_rolling_sums
 from barline.operators.series import POS, Frame
 
 # Two averages of equal prices can differ in their last bits. A gap below this
@@ -31,7 +31,7 @@ class Indicators:
         self._sums: dict[str, tuple[str, int]] = {}
         self._rsi: set[int] = set()
         self._bands: dict[int, set[float]] = {}
-        self._macd: set[tuple[int, int, int]] = set()
+        self._averages = Averages(price, PREFIX)
 
     # --- asking -----------------------------------------------------------------
 
@@ -77,9 +77,8 @@ class Indicators:
 
     def macd(self, short: int, long: int, signal: int) -> tuple[Column, Column]:
         """The short average less the long one, and that line's own average."""
-        self._macd.add((short, long, signal))
-        line = f"{PREFIX}macd{short}_{long}"
-        return F.col(line), F.col(f"{line}_{signal}")
+        line, signal_line = self._averages.line(short, long, signal)
+        return F.col(line), F.col(signal_line)
 
     def macd_above(self, line: Column, signal_line: Column) -> Column:
         return line - signal_line > NOISE * F.abs(F.col(self.price).cast("double"))
@@ -87,16 +86,14 @@ class Indicators:
     # --- adding -----------------------------------------------------------------
 
     @property
-    def _spans(self) -> set[int]:
-        return {span for spans in self._macd for span in spans}
+    def lookback(self) -> int:
+        """How many rows before the current one any of the columns but averages depends on."""
+        return max([1, *(rows for _, rows in self._sums.values()), *self._bands])
 
     @property
-    def lookback(self) -> int:
-        """How many rows before the current one any of the columns depends on."""
-        rows = [0, *(rows for _, rows in self._sums.values()), *self._bands]
-        if self._macd:
-            rows.append(2 * ema_lookback(*self._spans))
-        return max(rows)
+    def carried(self) -> Averages | None:
+        """What goes from block to block instead."""
+        return self._averages if self._averages.spans else None
 
     def add(self, df: DataFrame, frame: Frame) -> DataFrame:
         """Add every column asked for. ``df`` has a price on every row."""
@@ -115,18 +112,4 @@ class Indicators:
             for rows in self._bands for part, value in parts.items()
         }
         df = with_rolling_sums(df, frame, self._sums, beside)
-        return self._add_macd(df, frame) if self._macd else df
-
-    def _add_macd(self, df: DataFrame, frame: Frame) -> DataFrame:
-        df = df.withColumn(f"{PREFIX}x", F.col(self.price).cast("double"))
-        averages = {
-            f"{PREFIX}ema{span}": (f"{PREFIX}x", span)
-            for short, long, _ in self._macd for span in (short, long)
-        }
-        df = with_emas(df, frame, averages, self._spans)
-        lines, signals = {}, {}
-        for short, long, signal in self._macd:
-            line = f"{PREFIX}macd{short}_{long}"
-            lines[line] = F.col(f"{PREFIX}ema{short}") - F.col(f"{PREFIX}ema{long}")
-            signals[f"{line}_{signal}"] = (line, signal)
-        return with_emas(df.withColumns(lines), frame, signals, self._spans)
+        return self._averages.add(df, frame) if self.carried else df

@@ -3,16 +3,15 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterable
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from barline.operators.series import BLOCK, POS, Frame, Series, number_rows, over_series
+from barline.operators.series import CARRY, PART, POS, ROW, Frame, Series, over_series
 
 
 SO_FAR = "ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW"
-BEFORE = "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING"
 
 
 def rolling_mean(x: Column, frame: Frame, rows: int) -> Column:
@@ -83,84 +82,170 @@ def with_rolling_sums(
 
 # --- Exponential moving average -----------------------------------------------
 
+# How far weights may grow within a run of rows: prices, as decimal(19,4), are below 1e15, so a
+# sum of them stays below the greatest double, 1.8e308.
+MOST_WEIGHT = 1e290
 
-def ema_segment(span: float) -> int:
-    """Rows after which a value's weight is below 1e-18, so past double precision."""
-    if span < 1:
-        raise ValueError("span must be at least 1")
-    if span == 1:
-        return 1
-    return math.ceil(math.log(1e-18) / math.log1p(-2.0 / (span + 1.0)))
 
+class Averages:
+    """Exponential averages of one column without nulls, and of differences of two of them.
 
-def ema_lookback(*spans: float) -> int:
-    """Rows averages can depend on: their segment's start and the two segments before."""
-    return 3 * max(ema_segment(span) for span in spans)
+    y(0) = x(0), then y = a x + (1 - a) y' with a = 2 / (span + 1).
 
+    The recursion is affine, so any run of rows maps the average before it to the one after
+    it by a scale, (1 - a) to the number of rows, and a shift, which is what the run makes of
+    zero. Runs are put together by composing their maps, exactly and without forgetting:
 
-def _sizes(spans: Iterable[float], shared: Iterable[float]) -> dict[float, int]:
-    """Segment rows for each span: one size for all, unless weights would overflow.
+    - Inside a run the shift is a running sum of x with weights growing by 1 / (1 - a),
+      scaled back: one addition a row. All terms keep their sign, so it is as exact as the
+      recursion. From span 9 on weights allow a block of 96 months to be one run.
+    - For shorter spans the runs are the years of a block, composed in order.
+    - Blocks are composed the same way (``after``), from one row of shifts a block.
 
-    With the longest span's segments the shortest span's weights grow by far the
-    most; past 1e250 each span keeps segments of its own.
+    The state before a series is its first value, which gives y(0) = x(0) with the weights
+    of any other row. A difference of averages is linear in their states, so the average of
+    one has a map too, with a term for each of the two averages it comes from.
     """
-    size = max(ema_segment(span) for span in shared)
-    fastest = min(span for span in shared if span > 1) if any(s > 1 for s in shared) else None
-    fits = fastest is None or -size * math.log1p(-2.0 / (fastest + 1.0)) < math.log(1e250)
-    return {span: size if fits else ema_segment(span) for span in spans}
-
-
-def with_emas(
-    df: DataFrame,
-    frame: Frame,
-    averages: dict[str, tuple[str, float]],
-    shared: Iterable[float] | None = None,
-) -> DataFrame:
-    """Add averages, each given as (column, span), of columns without nulls.
-
-    y(0) = x(0), then y = a x + (1 - a) y' with a = 2 / (span + 1).
 
-    The recursion is linear, so inside a segment of rows y is a running sum of x
-    with weights growing by 1/(1-a), scaled back. The segment is short enough
-    that weights stay far from overflow. What the segments before come to is
-    carried from their ends, two of them: a value before those has a weight under
-    1e-36, and prices, as decimal(19,4), are at most 1e19 times each other, so it
-    is past double precision. All terms keep their sign and old rounding
-    errors decay with their terms, so this is as exact as the recursion, at one
-    addition per row. Segments follow the row order, so ordering by segment and
-    then row is the same order, and one sort serves both windows.
-
-    ``shared`` are the spans whose segments to use. Calls that share them sort
-    once, which is why the segment columns (``_seg...``) stay in the result.
-    """
-    trivial = {out: F.col(x) for out, (x, span) in averages.items() if span == 1}
-    averages = {out: spec for out, spec in averages.items() if spec[1] > 1}
-    if trivial:
-        df = df.withColumns(trivial)
-    if not averages:
-        return df
-    spans = {span for _, span in averages.values()}
-    sizes = _sizes(spans, tuple(shared or spans))
-    segments = {f"_seg{n}": F.expr(f"floor(({POS} - 1) / {n})") for n in set(sizes.values())}
-    missing = {name: c for name, c in segments.items() if name not in df.columns}
-    if missing:
-        df = df.withColumns(missing)
-
-    sums, states, ends = {}, {}, {}
+    def __init__(self, x: str, prefix: str = "") -> None:
+        self.x, self.prefix = x, prefix
+        self.spans: set[float] = set()
+        self.lines: set[tuple[float, float, float]] = set()
+
+    # --- asking -----------------------------------------------------------------
+
+    def average(self, span: float) -> str:
+        """The column of the average over ``span``: 1, or 2 and more."""
+        if span != 1 and span < 2:
+            raise ValueError("span must be 1, or at least 2")
+        self.spans.add(span)
+        return f"{self.prefix}ema{_name(span)}"
+
+    def line(self, short: float, long: float, signal: float) -> tuple[str, str]:
+        """The columns of the short average less the long one, and of that line's average."""
+        for span in (short, long):
+            self.average(span)
+        if signal != 1 and signal < 2:
+            raise ValueError("span must be 1, or at least 2")
+        self.lines.add((short, long, signal))
+        line = f"{self.prefix}macd{_name(short)}_{_name(long)}"
+        return line, f"{line}_{_name(signal)}"
+
+    # --- states over blocks -----------------------------------------------------
+
+    @property
+    def names(self) -> list[str]:
+        signals = [self.line(*line)[1] for line in sorted(self.lines)]
+        return [self.average(span) for span in sorted(self.spans)] + signals
+
+    def first(self, row: str) -> dict[str, str]:
+        averages = {self.average(span) for span in self.spans}
+        return {n: f"CAST({row}.{self.x} AS DOUBLE)" if n in averages else "0.0D" for n in self.names}
+
+    def local(self, rows: str) -> str:
+        """The recursion itself, from zero over one block's rows."""
+        def step(x: str, span: float, name: str) -> str:
+            return f"{1 - _keep(span)!r}D * ({x}) + {_keep(span)!r}D * s.{name}"
+
+        averages = {self.average(span): step(f"CAST(r.{self.x} AS DOUBLE)", span, self.average(span)) for span in sorted(self.spans)}
+        after = dict(averages)
+        for short, long, signal in sorted(self.lines):
+            name = self.line(short, long, signal)[1]
+            after[name] = step(f"({averages[self.average(short)]}) - ({averages[self.average(long)]})", signal, name)
+        zeros, after = (", ".join(f"'{n}', {v}" for n, v in x.items()) for x in (dict.fromkeys(after, "0.0D"), after))
+        return f"aggregate({rows}, named_struct({zeros}), (s, r) -> named_struct({after}))"
+
+    def after(self, state: str, rows: str, local: str) -> dict[str, str]:
+        def decay(span: float) -> str:
+            return f"pow({_keep(span)!r}D, {rows})"
+
+        def echo(span: float, signal: float) -> str:
+            """What a signal becomes while an average decays, per unit of it."""
+            own, keep = _keep(span), _keep(signal)
+            if own == keep:
+                return f"{1 - keep!r}D * {rows} * {decay(span)}"
+            return f"{(1 - keep) * own / (own - keep)!r}D * ({decay(span)} - {decay(signal)})"
+
+        out = {}
+        for span in sorted(self.spans):
+            name = self.average(span)
+            out[name] = f"{state}.{name} * {decay(span)} + {local}.{name}"
+        for short, long, signal in sorted(self.lines):
+            name = self.line(short, long, signal)[1]
+            out[name] = (
+                f"{state}.{name} * {decay(signal)} + {local}.{name}"
+                f" + {echo(short, signal)} * {state}.{self.average(short)} - {echo(long, signal)} * {state}.{self.average(long)}"
+            )
+        return out
+
+    # --- adding -----------------------------------------------------------------
+
+    def add(self, df: DataFrame, frame: Frame) -> DataFrame:
+        """Add every column asked for, to rows as ``over_series`` gives them with these
+        averages carried."""
+        averages = {self.average(span): (f"CAST({self.x} AS DOUBLE)", span) for span in sorted(self.spans)}
+        start = {"_x0": F.expr(f"first(CAST({self.x} AS DOUBLE)) OVER ({frame.over})")}
+        before = {
+            f"_from_{name}": F.expr(f"coalesce({CARRY}.{name}, {'_x0' if name in averages else '0.0D'})") for name in self.names
+        }
+        df = _averaged(df.withColumns(start).withColumns(before), frame, averages)
+        if self.lines:
+            lines = {self.line(*at)[0]: F.expr(f"{self.average(at[0])} - {self.average(at[1])}") for at in sorted(self.lines)}
+            signals = {self.line(*at)[1]: (self.line(*at)[0], at[2]) for at in sorted(self.lines)}
+            df = _averaged(df.withColumns(lines), frame, signals)
+        return df.drop(*start, *before, "_step", "_size", "_done")
+
+
+def _name(span: float) -> str:
+    return f"{span:g}".replace(".", "p")
+
+
+def _keep(span: float) -> float:
+    return (span - 1.0) / (span + 1.0)
+
+
+def _averaged(df: DataFrame, frame: Frame, averages: dict[str, tuple[str, float]]) -> DataFrame:
+    """Add averages, each given as (SQL of a double, span), from the states before the block,
+    ``_from_`` and the average's name, which are the averages of copies of earlier rows.
+
+    A span whose weights allow it takes a block as one run of rows, others take it by parts
+    and compose these. One sort serves both."""
+    inside, whole = frame.inside(PART).over, "ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING"
+    by_parts = {out for out, (_, span) in averages.items() if span > 1 and weighty_rows(span) < frame.rows}
+    if by_parts and "_step" not in df.columns:
+        df = df.withColumns({
+            "_step": F.expr(f"row_number() OVER ({inside}) - 1"), "_size": F.expr(f"count(*) OVER ({inside} {whole})"),
+        })
+        df = df.withColumn("_done", F.expr(
+            f"count(CASE WHEN {ROW} > 0 AND _step = _size - 1 THEN 1 END) OVER ({frame.over} {SO_FAR})"
+            f" - CASE WHEN _step = _size - 1 THEN 1 ELSE 0 END"
+        ))
+    sums, ends, states = {}, {}, {}
     for out, (x, span) in averages.items():
-        size, keep, alpha = sizes[span], f"{(span - 1.0) / (span + 1.0)!r}D", f"{2.0 / (span + 1.0)!r}D"
-        step, segment = f"pmod({POS} - 1, {size})", f"_seg{size}"
-        weight = f"CASE WHEN {POS} = 1 THEN 1.0D ELSE {alpha} END * pow({keep}, -{step})"
-        within, across = frame.inside(segment).over, frame.led_by(segment).over
-        sums[f"_sum_{out}"] = F.expr(f"pow({keep}, {step}) * sum({weight} * {x}) OVER ({within} {SO_FAR})")
-
-        def carried(state: str) -> Column:
-            end = f"last(CASE WHEN {step} = {size - 1} THEN {state} END, true) OVER ({across} {BEFORE})"
-            return F.expr(f"_sum_{out} + CASE WHEN {segment} > 0 THEN pow({keep}, {step} + 1) * {end} ELSE 0.0D END")
-
-        states[f"_state_{out}"] = carried(f"_sum_{out}")
-        ends[out] = carried(f"_state_{out}")
-    return df.withColumns(sums).withColumns(states).withColumns(ends).drop(*sums, *states)
+        if span == 1:
+            states[out] = F.expr(f"CASE WHEN {ROW} > 0 THEN {x} ELSE _from_{out} END")
+            continue
+        keep, entered = f"{_keep(span)!r}D", f"_from_{out}"
+        over, step = (inside, "_step") if out in by_parts else (frame.over, f"({ROW} - 1)")
+        weight = f"CASE WHEN {ROW} > 0 THEN {1 - _keep(span)!r}D * pow({keep}, -{step}) * ({x}) ELSE 0.0D END"
+        sums[f"_sum_{out}"] = F.expr(f"pow({keep}, {step}) * sum({weight}) OVER ({over} {SO_FAR})")
+        if out in by_parts:
+            end = f"CASE WHEN {ROW} > 0 AND _step = _size - 1 THEN named_struct('n', _size, 'shift', _sum_{out}) END"
+            ends[f"_ends_{out}"] = F.expr(f"collect_list({end}) OVER ({frame.over} {whole})")
+            entered = (
+                f"CASE WHEN _done = 0 THEN _from_{out} ELSE aggregate(slice(_ends_{out}, 1, int(_done)), _from_{out},"
+                f" (y, e) -> y * pow({keep}, e.n) + e.shift) END"
+            )
+        states[out] = F.expr(f"CASE WHEN {ROW} > 0 THEN _sum_{out} + pow({keep}, {step} + 1) * ({entered}) ELSE _from_{out} END")
+    for columns in (sums, ends, states):
+        if columns:
+            df = df.withColumns(columns)
+    return df.drop(*sums, *ends)
+
+
+def weighty_rows(span: float) -> int:
+    """Rows within which weights of ``span`` stay below ``MOST_WEIGHT``."""
+    return int(math.log(MOST_WEIGHT) / -math.log(_keep(span)))
 
 
 # --- Ready-made frames for one value column -------------------------------------
@@ -174,41 +259,3 @@ def add_columns(
 ) -> DataFrame:
     """Add window columns made by ``columns`` from the series' frame."""
     return over_series(df, series, lookback, lambda d, f: d.withColumns(columns(f))).drop(POS)
-
-
-def running(df: DataFrame, series: Series, x: str, kind: str, out: str) -> DataFrame:
-    """Add the running ``sum``, ``max`` or last non-null value (``ffill``) of ``x``.
-
-    Split series scan inside each block and take over what the blocks before
-    come to, so the cost stays one pass whatever the series' length.
-    """
-    def fold(column: Column) -> Column:
-        if kind == "ffill":
-            return F.last(column, ignorenulls=True)
-        return {"sum": F.sum, "max": F.max}[kind](column)
-
-    if series.block_rows is None:
-        frame = Frame(series.keys, series.order)
-        return df.withColumn(out, fold(F.col(x)).over(frame.so_far))
-
-    rows = number_rows(df, series).withColumn(BLOCK, series.block())
-    by = (*series.keys, BLOCK)
-    whole = {
-        "sum": F.sum(x),
-        "max": F.max(x),
-        "ffill": F.max_by(x, F.when(F.col(x).isNotNull(), F.col(POS))),
-    }[kind]
-    blocks = rows.groupBy(*by).agg(whole.alias("_whole"))
-    over_blocks = Frame(series.keys, BLOCK)
-    carries = blocks.select(*by, fold(F.col("_whole")).over(over_blocks.before).alias("_carry"))
-    local = fold(F.col(x)).over(Frame(by, POS).so_far)
-    joined = rows.withColumn("_local", local).join(carries, list(by))
-    combined = {
-        "sum": F.when(
-            F.col("_local").isNotNull() | F.col("_carry").isNotNull(),
-            F.coalesce("_local", F.lit(0)) + F.coalesce("_carry", F.lit(0)),
-        ),
-        "max": F.greatest("_local", "_carry"),
-        "ffill": F.coalesce("_local", "_carry"),
-    }[kind]
-    return joined.withColumn(out, combined).drop("_local", "_carry", BLOCK, POS)

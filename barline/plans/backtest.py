@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.operators.rolling import change_ratio
-from barline.operators.series import BLOCK, POS, Frame, Series, number_rows
-from barline.plans.strategies import DEFAULTS, PATH, Strategy, labelled, signal_paths
-from barline.session import ensure_checkpoints
+from barline.operators.series import BLOCK, Frame, Series
+from barline.plans.strategies import DEFAULTS, PATH, Strategy, groups, labelled, signal_paths
 
 # Fixed values of the trading rules.
 CAPITAL = 10_000
@@ -18,84 +18,89 @@ SHARES = 100
 TRADING_DAYS = 252
 
 
-def portfolio(signalled: DataFrame, series: Series) -> DataFrame:
+def portfolio(
+    signalled: DataFrame,
+    series: Series,
+    labels: Sequence[str] = (PATH,),
+    newest: Column | None = None,
+) -> DataFrame:
     """Holdings, cash, total, returns, running peak and drawdown of each path.
 
-    ``signalled`` has one row per bar and label columns that ``series`` includes
-    in its keys. Shares are bought and sold at the close of the bar on which the
-    signal changes; a position held on the first bar costs nothing. Money is
-    decimal throughout, so sums do not depend on the order rows are added in.
+    ``signalled`` has one row per bar and ``labels``, which tell the paths of a series
+    apart. Shares are bought and sold at the close of the bar on which the signal changes; a
+    position held on the first bar costs nothing. Money is decimal throughout, so sums do
+    not depend on the order rows are added in.
+
+    A path is added up inside each block of its series. What a block starts from comes from
+    one row a path and block before it (``_starts``). The ``newest`` block may
+    be given where there is a shorter way to it; the filter on older ones reaches the scan.
     """
-    close = F.col("close_price")
-    rows = signalled.withColumns(
+    rows = _local(signalled, series, labels)
+    starts = _starts(rows, series.newest(signalled) if newest is None else newest, series, labels)
+    rows = rows.join(starts, [*series.keys, BLOCK], "left")
+    start = F.col("_starts")[F.struct(*labels)]
+    rows = rows.withColumns({"_start": F.coalesce(start["cash"], F.lit(CAPITAL)), "_total0": start["total"], "_peak0": start["peak"]})
+    rows = rows.withColumns(
         {
-            "holdings": F.col("signal") * SHARES * close,
-            "_spent": F.coalesce(F.col("positions") * SHARES * close, F.lit(0)),
+            "cash": F.col("_start") - F.col("_sum"),
+            "total": F.col("_start") + F.col("_net"),
+            "_previous": F.coalesce(F.col("_start") + F.col("_net_before"), F.col("_total0")),
+            "_peak": F.greatest(F.col("_start") + F.col("_best"), F.col("_peak0")),
         }
     )
-    if series.block_rows is None:
-        frame = Frame(series.keys, series.order)
-        rows = rows.withColumn("cash", CAPITAL - F.sum("_spent").over(frame.so_far))
-        rows = rows.withColumn("total", F.col("cash") + F.col("holdings"))
-        rows = rows.withColumns(
-            {
-                "_previous": F.lag("total").over(frame.window),
-                "_peak": F.max("total").over(frame.so_far),
-            }
-        )
-    else:
-        rows = _split_paths(rows, series)
     total, peak = F.col("total").cast("double"), F.col("_peak").cast("double")
     return rows.withColumns(
         {
             "returns": change_ratio(F.col("total"), F.col("_previous")),
             "drawdown": (total - peak) / peak,
         }
-    ).drop("_spent", "_previous", "_peak", POS)
+    ).drop(
+        BLOCK, "_spent", "_sum", "_net", "_net_before", "_best", "_starts", "_start", "_total0", "_peak0", "_previous", "_peak"
+    )
 
 
-def _split_paths(rows: DataFrame, series: Series) -> DataFrame:
-    """The running columns over blocks, each carried on from the blocks before.
+def _local(signalled: DataFrame, series: Series, labels: Sequence[str]) -> DataFrame:
+    """Each path inside its block, as if it began there with nothing: money spent, holdings
+    less that, the same of the row before, and its greatest value so far."""
+    close = F.col("close_price")
+    rows = signalled if BLOCK in signalled.columns else signalled.withColumn(BLOCK, series.block())
+    rows = rows.withColumns(
+        {
+            "holdings": F.col("signal") * SHARES * close,
+            "_spent": F.coalesce(F.col("positions") * SHARES * close, F.lit(0)),
+        }
+    )
+    frame = Frame((*series.keys, BLOCK, *labels), series.order)
+    rows = rows.withColumn("_sum", F.sum("_spent").over(frame.so_far))
+    rows = rows.withColumn("_net", F.col("holdings") - F.col("_sum"))
+    return rows.withColumns(
+        {"_net_before": F.lag("_net").over(frame.window), "_best": F.max("_net").over(frame.so_far)}
+    )
 
-    One aggregate gives what a block adds to the money spent, its last holdings
-    and its best total before carrying; a window over blocks, far fewer than
-    rows, turns those into what each block starts from.
+
+def _starts(rows: DataFrame, newest: Column, series: Series, labels: Sequence[str]) -> DataFrame:
+    """What the paths of each block start from, by their labels: cash, and the total and the
+    peak of the row before.
+
+    One aggregate gives what a block adds to the money spent, its last holdings and its
+    best value; a window over blocks, far fewer than rows, adds these up, and each block
+    hands them to the next one that its series has, or else the newest.
     """
-    if POS not in rows.columns:
-        rows = number_rows(rows, series)
-    # Read twice below; without a checkpoint all signals would be worked out twice.
-    ensure_checkpoints(rows.sparkSession)
-    rows = rows.withColumn(BLOCK, series.block()).checkpoint()
-    by = (*series.keys, BLOCK)
-    local = Frame(by, POS)
-    rows = rows.withColumn("_sum", F.sum("_spent").over(local.so_far)).withColumn(
-        "_net", F.col("holdings") - F.col("_sum")
-    )
-    blocks = rows.groupBy(*by).agg(
+    ends = rows.filter(F.col(BLOCK) < newest).groupBy(*series.keys, BLOCK, *labels).agg(
         F.sum("_spent").alias("_all"),
-        F.max("_net").alias("_best"),
-        F.max_by("holdings", POS).alias("_held"),
+        F.max("_net").alias("_top"),
+        F.max_by("holdings", series.order).alias("_held"),
     )
-    chain = Frame(series.keys, BLOCK)
-    blocks = blocks.withColumn(
-        "_start", CAPITAL - F.coalesce(F.sum("_all").over(chain.before), F.lit(0))
+    chain = Frame((*series.keys, *labels), BLOCK)
+    ends = ends.withColumn("_cash", CAPITAL - F.coalesce(F.sum("_all").over(chain.before), F.lit(0)))
+    after = F.struct(
+        (F.col("_cash") - F.col("_all")).alias("cash"),
+        (F.col("_cash") - F.col("_all") + F.col("_held")).alias("total"),
+        F.max(F.col("_cash") + F.col("_top")).over(chain.so_far).alias("peak"),
     )
-    starts = blocks.select(
-        *by, "_start",
-        F.lag(F.col("_start") - F.col("_all") + F.col("_held")).over(chain.window).alias("_total0"),
-        F.max(F.col("_start") + F.col("_best")).over(chain.before).alias("_peak0"),
-    )
-    rows = rows.join(starts, list(by))
-    total = F.col("_start") + F.col("_net")
-    best = F.col("_start") + F.max("_net").over(local.so_far)
-    return rows.withColumns(
-        {
-            "cash": F.col("_start") - F.col("_sum"),
-            "total": total,
-            "_previous": F.coalesce(F.lag(total).over(local.window), F.col("_total0")),
-            "_peak": F.greatest(best, F.col("_peak0")),
-        }
-    ).drop("_sum", "_net", "_start", "_total0", "_peak0", BLOCK)
+    following = F.coalesce(F.lead(BLOCK).over(chain.window), newest)
+    ends = ends.select(*series.keys, following.alias(BLOCK), F.struct(F.struct(*labels), after).alias("_path"))
+    return ends.groupBy(*series.keys, BLOCK).agg(F.map_from_entries(F.collect_list("_path")).alias("_starts"))
 
 
 def _ratio(mean: Column, spread: Column) -> Column:
@@ -135,7 +140,13 @@ def metrics(paths: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _paths(bars: DataFrame, series: Series, strategies: Sequence[Strategy]) -> DataFrame:
-    return portfolio(signal_paths(bars, series, strategies), series.within(PATH))
+    """The paths of all strategies, a group of them at a time: a task has one block of a
+    series, at most 31 bars a month, times the group's paths."""
+    parts, newest = [], series.newest(bars)
+    for first, group in groups(strategies):
+        rows = portfolio(signal_paths(bars, series, group), series, (PATH,), newest)
+        parts.append(rows.withColumn(PATH, F.col(PATH) + first))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def paths(

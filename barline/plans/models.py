@@ -73,7 +73,7 @@ def with_averages(df: DataFrame, frame: Frame) -> DataFrame:
 
 def enrich_stock_bars(staged: DataFrame, series: Series) -> DataFrame:
     """Moving averages over 20, 50 and 120 rows, change and range per ticker."""
-    measured = over_series(staged, series, ENRICHED_LOOKBACK, with_averages).drop(POS)
+    measured = over_series(staged, series, ENRICHED_LOOKBACK, with_averages, columns=["close_price"]).drop(POS)
     return measured.withColumns({c: round_price(F.col(c)) for c in ROUNDED}).select(
         "loaded_at", "stock_bar_id", "ticker", "trade_date", *ROUNDED,
         "price_change_1d", "daily_price_range", "volume", "transactions",

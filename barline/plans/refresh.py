@@ -35,8 +35,7 @@ def recompute_enriched(enriched: DataFrame, staged: DataFrame, batch: DataFrame)
         .drop("_rank")
     )
     again = context.unionByName(affected.filter(is_new)).drop("changed_from")
-    series = Series.measured(staged)
-    computed = models.enrich_stock_bars(again, series).join(changed, "ticker").filter(is_new)
+    computed = models.enrich_stock_bars(again, Series()).join(changed, "ticker").filter(is_new)
     kept = enriched.join(changed, "ticker", "left").filter(
         F.col("changed_from").isNull() | (F.col("trade_date") < F.col("changed_from"))
     )
@@ -80,7 +79,7 @@ def refresh(spark: SparkSession, stock_history: DataFrame, option_history: DataF
     rebuild(models.stage_stock_bars(stock_history), paths["stg_stock_bars"])
     rebuild(models.stage_option_bars(option_history), paths["stg_option_bars"])
     staged = table("stg_stock_bars")
-    rebuild(models.enrich_stock_bars(staged, Series.measured(staged)), paths["enriched_stock_bars"])
+    rebuild(models.enrich_stock_bars(staged, Series()), paths["enriched_stock_bars"])
     rebuild(models.enrich_option_bars(table("stg_option_bars")), paths["enriched_option_bars"])
     joined = models.join_options_to_stocks(table("enriched_option_bars"), table("enriched_stock_bars"))
     rebuild(joined, paths["stocks_options_joined"])

@@ -2,23 +2,26 @@
 
 Each strategy asks for the indicators it reads and gives a condition on them.
 The indicators of all strategies are computed side by side over the same series
-windows, then each row becomes one row per strategy, so the bars are shuffled
-once however many parameter sets there are.
+windows, then each row becomes one row per strategy. Strategies are dealt in groups of
+``GROUP``, each a shuffle and tasks of its own, so a task never holds more than one block
+of a ticker for one group, however many parameter sets there are.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.operators.indicators import Indicators
-from barline.operators.series import POS, Frame, Series, over_series
+from barline.operators.series import BLOCK, POS, Frame, Series, blocked, over_series
 
 LABELS = ("strategy", "params")
 PATH = "path"  # the place of a strategy in the list given, narrow enough to sort by
+GROUP = 8
 
 
 @dataclass(frozen=True)
@@ -128,17 +131,16 @@ def signals(bars: DataFrame, strategy: Strategy, series: Series) -> DataFrame:
         )
         return held.withColumn("positions", F.col("signal") - F.lag("signal").over(frame.window))
 
-    return over_series(bars, series, ind.lookback + 1, build).drop(POS)
+    return over_series(bars, series, ind.lookback + 1, build, ind.carried, [ind.price]).drop(POS)
 
 
 def signal_paths(
     bars: DataFrame, series: Series, strategies: Sequence[Strategy] = DEFAULTS
 ) -> DataFrame:
-    """Rows of (bar, path, signal, positions) for every strategy given.
+    """Rows of (bar, path, signal, positions) for every strategy given, one group of them.
 
-    Keeps ``_pos`` for the portfolio that follows. Exploding after the windows
-    keeps rows where they are: the bars' partitioning by ticker also serves
-    windows by ticker and path.
+    Keeps ``_block`` for the portfolio that follows. Exploding after the windows keeps rows
+    where they are: the bars' partitioning by ticker and block also serves windows by path.
     """
     ind = Indicators()
     held = {f"_on{i}": _held(s.signal(ind)[1]) for i, s in enumerate(strategies)}
@@ -150,9 +152,14 @@ def signal_paths(
             for i, n in enumerate(held)
         )
         changed = rows.select(*df.columns, F.expr(f"array({entries})").alias("_entries"))
-        return changed.select(*df.columns, F.inline("_entries"))
+        return changed.select(*df.columns, F.inline_outer("_entries"))
 
-    return over_series(bars, series, ind.lookback + 1, build)
+    return blocked(bars, series, ind.lookback + 1, build, ind.carried, [ind.price]).drop(POS)
+
+
+def groups(strategies: Sequence[Strategy]) -> list[tuple[int, Sequence[Strategy]]]:
+    """(path of the first, strategies) of each group."""
+    return [(i, strategies[i : i + GROUP]) for i in range(0, len(strategies), GROUP)]
 
 
 def labelled(rows: DataFrame, strategies: Sequence[Strategy]) -> DataFrame:
@@ -168,7 +175,11 @@ def all_signals(
     bars: DataFrame, series: Series, strategies: Sequence[Strategy] = DEFAULTS
 ) -> DataFrame:
     """Rows of (bar, strategy, params, signal, positions) for every strategy given."""
-    return labelled(signal_paths(bars, series, strategies), strategies).drop(POS)
+    parts = [
+        signal_paths(bars, series, group).drop(BLOCK).withColumn(PATH, F.col(PATH) + first)
+        for first, group in groups(strategies)
+    ]
+    return labelled(reduce(DataFrame.unionByName, parts), strategies)
 
 
 def trade_events(signalled: DataFrame) -> DataFrame:

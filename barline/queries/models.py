@@ -41,8 +41,7 @@ JOINED = """joined AS (
 
 
 def enriched_stock(spark, sf_dir):
-    staged = fx.staged_stock(spark, sf_dir)
-    return models.enrich_stock_bars(staged, Series.measured(staged))
+    return models.enrich_stock_bars(fx.staged_stock(spark, sf_dir), Series())
 
 
 def mart(spark, sf_dir):
@@ -52,7 +51,7 @@ def mart(spark, sf_dir):
 def closes(spark, sf_dir):
     """The bars strategies run on, and how to window them."""
     staged = fx.staged_stock(spark, sf_dir)
-    series = Series.measured(staged)
+    series = Series()
     table = models.stock_performance(models.enrich_stock_bars(staged, series))
     return strategies.trading_bars(table), series
 
@@ -74,8 +73,8 @@ def enriched_bars(spark, sf_dir):
 
 @query("enriched_bars_split", with_sql(BARS, STAGED, ENRICHED, f"SELECT {shown(ENRICHED_SHOWN)} FROM enriched"))
 def enriched_bars_split(spark, sf_dir):
-    """The same table by the plan for long series: blocks of 512 rows."""
-    return models.enrich_stock_bars(fx.staged_stock(spark, sf_dir), Series(block_rows=512))
+    """The same table in blocks of two years, which carry over what reaches across."""
+    return models.enrich_stock_bars(fx.staged_stock(spark, sf_dir), Series(months=24))
 
 
 @query("enriched_options", with_sql(OPTIONS, STAGED_OPTIONS, f"""
@@ -125,7 +124,7 @@ def ticker_filter(spark, sf_dir):
 def date_slice(spark, sf_dir):
     """A mean over two years: warm-up starts over on the first day of the slice."""
     staged = fx.staged_stock(spark, sf_dir)
-    series = Series.measured(staged)
+    series = Series()
     table = models.stock_performance(models.enrich_stock_bars(staged, series))
     bars = strategies.trading_bars(table, "1997-01-01", "1998-12-31").drop("volume")
     price = F.col("close_price").cast("double")

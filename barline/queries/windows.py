@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from barline import fixtures as fx
 from barline.operators import rolling
 from barline.operators.indicators import Indicators
-from barline.operators.series import Series, over_series
+from barline.operators.series import Series, over_series, running
 from barline.plans import models
 from barline.queries.models import closes
 from barline.queries.registry import BARS, CLOSES, ENRICHED, STAGED, query, shown, with_sql
@@ -62,21 +62,21 @@ def with_price(spark, sf_dir):
 
 def indicated(spark, sf_dir, ind, columns):
     bars, series = closes(spark, sf_dir)
-    added = over_series(bars, series, ind.lookback, ind.add)
+    added = over_series(bars, series, ind.lookback, ind.add, ind.carried)
     return added.select("ticker", "trade_date", *[c.alias(name) for name, c in columns.items()])
 
 
 @query("sma", with_sql(BARS, STAGED, ENRICHED, f"SELECT {shown('ticker trade_date:d moving_avg_20d:n moving_avg_50d:n moving_avg_120d:n')} FROM enriched"))
 def sma(spark, sf_dir):
     staged = fx.staged_stock(spark, sf_dir)
-    enriched = models.enrich_stock_bars(staged, Series.measured(staged))
+    enriched = models.enrich_stock_bars(staged, Series())
     return enriched.select("ticker", "trade_date", *models.AVERAGES)
 
 
 @query("price_change", with_sql(BARS, STAGED, ENRICHED, f"SELECT {shown('ticker trade_date:d price_change_1d:n')} FROM enriched"))
 def price_change(spark, sf_dir):
     staged = fx.staged_stock(spark, sf_dir)
-    enriched = models.enrich_stock_bars(staged, Series.measured(staged))
+    enriched = models.enrich_stock_bars(staged, Series())
     return enriched.select("ticker", "trade_date", "price_change_1d")
 
 
@@ -113,10 +113,10 @@ def bollinger(spark, sf_dir):
 def ema(spark, sf_dir):
     bars, series = with_price(spark, sf_dir)
 
-    def averages(df, frame):
-        return rolling.with_emas(df, frame, {"ema_12": ("x", 12), "ema_26": ("x", 26)})
-
-    return over_series(bars, series, rolling.ema_lookback(12, 26), averages).select("ticker", "trade_date", "ema_12", "ema_26")
+    averages = rolling.Averages("x")
+    shown_as = {averages.average(span): f"ema_{span}" for span in (12, 26)}
+    added = over_series(bars, series, 1, averages.add, averages)
+    return added.select("ticker", "trade_date", *(F.col(c).alias(name) for c, name in shown_as.items()))
 
 
 @query("diff", with_sql(BARS, CLOSES, f"SELECT {LABEL}, CAST(close_price - lag(close_price) OVER ({BY_DATE}) AS DOUBLE) AS change FROM closes"))
@@ -137,14 +137,14 @@ def returns(spark, sf_dir):
 def drawdown(spark, sf_dir):
     """How far each close lies under the highest close so far."""
     bars, series = with_price(spark, sf_dir)
-    peaked = rolling.running(bars, series, "x", "max", "peak")
+    peaked = running(bars, series, "x", "max", "peak")
     return peaked.select("ticker", "trade_date", ((F.col("x") - F.col("peak")) / F.col("peak")).alias("drawdown"))
 
 
 @query("running_sum", with_sql(BARS, CLOSES, f"SELECT {LABEL}, CAST(sum(volume) OVER ({BY_DATE}) AS BIGINT) AS volume_so_far FROM closes"))
 def running_sum(spark, sf_dir):
     bars, series = closes(spark, sf_dir)
-    return rolling.running(bars, series, "volume", "sum", "volume_so_far").select("ticker", "trade_date", "volume_so_far")
+    return running(bars, series, "volume", "sum", "volume_so_far").select("ticker", "trade_date", "volume_so_far")
 
 
 @query("ffill", with_sql(BARS, CLOSES, f"""
@@ -154,7 +154,7 @@ def ffill(spark, sf_dir):
     """The close of the last busy day, carried over quiet ones."""
     bars, series = closes(spark, sf_dir)
     busy = F.when(F.col("volume") > 300, F.col("close_price").cast("double"))
-    filled = rolling.running(bars.withColumn("busy", busy), series, "busy", "ffill", "last_busy_close")
+    filled = running(bars.withColumn("busy", busy), series, "busy", "ffill", "last_busy_close")
     return filled.select("ticker", "trade_date", "last_busy_close")
 
 

@@ -37,7 +37,7 @@ def expected_metrics(path, signal):
     }
 
 
-@pytest.mark.parametrize("series", [Series(), Series(block_rows=64)], ids=["plain", "split"])
+@pytest.mark.parametrize("series", [Series(), Series(months=2)], ids=["plain", "split"])
 def test_paths_and_metrics_match_pandas(prices, series):
     paths = backtest.paths(prices(SERIES), series)
     found = {k: g.sort_values("trade_date") for k, g in paths.toPandas().groupby(["ticker", "strategy"])}
@@ -69,7 +69,7 @@ def by_hand(spark, prices, values, signal):
     signalled = spark.createDataFrame(
         rows, "ticker string, trade_date date, close_price decimal(19,4), signal int, positions int, strategy string, params string"
     )
-    paths = backtest.portfolio(signalled, Series().within("strategy", "params"))
+    paths = backtest.portfolio(signalled, Series(), ("strategy", "params"))
     return paths.orderBy("trade_date").collect(), backtest.metrics(paths, KEYS).first()
 
 
@@ -97,3 +97,23 @@ def test_formatted_metrics(spark):
     text = backtest.formatted(spark.createDataFrame([row, (None, 0.0, 0, 0.0, 0.0, 2.0)], names)).collect()
     assert text[0].total_return == "12.35%" and text[0].max_drawdown == "-4.00%" and text[0].profit_factor == "inf"
     assert text[1].total_return == "N/A" and text[1].profit_factor == "2.00"
+
+
+def test_many_sets_of_one_ticker_are_dealt_to_many_tasks(spark, prices):
+    """200 parameter sets: no task has more rows than a group's paths times a block's bars."""
+    grid = [st.Rsi(2 + i % 25, 30, 50 + i) for i in range(200)]
+    bars, series = prices({"HOT": SERIES["WALK"]}), Series(months=6)
+    report = backtest.report(bars, series, grid[:24])
+    execution = report._jdf.queryExecution().optimizedPlan().toString()
+    assert execution.count("Generate inline") >= 2 * 24 // st.GROUP
+    groups = st.groups(grid)
+    assert len(groups) == 25 and max(len(g) for _, g in groups) == st.GROUP
+    for first, group in groups[:2]:
+        signalled = st.signal_paths(bars, series, group)
+        rows = signalled.groupBy("ticker", "_block").count().toPandas()["count"]
+        assert rows.max() <= st.GROUP * series.frame.rows and len(rows) > 3
+    got = report.toPandas()
+    assert len(got) == 24 and set(got["params"]) == {st.label(s) for s in grid[:24]}
+    again = backtest.report(bars, Series(), grid[17:18]).toPandas().iloc[0]
+    same = got[got["params"] == again["params"]].iloc[0]
+    assert all(same[c] == pytest.approx(again[c], abs=1e-9) for c in got.columns[3:])

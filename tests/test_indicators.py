@@ -8,11 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from barline.operators.indicators import Indicators
-from barline.operators.rolling import ema_lookback, ema_segment, with_emas
+from barline.operators.rolling import Averages, weighty_rows
 from barline.operators.series import Series, over_series
 from barline.plans import strategies as st
 
-PLAIN, SPLIT = Series(), Series(block_rows=64)
+PLAIN, SPLIT = Series(), Series(months=2)
 
 
 def walk(n, seed, start=50.0):
@@ -62,7 +62,7 @@ def test_indicators_match_pandas(prices, series):
     upper, lower = ind.bollinger(20, 2.0)
     line, signal = ind.macd(12, 26, 9)
     shown = {"rsi": ind.rsi(14), "upper": upper, "lower": lower, "line": line, "signal": signal, "mean": ind.mean(20)}
-    added = over_series(prices(SERIES), series, ind.lookback, ind.add)
+    added = over_series(prices(SERIES), series, ind.lookback, ind.add, ind.carried)
     found = collected(added.select("ticker", "trade_date", *[c.alias(n) for n, c in shown.items()]), *shown)
     for ticker, values in SERIES.items():
         x, got = pd.Series(values), found[ticker]
@@ -76,36 +76,49 @@ def test_indicators_match_pandas(prices, series):
         same(got["signal"], want_signal)
 
 
-@pytest.mark.parametrize("spans", [(1,), (2,), (9, 12, 26), (3, 400), (1, 2, 1000)])
-def test_averages_match_pandas_at_any_span(prices, spans):
-    bars = prices({"LONG": walk(3000, 5)}).withColumn("x", F.col("close_price").cast("double"))
-    names = {f"e{s}": ("x", s) for s in spans}
-    added = over_series(bars, PLAIN, ema_lookback(*spans), lambda d, f: with_emas(d, f, names))
-    got = collected(added, *names)["LONG"]
+def averaged(prices, values, spans, series):
+    bars = prices({"X": values}).withColumn("x", F.col("close_price").cast("double"))
+    averages = Averages("x")
+    names = [averages.average(span) for span in spans]
+    got = collected(over_series(bars, series, 1, averages.add, averages), *names)["X"]
+    return [got[name] for name in names]
+
+
+@pytest.mark.parametrize("series", [PLAIN, SPLIT, Series(months=30)], ids=["plain", "split", "years"])
+@pytest.mark.parametrize("spans", [(1,), (2,), (9, 12, 26), (3, 400), (1, 2, 1000)], ids=str)
+def test_averages_match_pandas_at_any_span(prices, spans, series):
     x = pd.Series(walk(3000, 5))
-    for span in spans:
-        same(got[f"e{span}"], x.ewm(span=span, adjust=False).mean(), 1e-12)
+    for span, got in zip(spans, averaged(prices, x.tolist(), spans, series), strict=True):
+        same(got, x.ewm(span=span, adjust=False).mean(), 1e-12)
 
 
-@pytest.mark.parametrize("spike", [1e6, 1e9, 1e14])
-def test_averages_remember_a_spike_at_a_segment_end(prices, spike):
-    size = ema_segment(12)
-    for at in (size - 1, 2 * size - 1):
-        x = pd.Series([0.01] * (at + 3 * size))
+@pytest.mark.parametrize("span", [2, 12, 40])
+@pytest.mark.parametrize("series", [PLAIN, SPLIT], ids=["plain", "split"])
+@pytest.mark.parametrize("spike", [1e6, 1e14])
+def test_averages_remember_a_spike(prices, spike, series, span):
+    for at in (30, 365, 364 + 366):  # a month's, and a year's first and last days
+        x = pd.Series([0.01] * 1500)
         x[at] = spike
-        bars = prices({"S": x.tolist()}).withColumn("x", F.col("close_price").cast("double"))
-        added = over_series(bars, PLAIN, ema_lookback(12), lambda d, f: with_emas(d, f, {"e": ("x", 12)}))
-        same(collected(added, "e")["S"]["e"], x.ewm(span=12, adjust=False).mean(), 1e-12)
+        (got,) = averaged(prices, x.tolist(), (span,), series)
+        same(got / x.ewm(span=span, adjust=False).mean(), [1.0] * len(x), 1e-12)
 
 
-def test_split_and_plain_averages_are_the_same_bits(prices):
-    bars = prices({"LONG": walk(3000, 6)}).withColumn("x", F.col("close_price").cast("double"))
+@pytest.mark.parametrize("lines", [(12, 26, 9), (2, 3, 2), (5, 20, 5), (1, 9, 1), (9, 2, 40)], ids=str)
+def test_lines_and_signals_go_from_block_to_block(prices, lines):
+    ind = Indicators()
+    line, signal = ind.macd(*lines)
+    for series in (PLAIN, SPLIT, Series(months=1)):
+        added = over_series(prices({"X": walk(900, 8)}), series, 1, ind.add, ind.carried)
+        got = collected(added.select("ticker", "trade_date", line.alias("line"), signal.alias("signal")), "line", "signal")["X"]
+        want_line, want_signal = macd(pd.Series(walk(900, 8)), *lines)
+        same(got["line"], want_line, 1e-11)
+        same(got["signal"], want_signal, 1e-11)
 
-    def run(series):
-        names = {"a": ("x", 12), "b": ("x", 26)}
-        return collected(over_series(bars, series, ema_lookback(12, 26), lambda d, f: with_emas(d, f, names)), "a", "b")
 
-    assert run(PLAIN)["LONG"].equals(run(Series(block_rows=200))["LONG"])
+def test_weights_of_a_year_fit_any_span():
+    assert weighty_rows(2) >= 366 and weighty_rows(9) >= PLAIN.frame.rows
+    with pytest.raises(ValueError):
+        Averages("x").average(1.5)
 
 
 def expected_signal(x, strategy):
@@ -144,7 +157,7 @@ def test_flat_prices_never_signal(prices):
 def test_rsi_edges(prices):
     ind = Indicators()
     strength = ind.rsi(14)
-    added = over_series(prices(SERIES), PLAIN, ind.lookback, ind.add)
+    added = over_series(prices(SERIES), PLAIN, ind.lookback, ind.add, ind.carried)
     got = collected(added.withColumn("rsi", strength), "rsi")
     assert got["UP"]["rsi"][13:].eq(100).all() and got["UP"]["rsi"][:13].isna().all()
     assert got["DOWN"]["rsi"][13:].eq(0).all()

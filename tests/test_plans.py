@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from barline import fixtures as fx
 from barline.operators.series import Series
-from barline.plans import backtest, models
+from barline.plans import backtest, models, strategies
 from barline.queries.models import closes, mart
 from barline.sources.documents import listed
 
@@ -22,16 +22,25 @@ def count(text, node):
     return len(re.findall(rf"\b{node} ", text))
 
 
+def main_part(df):
+    """The plan above the union of rows and copies, and that of what older blocks hand on."""
+    text = plan(df)
+    return text[: text.index("Union")], text[text.index("Union") :]
+
+
 def test_enriched_bars_shuffle_and_sort_once(spark):
-    text = plan(models.enrich_stock_bars(fx.staged_stock(spark, SF), Series()))
-    assert count(text, "Exchange") == 1 and count(text, "Sort") == 1
+    main, copies = main_part(models.enrich_stock_bars(fx.staged_stock(spark, SF), Series()))
+    assert count(main, "Exchange") == 1 and count(main, "Sort") == 1
+    # Older blocks are cut at the scan; of their columns only those that frames read go on.
+    assert "close" in copies and "collect_list(struct(trade_date, trade_date" in copies and "transactions" not in copies[copies.index("collect_list") :]
 
 
-def test_a_whole_backtest_shuffles_bars_once(spark):
+def test_signals_shuffle_and_sort_bars_once_for_all_strategies(spark):
     bars, series = closes(spark, SF)
+    main, _ = main_part(strategies.signal_paths(bars, series))
+    assert count(main, "Exchange") == 1 and count(main, "Sort") == 1
     text = plan(backtest.paths(bars, series))
-    assert count(text, "Exchange") == 1
-    assert "Python" not in text and "CartesianProduct" not in text
+    assert "Python" not in text and "CartesianProduct" not in text and "NestedLoop" not in text
 
 
 def test_scans_read_only_needed_columns_and_push_filters(spark):
