@@ -38,8 +38,8 @@ from barline.llm.words import GOLDEN, bounds, chunks, mix, raw, run_hashes
 # What cuts texts and pieces, and the language of texts that name none.
 PIECE_ENDS, BLANKS, NO_LANG = b".,;:!?\n\x0b\x0c\r", b" \t", "und"
 SCALE = 1_000_000
-CHUNK_BYTES = 8 << 20
-SLICE_ROWS = 100_000
+CHUNK_BYTES = 4 << 20
+SLICE_ROWS = 50_000
 MARK_BITS = 26
 
 KIND = np.zeros(256, np.uint8)
@@ -97,15 +97,16 @@ def counted(langs: pa.Array, texts: pa.Array, order: int, marks: Marks | None =
     lang, word = langs.indices.to_numpy()[owner].astype(np.int64), words.indices.to_numpy().astype(np.int64)
     many = len(words.dictionary)
     one, at, n = np.unique(lang * many + word, return_inverse=True, return_counts=True)
-    names, said = langs.dictionary.take(pa.array(one // many)), words.dictionary.take(pa.array(one % many))
+    held = (langs.dictionary, words.dictionary)
+    lang_of, word_of = one // many, one % many
     if order == 1:
-        yield from rows(langs.dictionary, [], np.bincount(lang, minlength=len(langs.dictionary)))
-        yield from rows(names, [said], n)
+        yield from rows(*held, np.arange(len(langs.dictionary)), [], np.bincount(lang, minlength=len(langs.dictionary)))
+        yield from rows(*held, lang_of, [word_of], n)
         return
     begins = np.flatnonzero(follows)
     marked = None
     if marks is not None:
-        marked = mix(hashes(words.dictionary)[one % many] + GOLDEN * hashes(langs.dictionary)[one // many])
+        marked = mix(hashes(words.dictionary)[word_of] + GOLDEN * hashes(langs.dictionary)[lang_of])
         if order == 2:
             frequent = marks[marked][at]
             begins = begins[frequent[begins] & frequent[begins + 1]]
@@ -113,7 +114,7 @@ def counted(langs: pa.Array, texts: pa.Array, order: int, marks: Marks | None =
     if order == 2:
         two, n = np.unique(pairs, return_counts=True)
         heads, tails = two // len(one), two % len(one)
-        yield from rows(names.take(pa.array(heads)), [said.take(pa.array(x)) for x in (heads, tails)], n)
+        yield from rows(*held, lang_of[heads], [word_of[heads], word_of[tails]], n)
         return
     two, pair = np.unique(pairs, return_inverse=True)
     heads, tails = two // len(one), two % len(one)
@@ -124,7 +125,7 @@ def counted(langs: pa.Array, texts: pa.Array, order: int, marks: Marks | None =
         longer = longer[frequent[longer + 1]]  # the pair that begins at the last word's place
     three, n = np.unique(pair[longer] * len(one) + at[begins[longer] + 2], return_counts=True)
     parts = [two[three // len(one)] // len(one), two[three // len(one)] % len(one), three % len(one)]
-    yield from rows(names.take(pa.array(parts[0])), [said.take(pa.array(x)) for x in parts], n)
+    yield from rows(*held, lang_of[parts[0]], [word_of[x] for x in parts], n)
 
 
 def joint(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -136,12 +137,15 @@ def dictionary(values: pa.Array) -> pa.DictionaryArray:
     return found.combine_chunks() if isinstance(found, pa.ChunkedArray) else found
 
 
-def rows(lang: pa.Array, words: list[pa.Array], n: np.ndarray) -> Iterator[pa.RecordBatch]:
+def rows(langs: pa.Array, words: pa.Array, lang: np.ndarray, said: list[np.ndarray], n: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """Phrases, a slice at a time, from the places of their languages and words."""
+    blank, feed = pa.scalar(" ", pa.large_string()), pa.scalar("\n", pa.large_string())
     for low in range(0, len(n), SLICE_ROWS):
-        part = [x.slice(low, SLICE_ROWS) for x in (lang, *words)]
-        said = pc.binary_join_element_wise(*part[1:], pa.scalar(" ", pa.large_string())) if words else pa.array([""] * len(part[0]), pa.large_string())
-        phrase = pc.binary_join_element_wise(part[0], said, pa.scalar("\n", pa.large_string()))
-        yield pa.record_batch([phrase, pa.array(n[low : low + SLICE_ROWS], pa.int64())], names=["phrase", "n"])
+        part = slice(low, low + SLICE_ROWS)
+        phrase = [words.take(pa.array(x[part])) for x in said]
+        phrase = pc.binary_join_element_wise(*phrase, blank) if phrase else pa.array([""] * len(lang[part]), pa.large_string())
+        phrase = pc.binary_join_element_wise(langs.take(pa.array(lang[part])), phrase, feed)
+        yield pa.record_batch([phrase, pa.array(n[part], pa.int64())], names=["phrase", "n"])
 
 
 def tally(order: int, marks=None):
@@ -154,6 +158,7 @@ def tally(order: int, marks=None):
             for part in chunks(batch.column(1), CHUNK_BYTES):
                 yield from counted(batch.column(0).slice(low, len(part)).cast(pa.large_string()), part, order, known)
                 low += len(part)
+                pa.default_memory_pool().release_unused()
 
     return run
 
