@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from datetime import date
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from barline.operators.merge import replace_by_key
 from barline.operators.series import Series
 from barline.plans import models
-from barline.sources.tables import PERIOD, finish_replacing, period, read_table, rebuild, replace_periods
+from barline.sources.versions import PERIOD, commit, period, pinned, read
 
 
 def changed_from(batch: DataFrame) -> DataFrame:
@@ -42,46 +45,152 @@ def recompute_enriched(enriched: DataFrame, staged: DataFrame, batch: DataFrame)
     return kept.select(enriched.columns).unionByName(computed.select(enriched.columns))
 
 
-def update_enriched(
-    spark: SparkSession, path: str, staged: DataFrame, batch: DataFrame, grain: str = "month"
-) -> None:
-    """``recompute_enriched`` on the stored table, from the batch's first period on.
+# --- stored models -----------------------------------------------------------------------
 
-    Rows before a ticker's first changed date stay as they are, so earlier
-    periods are neither read nor written: a day's load rewrites one of them.
-    """
-    since = batch.agg(F.min(period(grain))).first()[0]
-    if since is None:
-        return
-    schema = T.StructType([f for f in spark.read.parquet(path).schema if f.name != PERIOD])
-    finish_replacing(spark, path, schema)
-    recent = read_table(spark, path, schema, since=since)
-    replace_periods(recompute_enriched(recent, staged, batch), path, grain)
 
+@dataclass(frozen=True)
+class Models:
+    """Where the model tables lie, and how their periods are cut: stocks by month, options
+    by a finer grain, as there are more of them."""
+
+    root: str
+    stock_grain: str = "month"
+    option_grain: str = "day"
+
+    def path(self, name: str) -> str:
+        return f"{self.root}/{name}"
+
+    def grain(self, name: str) -> str:
+        return self.option_grain if "option" in name else self.stock_grain
 
-def refresh(spark: SparkSession, stock_history: DataFrame, option_history: DataFrame, root: str) -> dict[str, str]:
-    """Write every model table below ``root`` and return their paths.
+
+TABLES = (
+    "stg_stock_bars", "stg_option_bars", "stock_row_counts", "enriched_stock_bars", "enriched_option_bars",
+    "stocks_options_joined", "fct_stock_performance",
+)
+
+
+def refresh(spark: SparkSession, stock_history: DataFrame, option_history: DataFrame, to: Models) -> dict[str, str]:
+    """Write every model table from the histories and return their paths.
 
     Each step reads the tables before it, so no step computes another's work
     again and a lost executor costs at most the step it was running.
     """
-    paths = {
-        name: f"{root}/{name}"
-        for name in (
-            "stg_stock_bars", "stg_option_bars", "enriched_stock_bars",
-            "enriched_option_bars", "stocks_options_joined", "fct_stock_performance",
-        )
-    }
-
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(paths[name])
-
-    rebuild(models.stage_stock_bars(stock_history), paths["stg_stock_bars"])
-    rebuild(models.stage_option_bars(option_history), paths["stg_option_bars"])
-    staged = table("stg_stock_bars")
-    rebuild(models.enrich_stock_bars(staged, Series()), paths["enriched_stock_bars"])
-    rebuild(models.enrich_option_bars(table("stg_option_bars")), paths["enriched_option_bars"])
-    joined = models.join_options_to_stocks(table("enriched_option_bars"), table("enriched_stock_bars"))
-    rebuild(joined, paths["stocks_options_joined"])
-    rebuild(models.stock_performance(table("enriched_stock_bars")), paths["fct_stock_performance"])
-    return paths
+    def rebuild(name: str, rows: DataFrame) -> DataFrame:
+        commit(rows, to.path(name), to.grain(name), whole=True)
+        return read(spark, to.path(name))
+
+    staged = rebuild("stg_stock_bars", models.stage_stock_bars(stock_history))
+    options = rebuild("stg_option_bars", models.stage_option_bars(option_history))
+    rebuild("stock_row_counts", row_counts(staged, to))
+    stocks = rebuild("enriched_stock_bars", models.enrich_stock_bars(staged, Series()))
+    options = rebuild("enriched_option_bars", models.enrich_option_bars(options))
+    rebuild("stocks_options_joined", models.join_options_to_stocks(options, stocks))
+    rebuild("fct_stock_performance", models.stock_performance(stocks))
+    return {name: to.path(name) for name in TABLES}
+
+
+@dataclass
+class Touched:
+    """The periods of each table that an update has read and written."""
+
+    read: dict[str, set[date]]
+    written: dict[str, set[date]]
+
+
+def update(
+    spark: SparkSession, to: Models, stocks: DataFrame | None = None, options: DataFrame | None = None
+) -> Touched:
+    """Bring the model tables up to changed staged bars; equals ``refresh`` of everything.
+
+    Stocks: a changed bar alters its row and the 119 after it in its series, and these read
+    the 119 before them. Which periods hold them is told by the stored row counts per ticker
+    and period; no other period of a table is read or written. The joined table is redone
+    for the periods of changed options, and for those in which options have an underlying
+    whose bars were redone.
+
+    Every step commits by itself and can be run again; an update that was stopped is simply
+    run again with the same bars.
+    """
+    seen = Touched({}, {})
+
+    def take(name: str, periods: set[date]) -> DataFrame:
+        seen.read[name] = seen.read.get(name, set()) | periods
+        return read(spark, to.path(name), periods=periods)
+
+    def put(name: str, rows: DataFrame, periods: set[date]) -> None:
+        if periods:
+            seen.written[name] = seen.written.get(name, set()) | periods
+            commit(rows, to.path(name), to.grain(name))
+
+    def merged(name: str, batch: DataFrame, keys: tuple[str, ...]) -> set[date]:
+        periods = {row[0] for row in batch.select(period(to.grain(name))).distinct().collect()}
+        put(name, replace_by_key(take(name, periods), batch, keys), periods)
+        return periods
+
+    redone: set[date] = set()
+    if stocks is not None:
+        months = merged("stg_stock_bars", stocks, ("ticker", "trade_date"))
+        put("stock_row_counts", row_counts(take("stg_stock_bars", months), to), months)
+        month = period(to.stock_grain).alias(PERIOD)
+        changed = stocks.select("ticker", month).distinct()
+        spans = reach(read(spark, to.path("stock_row_counts")), changed, models.ENRICHED_LOOKBACK)
+        needed = {row[0]: row[1] for row in spans.groupBy(PERIOD).agg(F.max("redo")).collect()}
+        redone = {p for p, redo in needed.items() if redo}
+        again = spans.filter("redo").select("ticker", PERIOD)
+        staged = take("stg_stock_bars", set(needed)).withColumn(PERIOD, month)
+        staged = staged.join(spans.select("ticker", PERIOD), ["ticker", PERIOD], "left_semi").drop(PERIOD)
+        computed = models.enrich_stock_bars(staged, Series()).withColumn(PERIOD, month).join(again, ["ticker", PERIOD], "left_semi")
+        kept = take("enriched_stock_bars", redone).withColumn(PERIOD, month).join(again, ["ticker", PERIOD], "left_anti")
+        put("enriched_stock_bars", kept.unionByName(computed).drop(PERIOD), redone)
+        put("fct_stock_performance", models.stock_performance(take("enriched_stock_bars", redone)), redone)
+
+    days: set[date] = set()
+    if options is not None:
+        days = merged("stg_option_bars", options, ("option_symbol", "trade_date"))
+        put("enriched_option_bars", models.enrich_option_bars(take("stg_option_bars", days)), days)
+    if redone:
+        listed = {date.fromisoformat(p) for p in pinned(spark, to.path("enriched_option_bars")).periods}
+        near = {d for d in listed if start_of(d, to.stock_grain) in {start_of(r, to.stock_grain) for r in redone}}
+        held = take("enriched_option_bars", near).select(
+            F.col("underlying_ticker").alias("ticker"), period(to.stock_grain).alias(PERIOD),
+            period(to.option_grain).alias("day"),
+        ).join(again, ["ticker", PERIOD], "left_semi")
+        days = days | {row[0] for row in held.select("day").distinct().collect()}
+    if days:
+        chosen = take("enriched_option_bars", days)
+        beside = take("enriched_stock_bars", {start_of(d, to.stock_grain) for d in days})
+        put("stocks_options_joined", models.join_options_to_stocks(chosen, beside), days)
+    return seen
+
+
+def start_of(day: date, grain: str) -> date:
+    return day if grain == "day" else day.replace(day=1) if grain == "month" else day.replace(month=1, day=1)
+
+
+def row_counts(staged: DataFrame, to: Models) -> DataFrame:
+    """(ticker, trade_date, n): how many bars each ticker has in a period, dated its first day."""
+    return staged.groupBy("ticker", period(to.stock_grain).alias("trade_date")).agg(F.count("*").alias("n"))
+
+
+def reach(counts: DataFrame, changed: DataFrame, lookback: int) -> DataFrame:
+    """(ticker, period, redo): the periods in which rows must be redone (``redo``) since
+    ``changed`` ones (ticker, period) are at most ``lookback`` rows before them, and those
+    with the rows that these reach back to.
+
+    Between two periods lie as many rows as the sums of counts differ by. A ticker's periods
+    are one array, no longer than the calendar.
+    """
+    own = counts.select("ticker", F.col("trade_date").alias(PERIOD), "n").join(
+        changed.select("ticker").distinct(), "ticker", "left_semi"
+    ).join(changed.withColumn("hit", F.lit(True)), ["ticker", PERIOD], "left")
+    so_far = Window.partitionBy("ticker").orderBy(PERIOD).rowsBetween(Window.unboundedPreceding, 0)
+    placed = own.withColumn("until", F.sum("n").over(so_far)).groupBy("ticker").agg(
+        F.sort_array(F.collect_list(F.struct(PERIOD, "n", "until", F.coalesce("hit", F.lit(False)).alias("hit")))).alias("all")
+    )
+    near = f"({{0}}.{PERIOD} = {{1}}.{PERIOD} OR {{0}}.{PERIOD} < {{1}}.{PERIOD} AND {{1}}.until - {{1}}.n - {{0}}.until < {lookback})"
+    redo = f"filter(all, w -> exists(all, t -> t.hit AND {near.format('t', 'w')}))"
+    placed = placed.withColumn("again", F.expr(redo))
+    placed = placed.withColumn("read", F.expr(f"filter(all, r -> exists(again, w -> {near.format('r', 'w')}))"))
+    flagged = f"transform(read, r -> named_struct('{PERIOD}', r.{PERIOD}, 'redo', exists(again, w -> w.{PERIOD} = r.{PERIOD})))"
+    return placed.select("ticker", F.inline(F.expr(flagged)))

@@ -10,7 +10,7 @@ from barline.queries.registry import BARS, FIXES, query, shown, with_sql
 from barline.queries.scans import GOOD, spoiled, wire_bar
 from barline.session import fresh_path
 from barline.sources import documents as docs
-from barline.sources.tables import read_table
+from barline.sources.versions import read
 from barline.streaming import loads
 
 RAW_SHOWN = "ticker trade_date:d open:n high:n low:n close:n volume vwap:n transactions"
@@ -48,7 +48,7 @@ def two_waves(spark, sf_dir, root, clean=False):
 def stream_load(spark, sf_dir):
     root = fresh_path(spark, "stream")
     two_waves(spark, sf_dir, root)
-    return read_table(spark, f"{root}/stock_bars", schemas.STOCK_BARS).drop("inserted_at")
+    return read(spark, f"{root}/stock_bars", schemas.STOCK_BARS).drop("inserted_at")
 
 
 @query("archive_stream", with_sql(BARS, FIXES, """

@@ -7,12 +7,12 @@ from barline import schemas
 from barline.operators import history, merge
 from barline.operators.batches import batch_ids as add_batch_ids
 from barline.plans import models, refresh
-from barline.queries.models import ENRICHED_SHOWN, enriched_stock
+from barline.queries.models import ENRICHED_SHOWN, JOINED, enriched_stock
 from barline.queries.registry import (
     BARS, ENRICHED, FIXES, OPTIONS, STAGED, STAGED_OPTIONS, enriched_sql, query, shown, with_sql,
 )
 from barline.session import fresh_path
-from barline.sources import documents, tables
+from barline.sources import documents, tables, versions
 
 RAW_SHOWN = "ticker trade_date:d open:n high:n low:n close:n volume vwap:n transactions inserted_at:t"
 FIRST, SECOND = "TIMESTAMP '2024-06-01 00:00:00' AS inserted_at", "TIMESTAMP '2024-06-08 00:00:00' AS inserted_at"
@@ -150,27 +150,50 @@ def late_bar_recompute(spark, sf_dir):
     )
 
 
-@query("full_refresh", with_sql(BARS, STAGED, ENRICHED, OPTIONS, STAGED_OPTIONS, """
-    SELECT 'enriched_stock_bars' AS table_name, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume FROM enriched
-    UNION ALL SELECT 'fct_stock_performance', count(*), CAST(sum(volume) AS BIGINT) FROM enriched
-    UNION ALL SELECT 'stocks_options_joined', count(*), CAST(sum(volume) AS BIGINT) FROM staged_options"""))
-def full_refresh(spark, sf_dir):
-    """Write every model table anew, then count what is in three of them."""
-    stocks = history.first_snapshot(fx.stock_bars(spark, sf_dir), schemas.STOCK_KEY)
-    options = history.first_snapshot(fx.option_bars(spark, sf_dir), schemas.OPTION_KEY)
-    paths = refresh.refresh(spark, stocks, options, fresh_path(spark, "models"))
+MODEL_TOTALS = """
+    SELECT 'enriched_stock_bars' AS table_name, count(*) AS n, CAST(sum(volume) AS BIGINT) AS volume,
+      round(CAST(sum(moving_avg_120d) AS DOUBLE), 4) AS averages FROM enriched
+    UNION ALL SELECT 'fct_stock_performance', count(*), CAST(sum(volume) AS BIGINT), round(CAST(sum(moving_avg_50d) AS DOUBLE), 4) FROM enriched
+    UNION ALL SELECT 'stocks_options_joined', count(*), CAST(sum(option_volume) AS BIGINT),
+      round(CAST(sum(underlying_moving_avg_120d) AS DOUBLE), 4) FROM joined"""
 
-    def counted(name, volume):
-        table = spark.read.parquet(paths[name])
-        totals = table.agg(F.count("*").alias("n"), F.sum(volume).alias("volume"))
-        return totals.select(F.lit(name).alias("table_name"), "n", "volume")
+
+def model_totals(spark, to):
+    def counted(name, volume, average):
+        total = F.round(F.sum(average).cast("double"), 4)
+        totals = versions.read(spark, to.path(name)).agg(F.count("*").alias("n"), F.sum(volume).alias("volume"), total.alias("averages"))
+        return totals.select(F.lit(name).alias("table_name"), "n", "volume", "averages")
 
     return merge.union_batches(
-        counted("enriched_stock_bars", "volume"), counted("fct_stock_performance", "volume"),
-        counted("stocks_options_joined", "option_volume"),
+        counted("enriched_stock_bars", "volume", "moving_avg_120d"), counted("fct_stock_performance", "volume", "moving_avg_50d"),
+        counted("stocks_options_joined", "option_volume", "underlying_moving_avg_120d"),
     )
 
 
+@query("full_refresh", with_sql(BARS, STAGED, ENRICHED, OPTIONS, STAGED_OPTIONS, JOINED, MODEL_TOTALS))
+def full_refresh(spark, sf_dir):
+    """Write every model table anew, then add up three of them."""
+    stocks = history.first_snapshot(fx.stock_bars(spark, sf_dir), schemas.STOCK_KEY)
+    options = history.first_snapshot(fx.option_bars(spark, sf_dir), schemas.OPTION_KEY)
+    to = refresh.Models(fresh_path(spark, "models"), stock_grain="year", option_grain="year")
+    refresh.refresh(spark, stocks, options, to)
+    return model_totals(spark, to)
+
+
+@query("incremental_refresh", with_sql(
+    BARS, FIXES, UPSERTED, LATE_STAGED, enriched_sql("enriched", "late_staged"), OPTIONS, STAGED_OPTIONS, JOINED, MODEL_TOTALS))
+def incremental_refresh(spark, sf_dir):
+    """The model tables after corrected stock bars and late option bars, by their periods."""
+    to = refresh.Models(fresh_path(spark, "models"), stock_grain="year", option_grain="year")
+    options = fx.option_bars(spark, sf_dir)
+    late = F.year("trade_date") % 3 == 0
+    first = history.first_snapshot(fx.stock_bars(spark, sf_dir), schemas.STOCK_KEY)
+    refresh.refresh(spark, first, history.first_snapshot(options.filter(~late), schemas.OPTION_KEY), to)
+    fixed = history.first_snapshot(fx.corrections(spark, sf_dir), schemas.STOCK_KEY)
+    refresh.update(spark, to, models.stage_stock_bars(fixed), models.stage_option_bars(history.first_snapshot(options.filter(late), schemas.OPTION_KEY)))
+    return model_totals(spark, to)
+
+
 @query("dedup_latest", """
     SELECT user_id, CAST(CAST(ts AS DATE) AS VARCHAR) AS trade_date, event_id, event_type, value FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id, CAST(ts AS DATE) ORDER BY event_id DESC) = 1""")

@@ -14,97 +14,16 @@ from barline.functions.dates import weekdays
 from barline.functions.keys import decoded
 from barline.operators.history import first_snapshot, snapshot
 from barline.operators.merge import upsert
+from barline.sources.versions import commit, exists, path_exists, period, read
 
 # --- Parquet tables -----------------------------------------------------------------
 
 
-PERIOD = "period"
-COMPLETE = "_complete"  # marks a staged replacement of which no row is missing
-
-
-def period(grain: str) -> Column:
-    """The partition of a bar: its ``day``, ``month`` or ``year``, as a date."""
-    day = F.col("trade_date")
-    return day if grain == "day" else F.trunc(day, grain)
-
-
-def staging(path: str) -> str:
-    """Where the periods of an unfinished replacement of the table at ``path`` lie."""
-    return f"{path.rstrip('/')}.staged"
-
-
-def replace_periods(df: DataFrame, path: str, grain: str) -> None:
-    """Overwrite the periods ``df`` has rows for, and no others.
-
-    Rebalancing brings a period's rows together for few files, and splits a
-    period too big for one task. Overwriting drops a period's old files before
-    the new ones are in place, so the rows are first written whole beside the
-    table, and marked: whatever stops the second step, ``finish_replacing``
-    takes it up again from them. A table has one writer at a time.
-    """
-    rows = df.withColumn(PERIOD, period(grain)).hint("rebalance", PERIOD)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
-        PERIOD
-    ).parquet(staging(path))
-    files, mark = hadoop_path(df.sparkSession, f"{staging(path)}/{COMPLETE}")
-    files.create(mark).close()
-    finish_replacing(df.sparkSession, path, df.schema)
-
-
-def finish_replacing(spark: SparkSession, path: str, schema: T.StructType) -> None:
-    """Carry out a replacement that is staged in full; without one, nothing.
-
-    Whoever changes a table calls it before reading it.
-    """
-    if not table_exists(spark, f"{staging(path)}/{COMPLETE}"):
-        return
-    overwrite_periods(spark.read.schema(with_period(schema)).parquet(staging(path)), path)
-    files, folder = hadoop_path(spark, staging(path))
-    files.delete(folder, True)
-
-
-def overwrite_periods(rows: DataFrame, path: str) -> None:
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-        PERIOD
-    ).parquet(path)
-
-
 def rebuild(df: DataFrame, path: str) -> None:
-    """Write a table from scratch."""
+    """Write a plain table from scratch."""
     df.write.mode("overwrite").parquet(path)
 
 
-def with_period(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField(PERIOD, T.DateType())])
-
-
-def read_table(
-    spark: SparkSession,
-    path: str,
-    schema: T.StructType,
-    periods: Sequence[date] | None = None,
-    since: date | None = None,
-) -> DataFrame:
-    """A bar table, or only the folders of the given periods or of one and later."""
-    table = spark.read.schema(with_period(schema)).parquet(path)
-    if periods is not None:
-        table = table.filter(F.col(PERIOD).isin(list(periods)))
-    if since is not None:
-        table = table.filter(F.col(PERIOD) >= F.lit(since))
-    return table.select(schema.names)
-
-
-def hadoop_path(spark: SparkSession, path: str) -> tuple:
-    """The file system that ``path`` is on, and the path as it knows it."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    files, place = hadoop_path(spark, path)
-    return files.exists(place)
-
-
 def upsert_table(
     spark: SparkSession,
     path: str,
@@ -119,19 +38,13 @@ def upsert_table(
     The key holds the date, so rows of other periods cannot match. The touched
     periods come to the driver to prune the scan: there are no more of them than
     the calendar has. Running a batch twice with one ``now`` gives the same
-    table, so a failed run is simply run again: it first finishes what the
-    failed one had staged. Returns the touched periods.
+    table, so a failed run is simply run again. Returns the touched periods.
     """
-    finish_replacing(spark, path, schema)
     batch = batch.persist()
     try:
         touched = [row[0] for row in batch.select(period(grain)).distinct().collect()]
         if touched:
-            if table_exists(spark, path):
-                target = read_table(spark, path, schema, touched)
-            else:
-                target = spark.createDataFrame([], schema)
-            replace_periods(upsert(target, batch, keys, now), path, grain)
+            commit(upsert(read(spark, path, schema, touched), batch, keys, now), path, grain)
         return touched
     finally:
         batch.unpersist()
@@ -161,14 +74,12 @@ def snapshot_table(
     """
     if periods is not None and not periods:
         return
-    finish_replacing(spark, path, history_schema(schema))
-    raw = read_table(spark, raw_path, schema, periods)
-    if table_exists(spark, path):
-        before = read_table(spark, path, history_schema(schema), periods)
-        versions = snapshot(before, raw, keys)
+    raw = read(spark, raw_path, schema, periods)
+    if exists(spark, path):
+        versions = snapshot(read(spark, path, history_schema(schema), periods), raw, keys)
     else:
         versions = first_snapshot(raw, keys)
-    replace_periods(versions, path, grain)
+    commit(versions, path, grain)
 
 
 def mart_rows(mart: DataFrame) -> DataFrame:
@@ -208,7 +119,7 @@ def listed_documents(
     folders = [
         row[0] for row in wanted.select(F.regexp_replace("place", "/[^/]*$", "").alias("folder")).distinct().collect()
     ]
-    present = [f for f in folders if table_exists(spark, f)]
+    present = [f for f in folders if path_exists(spark, f)]
     if not present:
         return spark.createDataFrame([], "path string, doc string"), manifest.select("path").distinct()
     text = spark.read.text(present, wholetext=one_per_file)

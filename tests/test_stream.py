@@ -4,7 +4,8 @@ import json
 from datetime import datetime, timedelta
 
 from barline import schemas
-from barline.sources.tables import history_schema, read_table
+from barline.sources.tables import history_schema
+from barline.sources.versions import read
 from barline.streaming import loads
 
 TIME = 1704205800000
@@ -27,7 +28,7 @@ def run(spark, tmp_path, feed="stock_bars", **options):
         clock, quarantine=str(tmp_path / "quarantine"), **options,
     )
     query.awaitTermination()
-    return read_table(spark, str(tmp_path / "table"), loads.FEEDS[feed].schema)
+    return read(spark, str(tmp_path / "table"), loads.FEEDS[feed].schema)
 
 
 def test_corrections_overwrite_and_reach_the_history(spark, tmp_path):
@@ -44,7 +45,7 @@ def test_corrections_overwrite_and_reach_the_history(spark, tmp_path):
     table = run(spark, tmp_path, history=kept)
     got = {r.ticker: (float(r.close), r.inserted_at) for r in table.collect()}
     assert got == {"A": (8.0, clock(1)), "B": (6.0, clock(0))}
-    history = read_table(spark, kept, history_schema(schemas.STOCK_BARS))
+    history = read(spark, kept, history_schema(schemas.STOCK_BARS))
     versions = sorted((r.ticker, float(r.close), r.valid_from, r.valid_to) for r in history.collect())
     assert versions == [
         ("A", 5.0, clock(0), clock(1)), ("A", 8.0, clock(1), None), ("B", 6.0, clock(0), None),

@@ -1,7 +1,6 @@
 """Merges, history, incremental models and stored tables."""
 
 import random
-import shutil
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -13,7 +12,7 @@ from barline.functions.keys import file_key
 from barline.operators import history, merge
 from barline.operators.series import Series
 from barline.plans import models, refresh
-from barline.sources import tables
+from barline.sources import tables, versions
 
 T0, T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 KEY = schemas.STOCK_KEY
@@ -108,28 +107,85 @@ def test_incremental_models_equal_a_full_rebuild(bars, seed):
     assert rows(got) == rows(enriched(after))
 
 
-def files(folder):
-    return {p.name: sorted(f.name for f in p.iterdir()) for p in folder.iterdir() if p.is_dir()}
+def staged_bars(raw):
+    return models.stage_stock_bars(history.first_snapshot(raw, KEY))
 
 
-def test_stored_models_are_updated_from_the_first_changed_period(spark, bars, tmp_path):
-    days = range(0, 200)
-    before = bars(*[(t, d, 50 + (d * 7 + len(t)) % 13) for t in ("A", "BB") for d in days])
-    fixes = bars(("A", 150, 99, T1), ("CCC", 160, 5, T1))
-    after = merge.upsert(before, fixes, KEY, T1)
+def option(spark, *rows):
+    """Staged options: (symbol, ticker, day, strike)."""
+    symbols = "option_symbol string, underlying_ticker string, trade_date date, expiration_date date, strike_price decimal(19,4)"
+    one = F.lit("1").cast("decimal(19,4)")
+    df = spark.createDataFrame([(n, t, date(2020, 1, 1) + timedelta(days=d), date(2021, 1, 1), Decimal(x)) for n, t, d, x in rows], symbols)
+    prices = ("open_price", "high_price", "low_price", "close_price", "volume_weighted_average_price")
+    return df.select(
+        F.concat("option_symbol", F.lit("_"), "trade_date").alias("option_bar_id"), "*", F.lit("call").alias("option_type"),
+        *[one.alias(c) for c in prices], F.lit(1).cast("bigint").alias("volume"), F.lit(1).cast("bigint").alias("transactions"),
+        F.lit(T0).alias("loaded_at"),
+    )
 
-    def staged(raw):
-        return models.stage_stock_bars(history.first_snapshot(raw, KEY))
 
-    path = tmp_path / "enriched"
-    tables.replace_periods(models.enrich_stock_bars(staged(before), Series()), str(path), "month")
-    old = files(path)
-    refresh.update_enriched(spark, str(path), staged(after), fixes)
-    got = spark.read.parquet(str(path)).drop(tables.PERIOD)
-    want = models.enrich_stock_bars(staged(after), Series())
-    assert rows(got, *want.columns) == rows(want)
-    new = files(path)
-    assert {p for p in new if new[p] != old[p]} == {f"period=2020-{m:02}-01" for m in (5, 6, 7)}
+def month(m, year=2020):
+    return date(year, m, 1)
+
+
+def test_one_late_bar_reads_and_writes_the_periods_it_reaches(spark, bars, tmp_path):
+    """Daily bars of two years: a bar of 9 June 2020 alters rows up to October and those
+    read bars from February on; a ticker that is not in the batch is left alone."""
+    to = refresh.Models(str(tmp_path))
+    old = bars(*[("A", d, 50 + d * 7 % 13) for d in range(720)], *[("B", d, 3) for d in range(0, 720, 9)])
+    contracts = [("OA", "A", 165, 9), ("OA", "A", 400, 9), ("OB", "B", 160, 9), ("OB", "B", 162, 9)]
+    options = option(spark, *contracts)
+    build(spark, history.first_snapshot(old, KEY), options, to)
+    before = {name: versions.pinned(spark, to.path(name)).periods for name in refresh.TABLES}
+    batch = bars(("A", 160, 99, T1))
+    seen = refresh.update(spark, to, staged_bars(batch))
+    assert seen.read["stg_stock_bars"] == {month(m) for m in range(2, 11)}
+    assert seen.written["enriched_stock_bars"] == seen.written["fct_stock_performance"] == {month(m) for m in range(6, 11)}
+    assert seen.written["stocks_options_joined"] == {date(2020, 6, 14)} and "enriched_option_bars" not in seen.written
+    for name in refresh.TABLES:
+        after = versions.pinned(spark, to.path(name)).periods
+        changed = {date.fromisoformat(p) for p in after if after[p] != before[name].get(p)}
+        assert changed == seen.written.get(name, set()), name
+    inputs = versions.read(spark, to.path("stg_stock_bars"), periods=seen.read["stg_stock_bars"]).inputFiles()
+    assert {f.split("period=")[1][:7] for f in inputs} == {f"2020-{m:02}" for m in range(2, 11)}
+    same_as_rebuild(spark, to, merge.upsert(old, batch, KEY, T1), options, tmp_path)
+
+
+def build(spark, stock_history, staged_options, to):
+    """``refresh`` from staged options, as these tests have them."""
+    original = models.stage_option_bars
+    models.stage_option_bars = lambda rows: rows
+    try:
+        refresh.refresh(spark, stock_history, staged_options, to)
+    finally:
+        models.stage_option_bars = original
+
+
+def same_as_rebuild(spark, to, raw, staged_options, tmp_path):
+    anew = refresh.Models(str(tmp_path / "anew"), to.stock_grain, to.option_grain)
+    build(spark, history.first_snapshot(raw, KEY), staged_options, anew)
+    for name in refresh.TABLES:
+        got, want = versions.read(spark, to.path(name)), versions.read(spark, anew.path(name))
+        assert rows(got, *want.columns) == rows(want), name
+
+
+def test_updates_by_random_batches_equal_a_rebuild(spark, bars, tmp_path):
+    chance = random.Random(7)
+    to = refresh.Models(str(tmp_path), "month", "month")
+    stock = {(t, d): chance.randint(50, 90) / 10 for t in "ABC" for d in range(0, 500, chance.randint(1, 40))}
+    contracts = {(f"O{t}", t, d): chance.randint(4, 9) for t in "ABZ" for d in chance.sample(range(500), 12)}
+    build(spark, history.first_snapshot(bars(*[(*k, x) for k, x in stock.items()]), KEY), option(spark, *[(*k, x) for k, x in contracts.items()]), to)
+    for _ in range(2):
+        late = {(t, d): chance.randint(50, 90) / 10 for t in chance.sample("ABCD", 2) for d in chance.sample(range(520), 3)}
+        more = {(f"O{t}", t, d): chance.randint(4, 9) for t in "AB" for d in chance.sample(range(500), 2)}
+        refresh.update(spark, to, staged_bars(bars(*[(*k, x) for k, x in late.items()])), option(spark, *[(*k, x) for k, x in more.items()]))
+        stock |= late
+        contracts |= more
+    same_as_rebuild(spark, to, bars(*[(*k, x) for k, x in stock.items()]), option(spark, *[(*k, x) for k, x in contracts.items()]), tmp_path)
+
+
+def periods_of(spark, path):
+    return versions.pinned(spark, str(path)).periods
 
 
 def test_history_tables_touch_only_the_given_periods(spark, bars, tmp_path):
@@ -137,59 +193,113 @@ def test_history_tables_touch_only_the_given_periods(spark, bars, tmp_path):
     first = bars(("A", 0, 5), ("A", 40, 6)).drop("inserted_at")
     touched = tables.upsert_table(spark, raw, schemas.STOCK_BARS, first, KEY, T0)
     tables.snapshot_table(spark, str(kept), schemas.STOCK_BARS, raw, KEY, touched)
-    old = files(kept)
+    old = periods_of(spark, kept)
     touched = tables.upsert_table(spark, raw, schemas.STOCK_BARS, bars(("A", 40, 9)), KEY, T1)
     for _ in range(2):
         tables.snapshot_table(spark, str(kept), schemas.STOCK_BARS, raw, KEY, touched)
-    versions = tables.read_table(spark, str(kept), tables.history_schema(schemas.STOCK_BARS))
-    assert rows(versions, "close", "valid_from", "valid_to") == [
+    history_rows = versions.read(spark, str(kept), tables.history_schema(schemas.STOCK_BARS))
+    assert rows(history_rows, "close", "valid_from", "valid_to") == [
         ("5.0000", str(T0), "None"), ("6.0000", str(T0), str(T1)), ("9.0000", str(T1), "None"),
     ]
-    assert files(kept)["period=2020-01-01"] == old["period=2020-01-01"]
+    new = periods_of(spark, kept)
+    assert new["2020-01-01"] == old["2020-01-01"] and new["2020-02-01"] != old["2020-02-01"]
 
 
-def test_upserts_rewrite_only_touched_periods(spark, bars, tmp_path):
-    path = str(tmp_path / "bars")
+BEFORE = [("A", "5.0000", str(T0)), ("A", "6.0000", str(T0)), ("B", "7.0000", str(T0))]
+AFTER = [("A", "5.0000", str(T0)), ("A", "9.0000", str(T1)), ("B", "7.0000", str(T0)), ("C", "1.0000", str(T1))]
+
+
+def loaded(spark, bars, path):
     first = bars(("A", 0, 5), ("A", 40, 6), ("B", 40, 7)).drop("inserted_at")
     tables.upsert_table(spark, path, schemas.STOCK_BARS, first, KEY, T0)
-    untouched = sorted(p.name for p in (tmp_path / "bars" / "period=2020-01-01").iterdir())
-    batch = bars(("A", 40, 9), ("C", 41, 1)).drop("inserted_at")
-    for _ in range(2):  # a rerun of the batch changes nothing
-        tables.upsert_table(spark, path, schemas.STOCK_BARS, batch, KEY, T1)
-        spark.catalog.clearCache()
-        table = tables.read_table(spark, path, schemas.STOCK_BARS)
-        assert rows(table, "ticker", "close", "inserted_at") == [
-            ("A", "5.0000", str(T0)), ("A", "9.0000", str(T1)), ("B", "7.0000", str(T0)), ("C", "1.0000", str(T1)),
-        ]
-    assert sorted(p.name for p in (tmp_path / "bars" / "period=2020-01-01").iterdir()) == untouched
+    return bars(("A", 40, 9), ("C", 41, 1)).drop("inserted_at")
 
 
-@pytest.mark.parametrize("stopped", ["staging", "overwriting"])
-def test_a_stopped_upsert_is_finished_by_the_next(spark, bars, tmp_path, monkeypatch, stopped):
+def shown(spark, path, version=None):
+    return rows(versions.read(spark, path, schemas.STOCK_BARS, version=version), "ticker", "close", "inserted_at")
+
+
+def test_upserts_rewrite_only_touched_periods(spark, bars, tmp_path):
     path = str(tmp_path / "bars")
-    first = bars(("A", 0, 5), ("A", 40, 6), ("B", 40, 7)).drop("inserted_at")
-    tables.upsert_table(spark, path, schemas.STOCK_BARS, first, KEY, T0)
-    batch = bars(("A", 40, 9), ("C", 41, 1)).drop("inserted_at")
+    batch = loaded(spark, bars, path)
+    untouched = periods_of(spark, path)["2020-01-01"]
+    pinned = versions.read(spark, path, schemas.STOCK_BARS)
+    for _ in range(2):  # a rerun of the batch changes nothing
+        tables.upsert_table(spark, path, schemas.STOCK_BARS, batch, KEY, T1)
+        assert shown(spark, path) == AFTER
+    assert periods_of(spark, path)["2020-01-01"] == untouched
+    assert rows(pinned, "ticker", "close", "inserted_at") == BEFORE == shown(spark, path, 1)  # a reader keeps its version
+    # Each row was written once: 3 of the first commit, 3 of each other's one period.
+    assert spark.read.parquet(f"{path}/data").count() == 3 + 3 + 3
 
-    def stop(*_):
-        if stopped == "overwriting":  # the old period is gone and the new one not there
-            shutil.rmtree(tmp_path / "bars" / "period=2020-02-01")
-        raise RuntimeError("lost")
 
-    step = {"staging": "hadoop_path", "overwriting": "overwrite_periods"}[stopped]
+@pytest.mark.parametrize("when", ["before", "after"])
+@pytest.mark.parametrize("step", ["write", "names_in", "publish", "draft"])
+def test_a_stop_at_any_step_of_a_commit_hides_and_loses_nothing(spark, bars, tmp_path, monkeypatch, step, when):
+    path = str(tmp_path / "bars")
+    batch = loaded(spark, bars, path)
     with monkeypatch.context() as patch:
-        if stopped == "staging":
-            patch.setattr(tables, "table_exists", lambda *_: not _[1].endswith(tables.COMPLETE))
-        patch.setattr(tables, step, stop)
+        if step == "draft":  # the list is written in part, or whole, and not yet renamed
+            def stop(spark, path, version):
+                (tmp_path / "bars/versions/.draft-x").write_text("{" if when == "before" else "{}")
+                raise RuntimeError("lost")
+
+            patch.setattr(versions, "publish", stop)
+        else:
+            real, calls = getattr(versions, step), []
+
+            def stop(*given):
+                calls.append(given)
+                if step == "names_in" and not str(given[1]).startswith(f"{path}/data"):
+                    return real(*given)
+                if when == "after":
+                    real(*given)
+                raise RuntimeError("lost")
+
+            patch.setattr(versions, step, stop)
         with pytest.raises(RuntimeError, match="lost"):
             tables.upsert_table(spark, path, schemas.STOCK_BARS, batch, KEY, T1)
     spark.catalog.clearCache()
+    assert shown(spark, path) == (AFTER if (step, when) == ("publish", "after") else BEFORE)
     tables.upsert_table(spark, path, schemas.STOCK_BARS, batch, KEY, T1)
-    table = tables.read_table(spark, path, schemas.STOCK_BARS)
-    assert rows(table, "ticker", "close", "inserted_at") == [
-        ("A", "5.0000", str(T0)), ("A", "9.0000", str(T1)), ("B", "7.0000", str(T0)), ("C", "1.0000", str(T1)),
-    ]
-    assert not (tmp_path / "bars.staged").exists()
+    assert shown(spark, path) == AFTER
+    versions.vacuum(spark, path, keep=1)
+    assert shown(spark, path) == AFTER and not list((tmp_path / "bars/versions").glob(".draft-*"))
+    assert spark.read.parquet(f"{path}/data").count() == len(AFTER)
+
+
+@pytest.mark.parametrize("stop_at", range(6))
+def test_a_stop_at_any_deletion_hides_and_loses_nothing(spark, bars, tmp_path, monkeypatch, stop_at):
+    path = str(tmp_path / "bars")
+    batch = loaded(spark, bars, path)
+    for at in (T1, T1, T1):
+        tables.upsert_table(spark, path, schemas.STOCK_BARS, batch, KEY, at)
+    real, calls = versions.delete, []
+
+    def stop(spark, place):
+        calls.append(place)
+        if len(calls) > stop_at:
+            if place.endswith(".json") is False:  # half of a folder is gone
+                next(iter(sorted((tmp_path / "bars").glob("data/" + place.split("/data/")[1] + "/**/*.parquet")))).unlink()
+            raise RuntimeError("lost")
+        real(spark, place)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(versions, "delete", stop)
+        try:
+            versions.vacuum(spark, path, keep=1)
+        except RuntimeError:
+            pass
+    assert shown(spark, path) == AFTER
+    versions.vacuum(spark, path, keep=1)
+    assert shown(spark, path) == AFTER and versions.version_numbers(spark, path) == [4]
+
+
+def test_two_writers_of_one_version_are_told_apart(spark, bars, tmp_path):
+    path = str(tmp_path / "bars")
+    loaded(spark, bars, path)
+    with pytest.raises(RuntimeError, match="one writer"):
+        versions.publish(spark, path, versions.pinned(spark, path))
 
 
 def test_stored_numbers_round_as_typed_columns_do(spark):
