@@ -1,21 +1,30 @@
 """Declarative data-quality checks.
 
-A check yields its violations as rows and its failures as one number. All
-row-level checks on a table share one scan and one aggregate; only ``unique``
-needs a shuffle, of key counts that were combined before it.
+A check yields its violations as rows and its failures as one number. All checks on a
+table take one scan: rows are counted by key, together with what the row checks find in
+them, before and after one shuffle, and the counts are added up. Without a ``unique`` there
+is no key. Row checks can also be observed while another job writes the table.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import logging
+import time
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barline import schemas
+from barline.operators.merge import replace_by_key
+from barline.sources.versions import commit, period, read
+
+logger = logging.getLogger(__name__)
 
 # Fixed value: the format of a stock bar's surrogate key.
 BAR_ID_FORMAT = r"^[A-Z0-9\.]+_[0-9]{4}-[0-9]{2}-[0-9]{2}$"
@@ -143,30 +152,38 @@ def freshness(tables: dict[str, DataFrame], as_of: datetime, warn_after_days: in
     )
 
 
-def failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """(test_name, failures) for each check, from one scan plus one per ``unique``."""
+def counted(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """One row with the failures of each check, by its name: one scan, and at most one shuffle.
+
+    Rows are grouped by the first column that is to be unique; with more of them, each row
+    stands for every one of its keys, and counts for the row checks once.
+    """
     by_row = [c for c in checks if isinstance(c, RowCheck)]
-    parts = []
-    if by_row:
-        counts = df.agg(*[c.failures().alias(c.name) for c in by_row])
-        entries = [
-            F.struct(F.lit(c.name).alias("test_name"), F.col(c.name).alias("failures"))
-            for c in by_row
-        ]
-        parts.append(counts.select(F.inline(F.array(*entries))))
-    for check in checks:
-        if isinstance(check, UniqueCheck):
-            parts.append(
-                check.violations(df).agg(F.count("*").alias("failures"))
-                .select(F.lit(check.name).alias("test_name"), "failures")
-            )
-        elif isinstance(check, TypeCheck):
-            row = [(check.name, int(check.fails(df)))]
-            parts.append(df.sparkSession.createDataFrame(row, "test_name string, failures bigint"))
-    merged = parts[0]
-    for part in parts[1:]:
-        merged = merged.unionByName(part)
-    return merged
+    keyed = [c for c in checks if isinstance(c, UniqueCheck)]
+    if not keyed:
+        return df.agg(F.count("*").alias("_rows"), *[c.failures().alias(c.name) for c in by_row])
+    scoped = [F.when(F.expr(c.where) if c.where else F.lit(True), F.col(c.column)) for c in keyed]
+    flags = [F.coalesce(F.expr(f"({c.where or 'true'}) AND ({c.broken})"), F.lit(False)).alias(f"_bad{i}") for i, c in enumerate(by_row)]
+    if len(keyed) == 1:
+        rows = df.select(*flags, F.lit(0).alias("_which"), scoped[0].alias("_key"))
+    else:
+        keys = F.array(*[F.struct(F.lit(i).alias("_which"), k.cast("string").alias("_key")) for i, k in enumerate(scoped)])
+        rows = df.select(*flags, F.inline(keys))
+    first = F.col("_which") == 0
+    groups = rows.groupBy("_which", "_key").agg(
+        F.count("_key").alias("_n"), *[F.count_if(first & F.col(f"_bad{i}")).alias(f"_bad{i}") for i in range(len(by_row))]
+    )
+    repeated = [F.count_if((F.col("_which") == i) & (F.col("_n") > 1)).alias(c.name) for i, c in enumerate(keyed)]
+    return groups.agg(*repeated, *[F.coalesce(F.sum(f"_bad{i}"), F.lit(0)).alias(c.name) for i, c in enumerate(by_row)])
+
+
+def failures(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """(test_name, failures) for each check."""
+    def found(check: Check) -> Column:
+        return F.lit(int(check.fails(df))).cast("bigint") if isinstance(check, TypeCheck) else F.col(check.name)
+
+    entries = [F.struct(F.lit(c.name).alias("test_name"), found(c).alias("failures")) for c in checks]
+    return counted(df, checks).select(F.inline(F.array(*entries)))
 
 
 def status(count: Column) -> Column:
@@ -192,6 +209,79 @@ def results(
     return schemas.conform(merged, schemas.TEST_RESULTS)
 
 
+# --- Running checks and keeping their results -------------------------------------
+
+Table = DataFrame | Callable[[], DataFrame]
+
+
+def run(
+    spark: SparkSession, tables: dict[str, tuple[Table, Sequence[Check]]], run_at: datetime
+) -> DataFrame:
+    """Run the checks of each table now: result records with the time that its query took.
+
+    A table is a DataFrame, or what opens it. One that cannot be opened or read gives an
+    ``error`` for each of its checks, and the others are run all the same.
+    """
+    rows = []
+    for name, (table, checks) in tables.items():
+        def count(table: Table = table, checks: Sequence[Check] = checks) -> dict[str, int]:
+            df = table() if callable(table) else table
+            return {r.test_name: r.failures for r in failures(df, checks).collect()}
+
+        rows += _timed(name, checks, run_at, count)
+    return spark.createDataFrame(rows, schemas.TEST_RESULTS)
+
+
+def write_checked(
+    name: str, df: DataFrame, checks: Sequence[Check], write: Callable[[DataFrame], None], run_at: datetime
+) -> DataFrame:
+    """Write a table and check its rows on the way: the row checks are observed by the job
+    that writes, so they read nothing again. ``unique`` needs its own query."""
+    if any(isinstance(c, UniqueCheck) for c in checks):
+        raise ValueError("unique checks read the table that was written: use run")
+    by_row = [c for c in checks if isinstance(c, RowCheck)]
+
+    def count() -> dict[str, int]:
+        seen = Observation(f"checks of {name}")
+        write(df.observe(seen, F.count("*").alias("_rows"), *[c.failures().alias(c.name) for c in by_row]))
+        return seen.get | {c.name: int(c.fails(df)) for c in checks if isinstance(c, TypeCheck)}
+
+    return df.sparkSession.createDataFrame(_timed(name, checks, run_at, count), schemas.TEST_RESULTS)
+
+
+def _timed(table: str, checks: Sequence[Check], run_at: datetime, count: Callable[[], dict[str, int]]) -> list[tuple]:
+    """Result records of one query, in the order of ``TEST_RESULTS``."""
+    started = time.perf_counter()
+    try:
+        found = count()
+    except (PySparkException, Py4JJavaError) as error:
+        logger.warning("checks of %s: %s", table, error)
+        found = {}
+    took = time.perf_counter() - started
+    out = []
+    for check in checks:
+        n = found.get(check.name)
+        state = "error" if n is None else "fail" if n else "pass"
+        record = {
+            "test_id": f"test.barline.{table}.{check.name}", "test_name": check.name, "status": state,
+            "failures": n or 0, "execution_time": took, "run_generated_at": run_at, "loaded_at": run_at,
+        }
+        out.append(tuple(record[field.name] for field in schemas.TEST_RESULTS.fields))
+    return out
+
+
+def keep(records: DataFrame, path: str) -> None:
+    """Add result records to the kept table, by day; a run that is kept again replaces itself."""
+    days = [row[0] for row in records.select(period("day", "run_generated_at")).distinct().collect()]
+    if days:
+        before = read(records.sparkSession, path, schemas.TEST_RESULTS, days)
+        commit(replace_by_key(before, records, ("test_id", "run_generated_at")), path, "day", on="run_generated_at")
+
+
+def kept(spark: SparkSession, path: str) -> DataFrame:
+    return read(spark, path, schemas.TEST_RESULTS)
+
+
 # --- Reading results back -------------------------------------------------------
 
 

@@ -14,6 +14,7 @@ from barline.queries.registry import (
     BARS, ENRICHED, FIXES, OPTIONS, STAGED, STAGED_OPTIONS, query, shown, with_sql,
 )
 from barline.queries.models import JOINED
+from barline.session import fresh_path
 from barline.queries.tables import RESULTS, UPSERTED, corrected_bars, enriched_table, test_results
 
 
@@ -150,6 +151,34 @@ def dq_results(spark, sf_dir):
     return q.results({name: (df, checks[name]) for name, df in tables.items()}, fx.CORRECTED).drop("loaded_at")
 
 
+RECORDED = ("stg_stock_bars", "uncertain_bars", "companies")
+RECORDED_ROWS = " UNION ALL ".join(
+    _failures_sql(table, SQL_TABLES[table], check) for table in RECORDED for check in declared_checks()[table]
+)
+
+
+@query("dq_recorded", with_sql(BARS, FIXES, UNCERTAIN, STAGED, DIMENSIONS, f"""
+    SELECT test_id, test_name, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status, failures,
+      '2024-06-08 00:00:00' AS run_generated_at FROM ({RECORDED_ROWS})
+    UNION ALL SELECT 'test.barline.lost.' || test_name, test_name, 'error', 0, '2024-06-08 00:00:00'
+    FROM (VALUES ('unique_ticker'), ('not_null_ticker')) AS t(test_name)"""))
+def dq_recorded(spark, sf_dir):
+    """Two runs of checks kept in a table, one kept twice, and the latest read from it; a
+    table that is not there gives errors."""
+    path, checks = fresh_path(spark, "check-results"), declared_checks()
+    opened = {
+        "stg_stock_bars": fx.staged_stock(spark, sf_dir), "uncertain_bars": uncertain_bars(spark, sf_dir),
+        "companies": fx.table(spark, sf_dir, "customer").select(F.col("c_name").alias("ticker")),
+    }
+    tables = {name: (df, checks[name]) for name, df in opened.items()}
+    tables["lost"] = (lambda: fx.table(spark, sf_dir, "no_such_table"), q.key_checks("ticker"))
+    q.keep(q.run(spark, {"companies": tables["companies"]}, fx.FIRST_LOAD), path)
+    latest = q.run(spark, tables, fx.CORRECTED)
+    for _ in range(2):
+        q.keep(latest, path)
+    return q.latest_run(q.kept(spark, path)).drop("loaded_at", "execution_time")
+
+
 LATEST = "WHERE run_generated_at = (SELECT max(run_generated_at) FROM results)"
 
 

@@ -13,6 +13,8 @@ from barline.queries.tables import RESULTS, test_results
 from barline.session import fresh_path
 from barline.sources import documents as docs
 from barline.sources import tables
+from barline.sources.listed import listed_documents
+from barline.sources.versions import read
 
 BAR_SHOWN = "open:n high:n low:n close:n volume:n vwap:n transactions:n"
 BAR_NAMES = ("open", "high", "low", "close", "volume", "vwap", "transactions")
@@ -69,8 +71,8 @@ def src_stock_json(spark, sf_dir):
     """Documents written one per line, read back from the folder and parsed."""
     path = fresh_path(spark, "stock-json")
     stock_documents(spark, sf_dir).select(F.col("doc").alias("value")).write.text(path)
-    read = docs.read_documents(spark, path, one_per_file=False)
-    return docs.accepted(docs.stock_bars(read)).select("ticker", "trade_date", *BAR_NAMES)
+    found = docs.read_documents(spark, path, one_per_file=False)
+    return docs.accepted(docs.stock_bars(found)).select("ticker", "trade_date", *BAR_NAMES)
 
 
 @query("src_option_json", with_sql(OPTIONS, f"""
@@ -196,9 +198,13 @@ def grouped_daily_split(spark, sf_dir):
     SELECT 'raw_data/' || ticker || '_' || CAST(trade_date AS VARCHAR) || '.json' AS key, CAST(trade_date AS VARCHAR) AS trade_date,
       ticker, CAST(1 AS BIGINT) AS result_count, 'OK' AS status, CAST(close AS DOUBLE) AS close FROM bars WHERE {ALLOWED}"""))
 def landing_envelope(spark, sf_dir):
-    """Grouped documents rewritten as single-result ones, read back field by field."""
+    """Grouped documents rewritten as single-result ones and landed, those of one ticker
+    again, then read back field by field."""
     rows = docs.grouped_bars(grouped_documents(spark, sf_dir), solvent_segments(spark, sf_dir))
-    landed = docs.landing(rows)
+    path, documents = fresh_path(spark, "landing"), docs.landing(rows)
+    docs.land(documents, path, "year")
+    docs.land(documents.filter(F.get_json_object("doc", "$.ticker") == "BUILDING"), path, "year")
+    landed = read(spark, path)
 
     def field(path):
         return F.get_json_object("doc", path)
@@ -311,16 +317,20 @@ def manifest_write(spark, sf_dir):
 
 
 @query("manifest_scan", with_sql(BARS, f"""
-    SELECT ticker, {shown('trade_date:d close:n')} FROM bars WHERE {GOOD} AND transactions > 1"""))
+    SELECT ticker, {shown('trade_date:d close:n')} FROM bars WHERE {GOOD} AND month(trade_date) % 2 = 0"""))
 def manifest_scan(spark, sf_dir):
-    """Only documents that the manifest lists are parsed; its blank lines are skipped."""
-    target = fresh_path(spark, "manifest")
-    bars = fx.stock_bars(spark, sf_dir)
-    path = F.concat(F.lit("raw_data/"), "ticker", F.lit("_"), F.col("trade_date").cast("string"), F.lit(".json"))
-    line = F.when(F.col("transactions") > 1, F.concat(F.lit(" "), path)).otherwise("")
-    bars.select(line.alias("value")).write.text(target)
-    listed = docs.stock_bars(tables.in_manifest(stock_documents(spark, sf_dir), tables.read_manifest(spark, target)))
-    return docs.accepted(listed).select("ticker", "trade_date", "close")
+    """Documents in files by month; a manifest with blank lines lists the files of every other
+    month, one of them twice, and only these are opened."""
+    folder, target = fresh_path(spark, "landed"), fresh_path(spark, "manifest")
+    bars = wire_bar(fx.stock_bars(spark, sf_dir))
+    doc = spoiled(docs.envelope(F.col("ticker"), F.col("bar")), F.dayofmonth("trade_date"))
+    bars.select(doc.alias("value"), F.month("trade_date").alias("month")).write.partitionBy("month").text(folder)
+    files = spark.read.format("binaryFile").load(folder).select("path", "month")
+    wanted = files.filter("month % 2 = 0").select(F.concat(F.lit(" "), "path").alias("value"))
+    blank = files.select(F.lit("").alias("value"))
+    wanted.unionByName(wanted.limit(1)).unionByName(blank).write.text(target)
+    listed, _ = listed_documents(spark, tables.read_manifest(spark, target), folder, one_per_file=False, range_bytes=10_000)
+    return docs.accepted(docs.stock_bars(listed)).select("ticker", "trade_date", "close")
 
 
 @query("seed_scan", """

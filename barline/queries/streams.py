@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from barline import fixtures as fx
 from barline import schemas
 from barline.queries.registry import BARS, FIXES, query, shown, with_sql
-from barline.queries.scans import GOOD, spoiled, wire_bar
+from barline.queries.scans import GOOD, REASONS, spoiled, wire_bar
 from barline.session import fresh_path
 from barline.sources import documents as docs
 from barline.sources.versions import read
@@ -31,7 +31,7 @@ def drain(spark, root, clean=False):
     archive = f"{root}/processed" if clean else None
     loads.start_load(
         spark, f"{root}/raw_data/*", loads.FEEDS["stock_bars"], f"{root}/stock_bars",
-        f"{root}/checkpoint", clock, one_per_file=False, archive=archive,
+        f"{root}/checkpoint", clock, one_per_file=False, archive=archive, quarantine=f"{root}/quarantine",
     ).awaitTermination()
 
 
@@ -51,6 +51,17 @@ def stream_load(spark, sf_dir):
     return read(spark, f"{root}/stock_bars", schemas.STOCK_BARS).drop("inserted_at")
 
 
+@query("stream_quarantine", with_sql(BARS, FIXES, f"""
+    SELECT reject_reason, count(*) AS documents FROM (
+      SELECT {REASONS} AS reject_reason FROM bars UNION ALL SELECT {REASONS} FROM fixes)
+    WHERE reject_reason IS NOT NULL GROUP BY 1"""))
+def stream_quarantine(spark, sf_dir):
+    """The documents that two runs of the stream refused, by reason."""
+    root = fresh_path(spark, "quarantine")
+    two_waves(spark, sf_dir, root)
+    return spark.read.parquet(f"{root}/quarantine").groupBy("reject_reason").agg(F.count("*").alias("documents"))
+
+
 @query("archive_stream", with_sql(BARS, FIXES, """
     SELECT 'processed' AS folder, CAST(0 AS BIGINT) AS wave, count(*) AS documents FROM bars
     UNION ALL SELECT 'raw_data', CAST(1 AS BIGINT), count(*) FROM fixes"""))

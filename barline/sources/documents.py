@@ -7,6 +7,7 @@ rows. ``accepted`` and ``rejected`` split the two.
 
 from __future__ import annotations
 
+from datetime import date
 from functools import reduce
 from operator import or_
 
@@ -18,6 +19,8 @@ from barline.functions import symbols
 from barline.functions.dates import in_calendar, utc_date
 from barline.functions.keys import file_key, last_segment
 from barline.functions.shapes import computed_once, objects, scalars
+from barline.operators.merge import replace_by_key
+from barline.sources.versions import commit, period, read
 
 REASON = "reject_reason"
 
@@ -32,6 +35,24 @@ def as_documents(text: DataFrame) -> DataFrame:
     return text.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
 
 
+def placed_documents(text: DataFrame) -> DataFrame:
+    """(path, doc, at) rows: ``at`` grows with the place of a document in its file, once
+    ``numbered`` has told the lines of one split apart."""
+    start = F.array(F.col("_metadata.file_block_start"))
+    return text.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"), start.alias("at"))
+
+
+def numbered(docs: DataFrame) -> DataFrame:
+    """Documents as they were scanned: the number of a row grows within a split, and the
+    split's first byte comes before it, so that files may be split in any way."""
+    return docs.withColumn("at", F.concat("at", F.array(F.monotonically_increasing_id())))
+
+
+def _origin(rows: DataFrame) -> list[Column]:
+    """Where a row comes from: the columns that documents were read with."""
+    return [F.col(c) for c in ("path", "doc", "at") if c in rows.columns]
+
+
 def _parsed(docs: DataFrame, fields: str) -> DataFrame:
     """Add ``d``, the parsed document, and ``_broken`` where the text is not JSON."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}
@@ -103,7 +124,7 @@ def stock_bars(docs: DataFrame) -> DataFrame:
     """One bar from each document that holds exactly one result."""
     rows, rules = _single_bar(docs)
     rows = computed_once(rows, REASON, _first(*rules))
-    return rows.select("path", "doc", REASON, F.col("d.ticker").alias("ticker"), *_bar_columns())
+    return rows.select(*_origin(rows), REASON, F.col("d.ticker").alias("ticker"), *_bar_columns())
 
 
 def option_bars(docs: DataFrame) -> DataFrame:
@@ -113,7 +134,7 @@ def option_bars(docs: DataFrame) -> DataFrame:
     (broken, *others) = rules
     named = (F.col("option_symbol").isNull(), "no ticker")
     rows = computed_once(rows, REASON, _first(broken, named, *_contract_rules(), *others))
-    return rows.select("path", "doc", REASON, "option_symbol", *CONTRACT, *_bar_columns())
+    return rows.select(*_origin(rows), REASON, "option_symbol", *CONTRACT, *_bar_columns())
 
 
 CONTRACT = ("underlying_ticker", "expiration_date", "option_type", "strike_price")
@@ -135,18 +156,20 @@ def history_bars(docs: DataFrame) -> DataFrame:
     rows = _parsed(docs, schemas.HISTORY_DOCUMENT)
     days = objects(F.col("d.history.day"), schemas.HISTORY_DAY)
     rows = computed_once(rows, "_days", days)
-    rows = rows.withColumn("day", F.explode_outer("_days"))
-    date = F.try_to_date(F.col("day.date"))
+    rows = rows.select("*", F.posexplode_outer("_days").alias("_nth", "day"))
+    if "at" in rows.columns:  # days of one document are in its order
+        rows = rows.withColumn("at", F.concat("at", F.array(F.coalesce("_nth", F.lit(0)).cast("bigint"))))
+    day = F.try_to_date(F.col("day.date"))
     prices = [F.col(f"day.{c}") for c in ("open", "high", "low", "close", "vwap")]
     volume = F.col("day.volume")
     rules = [
         (F.col("_broken"), "malformed json"),
         (F.coalesce(F.size("_days"), F.lit(0)) <= 0, "no history"),
-        (date.isNull(), "no trade date"),
+        (day.isNull(), "no trade date"),
         (_unstorable(prices, [volume, volume]), "number out of range"),
     ]
     return computed_once(rows, REASON, _first(*rules)).select(
-        "path", "doc", REASON, file_key(F.col("path")).alias("ticker"), date.alias("trade_date"),
+        *_origin(rows), REASON, file_key(F.col("path")).alias("ticker"), day.alias("trade_date"),
         *[F.col(f"day.{c}").alias(c) for c in ("volume", "vwap", "open", "close", "high", "low")],
     )
 
@@ -249,21 +272,27 @@ def envelope(ticker: Column, bar: Column, request_id: Column | None = None) -> C
 
 def landing(rows: DataFrame, prefix: str = "raw_data/") -> DataFrame:
     """(key, trade_date, doc): the landing documents of (ticker, bar) rows."""
-    date = utc_date(F.col("bar.t"))
+    day = utc_date(F.col("bar.t"))
     request = F.col("request_id") if "request_id" in rows.columns else None
     return rows.select(
-        F.concat(F.lit(prefix), "ticker", F.lit("_"), F.date_format(date, "yyyy-MM-dd"), F.lit(".json")).alias("key"),
-        date.alias("trade_date"),
+        F.concat(F.lit(prefix), "ticker", F.lit("_"), F.date_format(day, "yyyy-MM-dd"), F.lit(".json")).alias("key"),
+        day.alias("trade_date"),
         envelope(F.col("ticker"), F.col("bar"), request).alias("doc"),
     )
 
 
-def write_landing(documents: DataFrame, path: str) -> None:
-    """Write documents as lines, one folder per date; a rerun replaces its dates.
+def land(documents: DataFrame, path: str, grain: str = "day") -> None:
+    """Add (key, trade_date, doc) rows to the landing store, replacing documents of their
+    keys. A key is a symbol and a date, and a date is in one period, so only the periods of
+    these documents are read and written, each as a few files rather than one a document,
+    and a rerun of any part of a load leaves the same documents."""
+    spark = documents.sparkSession
+    periods = [row[0] for row in documents.select(period(grain)).distinct().collect()]
+    if periods:
+        before = read(spark, path, documents.schema, periods)
+        commit(replace_by_key(before, documents, ("key",)), path, grain)
 
-    One file per bar would be millions of tiny files; a line per document keeps
-    them readable with ``read_documents(one_per_file=False)``.
-    """
-    documents.select("trade_date", F.col("doc").alias("value")).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy("trade_date").text(path)
+
+def landed(spark: SparkSession, path: str, since: date | None = None) -> DataFrame:
+    """(path, doc) rows of the landing store, or of its periods from one on."""
+    return read(spark, path, since=since).select(F.col("key").alias("path"), "doc")

@@ -11,10 +11,9 @@ from pyspark.sql import types as T
 
 from barline import schemas
 from barline.functions.dates import weekdays
-from barline.functions.keys import decoded
 from barline.operators.history import first_snapshot, snapshot
 from barline.operators.merge import upsert
-from barline.sources.versions import commit, exists, path_exists, period, read
+from barline.sources.versions import commit, exists, period, read
 
 # --- Parquet tables -----------------------------------------------------------------
 
@@ -106,37 +105,6 @@ def in_manifest(docs: DataFrame, manifest: DataFrame) -> DataFrame:
     return docs.join(manifest, "path", "left_semi")
 
 
-def listed_documents(
-    spark: SparkSession, manifest: DataFrame, base: str, one_per_file: bool = True
-) -> tuple[DataFrame, DataFrame]:
-    """((path, doc) rows of the files a manifest lists, the listed paths without a file).
-
-    Lines are paths below ``base``, absolute paths or URIs. Only the folders that the list
-    names are read: they come to the driver, and landing folders are one a date. The list
-    itself stays a DataFrame.
-    """
-    wanted = manifest.select(F.col("path").alias("line"), plain_path(F.col("path"), base).alias("place"))
-    folders = [
-        row[0] for row in wanted.select(F.regexp_replace("place", "/[^/]*$", "").alias("folder")).distinct().collect()
-    ]
-    present = [f for f in folders if path_exists(spark, f)]
-    if not present:
-        return spark.createDataFrame([], "path string, doc string"), manifest.select("path").distinct()
-    text = spark.read.text(present, wholetext=one_per_file)
-    place = plain_path(F.col("_metadata.file_path"), base)
-    found = text.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"), place.alias("place"))
-    docs = found.join(wanted, "place", "left_semi").select("path", "doc")
-    files = docs.select(plain_path(F.col("path"), base).alias("place")).distinct()
-    return docs, wanted.join(files, "place", "left_anti").select(F.col("line").alias("path")).distinct()
-
-
-def plain_path(path: Column, base: str) -> Column:
-    """A path or URI as an absolute path without percent-encoding; other schemes keep theirs."""
-    uri = path.rlike("^[A-Za-z][A-Za-z0-9+.-]*:/")
-    local = F.regexp_replace(decoded(path), "^file:/+", "/")
-    return F.when(uri, local).when(path.startswith("/"), path).otherwise(F.concat(F.lit(f"{base.rstrip('/')}/"), path))
-
-
 # --- Seeds ------------------------------------------------------------------------------
 
 

@@ -37,9 +37,9 @@ class Version:
     periods: dict[str, str]
 
 
-def period(grain: str) -> Column:
-    """The partition of a bar: its ``day``, ``month`` or ``year``, as a date."""
-    day = F.col("trade_date")
+def period(grain: str, on: str = "trade_date") -> Column:
+    """The partition of a row: the ``day``, ``month`` or ``year`` of its date, as a date."""
+    day = F.col(on).cast("date")
     return day if grain == "day" else F.trunc(day, grain)
 
 
@@ -91,14 +91,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(version_numbers(spark, path))
 
 
-def commit(df: DataFrame, path: str, grain: str, whole: bool = False) -> Version:
+def commit(df: DataFrame, path: str, grain: str, whole: bool = False, on: str = "trade_date") -> Version:
     """Replace the periods ``df`` has rows for, or with ``whole`` the table, by its rows.
 
     Rebalancing brings a period's rows together for few files, and splits a period too big
     for one task. ``df`` may read the table itself: its files stay.
     """
     spark, name = df.sparkSession, uuid.uuid4().hex
-    write(df, data_path(path, name), grain)
+    write(df, data_path(path, name), grain, on)
     before = pinned(spark, path)
     kept = {} if whole or before is None else before.periods
     written = [n.removeprefix(f"{PERIOD}=") for n in names_in(spark, data_path(path, name)) if n.startswith(f"{PERIOD}=")]
@@ -111,8 +111,8 @@ def data_path(path: str, commit_name: str) -> str:
     return f"{path}/data/{COMMIT}={commit_name}"
 
 
-def write(df: DataFrame, folder: str, grain: str) -> None:
-    rows = df.withColumn(PERIOD, period(grain)).hint("rebalance", PERIOD)
+def write(df: DataFrame, folder: str, grain: str, on: str) -> None:
+    rows = df.withColumn(PERIOD, period(grain, on)).hint("rebalance", PERIOD)
     rows.write.partitionBy(PERIOD).parquet(folder)
 
 

@@ -19,6 +19,7 @@ from barline import schemas
 from barline.operators.merge import latest_by_key
 from barline.sources import documents
 from barline.sources.tables import snapshot_table, upsert_table
+from barline.sources.versions import delete
 
 
 ADAPTIVE = "spark.sql.adaptive.enabled"
@@ -49,15 +50,16 @@ FEEDS = {
 }
 
 
-def typed_batch(docs: DataFrame, feed: Feed) -> DataFrame:
-    """Accepted rows in stored types, one per key: the last by file path wins."""
-    rows = documents.accepted(feed.parse(docs))
+def typed_batch(parsed: DataFrame, feed: Feed) -> DataFrame:
+    """Accepted rows in stored types, one per key: the last file by path wins, and in it the
+    last place."""
+    rows = documents.accepted(parsed)
     names = [f.name for f in feed.schema.fields if f.name != "inserted_at"]
     typed = rows.select(
-        "path", *[schemas.stored(F.col(f.name), f.dataType).alias(f.name)
+        "path", "at", *[schemas.stored(F.col(f.name), f.dataType).alias(f.name)
                   for f in feed.schema.fields if f.name in names],
     )
-    return latest_by_key(typed, feed.keys, ("path",)).select(names)
+    return latest_by_key(typed, feed.keys, ("path", "at")).select(names)
 
 
 def load_batch(
@@ -66,23 +68,27 @@ def load_batch(
 ) -> None:
     """Upsert one batch of documents and, if asked to, update the table's history.
 
-    Refused documents go to the quarantine folder.
+    Documents are scanned and parsed once: what they give is written under the batch's
+    number, so that a rerun replaces it, and read from there by the upsert and by the
+    quarantine, which gets the refused ones.
     """
-    touched = upsert_table(
-        spark, table, feed.schema, typed_batch(docs, feed), feed.keys, now, feed.grain
-    )
+    work = f"{table}.parsed/batch={batch_id}"
+    rows = feed.parse(documents.numbered(docs))
+    rows.write.mode("overwrite").parquet(work)
+    parsed = spark.read.schema(rows.schema).parquet(work)
+    touched = upsert_table(spark, table, feed.schema, typed_batch(parsed, feed), feed.keys, now, feed.grain)
     if history is not None:
         snapshot_table(spark, history, feed.schema, table, feed.keys, touched, feed.grain)
     if quarantine is not None:
-        refused = documents.rejected(feed.parse(docs))
-        refused.write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+        documents.rejected(parsed).write.mode("overwrite").parquet(f"{quarantine}/batch={batch_id}")
+    delete(spark, work)
 
 
 def document_stream(
     spark: SparkSession, folder: str, one_per_file: bool = True,
     archive: str | None = None, files_per_batch: int | None = None,
 ) -> DataFrame:
-    """(path, doc) rows of files as they arrive.
+    """(path, doc, at) rows of files as they arrive.
 
     ``archive`` moves a loaded file there once a later batch has committed, so
     the last batch's files move in the run after.
@@ -92,7 +98,7 @@ def document_stream(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
     if files_per_batch is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return documents.as_documents(reader.load(folder))
+    return documents.placed_documents(reader.load(folder))
 
 
 def start_load(

@@ -7,6 +7,7 @@ import pytest
 
 from barline.functions import symbols
 from barline.sources import documents as docs
+from barline.sources import versions
 from pyspark.sql import functions as F
 
 BAR = {"v": 10.5, "vw": 1.23456, "o": 1, "c": 2, "h": 3, "l": 0.5, "t": 1704205800000, "n": 7}
@@ -117,13 +118,25 @@ def test_grouped_documents_fan_out_to_listed_tickers(spark):
     assert (back.ticker, back.vwap) == ("A", 1.23456)
 
 
-def test_landing_folders_are_replaced_by_date(spark, tmp_path):
-    rows = frame(spark, "path string, doc string", ("1", {"resultsCount": 1, "results": [BAR | {"T": "A"}]}))
-    landed = docs.landing(docs.grouped_bars(rows, frame(spark, "ticker string", ("A",))))
-    for _ in range(2):
-        docs.write_landing(landed, str(tmp_path / "landing"))
-    read = docs.read_documents(spark, str(tmp_path / "landing"), one_per_file=False)
-    assert docs.accepted(docs.stock_bars(read)).count() == 1
+def test_landing_replaces_documents_by_symbol_and_date(spark, tmp_path):
+    path = str(tmp_path / "landing")
+
+    def landed(*bars):
+        rows = frame(spark, "path string, doc string", ("1", {"resultsCount": len(bars), "results": [BAR | b for b in bars]}))
+        return docs.landing(docs.grouped_bars(rows, frame(spark, "ticker string", ("A",), ("B",))))
+
+    later = {"T": "A", "t": BAR["t"] + 86_400_000}
+    docs.land(landed({"T": "A"}, {"T": "B"}, later), path)
+    before = versions.pinned(spark, path).periods
+    for _ in range(2):  # one symbol of one date comes again, and again
+        docs.land(landed({"T": "A", "c": 7}), path)
+    found = docs.accepted(docs.stock_bars(docs.landed(spark, path)))
+    assert sorted((r.ticker, str(r.trade_date), r.close) for r in found.collect()) == [
+        ("A", "2024-01-02", 7.0), ("A", "2024-01-03", 2.0), ("B", "2024-01-02", 2.0),
+    ]
+    after = versions.pinned(spark, path).periods
+    assert after["2024-01-03"] == before["2024-01-03"] and after["2024-01-02"] != before["2024-01-02"]
+    assert len(docs.landed(spark, path).inputFiles()) == 2  # a file a date, not one a document
 
 
 def test_ranges_and_pages(spark):

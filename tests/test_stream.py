@@ -3,6 +3,8 @@
 import json
 from datetime import datetime, timedelta
 
+import pytest
+
 from barline import schemas
 from barline.sources.tables import history_schema
 from barline.sources.versions import read
@@ -73,3 +75,32 @@ def test_small_batches_and_archive(spark, tmp_path):
     table = run(spark, tmp_path, files_per_batch=1, archive=str(archive))
     assert table.count() == 3
     assert len(list(archive.rglob("*.json"))) == 2 and len(list((tmp_path / "raw").glob("*.json"))) == 1
+
+
+def lines(path, closes):
+    bar = {"v": 1, "vw": 1, "o": 1, "h": 9, "l": 1, "t": TIME, "n": 1}
+    path.parent.mkdir(exist_ok=True)
+    path.write_text("".join(json.dumps({"ticker": "A", "resultsCount": n, "results": [bar | {"c": c}]}) + "\n" for c, n in closes))
+
+
+@pytest.mark.parametrize("split", ["200", "1000", "128m"])
+def test_a_later_line_wins_whatever_its_value_and_the_splits(spark, tmp_path, split):
+    lines(tmp_path / "raw/a.json", [(9, 1), (3, 1), (8, 2), (7, 1), (1, 1), (5, 1), (2, 1)] + [(6, 2)] * 9)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", split)
+    try:
+        table = run(spark, tmp_path, one_per_file=False)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [float(r.close) for r in table.collect()] == [2.0]
+
+
+def test_a_batch_is_scanned_once_for_the_table_and_the_quarantine(spark, tmp_path):
+    lines(tmp_path / "raw/a.json", [(9, 1), (8, 2), (7, 1)])
+    query = loads.start_load(
+        spark, str(tmp_path / "raw"), loads.FEEDS["stock_bars"], str(tmp_path / "table"), str(tmp_path / "checkpoint"),
+        clock, quarantine=str(tmp_path / "quarantine"), history=str(tmp_path / "history"), one_per_file=False,
+    )
+    query.awaitTermination()
+    assert [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]] == [3]
+    assert spark.read.parquet(str(tmp_path / "quarantine")).count() == 1
+    assert not list((tmp_path / "table.parsed").glob("batch=*"))

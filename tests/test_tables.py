@@ -12,7 +12,7 @@ from barline.functions.keys import file_key
 from barline.operators import history, merge
 from barline.operators.series import Series
 from barline.plans import models, refresh
-from barline.sources import tables, versions
+from barline.sources import listed, tables, versions
 
 T0, T1, T2 = datetime(2024, 1, 1), datetime(2024, 1, 2), datetime(2024, 1, 3)
 KEY = schemas.STOCK_KEY
@@ -342,16 +342,34 @@ def test_manifests_and_seeds(spark, tmp_path):
     assert rows(tables.read_seed(spark, str(tmp_path / "seed.csv"))) == [("A", "Apple, Inc", "Tech")]
 
 
-def test_manifest_reads_the_listed_files_of_the_listed_folders(spark, tmp_path):
+def test_manifest_reads_the_listed_files_alone(spark, tmp_path):
     names = ["C D_1.json", "A%_1.json", "B+x_1.json", "E_1.json"]
     for day in ("d1", "d2"):
         (tmp_path / day).mkdir()
         for name in names:
             (tmp_path / day / name).write_text(f"{day} {name}")
-    lines = ["d1/C D_1.json", f"{tmp_path}/d1/A%_1.json", f"file://{tmp_path}/d1/B+x_1.json", "d1/gone.json", "d9/gone.json"]
+    # Neither can be read, and neither is listed: a link to nothing and a folder without rights.
+    (tmp_path / "d1/broken.json").symlink_to(tmp_path / "nowhere")
+    (tmp_path / "d1/locked").mkdir(mode=0)
+    lines = ["d1/C D_1.json", "d1/C D_1.json", f"{tmp_path}/d1/A%_1.json", f"file://{tmp_path}/d1/B+x_1.json", "d1/gone.json", "d9/gone.json"]
     manifest = spark.createDataFrame([(x,) for x in lines], "path string")
-    listed, missing = tables.listed_documents(spark, manifest, str(tmp_path))
-    got = listed.withColumn("key", file_key(F.col("path"))).select("doc", "key")
+    docs, missing = listed.listed_documents(spark, manifest, str(tmp_path))
+    got = docs.withColumn("key", file_key(F.col("path"))).select("doc", "key")
     assert sorted(rows(got)) == [("d1 A%_1.json", "A%"), ("d1 B+x_1.json", "B+x"), ("d1 C D_1.json", "C D")]
     assert sorted(rows(missing)) == [("d1/gone.json",), ("d9/gone.json",)]
-    assert not any("/d2/" in f for f in listed.inputFiles())
+
+
+@pytest.mark.parametrize("size", [1, 7, 64, 1 << 20])
+def test_lines_have_their_places_whatever_the_ranges(spark, tmp_path, size):
+    texts = {"a": b"one\ntwo\r\n\n\xc3\xa9 three\nlast", "b": b"", "c": b"\n", "d": b"x" * 300 + b"\n" + b"y" * 5 + b"\n"}
+    want = []
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text)
+        at = 0
+        for line in text.split(b"\n")[: None if text and not text.endswith(b"\n") else -1]:
+            want.append((name, at, line.removesuffix(b"\r").decode()))
+            at += len(line) + 1
+    manifest = spark.createDataFrame([(name,) for name in texts], "path string")
+    docs, _ = listed.listed_documents(spark, manifest, str(tmp_path), one_per_file=False, range_bytes=size)
+    got = [(r.path.rsplit("/", 1)[1], r["at"][0], r.doc) for r in docs.collect()]
+    assert sorted(got) == sorted(want)
