@@ -5,7 +5,7 @@
    randomised SVD gives their latent space: Spark multiplies the passage matrix with
    random vectors, sums the products by term, and again after each orthonormalisation.
    The driver holds one thin matrix, of the terms of one block of at most 256
-   passages. A larger benchmark is searched block by block.
+   passages. Eight blocks at a time are searched in one pass over the texts.
 3. Every text is cut into windows of 40 words, half overlapping. A window's TF-IDF
    vector is folded into the latent space; items with a cosine over the limit are
    candidates. Windows that hold too little of the benchmark's vocabulary to reach the
@@ -19,19 +19,23 @@ An item or text shorter than a window is one window.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from itertools import batched
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.tables import ROW, numbered, stored, text
+from barline.llm.tables import ROW, numbered_once, stored, text
 from barline.llm.words import GOLDEN, chunks, mix, word_hashes
 
 FEATURE_BITS = 18
 FEATURES = 1 << FEATURE_BITS
 HALF_WINDOW = 20
 BLOCK = 256
+BLOCKS_A_PASS = 8  # searched in one pass over the texts: a task holds so many blocks
 OVERSAMPLE, POWER_STEPS = 8, 1
 ENERGY = 0.999
 COSINE = 0.3
@@ -201,90 +205,103 @@ def is_leak(item: list, answer: list, region: list) -> float:
 HITS = T.ArrayType(T.StructType([T.StructField("item_id", T.LongType()), T.StructField("share", T.DoubleType())]))
 
 
-def searcher(model: dict):
-    """A column function from texts to the items found in them."""
+def searcher(models: Sequence[dict]):
+    """A column function from texts to the items of some blocks found in them; a text is
+    hashed and cut into windows once for all of them."""
 
     @F.arrow_udf(HITS)
     def search(texts: pa.Array) -> pa.Array:
-        idf, lookup, folded, items = (model[x] for x in ("idf", "lookup", "folded", "items"))
-        queries, owners = model["queries"], model["owners"]
         kind = pa.list_(pa.struct([("item_id", pa.int64()), ("share", pa.float64())]))
         out: list[list] = []
         for part in chunks(texts):
             words, starts = word_hashes(part)
             found: list[dict] = [{} for _ in range(len(part))]
-            for doc, low, high, item in candidate_windows(words, starts, idf, lookup, folded, queries, owners):
-                for wanted, answer in items[item]:
-                    reach = len(wanted)
-                    region = words[max(starts[doc], low - reach) : min(starts[doc + 1], high + reach)].tolist()
-                    share = is_leak(wanted, answer, region)
-                    if share > found[doc].get(item, 0.0):
-                        found[doc][item] = share
+            cut = Windows(words, starts, models[0]["idf"])
+            for model in models:
+                for doc, low, high, item in cut.candidates(model):
+                    for wanted, answer in model["items"][item]:
+                        reach = len(wanted)
+                        region = words[max(starts[doc], low - reach) : min(starts[doc + 1], high + reach)].tolist()
+                        share = is_leak(wanted, answer, region)
+                        if share > found[doc].get(item, 0.0):
+                            found[doc][item] = share
             out.extend([{"item_id": i, "share": s} for i, s in sorted(f.items())] for f in found)
         return pa.array(out, kind)
 
     return search
 
 
-def candidate_windows(words, starts, idf, lookup, folded, queries, owners):
-    """(text number, first word, end, item) of the windows near an item."""
-    if len(words) == 0:
-        return
-    sizes = np.diff(starts)
-    halves = -(-sizes // HALF_WINDOW)
-    owner = np.repeat(np.arange(len(sizes)), halves)
-    within = np.arange(halves.sum()) - np.repeat(np.cumsum(halves) - halves, halves)
-    low = starts[:-1][owner] + within * HALF_WINDOW
-    terms = features(words)
-    weight = idf[terms]
-    row = lookup[terms]
-    mass = np.add.reduceat(weight**2, low)
-    known = np.add.reduceat(np.where(row >= 0, weight**2, 0), low)
-    # A window is a half and the next of the same text; the last half of several is no window.
-    paired = np.append(owner[1:] == owner[:-1], False)
-    mass, known = (x + np.where(paired, np.append(x[1:], 0), 0) for x in (mass, known))
-    window = paired | (within == 0)
-    # Repeated terms only raise a vector's norm, so this bound holds for any counts up to
-    # the square root of the window; the cosine itself decides.
-    window &= known * 2 * HALF_WINDOW >= COSINE**2 * mass
-    at = np.flatnonzero(window & (known > 0))
-    for some in np.array_split(at, max(1, len(at) // 4096)):
-        if len(some) == 0:
-            continue
-        first = low[some]
-        end = np.minimum(first + 2 * HALF_WINDOW, starts[1:][owner[some]])
-        count = end - first
-        place = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
-        keys = np.repeat(np.arange(len(some)), count) << FEATURE_BITS | terms[place]
-        keys, tf = np.unique(keys, return_counts=True)
-        which, term = keys >> FEATURE_BITS, keys & (FEATURES - 1)
-        value = (tf * idf[term]).astype(np.float32)
-        norm = np.sqrt(np.bincount(which, value.astype(np.float64) ** 2, len(some)))
-        inside = lookup[term] >= 0
-        inner = np.sqrt(np.bincount(which[inside], value[inside].astype(np.float64) ** 2, len(some)))
-        good = inner >= COSINE * norm  # no item can be nearer than the part it could share
-        take = inside & good[which]
-        if not take.any():
-            continue
-        rows, begin = np.unique(which[take], return_index=True)
-        latent = np.add.reduceat(folded[lookup[term[take]]] * value[take, None], begin)
-        near = (latent @ queries.T) / np.maximum(norm[rows], 1e-9)[:, None]
-        for i, q in zip(*np.nonzero(near >= COSINE), strict=True):
-            w = rows[i]
-            yield int(owner[some[w]]), int(first[w]), int(end[w]), int(owners[q])
+class Windows:
+    """The windows of some texts, and the weight of each, whatever they are searched for."""
+
+    def __init__(self, words: np.ndarray, starts: np.ndarray, idf: np.ndarray):
+        self.idf, self.starts = idf, starts
+        sizes = np.diff(starts)
+        halves = -(-sizes // HALF_WINDOW)
+        self.owner = np.repeat(np.arange(len(sizes)), halves)
+        within = np.arange(halves.sum()) - np.repeat(np.cumsum(halves) - halves, halves)
+        self.low = starts[:-1][self.owner] + within * HALF_WINDOW
+        self.terms = features(words)
+        self.squares = idf[self.terms] ** 2
+        # A window is a half and the next of the same text; the last half of several is no window.
+        self.paired = np.append(self.owner[1:] == self.owner[:-1], False) if len(self.owner) else np.zeros(0, bool)
+        self.window = self.paired | (within == 0)
+        self.mass = self.summed(self.squares)
+
+    def summed(self, x: np.ndarray) -> np.ndarray:
+        """Sums over each half's window."""
+        if len(self.low) == 0:
+            return np.zeros(0)
+        x = np.add.reduceat(x, self.low)
+        return x + np.where(self.paired, np.append(x[1:], 0), 0)
+
+    def candidates(self, model: dict):
+        """(text number, first word, end, item) of the windows near an item of a block."""
+        if len(self.low) == 0:
+            return
+        idf, lookup, folded, queries, owners = self.idf, *(model[x] for x in ("lookup", "folded", "queries", "owners"))
+        known = self.summed(np.where(lookup[self.terms] >= 0, self.squares, 0))
+        # Repeated terms only raise a vector's norm, so this bound holds for any counts up to
+        # the square root of the window; the cosine itself decides.
+        window = self.window & (known * 2 * HALF_WINDOW >= COSINE**2 * self.mass)
+        at = np.flatnonzero(window & (known > 0))
+        for some in np.array_split(at, max(1, len(at) // 4096)):
+            if len(some) == 0:
+                continue
+            first = self.low[some]
+            end = np.minimum(first + 2 * HALF_WINDOW, self.starts[1:][self.owner[some]])
+            count = end - first
+            place = np.repeat(first, count) + np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            keys = np.repeat(np.arange(len(some)), count) << FEATURE_BITS | self.terms[place]
+            keys, tf = np.unique(keys, return_counts=True)
+            which, term = keys >> FEATURE_BITS, keys & (FEATURES - 1)
+            value = (tf * idf[term]).astype(np.float32)
+            norm = np.sqrt(np.bincount(which, value.astype(np.float64) ** 2, len(some)))
+            inside = lookup[term] >= 0
+            inner = np.sqrt(np.bincount(which[inside], value[inside].astype(np.float64) ** 2, len(some)))
+            good = inner >= COSINE * norm  # no item can be nearer than the part it could share
+            take = inside & good[which]
+            if not take.any():
+                continue
+            rows, begin = np.unique(which[take], return_index=True)
+            latent = np.add.reduceat(folded[lookup[term[take]]] * value[take, None], begin)
+            near = (latent @ queries.T) / np.maximum(norm[rows], 1e-9)[:, None]
+            for i, q in zip(*np.nonzero(near >= COSINE), strict=True):
+                w = rows[i]
+                yield int(self.owner[some[w]]), int(first[w]), int(end[w]), int(owners[q])
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """(_llm_row, doc_id, item_id, share) of every benchmark item found in a row of ``docs``.
+    """(a row's number, doc_id, item_id, share) of every benchmark item found in a row of ``docs``.
 
     Null texts and items are empty: they hold nothing and are found nowhere. An item in
     which every term stands in every text has no weight and is not searched. Repeated items
     count once; of several texts with one item_id any counts. A missing item_id is -1.
     """
-    rows = numbered(docs).select(ROW, F.col("doc_id").cast("bigint").alias("doc_id"), text().alias("text"))
+    rows = numbered_once(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text().alias("text")), "leaks-rows")
     found = docs.sparkSession.createDataFrame([], f"{ROW} bigint, doc_id bigint, item_id bigint, share double")
-    for model in models(docs, benchmark):
-        hits = rows.select(ROW, "doc_id", F.explode(searcher(model)("text")).alias("hit"))
+    for some in batched(models(rows, benchmark), BLOCKS_A_PASS):
+        hits = rows.select(ROW, "doc_id", F.explode(searcher(some)("text")).alias("hit"))
         found = found.union(hits.select(ROW, "doc_id", "hit.item_id", "hit.share"))
     return found.groupBy(ROW, "doc_id", "item_id").agg(F.max("share").alias("share"))
 
@@ -336,6 +353,6 @@ def block_model(block: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> dict
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
     kept = docs
-    for model in models(docs, benchmark):
-        kept = kept.filter(F.size(searcher(model)(text())) == 0)
+    for some in batched(models(docs, benchmark), BLOCKS_A_PASS):
+        kept = kept.filter(F.size(searcher(some)(text())) == 0)
     return kept

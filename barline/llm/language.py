@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.llm.tables import about, text
+from barline.llm.tables import ROW, about, text
 from barline.llm.words import bounds, chunks, raw, run_hashes
 
 UNKNOWN = "und"
@@ -233,6 +233,7 @@ def labelled(docs: DataFrame, model: Model | None) -> Column:
 
 
 REJECT_BELOW = 0.3
+FOUND = f"{ROW}_lang"
 
 
 def keep_known(docs: DataFrame, usable: Column | None = None) -> DataFrame:
@@ -244,8 +245,8 @@ def keep_known(docs: DataFrame, usable: Column | None = None) -> DataFrame:
     model = fitted(docs, F.lit(True) if usable is None else usable)
     if model is None:
         return docs.filter(F.coalesce(F.col("text"), F.lit("")).rlike(r"\p{L}"))
-    rows = docs.withColumn("_llm_lang", labelled(docs, model))
-    rows = rows.filter((F.col("_llm_lang.lang") != UNKNOWN) & (F.col("_llm_lang.score") >= REJECT_BELOW))
+    rows = docs.withColumn(FOUND, labelled(docs, model))
+    rows = rows.filter((F.col(f"{FOUND}.lang") != UNKNOWN) & (F.col(f"{FOUND}.score") >= REJECT_BELOW))
     return rows.select(docs.columns)
 
 

@@ -23,6 +23,8 @@ from pyspark.sql import functions as F
 
 from barline.llm.tables import ROW, numbered_once, stored, text
 
+PLACES = f"{ROW}_places"
+
 MIN_CHARS = 20
 HALVES, BLOCKS = 2, 16
 FIRST = "first"
@@ -112,7 +114,7 @@ def neighbours(distinct: DataFrame, docs: DataFrame) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, short: bool = False) -> DataFrame:
-    """(_llm_row, doc_id, places): the 0-based lines of each row that an earlier line stands for.
+    """(a row's number, doc_id, places): the 0-based lines of each row that an earlier line stands for.
 
     Lines under 20 code points are not compared by edits: at that length one edit makes
     another word. With ``short`` they are dropped if they repeat an earlier line exactly,
@@ -148,10 +150,10 @@ def drop_repeated_lines(docs: DataFrame, short: bool = False) -> DataFrame:
     but n_chars, which counts the new text if there is such a column.
     """
     rows = numbered_once(docs, "lines-rows")
-    gone = stored(dropped_lines(rows, short).select(ROW, F.col("places").alias("_llm_places")), "lines-gone")
+    gone = stored(dropped_lines(rows, short).select(ROW, F.col("places").alias(PLACES)), "lines-gone")
     rows = rows.join(gone.hint("merge"), ROW, "left")
-    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains("_llm_places", i))
-    changed = F.col("_llm_places").isNotNull()
+    kept = F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(PLACES, i))
+    changed = F.col(PLACES).isNotNull()
     rows = rows.withColumn("text", F.when(changed, F.array_join(kept, "\n")).otherwise(F.col("text")))
     rows = rows.filter(~changed | (F.trim("text") != ""))
     if "n_chars" in docs.columns:

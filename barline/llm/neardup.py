@@ -136,7 +136,7 @@ def candidates(nodes: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with the class of its near duplicates.
 
-    Returns ``_llm_row``, doc_id, class_id (the least doc_id of the class), class_size and
+    Returns the row's number, doc_id, class_id (the least doc_id of the class), class_size and
     keep, which is true for one row of each class: that with the least doc_id, and of
     equal ids the first. Rows with equal texts are one class. A null text is an empty one;
     a text without words is near no other, so its row is a class of its own.

@@ -191,7 +191,7 @@ def bootstrap(seen: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def find(docs: DataFrame) -> DataFrame:
-    """Every row of ``docs`` with its spans: _llm_row, doc_id, base and added, both arrays
+    """Every row of ``docs`` with its spans: the row's number, doc_id, base and added, both arrays
     of (kind, start, end) sorted by kind as listed, then start.
 
     Null and empty texts have none. A place that several trusted patterns give several

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from barline.session import fresh_path
 
-ROW = "_llm_row"  # names a row of one read; no table is expected to have such a column
+ROW = f"_row_{uuid.uuid4().hex[:12]}"  # names a row of one read: made anew, so that no table has such a column
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

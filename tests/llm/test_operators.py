@@ -396,3 +396,28 @@ def test_toxicity_is_learned_and_tolerates_inserted_characters(spark):
     assert got[2000].predicted == got[2001].predicted == 0 and all(0 <= r.score <= 1 for r in got.values())
     none = toxicity.scored(docs, marks.limit(0), remainder(5) == 0, remainder(5) != 0)
     assert {r.score for r in none.collect()} == {0.0}
+
+
+def test_columns_named_like_our_own_are_left_alone(spark):
+    """The names that earlier versions used inside, with equal values in every row."""
+    texts = [" ".join(prose(s, 60)) + "\n" + " ".join(prose(100 + s, 30)) for s in range(8)]
+    docs = documents(spark, [*texts, texts[0], texts[3]])
+    for name in ("_llm_row", "_llm_places", "_llm_lang", "place", "bands"):
+        docs = docs.withColumn(name, docs.doc_id * 0)
+    for drop, left in ((linededup.drop_repeated_lines, 8), (neardup.drop_near_duplicates, 8), (language.keep_known, 10)):
+        kept = drop(docs)
+        assert kept.columns == docs.columns and kept.count() == left
+        assert kept.filter("_llm_row <> 0 or _llm_places <> 0 or _llm_lang <> 0").count() == 0
+
+
+def test_many_blocks_are_searched_in_one_pass(spark, monkeypatch):
+    """A benchmark of several blocks, and of several passes, gives the items of one."""
+    items = [" ".join(prose(1000 + i, 45)) for i in range(40)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [" ".join(prose(7, 80)) + " " + items[i % 40] + " " + " ".join(prose(8, 50)) for i in range(0, 90, 3)] + ODD
+    want = {(d, i % 40) for d, i in enumerate(range(0, 90, 3))}
+    for block, blocks in ((256, 8), (8, 8), (8, 2)):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        monkeypatch.setattr(decontaminate, "BLOCKS_A_PASS", blocks)
+        found = decontaminate.leaks(documents(spark, texts), benchmark)
+        assert sorted((r.doc_id, r.item_id) for r in found.collect()) == sorted(want)
