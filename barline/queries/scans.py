@@ -2,6 +2,8 @@
 
 Documents are made by Spark from the bar tables, in the shapes the feeds send:
 good ones, and by a property of the bar, truncated, empty or otherwise wrong.
+They are written first, as lines of files, or beside their paths or symbols as
+a table, and parsed from what is scanned there.
 """
 
 from pyspark.sql import functions as F
@@ -66,12 +68,24 @@ def option_documents(spark, sf_dir):
     return bars.select(name.alias("path"), spoiled(docs.envelope(symbol, F.col("bar")), day).alias("doc"))
 
 
+def from_lines(spark, documents):
+    """Documents written one a line and read from the folder."""
+    path = fresh_path(spark, "documents")
+    documents.select(F.col("doc").alias("value")).write.text(path)
+    return docs.read_documents(spark, path, one_per_file=False)
+
+
+def from_table(spark, documents):
+    """Documents written beside their other columns and read from that table."""
+    path = fresh_path(spark, "documents")
+    tables.rebuild(documents, path)
+    return spark.read.schema(documents.schema).parquet(path)
+
+
 @query("src_stock_json", with_sql(BARS, f"SELECT ticker, {shown('trade_date:d ' + BAR_SHOWN)} FROM bars WHERE {GOOD}"))
 def src_stock_json(spark, sf_dir):
     """Documents written one per line, read back from the folder and parsed."""
-    path = fresh_path(spark, "stock-json")
-    stock_documents(spark, sf_dir).select(F.col("doc").alias("value")).write.text(path)
-    found = docs.read_documents(spark, path, one_per_file=False)
+    found = from_lines(spark, stock_documents(spark, sf_dir))
     return docs.accepted(docs.stock_bars(found)).select("ticker", "trade_date", *BAR_NAMES)
 
 
@@ -79,7 +93,7 @@ def src_stock_json(spark, sf_dir):
     SELECT {shown('option_symbol trade_date:d underlying_ticker expiration_date:d strike_price:n option_type ' + BAR_SHOWN)}
     FROM options WHERE {GOOD} AND day(trade_date) > 2"""))
 def src_option_json(spark, sf_dir):
-    rows = docs.accepted(docs.option_bars(option_documents(spark, sf_dir)))
+    rows = docs.accepted(docs.option_bars(from_lines(spark, option_documents(spark, sf_dir))))
     return rows.select(
         "option_symbol", "trade_date", "underlying_ticker", "expiration_date", "strike_price", "option_type", *BAR_NAMES
     )
@@ -90,7 +104,7 @@ def src_option_json(spark, sf_dir):
       coalesce({REASONS}, 'loaded') AS outcome FROM bars"""))
 def quarantine_split(spark, sf_dir):
     """Every document's fate: loaded, or refused for a reason."""
-    rows = docs.stock_bars(stock_documents(spark, sf_dir))
+    rows = docs.stock_bars(from_table(spark, stock_documents(spark, sf_dir)))
     refused = docs.rejected(rows).select("path", F.col(docs.REASON).alias("outcome"))
     return docs.loaded_paths(rows).withColumn("outcome", F.lit("loaded")).unionByName(refused)
 
@@ -98,7 +112,7 @@ def quarantine_split(spark, sf_dir):
 @query("nonempty_filter", with_sql(BARS, """
     SELECT 'raw_data/' || ticker || '_' || CAST(trade_date AS VARCHAR) || '.json' AS path FROM bars WHERE day(trade_date) NOT IN (13, 14)"""))
 def nonempty_filter(spark, sf_dir):
-    return docs.nonempty(stock_documents(spark, sf_dir)).select("path")
+    return docs.nonempty(from_table(spark, stock_documents(spark, sf_dir))).select("path")
 
 
 # --- Broker histories: a list of days, one object, or nothing -----------------------------
@@ -134,7 +148,7 @@ DAY_NAMES = ("open", "high", "low", "close", "volume", "vwap")
 
 @query("src_history_json", with_sql(BARS, f"SELECT ticker, {shown('trade_date:d ' + DAY_SHOWN)} FROM bars WHERE {HAS_HISTORY}"))
 def src_history_json(spark, sf_dir):
-    documents = history_documents(fx.stock_bars(spark, sf_dir), F.col("ticker"))
+    documents = from_table(spark, history_documents(fx.stock_bars(spark, sf_dir), F.col("ticker")))
     return docs.accepted(docs.history_bars(documents)).select("ticker", "trade_date", *DAY_NAMES)
 
 
@@ -142,7 +156,7 @@ def src_history_json(spark, sf_dir):
     SELECT substr(option_symbol, 3) AS option_symbol, {shown('trade_date:d underlying_ticker expiration_date:d strike_price:n option_type ' + DAY_SHOWN)}
     FROM options WHERE {HAS_HISTORY}"""))
 def src_option_history_json(spark, sf_dir):
-    documents = history_documents(fx.option_bars(spark, sf_dir), F.substring("option_symbol", 3, 100))
+    documents = from_table(spark, history_documents(fx.option_bars(spark, sf_dir), F.substring("option_symbol", 3, 100)))
     return docs.accepted(docs.option_history_bars(documents)).select(
         "option_symbol", "trade_date", "underlying_ticker", "expiration_date", "strike_price", "option_type", *DAY_NAMES
     )
@@ -151,7 +165,7 @@ def src_option_history_json(spark, sf_dir):
 @query("filename_key", with_sql(BARS, """
     SELECT 'raw_data/' || ticker || '_' || CAST(trade_date AS VARCHAR) || '.json' AS path, ticker FROM bars"""))
 def filename_key(spark, sf_dir):
-    paths = stock_documents(spark, sf_dir).select("path")
+    paths = from_table(spark, stock_documents(spark, sf_dir)).select("path")
     return paths.withColumn("ticker", keys.file_key(F.col("path")))
 
 
@@ -186,7 +200,7 @@ ALLOWED = "ticker IN (SELECT c_mktsegment FROM customer WHERE c_acctbal > 0) AND
     SELECT ticker, CAST(trade_date AS VARCHAR) AS trade_date, 'r' || strftime(trade_date, '%Y%m%d') AS request_id,
       {shown('open:n close:n volume:n')}, transactions FROM bars WHERE {ALLOWED}"""))
 def grouped_daily_split(spark, sf_dir):
-    rows = docs.grouped_bars(grouped_documents(spark, sf_dir), solvent_segments(spark, sf_dir))
+    rows = docs.grouped_bars(from_lines(spark, grouped_documents(spark, sf_dir)), solvent_segments(spark, sf_dir))
     return rows.select(
         "ticker", docs.utc_date(F.col("bar.t")).alias("trade_date"), "request_id",
         F.col("bar.o").alias("open"), F.col("bar.c").alias("close"), F.col("bar.v").alias("volume"),
@@ -200,7 +214,7 @@ def grouped_daily_split(spark, sf_dir):
 def landing_envelope(spark, sf_dir):
     """Grouped documents rewritten as single-result ones and landed, those of one ticker
     again, then read back field by field."""
-    rows = docs.grouped_bars(grouped_documents(spark, sf_dir), solvent_segments(spark, sf_dir))
+    rows = docs.grouped_bars(from_lines(spark, grouped_documents(spark, sf_dir)), solvent_segments(spark, sf_dir))
     path, documents = fresh_path(spark, "landing"), docs.landing(rows)
     docs.land(documents, path, "year")
     docs.land(documents.filter(F.get_json_object("doc", "$.ticker") == "BUILDING"), path, "year")
@@ -224,7 +238,7 @@ def range_bars_split(spark, sf_dir):
         F.collect_list("bar").alias("results")
     )
     doc = F.to_json(F.struct("ticker", F.size("results").alias("resultsCount"), "results"))
-    rows = docs.range_bars(groups.select(F.col("ticker").alias("path"), doc.alias("doc")))
+    rows = docs.range_bars(from_lines(spark, groups.select(doc.alias("doc"))))
     return rows.select("ticker", "trade_date", F.col("bar.c").alias("close"), F.col("bar.v").alias("volume"))
 
 
@@ -244,7 +258,7 @@ def contract_pages(spark, sf_dir):
         F.collect_list(F.struct(F.col("option_symbol").alias("ticker"))).alias("results")
     )
     doc = F.to_json(F.struct("results", F.concat(F.lit("next-"), "underlying_ticker").alias("next_url")))
-    return docs.contract_symbols(pages.select(doc.alias("doc")))
+    return docs.contract_symbols(from_lines(spark, pages.select(doc.alias("doc"))))
 
 
 @query("chain_flatten", with_sql(OPTIONS, """
@@ -277,7 +291,7 @@ def chain_flatten(spark, sf_dir):
     )
     doc = F.when(F.col("day") == 31, '{"options":null}').otherwise(F.col("doc"))
     chains = chains.select("underlying", "expiration", doc.alias("doc"))
-    return docs.chain_symbols(single.unionByName(many).unionByName(none), chains)
+    return docs.chain_symbols(from_table(spark, single.unionByName(many).unionByName(none)), from_table(spark, chains))
 
 
 @query("validate_symbols", """
@@ -300,7 +314,7 @@ def validate_symbols(spark, sf_dir):
     doc = F.when(security.isNull(), '{"securities":null}').otherwise(
         F.concat(F.lit('{"securities":{"security":'), security, F.lit("}}"))
     )
-    return docs.valid_tickers(users.select("ticker", doc.alias("doc")))
+    return docs.valid_tickers(from_table(spark, users.select("ticker", doc.alias("doc"))))
 
 
 # --- Manifests, seeds and run artifacts -------------------------------------------------------------
@@ -361,4 +375,4 @@ def dq_artifact_scan(spark, sf_dir):
     )
     run = F.struct(F.date_format("run_generated_at", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("generated_at"))
     doc = F.to_json(F.struct(run.alias("metadata"), F.array(model, result).alias("results")))
-    return docs.run_results(results.select(doc.alias("doc")))
+    return docs.run_results(from_lines(spark, results.select(doc.alias("doc"))))
