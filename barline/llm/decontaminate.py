@@ -8,8 +8,8 @@
    passages. Eight blocks at a time are searched in one pass over the texts.
 3. Every text is cut into windows of 40 words, half overlapping. A window's TF-IDF
    vector is folded into the latent space; items with a cosine over the limit are
-   candidates. Windows that hold too little of the benchmark's vocabulary to reach the
-   limit are skipped, which is exact.
+   candidates. Windows whose terms could not reach the limit beside any item, by the most
+   that any item has of each term, are skipped, which is exact.
 4. Around a candidate window the longest common subsequence of words with the item must
    reach 80 % of the item; or 50 %, if the item's last sentence, its answer, is there
    too, which is how a paraphrase of the question gives itself away.
@@ -242,11 +242,11 @@ class Windows:
         within = np.arange(halves.sum()) - np.repeat(np.cumsum(halves) - halves, halves)
         self.low = starts[:-1][self.owner] + within * HALF_WINDOW
         self.terms = features(words)
-        self.squares = idf[self.terms] ** 2
+        self.weights = idf[self.terms]
         # A window is a half and the next of the same text; the last half of several is no window.
         self.paired = np.append(self.owner[1:] == self.owner[:-1], False) if len(self.owner) else np.zeros(0, bool)
         self.window = self.paired | (within == 0)
-        self.mass = self.summed(self.squares)
+        self.least_norm = np.sqrt(self.summed(self.weights**2))  # repeated terms only raise a norm
 
     def summed(self, x: np.ndarray) -> np.ndarray:
         """Sums over each half's window."""
@@ -260,11 +260,10 @@ class Windows:
         if len(self.low) == 0:
             return
         idf, lookup, folded, queries, owners = self.idf, *(model[x] for x in ("lookup", "folded", "queries", "owners"))
-        known = self.summed(np.where(lookup[self.terms] >= 0, self.squares, 0))
-        # Repeated terms only raise a vector's norm, so this bound holds for any counts up to
-        # the square root of the window; the cosine itself decides.
-        window = self.window & (known * 2 * HALF_WINDOW >= COSINE**2 * self.mass)
-        at = np.flatnonzero(window & (known > 0))
+        # No item's vector has more of a term than ``reach``, so what the window's terms could
+        # add up to beside any item bounds its cosine; the cosine itself decides.
+        most = self.summed(self.weights * model["reach"][self.terms])
+        at = np.flatnonzero(self.window & (most > 0) & (most >= (COSINE - 1e-3) * self.least_norm))
         for some in np.array_split(at, max(1, len(at) // 4096)):
             if len(some) == 0:
                 continue
@@ -335,7 +334,8 @@ def block_model(block: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> dict
     queries /= np.maximum(np.linalg.norm(queries, axis=1), 1e-9)[:, None]
     lookup = np.full(FEATURES, -1, np.int32)
     lookup[terms] = np.arange(len(terms))
-    wanted = block.select("item_id").distinct()
+    reach = np.zeros(FEATURES, np.float32)
+    reach[terms] = np.abs(v @ queries.T).max(1)
     items: dict[int, list] = {}
     texts = benchmark.select(item_id(), text().alias("text")).join(block.select("item_id").distinct(), "item_id", "left_semi")
     for item, value in texts.distinct().collect():
@@ -345,7 +345,7 @@ def block_model(block: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> dict
             answer, _ = word_hashes(pa.array([sentences[-1] if len(sentences) > 1 else ""], pa.large_string()))
             items.setdefault(item, []).append((words.tolist(), answer.tolist()))
     return {
-        "idf": idf, "lookup": lookup, "folded": v, "queries": queries, "items": items,
+        "idf": idf, "lookup": lookup, "folded": v, "queries": queries, "items": items, "reach": reach,
         "owners": local.item_id.to_numpy(np.int64),
     }
 
