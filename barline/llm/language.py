@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barline.llm.tables import ROW, about, text
-from barline.llm.words import bounds, chunks, raw, run_hashes
+from barline.llm.words import bounds, chunks, raw, release, run_hashes
 
 UNKNOWN = "und"
 TRAIN_TEXTS, TRAIN_CHARS = 1600, 2000
@@ -218,6 +218,7 @@ def labeller(model: Model):
             names.extend(model.languages[b] if s else UNKNOWN for b, s in zip(best, some, strict=True))
             top = share[np.arange(len(best)), best] / np.maximum(size, 1)
             scores.extend(np.where(some, np.clip(top, 0, 1), 0.0).tolist())
+        release()
         return pa.StructArray.from_arrays(
             [pa.array(names, pa.string()), pa.array(scores, pa.float64())], names=["lang", "score"]
         )

@@ -7,6 +7,7 @@ time, so memory does not grow with an Arrow batch, only with the longest text.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -24,6 +25,15 @@ BASE = 0x100000001B3 * 0x9E3779B1 | 1
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
+def release() -> None:
+    """Give memory that a batch has used back to the system: Python workers outlive their
+    tasks, and wait beside those of the next stage."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU C library
+    if trim is not None:
+        trim(0)
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """SplitMix64's finishing steps: a bijection that spreads every input bit."""
     x = (x ^ (x >> np.uint64(30))) * MIX_A
