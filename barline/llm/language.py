@@ -182,7 +182,9 @@ def fitted(docs: DataFrame, usable: Column) -> Model | None:
     if not rows:
         return None
     languages = sorted({r.lang for r in rows})
-    return train([r.text for r in rows], [languages.index(r.lang) for r in rows], languages)
+    model = train([r.text for r in rows], [languages.index(r.lang) for r in rows], languages)
+    release()
+    return model
 
 
 LABEL = T.StructType([T.StructField("lang", T.StringType()), T.StructField("score", T.DoubleType())])
