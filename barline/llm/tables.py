@@ -54,8 +54,15 @@ def about(df: DataFrame, rows: int, *key: str) -> DataFrame:
     """A sample of about ``rows`` rows, chosen by a hash of ``key``; all if there are fewer."""
     total = df.count()
     share = 1.0 if total <= rows else rows / total
-    place = F.pmod(F.xxhash64(F.lit("sample"), *key), F.lit(1 << 20))
-    return df.filter(place < F.lit(int(share * (1 << 20))))
+    return df.filter(drawn(*key) < F.lit(int(share * DRAWS)))
+
+
+DRAWS = 1 << 52  # fine enough for a few rows out of any table
+
+
+def drawn(*key: str) -> Column:
+    """A number from 0 to below ``DRAWS`` by a hash of ``key``."""
+    return F.shiftrightunsigned(F.xxhash64(F.lit("sample"), *key), 12)
 
 
 def ordered(df: DataFrame, label: str, *order: Column) -> DataFrame:
