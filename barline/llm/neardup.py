@@ -15,8 +15,14 @@ million shares none of the 30 bands. Texts that share a band, or two bands side
 by side, are compared with the least of their bucket, never with each other, so
 candidates grow with the texts and not with the square of a bucket. The double
 bands give a large bucket many leaders. The multiset overlap of each candidate
-pair is then computed from the whole texts, and components of the pairs that
-reach the threshold are the classes.
+pair is then computed from the whole texts.
+
+Where many texts are nearly alike, as those of one template are, most are unlike
+the leader of their bucket and may be like each other. Texts of which some pair
+was refused are dealt once more, by 300 keys of four bands: buckets so fine that
+they are small even there, each with a leader of its own, drawn by hash so that
+leaders differ. That adds at most 300 candidates a text. Components of all pairs
+that reach the threshold are the classes.
 
 What is joined with texts grows with them and has no bound, so those joins ask for a
 sort-merge join at every size.
@@ -24,6 +30,8 @@ sort-merge join at every size.
 
 from __future__ import annotations
 
+import random
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,6 +47,9 @@ SIMILARITY = 0.8
 BANDS, BAND_ROWS = 30, 4
 REGISTERS = BANDS * BAND_ROWS
 POINTS_AT_ONCE = 1 << 18
+# Keys for texts that a leader refused: sets of four bands, drawn once.
+FINE_KEYS, FINE_BANDS = 300, 4
+FINE = sorted(sorted(random.Random(f"fine {i}").sample(range(BANDS), FINE_BANDS)) for i in range(FINE_KEYS))
 
 
 def pieces(owner: np.ndarray, shingle: np.ndarray, weight: np.ndarray):
@@ -133,6 +144,36 @@ def candidates(nodes: DataFrame) -> DataFrame:
     return keyed.join(leaders, "bucket").filter("node <> leader").select("node", "leader").distinct()
 
 
+def fine_candidates(nodes: DataFrame, compared: DataFrame) -> DataFrame:
+    """Pairs (node, leader), not compared yet, of the texts of refused pairs that share all
+    bands of one of the fine keys. ``compared`` has every pair so far and its similarity."""
+    refused = compared.filter(~F.col("alike"))
+    doubted = stored(refused.select("node").union(refused.select("leader")).distinct(), "neardup-doubted")
+    sets = F.array(*(F.array(*(F.lit(b) for b in bands)) for bands in FINE))
+    key = lambda x, i: F.xxhash64(F.lit("fine"), i, *(F.get("bands", F.get(x, j)) for j in range(FINE_BANDS)))
+    keyed = nodes.join(doubted.hint("merge"), "node", "left_semi").select("node", F.explode(F.transform(sets, key)).alias("bucket"))
+    leaders = stored(
+        keyed.groupBy("bucket").agg(F.min_by("node", F.xxhash64("bucket", "node")).alias("leader"), F.count("*").alias("n"))
+        .filter("n > 1").select("bucket", "leader"),
+        "neardup-fine-leaders",
+    )
+    pairs = keyed.join(leaders.hint("merge"), "bucket").filter("node <> leader").select("node", "leader").distinct()
+    either = compared.select("node", "leader").union(compared.select("leader", "node"))
+    return pairs.join(either.hint("merge"), ["node", "leader"], "left_anti")
+
+
+def compared(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+    """``pairs`` with ``alike``: whether the overlap of their whole texts reaches ``similarity``."""
+    wanted = pairs.select("node").union(pairs.select("leader")).distinct()
+    texts = rows.select(digest(F.col("text")).alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi")
+    texts = stored(texts.dropDuplicates(["node"]), "neardup-texts")
+    return (
+        pairs.join(texts.withColumnRenamed("text", "left_text").hint("merge"), "node")
+        .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("right_text")).hint("merge"), "leader")
+        .select("node", "leader", (overlap("left_text", "right_text") >= similarity).alias("alike"))
+    )
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with the class of its near duplicates.
 
@@ -149,16 +190,10 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
     pairs = stored(candidates(nodes), "neardup-candidates")
-    wanted = pairs.select("node").union(pairs.select("leader")).distinct()
-    texts = rows.select(digest(F.col("text")).alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi")
-    texts = stored(texts.dropDuplicates(["node"]), "neardup-texts")
-    links = (
-        pairs.join(texts.withColumnRenamed("text", "left_text").hint("merge"), "node")
-        .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("right_text")).hint("merge"), "leader")
-        .withColumn("similarity", overlap("left_text", "right_text"))
-        .filter(F.col("similarity") >= similarity)
-        .select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    )
+    first = stored(compared(pairs, rows, similarity), "neardup-compared")
+    more = stored(fine_candidates(nodes, first), "neardup-fine")
+    second = stored(compared(more, rows, similarity), "neardup-compared")
+    links = first.union(second).filter("alike").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     found = components(stored(links, "neardup-links"))
     # A text without words must not share a class with another row.
     own = F.when(F.size("bands") == 0, F.concat(F.lit("row"), F.col(ROW).cast("string")).cast("binary"))

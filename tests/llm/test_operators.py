@@ -74,6 +74,20 @@ def test_near_duplicates_match_brute_force(spark):
     assert {i for i, r in got.items() if r.keep} == {i for i in range(len(texts)) if root(i) == i}
 
 
+def test_texts_of_one_template_keep_their_links(spark):
+    """Pairs just below and above the threshold: most leaders refuse most texts."""
+    base = prose(5, 300)
+    texts = [" ".join(edited(base, s, 4 + s % 5)) for s in range(400)]
+    bags = [frozenset(zip(*(t.split()[i:] for i in range(5)), strict=False)) for t in texts]
+    assert {len(b) for b in bags} == {296}  # no shingle repeats
+    pairs = [(i, j) for i in range(len(bags)) for j in range(i) if 10 * len(bags[i] & bags[j]) >= 8 * len(bags[i] | bags[j])]
+    found = {r.doc_id: r.class_id for r in neardup.classes(documents(spark, texts)).collect()}
+    assert len(pairs) > 200
+    assert sum(found[i] == found[j] for i, j in pairs) >= 0.9 * len(pairs)
+    linked = {i for pair in pairs for i in pair}
+    assert all(found[i] == i for i in range(len(texts)) if i not in linked)
+
+
 def test_signatures_estimate_weighted_similarity_without_bias():
     import numpy as np
     import pyarrow as pa
@@ -283,11 +297,43 @@ def test_languages_on_held_out_and_code_switched_texts(spark):
     import pyarrow as pa
 
     two = {r.lang: r.text for r in docs.filter("length(text) > 600").collect()}
-    share, sizes = language.shares(pa.array([two["en"][:600] + " " + two["de"][:600]], pa.large_string()), model)
+    share, sizes = language.shares(language.read(pa.array([two["en"][:600] + " " + two["de"][:600]], pa.large_string())), model)
     mixed = share[0] / sizes[0]
     assert mixed[model.languages.index("en")] > 0.3 and mixed[model.languages.index("de")] > 0.3
 
 
+def test_unknown_languages_go_and_known_ones_stay(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    rng = random.Random(1)
+    odd = [
+        " ".join(f"{rng.getrandbits(128):032x}" for _ in range(30)),
+        " ".join("".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=rng.randint(2, 9))) for _ in range(100)),
+        "吾輩は猫である。名前はまだ無い。どこで生れたかとんと見当がつかぬ。" * 5,
+        "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. " * 4,
+    ]
+    more = spark.createDataFrame([(-1 - i, t, None) for i, t in enumerate(odd)], docs.schema)
+    usable = remainder(3) != 1
+    kept = {r.doc_id for r in language.keep_known(docs.union(more), usable).select("doc_id").collect()}
+    assert not [i for i in kept if i < 0]
+    held_out = [r.doc_id for r in docs.filter(~usable).collect()]
+    assert sum(i in kept for i in held_out) >= 0.99 * len(held_out)
+
+
+def test_a_rare_language_is_learned(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    said = "Все счастливые семьи похожи друг на друга, каждая несчастливая семья несчастлива по-своему. "
+    rare = spark.createDataFrame([(-1 - i, said * 3, "ru") for i in range(4)], docs.schema)
+    model = language.fitted(docs.union(rare), remainder(3) != 7)
+    assert "ru" in model.languages
+    other = documents(spark, ["каждая семья несчастлива, все семьи похожи"])
+    assert other.select(language.labelled(other, model).alias("f")).first().f.lang == "ru"
+
+
+def test_shares_fill_the_sample():
+    shares = dict(language.shares_of({"a": 10, "b": 10**9, "c": 10**10}, 1000))
+    assert shares["a"] == 1 and round(shares["b"] * 10**9) == round(shares["c"] * 10**10) == 495
+
+
 def test_forward_backward_matches_enumeration():
     import itertools
 
