@@ -127,7 +127,8 @@ def overlap(left: pa.Array, right: pa.Array) -> pa.Array:
 
 
 def candidates(nodes: DataFrame) -> DataFrame:
-    """Pairs (node, leader) of the texts that share a band or two neighbouring bands."""
+    """Pairs (node, leader) of the texts that share a band or two neighbouring bands, and
+    whether any bucket they share is crowded: holds a third text."""
     single = F.transform("bands", lambda x, i: F.xxhash64(i, x))
     double = F.transform(
         F.sequence(F.lit(0), F.lit(BANDS - 2), F.lit(2)),
@@ -137,17 +138,19 @@ def candidates(nodes: DataFrame) -> DataFrame:
         "node", F.explode(F.concat(single, double)).alias("bucket")
     )
     leaders = stored(
-        keyed.groupBy("bucket").agg(F.min("node").alias("leader"), F.max("node").alias("other"))
-        .filter("leader <> other").select("bucket", "leader"),
+        keyed.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n"))
+        .filter("n > 1").select("bucket", "leader", (F.col("n") > 2).alias("crowded")),
         "neardup-leaders",
     )
-    return keyed.join(leaders, "bucket").filter("node <> leader").select("node", "leader").distinct()
+    pairs = keyed.join(leaders, "bucket").filter("node <> leader")
+    return pairs.groupBy("node", "leader").agg(F.max("crowded").alias("crowded"))
 
 
 def fine_candidates(nodes: DataFrame, compared: DataFrame) -> DataFrame:
     """Pairs (node, leader), not compared yet, of the texts of refused pairs that share all
-    bands of one of the fine keys. ``compared`` has every pair so far and its similarity."""
-    refused = compared.filter(~F.col("alike"))
+    bands of one of the fine keys. ``compared`` has every pair so far and whether it is alike.
+    A bucket of two has no pair but the compared one, so only crowded ones count."""
+    refused = compared.filter(~F.col("alike") & F.col("crowded"))
     doubted = stored(refused.select("node").union(refused.select("leader")).distinct(), "neardup-doubted")
     sets = F.array(*(F.array(*(F.lit(b) for b in bands)) for bands in FINE))
     key = lambda x, i: F.xxhash64(F.lit("fine"), i, *(F.get("bands", F.get(x, j)) for j in range(FINE_BANDS)))
@@ -162,15 +165,12 @@ def fine_candidates(nodes: DataFrame, compared: DataFrame) -> DataFrame:
     return pairs.join(either.hint("merge"), ["node", "leader"], "left_anti")
 
 
-def compared(pairs: DataFrame, rows: DataFrame, similarity: float) -> DataFrame:
+def compared(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """``pairs`` with ``alike``: whether the overlap of their whole texts reaches ``similarity``."""
-    wanted = pairs.select("node").union(pairs.select("leader")).distinct()
-    texts = rows.select(digest(F.col("text")).alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi")
-    texts = stored(texts.dropDuplicates(["node"]), "neardup-texts")
     return (
         pairs.join(texts.withColumnRenamed("text", "left_text").hint("merge"), "node")
         .join(texts.select(F.col("node").alias("leader"), F.col("text").alias("right_text")).hint("merge"), "leader")
-        .select("node", "leader", (overlap("left_text", "right_text") >= similarity).alias("alike"))
+        .select(*pairs.columns, (overlap("left_text", "right_text") >= similarity).alias("alike"))
     )
 
 
@@ -190,10 +190,13 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     )
     nodes = signed.groupBy("node").agg(F.first("bands").alias("bands"))
     pairs = stored(candidates(nodes), "neardup-candidates")
-    first = stored(compared(pairs, rows, similarity), "neardup-compared")
-    more = stored(fine_candidates(nodes, first), "neardup-fine")
-    second = stored(compared(more, rows, similarity), "neardup-compared")
-    links = first.union(second).filter("alike").select(F.col("node").alias("a"), F.col("leader").alias("b"))
+    wanted = pairs.select("node").union(pairs.select("leader")).distinct()
+    texts = rows.select(digest(F.col("text")).alias("node"), "text").join(wanted.hint("merge"), "node", "left_semi")
+    texts = stored(texts.dropDuplicates(["node"]), "neardup-texts")
+    first = stored(compared(pairs, texts, similarity), "neardup-compared")
+    # Its texts are of refused pairs, so they are among those of the first.
+    second = stored(compared(fine_candidates(nodes, first), texts, similarity), "neardup-compared")
+    links = first.drop("crowded").union(second).filter("alike").select(F.col("node").alias("a"), F.col("leader").alias("b"))
     found = components(stored(links, "neardup-links"))
     # A text without words must not share a class with another row.
     own = F.when(F.size("bands") == 0, F.concat(F.lit("row"), F.col(ROW).cast("string")).cast("binary"))
