@@ -225,9 +225,9 @@ def listed(spans: Column) -> Column:
 
 def summary(found: DataFrame) -> DataFrame:
     """Counts of base spans by kind, their digest, and the list of all spans."""
-    counts = [
-        F.size(F.filter("base", lambda x, n=n: x.kind == n)).cast("bigint").alias(f"n_{kind}") for n, kind in enumerate(KINDS)
-    ]
+    # A second parameter of the function, with or without a default, would be given the element's place.
+    of = lambda n: F.filter("base", lambda x: x.kind == n)
+    counts = [F.size(of(n)).cast("bigint").alias(f"n_{kind}") for n, kind in enumerate(KINDS)]
     every = F.sort_array(F.concat("base", "added"))
     return found.select(
         "doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(every).alias("spans"),

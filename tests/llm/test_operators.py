@@ -212,6 +212,17 @@ def test_contexts_discover_unseen_identifiers(spark):
     assert got[8].base_sha256 == hashlib.sha256(b"").hexdigest()
 
 
+def test_pii_counts_are_by_kind_wherever_a_span_stands(spark):
+    texts = ["from 10.0.0.1 and 10.0.0.2 and 10.0.0.3", "call +1 415 555 2671", "a@b.c or d@e.f, 10.0.0.4", "none", None]
+    got = {r.doc_id: r for r in pii.summary(pii.find(documents(spark, texts))).collect()}
+    for i, t in enumerate(texts):
+        spans = sorted(pii.base_spans(t or ""))
+        each = Counter(pii.KINDS[k] for k, _, _ in spans)
+        assert [got[i][f"n_{k}"] for k in pii.KINDS] == [each[k] for k in pii.KINDS]
+        listed = ",".join(f"{pii.KINDS[k]}:{s}:{e}" for k, s, e in spans)
+        assert got[i].base_sha256 == hashlib.sha256(listed.encode()).hexdigest()
+
+
 # --- 5 lines -----------------------------------------------------------------------------------
 
 
