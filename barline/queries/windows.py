@@ -135,10 +135,14 @@ def returns(spark, sf_dir):
 
 @query("drawdown", with_sql(BARS, CLOSES, f"SELECT {LABEL}, {rounded(f'(x - max(x) OVER ({BY_DATE})) / max(x) OVER ({BY_DATE})', 'drawdown')} FROM closes"))
 def drawdown(spark, sf_dir):
-    """How far each close lies under the highest close so far."""
+    """How far each close lies under the highest close so far; not a number while that is zero,
+    and minus infinity below zero then."""
     bars, series = with_price(spark, sf_dir)
     peaked = running(bars, series, "x", "max", "peak")
-    return peaked.select("ticker", "trade_date", ((F.col("x") - F.col("peak")) / F.col("peak")).alias("drawdown"))
+    x, peak = F.col("x"), F.col("peak")
+    from_zero = F.when(x < 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
+    fall = F.when(peak == 0, from_zero).otherwise((x - peak) / peak)
+    return peaked.select("ticker", "trade_date", fall.alias("drawdown"))
 
 
 @query("running_sum", with_sql(BARS, CLOSES, f"SELECT {LABEL}, CAST(sum(volume) OVER ({BY_DATE}) AS BIGINT) AS volume_so_far FROM closes"))

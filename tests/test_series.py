@@ -130,3 +130,23 @@ def test_percent_change_from_zero(spark):
     df = spark.createDataFrame(rows, "ticker string, trade_date date, x double")
     added = rolling.add_columns(df, Series(), 1, lambda f: {"r": rolling.percent_change(F.col("x"), f)})
     assert [r.r for r in added.orderBy("trade_date").collect()] == [None, float("inf"), 0.5, -1.0, None]
+
+
+def test_drawdown_from_a_peak_of_zero(spark, monkeypatch):
+    """As its SQL: not a number while the highest close is zero, and ordinary after."""
+    import math
+    from decimal import Decimal
+
+    from barline.queries import windows
+
+    closes = {"Z": ["0", "0", "2", "1", "0"], "A": ["4", "2"]}
+    table = spark.createDataFrame(
+        [(k, START + timedelta(days=i), Decimal(x), float(x)) for k, own in closes.items() for i, x in enumerate(own)],
+        "ticker string, trade_date date, close_price decimal(19,4), x double",
+    )
+    monkeypatch.setattr(windows, "with_price", lambda *_: (table, Series()))
+    got = {}
+    for ticker, _, fall in values(windows.drawdown(spark, ""), "drawdown"):
+        got.setdefault(ticker, []).append(fall)
+    assert all(math.isnan(x) for x in got["Z"][:2]) and got["Z"][2:] == [0.0, -0.5, -1.0]
+    assert got["A"] == [0.0, -0.5]
