@@ -120,24 +120,36 @@ def _corrections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _option_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The raw option table: line items traded on their ship date."""
-    items = table(spark, sf_dir, "lineitem")
-    orders = table(spark, sf_dir, "orders")
-    customers = table(spark, sf_dir, "customer")
-    strike = F.floor(F.col("o_totalprice") / 10000).cast("int")
-    rows = (
-        items.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(customers, F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("c_mktsegment").alias("underlying_ticker"), F.to_date("l_shipdate").alias("trade_date"),
-            F.to_date("o_orderdate").alias("expiration_date"), strike.alias("strike"),
-            F.when(F.col("l_linestatus") == "O", "call").otherwise("put").alias("option_type"),
-            "l_extendedprice", F.col("l_quantity").cast("bigint").alias("size"),
-            F.struct("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice").alias("place"),
-        )
+    """The raw option table: line items traded on their ship date.
+
+    Lines are dealt by order once, brought down to a row per order, day and type, and meet
+    their order where they are. From there on an order's number alone tells which line is the
+    first and which the last, so bars are added up in buffers of a fixed size, by hashing;
+    ordered by all that places a line they would be sorted, and spilled, before and after.
+    """
+    items = table(spark, sf_dir, "lineitem").filter(F.col("l_orderkey").isNotNull()).select(
+        "l_orderkey", F.to_date("l_shipdate").alias("trade_date"),
+        F.when(F.col("l_linestatus") == "O", "call").otherwise("put").alias("option_type"),
+        "l_extendedprice", F.col("l_quantity").cast("bigint").alias("size"), "l_linenumber", "l_partkey", "l_suppkey",
+    )
+    place = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")
+    value, whole = "l_extendedprice", F.floor("l_extendedprice").cast("bigint")
+    lines = items.repartition("l_orderkey").groupBy("l_orderkey", "trade_date", "option_type").agg(
+        F.min_by(value, place).alias("open"), F.max(value).alias("high"), F.min(value).alias("low"),
+        F.max_by(value, place).alias("close"), F.sum("size").alias("volume"),
+        F.sum(whole * F.col("size")).alias("spent"), F.count("*").alias("transactions"),
+    )
+    customers = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_mktsegment").alias("underlying_ticker"))
+    orders = table(spark, sf_dir, "orders").join(customers, F.col("o_custkey") == F.col("c_custkey")).select(
+        "o_orderkey", "underlying_ticker", F.to_date("o_orderdate").alias("expiration_date"),
+        F.floor(F.col("o_totalprice") / 10000).cast("int").alias("strike"),
     )
     keys = ["underlying_ticker", "trade_date", "expiration_date", "strike", "option_type"]
-    bars = _bars(rows, keys, "l_extendedprice", F.col("place"), F.col("size"), 10000)
+    bars = lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).groupBy(*keys).agg(
+        _price(F.min_by("open", "l_orderkey"), 10000).alias("open"), _price(F.max("high"), 10000).alias("high"),
+        _price(F.min("low"), 10000).alias("low"), _price(F.max_by("close", "l_orderkey"), 10000).alias("close"),
+        F.sum("volume").alias("volume"), F.sum("spent").alias("_spent"), F.sum("transactions").alias("transactions"),
+    ).withColumn("vwap", _price(F.expr("_spent div volume"), 10000)).drop("_spent")
     symbol = F.concat(
         F.lit("O:"), "underlying_ticker", F.date_format("expiration_date", "yyMMdd"),
         F.upper(F.substring("option_type", 1, 1)), F.lpad((F.col("strike") * 1000).cast("string"), 8, "0"),

@@ -373,3 +373,59 @@ def test_lines_have_their_places_whatever_the_ranges(spark, tmp_path, size):
     docs, _ = listed.listed_documents(spark, manifest, str(tmp_path), one_per_file=False, range_bytes=size)
     got = [(r.path.rsplit("/", 1)[1], r["at"][0], r.doc) for r in docs.collect()]
     assert sorted(got) == sorted(want)
+
+
+def test_option_bars_are_added_up_by_hashing(spark, tmp_path):
+    """Bars against a count by hand, with lines and orders that come twice, ties, missing prices and
+    keys; no sort by all that places a line once lines have met their order."""
+    import io
+    import random
+    from contextlib import redirect_stdout
+    from datetime import datetime
+
+    from barline import fixtures as fx
+
+    rng = random.Random(8)
+    day = lambda n: datetime(1996, 1, 1 + n)
+    orders = [(k, k % 3, 10000.0 * (k % 2), day(k % 2)) for k in range(1, 30)] + [(None, 1, 5.0, day(0))]
+    orders += orders[4:6]
+    lines = [
+        (rng.choice([*range(1, 32), None]), rng.choice([1, 2, None]), rng.randint(1, 2), rng.choice([1, None]),
+         float(rng.randint(1, 9)), rng.choice([None, 1000.0 * rng.randint(1, 50)]), rng.choice("OF"), day(rng.randint(0, 2)))
+        for _ in range(400)
+    ]
+    lines += lines[:40]
+    tables = {
+        "customer": ([(0, "A"), (1, "A"), (2, "B")], "c_custkey long, c_mktsegment string"),
+        "orders": (orders, "o_orderkey long, o_custkey long, o_totalprice double, o_orderdate timestamp"),
+        "lineitem": (lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double,"
+                            " l_extendedprice double, l_linestatus string, l_shipdate timestamp"),
+    }
+    for name, (rows, fields) in tables.items():
+        spark.createDataFrame(rows, fields).repartition(3).write.parquet(f"{tmp_path}/{name}.parquet")
+    segment, groups = dict(tables["customer"][0]), {}
+    for o, customer, total, ordered in orders:
+        for k, n, part, supplier, quantity, price, status, shipped in lines:
+            if k is not None and k == o:
+                at = (segment[customer], shipped.date(), ordered.date(), int(total // 10000), "call" if status == "O" else "put")
+                first = tuple((x is not None, x or 0) for x in (k, n, part, supplier, price))
+                groups.setdefault(at, []).append((first, price, int(quantity)))
+    want = {}
+    for at, rows in groups.items():
+        prices, in_order = [p for _, p, _ in rows if p is not None], sorted(rows, key=lambda r: r[0])
+        units = lambda p: None if p is None else p / 10000
+        want[at] = (
+            units(in_order[0][1]), units(max(prices, default=None)), units(min(prices, default=None)),
+            units(in_order[-1][1]), sum(q for *_, q in rows), len(rows),
+        )
+    bars = fx._option_bars(spark, str(tmp_path))
+    got = {
+        (r.underlying_ticker, r.trade_date, r.expiration_date, int(r.strike_price), r.option_type):
+        (*(None if x is None else float(x) for x in (r.open, r.high, r.low, r.close)), r.volume, r.transactions)
+        for r in bars.collect()
+    }
+    assert got == want
+    with redirect_stdout(io.StringIO()) as plan:
+        bars.explain()
+    assert "HashAggregate(keys=[underlying_ticker" in plan.getvalue()
+    assert "SortAggregate(key=[underlying_ticker" not in plan.getvalue()
