@@ -3,8 +3,9 @@
 Every assistant turn becomes an example of its own: all turns before it are
 context, and only its reply is trainable. All examples of a conversation are
 beginnings of one formatted text, so a row names the part of that text which the
-example is, instead of repeating it: examples of a conversation of n turns take
-space in proportion to n. ``example_texts`` writes them out.
+example is, instead of repeating it: such rows of a conversation of n turns take
+space in proportion to n. ``write_examples`` writes the examples in full, and digests
+are read from these.
 
 A turn is formatted as ``### Role: text </turn>`` and a line feed. Backslashes,
 ``<`` and ``#`` inside roles and texts are escaped by a backslash and a letter,
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from barline.llm.tables import stored, text
+from barline.session import fresh_path
 
 # The template's markers and the escapes inside texts.
 OPEN, MIDDLE, CLOSE = "### ", ": ", " </turn>\n"
@@ -89,14 +91,16 @@ def examples(conversations: DataFrame) -> DataFrame:
 def example_texts(rows: DataFrame) -> DataFrame:
     """The examples in full: (conv_id, example, text, reply_start, reply_end).
 
-    The texts of a conversation of n turns add up to the square of n; write them where
-    a trainer asks for them, not before.
+    The texts of a conversation of n turns add up to the square of n. Its pieces come
+    together once, and each example is cut from the text that they make up.
     """
-    joined = rows.groupBy(F.col("conv_id").alias("c")).agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("example", "piece"))), lambda x: x.piece), "")
-        .alias("whole")
-    )
-    return rows.join(joined, F.col("conv_id").eqNullSafe(F.col("c"))).select(
+    spans = ("example", "end", "reply_start", "reply_end")
+    joined = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("example", "piece", *spans[1:]))).alias("all"))
+    each = joined.select(
+        "conv_id", F.array_join(F.transform("all", lambda x: x.piece), "").alias("whole"),
+        F.transform("all", lambda x: F.struct(*(x[c].alias(c) for c in spans))).alias("spans"),
+    ).select("conv_id", "whole", F.inline("spans"))
+    return each.select(
         "conv_id", "example", F.expr("substring(whole, 1, int(end))").alias("text"), "reply_start", "reply_end"
     )
 
@@ -115,19 +119,36 @@ def turns_of(whole: Column) -> Column:
     return F.transform(parts, turn)
 
 
+# Examples share their beginnings, which zstd finds again within a page of this size. A page
+# and a group of rows are closed by their bytes, whatever the length of a row.
+PAGES = {
+    "compression": "zstd", "parquet.page.size": 8 << 20, "parquet.page.size.row.check.min": 1,
+    "parquet.block.size": 32 << 20, "parquet.block.size.row.check.min": 1,
+}
+
+
+def write_examples(rows: DataFrame) -> DataFrame:
+    """``example_texts`` of the stored examples, written in full and read again."""
+    texts = example_texts(rows)
+    path = fresh_path(rows.sparkSession, "chat-texts")
+    texts.write.options(**PAGES).parquet(path)
+    return rows.sparkSession.read.schema(texts.schema).parquet(path)
+
+
 def summary(rows: DataFrame) -> DataFrame:
-    """Digests of each conversation, computed from stored examples alone: conv_id, n_turns,
-    turns_sha256, loss_chars, loss_sha256, formatted_chars, n_examples."""
-    reply = F.substr("piece", F.col("reply_start") - F.col("start") + 1, F.col("reply_end") - F.col("reply_start"))
+    """Writes the examples in full and gives the digests of each conversation, computed from
+    what was written alone: conv_id, n_turns, turns_sha256, loss_chars, loss_sha256,
+    formatted_chars, n_examples.
+
+    The replies are cut from their own examples; the turns are read from the last one,
+    which is the whole text."""
+    reply = F.substr("text", F.col("reply_start") + 1, F.col("reply_end") - F.col("reply_start"))
     loss = unescaped(F.coalesce(reply, F.lit("")))
-    each = rows.select("conv_id", F.struct("example", "piece", loss.alias("loss")).alias("e"), "reply_start")
-    grouped = each.groupBy("conv_id").agg(
-        F.sort_array(F.collect_list("e")).alias("all"), F.count("reply_start").alias("n_examples")
-    )
-    joined = lambda f: F.array_join(F.transform("all", f), "")
-    read = grouped.select(
-        "conv_id", "n_examples", joined(lambda x: x.piece).alias("whole"), joined(lambda x: x.loss).alias("loss")
-    ).withColumn("turns", turns_of(F.col("whole")))
+    each = write_examples(rows).select("conv_id", "example", "text", F.struct("example", loss.alias("loss")).alias("e"), "reply_start")
+    read = each.groupBy("conv_id").agg(
+        F.sort_array(F.collect_list("e")).alias("all"), F.count("reply_start").alias("n_examples"),
+        F.max_by("text", "example").alias("whole"),
+    ).withColumn("loss", F.array_join(F.transform("all", lambda x: x.loss), "")).withColumn("turns", turns_of(F.col("whole")))
     line = F.transform("turns", lambda t: F.concat(t.role, F.lit("\n"), t.text, F.lit("\n")))
     return read.select(
         "conv_id", F.size("turns").cast("bigint").alias("n_turns"),

@@ -391,6 +391,25 @@ def test_chats_round_trip(spark):
     assert all(t.text[t.reply_end :] == chat.CLOSE for t in texts)
 
 
+def test_chats_are_written_in_full(spark):
+    """Every example with all turns before it, from the files that the digests are read from."""
+    rows = [(c, i, ("user", "assistant")[i % 2], f"<{c}:{i}> " * 40) for c in (1, None) for i in range(60)]
+    table = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    written = chat.write_examples(chat.format_chats(table))
+    files = written.inputFiles()
+    assert files and all("chat-texts" in f for f in files)
+    mark = {a: b for a, b in chat.ESCAPES}
+    part = lambda r, x: f"### {r}: {''.join(mark.get(c, c) for c in x)} </turn>\n"
+    got = {(r.conv_id, r.example): r for r in written.collect()}
+    assert len(got) == 60
+    for (conv, n), r in got.items():
+        turns = [(role, x) for c, i, role, x in rows if c == conv and i <= 2 * n + 1]
+        assert r.text == "".join(part(*t) for t in turns)
+        assert r.text[r.reply_start : r.reply_end] == part(*turns[-1])[len("### assistant: ") : -len(chat.CLOSE)]
+    plan = chat.summary(chat.format_chats(table))
+    assert any("chat-texts" in f for f in plan.inputFiles())
+
+
 # --- 9 packing ---------------------------------------------------------------------------------------
 
 
