@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from barline.session import tune
+from barline.session import bounded
 
 QueryFunction = Callable[[SparkSession, str], DataFrame]
 
@@ -51,7 +51,7 @@ def query(name: str, sql: str | None = None) -> Callable[[QueryFunction], QueryF
 
     def register(function: QueryFunction) -> QueryFunction:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return presented(function(tune(spark), sf_dir))
+            return presented(function(bounded(spark), sf_dir))
 
         REGISTRY[name] = Query(run, sql)
         return function

@@ -429,3 +429,16 @@ def test_option_bars_are_added_up_by_hashing(spark, tmp_path):
         bars.explain()
     assert "HashAggregate(keys=[underlying_ticker" in plan.getvalue()
     assert "SortAggregate(key=[underlying_ticker" not in plan.getvalue()
+
+
+def test_queries_bound_what_is_dealt_to_a_task(spark):
+    from barline.queries.registry import REGISTRY
+
+    name = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(name)
+    try:
+        spark.conf.set(name, "64m")
+        REGISTRY["epoch_date"].run(spark, "/root/testdata/sf0.001")
+        assert spark.conf.get(name) == "16m"
+    finally:
+        spark.conf.set(name, before)
