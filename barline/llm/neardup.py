@@ -174,6 +174,16 @@ def compared(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     )
 
 
+def spanning(alike: DataFrame) -> DataFrame:
+    """Links (a, b) that hold together what the pairs (node, leader) do, and are far fewer
+    where many texts share many leaders: a node keeps its least leader, and that one takes
+    the others, in links that all such nodes have in common. A node has a leader a key at
+    most, 345 of them, which bounds what is gathered for one."""
+    gathered = alike.groupBy("node").agg(F.sort_array(F.collect_set("leader")).alias("leaders"))
+    ends = F.concat(F.array("node"), F.slice("leaders", 2, F.size("leaders")))
+    return gathered.select(F.explode(ends).alias("a"), F.get("leaders", F.lit(0)).alias("b")).distinct()
+
+
 def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """Every row of ``docs`` (doc_id, text) with the class of its near duplicates.
 
@@ -196,8 +206,8 @@ def classes(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     first = stored(compared(pairs, texts, similarity), "neardup-compared")
     # Its texts are of refused pairs, so they are among those of the first.
     second = stored(compared(fine_candidates(nodes, first), texts, similarity), "neardup-compared")
-    links = first.drop("crowded").union(second).filter("alike").select(F.col("node").alias("a"), F.col("leader").alias("b"))
-    found = components(stored(links, "neardup-links"))
+    alike = first.drop("crowded").union(second).filter("alike").select("node", "leader")
+    found = components(stored(spanning(alike), "neardup-links"))
     # A text without words must not share a class with another row.
     own = F.when(F.size("bands") == 0, F.concat(F.lit("row"), F.col(ROW).cast("string")).cast("binary"))
     labelled = stored(

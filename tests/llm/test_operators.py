@@ -88,6 +88,31 @@ def test_texts_of_one_template_keep_their_links(spark):
     assert all(found[i] == i for i in range(len(texts)) if i not in linked)
 
 
+def test_links_of_near_copies_grow_with_the_texts(spark, monkeypatch):
+    """Each copy is like dozens of leaders, so the pairs are many times the texts."""
+    base, seen = prose(6, 300), []
+    texts = [" ".join(edited(base, s, 1 + s % 3)) for s in range(200)]
+
+    def counted(links):
+        seen.append(links.count())
+        return components(links)
+
+    monkeypatch.setattr(neardup, "components", counted)
+    assert {r.class_id for r in neardup.classes(documents(spark, texts)).collect()} == {0}
+    assert seen[0] < 3 * len(texts)
+
+
+def test_fewer_links_hold_the_same_together(spark):
+    import random
+
+    rng = random.Random(3)
+    pairs = [(i, j) for i in range(300) for j in rng.sample(range(40 * (i // 100), 40 * (i // 100) + 40), rng.randint(1, 9)) if i != j]
+    pairs += [(i, i + 1) for i in range(400, 450)] + [(i + 1, i) for i in range(460, 480)]
+    label = lambda links: sorted((r.node, r.label) for r in components(links).collect())
+    fewer = neardup.spanning(spark.createDataFrame(pairs, "node long, leader long"))
+    assert label(fewer) == label(spark.createDataFrame(pairs, "a long, b long"))
+
+
 def test_signatures_estimate_weighted_similarity_without_bias():
     import numpy as np
     import pyarrow as pa
