@@ -2,10 +2,10 @@
 
 1. Document frequencies of hashed terms are counted over every text.
 2. The benchmark is cut into passages of at most 40 words and weighted by TF-IDF. A
-   randomised SVD gives their latent space: Spark multiplies the passage matrix with
-   random vectors, sums the products by term, and again after each orthonormalisation.
-   The driver holds one thin matrix, of the terms of one block of at most 256
-   passages. Eight blocks at a time are searched in one pass over the texts.
+   randomised SVD gives their latent space, by blocks of about 256 passages: a task
+   multiplies the matrix of its block with random vectors, and again after each
+   orthonormalisation. The driver gathers the spaces of the eight blocks that are
+   searched in one pass over the texts.
 3. Every text is cut into windows of 40 words, half overlapping. A window's TF-IDF
    vector is folded into the latent space; items with a cosine over the limit are
    candidates. Windows whose terms could not reach the limit beside any item, by the most
@@ -20,9 +20,9 @@ An item or text shorter than a window is one window.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import batched
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -114,17 +114,6 @@ def window_starts(n: int) -> range:
     return range(0, max(n - HALF_WINDOW, 1) if n else 0, HALF_WINDOW)
 
 
-def matrix(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, term, weight) of a batch of passages."""
-    terms = batch.column("terms")
-    sizes = np.diff(terms.offsets.to_numpy())
-    return (
-        np.repeat(np.arange(len(sizes)), sizes),
-        terms.flatten().to_numpy(zero_copy_only=False),
-        batch.column("weights").flatten().to_numpy(zero_copy_only=False),
-    )
-
-
 def random_rows(terms: np.ndarray, width: int) -> np.ndarray:
     """A row of standard normal numbers per term, the same wherever it is drawn."""
     seeds = mix(terms.astype(np.uint64) * GOLDEN + GOLDEN)[:, None] + np.arange(width, dtype=np.uint64) * GOLDEN
@@ -132,43 +121,19 @@ def random_rows(terms: np.ndarray, width: int) -> np.ndarray:
     return np.sqrt(-2 * np.log(unit(0))) * np.cos(2 * np.pi * unit(1 << 40))
 
 
-def gram_product(rows: DataFrame, basis, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """(terms, AᵀAX): each task multiplies its passages, Spark adds the rows by term.
-
-    ``basis(terms)`` gives the rows of X."""
-
-    def multiply(batches):
-        for batch in batches:
-            row, term, weight = matrix(batch)
-            if len(row) == 0:
-                continue
-            projected = np.zeros((batch.num_rows, width))
-            np.add.at(projected, row, basis(term) * weight[:, None])
-            own, place = np.unique(term, return_inverse=True)
-            back = np.zeros((len(own), width))
-            np.add.at(back, place, projected[row] * weight[:, None])
-            yield pa.record_batch(
-                [pa.array(np.repeat(own, width)), pa.array(np.tile(np.arange(width), len(own))), pa.array(back.ravel())],
-                names=["term", "k", "x"],
-            )
-
-    summed = rows.select("terms", "weights").mapInArrow(multiply, "term bigint, k bigint, x double")
-    table = summed.groupBy("term", "k").agg(F.sum("x").alias("x")).toPandas()
-    terms, place = np.unique(table.term.to_numpy(np.int64), return_inverse=True)
-    out = np.zeros((len(terms), width))
-    out[place, table.k.to_numpy(np.int64)] = table.x.to_numpy(np.float64)
-    return terms, out
-
-
-def latent_space(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """(terms, V): the leading right singular vectors of a block of passages."""
-    width = size + OVERSAMPLE
-    terms, product = gram_product(rows, lambda t: random_rows(t, width), width)
+def latent_space(row: np.ndarray, term: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(terms, V): the leading right singular vectors of the passages of a block, whose
+    matrix has ``weight`` at (``row``, ``term``)."""
+    size = int(row.max()) + 1
+    terms, place = np.unique(term, return_inverse=True)
+    a = np.zeros((size, len(terms)))
+    a[row, place] = weight
+    product = a.T @ (a @ random_rows(terms, size + OVERSAMPLE))
     for _ in range(POWER_STEPS):
         q, _ = np.linalg.qr(product)
-        terms, product = gram_product(rows, lambda t, k=terms, q=q: q[np.searchsorted(k, t)], q.shape[1])
+        product = a.T @ (a @ q)
     q, _ = np.linalg.qr(product)
-    _, product = gram_product(rows, lambda t: q[np.searchsorted(terms, t)], q.shape[1])
+    product = a.T @ (a @ q)
     values, vectors = np.linalg.eigh(q.T @ product)
     order = np.argsort(values)[::-1]
     energy = np.cumsum(np.maximum(values[order], 0))
@@ -176,6 +141,24 @@ def latent_space(rows: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
     return terms, (q @ vectors[:, order[:k]]).astype(np.float32)
 
 
+SPACE = "block bigint, terms binary, folded binary, queries binary, owners binary"
+
+
+def space(block: pd.DataFrame) -> pd.DataFrame:
+    """A row of ``SPACE``: the latent space of a block of passages, and the passages in it."""
+    block = block.sort_values(["item_id", "at"], ignore_index=True)
+    sizes = block.terms.map(len).to_numpy()
+    row, term, weight = np.repeat(np.arange(len(block)), sizes), np.concatenate(block.terms), np.concatenate(block.weights)
+    terms, v = latent_space(row, term, weight)
+    queries = np.zeros((len(block), v.shape[1]))
+    np.add.at(queries, row, v[np.searchsorted(terms, term)] * weight[:, None])
+    queries /= np.maximum(np.linalg.norm(queries, axis=1), 1e-9)[:, None]
+    return pd.DataFrame([{
+        "block": block.block[0], "terms": terms.astype(np.int64).tobytes(), "folded": v.tobytes(),
+        "queries": queries.astype(np.float32).tobytes(), "owners": block.item_id.to_numpy(np.int64).tobytes(),
+    }])
+
+
 # --- search and check ----------------------------------------------------------------
 
 
@@ -299,14 +282,14 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """
     rows = numbered_once(docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), text().alias("text")), "leaks-rows")
     found = docs.sparkSession.createDataFrame([], f"{ROW} bigint, doc_id bigint, item_id bigint, share double")
-    for some in batched(models(rows, benchmark), BLOCKS_A_PASS):
+    for some in models(rows, benchmark):
         hits = rows.select(ROW, "doc_id", F.explode(searcher(some)("text")).alias("hit"))
         found = found.union(hits.select(ROW, "doc_id", "hit.item_id", "hit.share"))
     return found.groupBy(ROW, "doc_id", "item_id").agg(F.max("share").alias("share"))
 
 
 def models(docs: DataFrame, benchmark: DataFrame):
-    """What the search needs of each block of the benchmark, one block after the other."""
+    """What the search needs of the benchmark's blocks, those of one pass after the other."""
     seen, total = document_frequencies(docs)
     idf = np.log((total + 1) / (seen + 1.0)) + 1e-3
     cut = stored(passages(benchmark, idf), "leaks-passages")
@@ -314,45 +297,42 @@ def models(docs: DataFrame, benchmark: DataFrame):
     # Blocks are dealt by a hash of item and place, half full on average, so that none is
     # much larger than BLOCK.
     dealt = 2 * blocks if blocks > 1 else 1
-    for b in range(dealt):
-        model = block_model(cut.filter(F.pmod(F.xxhash64("item_id", "at"), F.lit(dealt)) == b), benchmark, idf)
-        if model is not None:
-            yield model
-
-
-def block_model(block: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> dict | None:
-    """What the search tasks need of one block: bounded by the block, not by the texts."""
-    size = block.count()
-    if size == 0:
-        return None
-    terms, v = latent_space(block, size)
-    local = block.toPandas()
-    queries = np.stack([
-        (v[np.searchsorted(terms, np.asarray(t, np.int64))] * np.asarray(w)[:, None]).sum(0)
-        for t, w in zip(local.terms, local.weights, strict=True)
-    ]).astype(np.float32)
-    queries /= np.maximum(np.linalg.norm(queries, axis=1), 1e-9)[:, None]
-    lookup = np.full(FEATURES, -1, np.int32)
-    lookup[terms] = np.arange(len(terms))
-    reach = np.zeros(FEATURES, np.float32)
-    reach[terms] = np.abs(v @ queries.T).max(1)
-    items: dict[int, list] = {}
-    texts = benchmark.select(item_id(), text().alias("text")).join(block.select("item_id").distinct(), "item_id", "left_semi")
-    for item, value in texts.distinct().collect():
+    cut = cut.withColumn("block", F.pmod(F.xxhash64("item_id", "at"), F.lit(dealt)))
+    for low in range(0, dealt, BLOCKS_A_PASS):
+        if some := pass_models(cut.filter(F.col("block").between(low, low + BLOCKS_A_PASS - 1)), benchmark, idf):
+            yield some
+
+
+def pass_models(cut: DataFrame, benchmark: DataFrame, idf: np.ndarray) -> list[dict]:
+    """What the search tasks need of some blocks: bounded by the blocks, not by the texts.
+    A task works out the space of a block; the driver gathers the results."""
+    texts = benchmark.select(item_id(), text().alias("text")).distinct()
+    items: dict[int, dict[int, list]] = {}
+    for block, item, value in texts.join(cut.select("block", "item_id").distinct(), "item_id").select("block", "item_id", "text").collect():
         words, _ = word_hashes(pa.array([value], pa.large_string()))
         if len(words):
             sentences = [s for s in value.replace("\n", ". ").split(". ") if s.strip(" .")]
             answer, _ = word_hashes(pa.array([sentences[-1] if len(sentences) > 1 else ""], pa.large_string()))
-            items.setdefault(item, []).append((words.tolist(), answer.tolist()))
-    return {
-        "idf": idf, "lookup": lookup, "folded": v, "queries": queries, "items": items, "reach": reach,
-        "owners": local.item_id.to_numpy(np.int64),
-    }
+            items.setdefault(block, {}).setdefault(item, []).append((words.tolist(), answer.tolist()))
+    out = []
+    for row in sorted(cut.groupBy("block").applyInPandas(space, SPACE).collect(), key=lambda r: r.block):
+        terms, owners = np.frombuffer(row.terms, np.int64), np.frombuffer(row.owners, np.int64)
+        folded = np.frombuffer(row.folded, np.float32).reshape(len(terms), -1)
+        queries = np.frombuffer(row.queries, np.float32).reshape(len(owners), -1)
+        lookup = np.full(FEATURES, -1, np.int32)
+        lookup[terms] = np.arange(len(terms))
+        reach = np.zeros(FEATURES, np.float32)
+        reach[terms] = np.abs(folded @ queries.T).max(1)
+        out.append({
+            "idf": idf, "lookup": lookup, "folded": folded, "queries": queries, "items": items.get(row.block, {}),
+            "reach": reach, "owners": owners,
+        })
+    return out
 
 
 def drop_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that hold no benchmark item."""
     kept = docs
-    for some in batched(models(docs, benchmark), BLOCKS_A_PASS):
+    for some in models(docs, benchmark):
         kept = kept.filter(F.size(searcher(some)(text())) == 0)
     return kept

@@ -174,6 +174,40 @@ def test_fingerprints_of_repeated_ids_and_missing_ones(spark):
 # --- 3 decontamination ------------------------------------------------------------------
 
 
+def test_blocks_of_a_pass_take_no_more_jobs_than_one(spark, monkeypatch):
+    """The driver's memory held what each block's products gathered, one job after the other."""
+    items = [" ".join(prose(s, 36)) for s in range(16)]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    docs = documents(spark, [" ".join(prose(s, 90)) for s in range(100, 110)] + [items[3], items[12]])
+
+    def passes(block):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        spark.sparkContext.setJobGroup(f"blocks-{block}", "")
+        found = list(decontaminate.models(docs, benchmark))
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+        return found, len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"blocks-{block}"))
+
+    (one, jobs), (eight, more) = passes(16), passes(4)
+    assert [len(x) for x in one] == [1] and len(eight) == 1 and len(eight[0]) > 4
+    assert more <= jobs + 2
+    assert sorted(i for m in eight[0] for i in m["owners"]) == sorted(one[0][0]["owners"])
+    monkeypatch.setattr(decontaminate, "BLOCK", 4)
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(docs, benchmark).collect()} == {(10, 3), (11, 12)}
+
+
+def test_latent_space_keeps_the_passages():
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    row, term = np.repeat(np.arange(30), 20), np.concatenate([rng.choice(500, 20, replace=False) for _ in range(30)])
+    weight = np.full(len(row), 20**-0.5)
+    terms, v = decontaminate.latent_space(row, term, weight)
+    a = np.zeros((30, len(terms)))
+    a[row, np.searchsorted(terms, term)] = weight
+    assert np.abs(v.T @ v - np.eye(v.shape[1])).max() < 1e-4
+    assert np.linalg.norm(a - a @ v @ v.T) ** 2 <= 0.0011 * np.linalg.norm(a) ** 2
+
+
 def test_leaks_are_found_and_clean_texts_left(spark):
     items = [" ".join(prose(s, 30 + s)) + ". Because " + " ".join(prose(s + 50, 6)) + "." for s in range(8)]
     benchmark = spark.createDataFrame([*enumerate(items), (90, None), (91, "")], "item_id long, text string")
