@@ -31,14 +31,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from barline.llm.tables import text
-from barline.llm.words import chunks
+from barline.llm.words import chunks, release
 
 LENGTH = 4096
 END_ID = 2
 SHARD_ROWS = 2048
 K1, B = 1.2, 0.75
-CHUNK_BYTES = 1 << 23
-CACHED_CHARS = 1 << 25
+# A worker holds a chunk with its words and a vocabulary beside its Arrow batch, and every core has a worker.
+CHUNK_BYTES = 1 << 20
+CACHED_CHARS = 1 << 23
 PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -169,6 +170,8 @@ def cutter(path: str):
 
     def cut(batches):
         for batch in batches:
+            # The worker may come from another stage, whose memory is released here too.
+            release()
             at = 0
             for part in chunks(batch.column(2), CHUNK_BYTES):
                 if shared_vocabulary(path).chars > CACHED_CHARS:
@@ -192,6 +195,7 @@ def cutter(path: str):
                 yield pa.record_batch(
                     [pa.array(list(c), f.type) for c, f in zip(columns, RESTS_ARROW, strict=True)], schema=RESTS_ARROW
                 )
+            release()
 
     return cut
 

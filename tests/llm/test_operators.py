@@ -498,6 +498,47 @@ def test_packing_holds_every_id_once(spark, shard_rows):
     assert rows.sequence_id.nunique() - full <= -(-len(texts) // shard_rows) + 1
 
 
+PACKING_MEMORY = """
+import random, sys
+import numpy as np, pandas, pyarrow as pa
+from barline.llm import packing
+
+def kilobytes(key):
+    return next(int(x.split()[1]) for x in open("/proc/self/status") if x.startswith(key))
+
+rng = random.Random(5)
+letters = lambda: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=8))
+words = [letters() for _ in range(20_000)]
+cut = packing.cutter(sys.argv[1])
+schema = pa.schema([("doc_id", pa.int64()), ("shard", pa.int64()), ("text", pa.string())])
+
+def batches(n, rows, fresh):
+    for _ in range(n):
+        texts = [" ".join([letters() for _ in range(fresh)] + rng.choices(words, k=300 - fresh)) for _ in range(rows)]
+        yield pa.record_batch([pa.array([1] * rows), pa.array([0] * rows), pa.array(texts)], schema=schema)
+
+def whole(batches):
+    return sum(int(out.column("doc_tokens").to_numpy().sum()) > 0 for out in cut(batches))
+
+assert whole(batches(1, 10, 0))
+before = kilobytes("VmRSS")
+assert whole(batches(6, 4_000, 25))
+print((kilobytes("VmHWM") - before) // 1024)
+"""
+
+
+def test_packing_holds_little_beside_a_batch():
+    import os
+    import subprocess
+    import sys
+
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    path = public_tokenizers.path("word_bpe_49k.json")
+    env = os.environ | {"PYTHONPATH": os.pathsep.join([root, *sys.path])}
+    run = subprocess.run([sys.executable, "-c", PACKING_MEMORY, path], env=env, capture_output=True, text=True, check=True)
+    assert int(run.stdout) < 150, run.stdout  # batches of 11 MB, 600,000 words met once
+
+
 def test_index_prefers_like_documents():
     import numpy as np
 
