@@ -548,6 +548,71 @@ def test_index_prefers_like_documents():
     assert scores[1] > scores[3] > scores[2] == 0
 
 
+def test_packing_makes_no_calls_for_every_word():
+    """Words are looked up, and new ones encoded, many at a time: that takes most of the CPU."""
+    import sys
+
+    import pyarrow as pa
+
+    words = [f"{a}{b}{c}" for a in prose(1, 40) for b in prose(2, 40) for c in ("é", "X", "%%%", "ing", "ÉES!")]
+    texts = [" ".join(random.Random(i).choices(words, k=400)) for i in range(100)]
+    batch = pa.record_batch([pa.array([1] * 100), pa.array([0] * 100), pa.array(texts)], ["doc_id", "shard", "text"])
+    cut, calls = packing.cutter(public_tokenizers.path("word_bpe_49k.json")), []
+    list(cut([batch.slice(0, 1)]))
+    sys.setprofile(lambda frame, event, arg: calls.append(event) if event in ("call", "c_call") else None)
+    try:
+        list(cut([batch]))
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < len(set(words)), (len(calls), len(set(words)))
+
+
+def test_packing_keeps_repeated_words_of_a_full_vocabulary(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encode = Tokenizer.from_file(path)
+    odd = "It's rock' x''s Éa!? ÉÀÞ%% ßÿ-÷ ×x a^_`{|}~ x<|endoftext|>. <|endoftext|!! naïve,... Σας! İ. \u0958, \ufb2a. e\u0301!, \t\t a\tb\r. 12! x9."
+    often = [w + s for w in set(prose(3, 60)) for s in ("", "é", "É.", "!?,", "ING")] + odd.split(" ")
+    rng = random.Random(4)
+    texts = [" ".join(rng.choices(often, k=60) + [f"{rng.random()}x{i}"] * (i % 3)) for i in range(400)]
+    monkeypatch.setattr(packing, "CHUNK_BYTES", 2000)
+    monkeypatch.setattr(packing, "CACHED_BYTES", 8000)
+    monkeypatch.setattr(packing, "WORDS", 100)
+    monkeypatch.setattr(packing, "JOINED", 7)
+    packing.shared_vocabulary.cache_clear()
+    sizes, thin = [], packing.Vocabulary.thin
+    monkeypatch.setattr(packing.Vocabulary, "thin", lambda v: (sizes.append(len(v.parts)), thin(v), sizes.append(len(v.parts))))
+    ids = []
+    for part in packing.chunks(pa.array(texts), packing.CHUNK_BYTES):
+        vocabulary = packing.shared_vocabulary(path)
+        if vocabulary.room() > packing.CACHED_BYTES:
+            vocabulary.thin()
+        ids += [x.tolist() for x, _, _ in packing.tokenized(part, vocabulary)]
+    packing.shared_vocabulary.cache_clear()
+    assert ids == [encode.encode(t, add_special_tokens=False).ids + [2] for t in texts]
+    assert any(1 < after < before for before, after in zip(sizes[::2], sizes[1::2], strict=True))
+
+
+def test_packing_shrinks_its_index_without_effect(monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    terms = [np.unique(rng.zipf(1.3, 80) % 500).astype(np.uint32) for _ in range(300)]
+    counts = [rng.integers(1, 5, len(t)).astype(np.uint16) for t in terms]
+    sizes = rng.integers(1, 4096, 300).tolist()
+    found, kept = [], []
+    keep = packing.Index.keep
+    monkeypatch.setattr(packing.Index, "keep", lambda index, left: (keep(index, left), kept.append(len(index.owner))))
+    for share in (0.0, 0.8, 1.0):
+        monkeypatch.setattr(packing, "FORGET", share)
+        found.append(list(packing.fill(sizes, packing.Index(terms, counts))))
+    assert found[0] == found[1] == found[2] and kept
+    assert all(sum(high - low for _, low, high in took) == 4096 for took in found[0][:-1])
+
+
 # --- 10 toxicity ----------------------------------------------------------------------------------------
 
 
