@@ -568,7 +568,6 @@ def test_packing_makes_no_calls_for_every_word():
 
 
 def test_packing_keeps_repeated_words_of_a_full_vocabulary(monkeypatch):
-    import numpy as np
     import pyarrow as pa
     from tokenizers import Tokenizer
 
