@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import date
 
@@ -76,20 +78,43 @@ def refresh(spark: SparkSession, stock_history: DataFrame, option_history: DataF
     Each step reads the tables before it, so no step computes another's work
     again and a lost executor costs at most the step it was running.
     """
-    def rebuild(name: str, rows: DataFrame) -> DataFrame:
-        commit(rows, to.path(name), to.grain(name), whole=True)
+    def rebuild(name: str, rows: DataFrame, laid: bool = False) -> DataFrame:
+        commit(rows, to.path(name), to.grain(name), whole=True, laid=laid)
         return read(spark, to.path(name))
 
     staged = rebuild("stg_stock_bars", models.stage_stock_bars(stock_history))
     options = rebuild("stg_option_bars", models.stage_option_bars(option_history))
     rebuild("stock_row_counts", row_counts(staged, to))
     stocks = rebuild("enriched_stock_bars", models.enrich_stock_bars(staged, Series()))
-    options = rebuild("enriched_option_bars", models.enrich_option_bars(options))
-    rebuild("stocks_options_joined", models.join_options_to_stocks(options, stocks))
-    rebuild("fct_stock_performance", models.stock_performance(stocks))
+    options = rebuild("enriched_option_bars", models.enrich_option_bars(options), laid=True)
+    with beside(options, stocks) as (rows, laid):
+        rebuild("stocks_options_joined", rows, laid)
+    rebuild("fct_stock_performance", models.stock_performance(stocks), laid=True)
     return {name: to.path(name) for name in TABLES}
 
 
+# Days of underlyings up to which their bars, some 200 bytes each, go to every task.
+MOST_DAYS = 100_000
+
+
+@contextmanager
+def beside(options: DataFrame, stocks: DataFrame) -> Iterator[tuple[DataFrame, bool]]:
+    """Stored options joined to stored stocks, and whether they are as they were laid out.
+
+    Options have few underlyings beside all stocks. Where these have at most ``MOST_DAYS``
+    days, which are counted, only their bars are taken, to where the options are; otherwise
+    both sides are shuffled, which costs more than the joined table takes.
+    """
+    days = options.select(F.col("underlying_ticker").alias("ticker"), "trade_date").distinct().persist()
+    try:
+        few = days.count() <= MOST_DAYS
+        if few:
+            stocks = F.broadcast(stocks.join(F.broadcast(days), ["ticker", "trade_date"], "left_semi"))
+        yield models.join_options_to_stocks(options, stocks), few
+    finally:
+        days.unpersist()
+
+
 @dataclass
 class Touched:
     """The periods of each table that an update has read and written."""
@@ -118,10 +143,10 @@ def update(
         seen.read[name] = seen.read.get(name, set()) | periods
         return read(spark, to.path(name), periods=periods)
 
-    def put(name: str, rows: DataFrame, periods: set[date]) -> None:
+    def put(name: str, rows: DataFrame, periods: set[date], laid: bool = False) -> None:
         if periods:
             seen.written[name] = seen.written.get(name, set()) | periods
-            commit(rows, to.path(name), to.grain(name))
+            commit(rows, to.path(name), to.grain(name), laid=laid)
 
     def merged(name: str, batch: DataFrame, keys: tuple[str, ...]) -> set[date]:
         periods = {row[0] for row in batch.select(period(to.grain(name))).distinct().collect()}
@@ -143,24 +168,25 @@ def update(
         computed = models.enrich_stock_bars(staged, Series()).withColumn(PERIOD, month).join(again, ["ticker", PERIOD], "left_semi")
         kept = take("enriched_stock_bars", redone).withColumn(PERIOD, month).join(again, ["ticker", PERIOD], "left_anti")
         put("enriched_stock_bars", kept.unionByName(computed).drop(PERIOD), redone)
-        put("fct_stock_performance", models.stock_performance(take("enriched_stock_bars", redone)), redone)
+        put("fct_stock_performance", models.stock_performance(take("enriched_stock_bars", redone)), redone, laid=True)
 
     days: set[date] = set()
     if options is not None:
         days = merged("stg_option_bars", options, ("option_symbol", "trade_date"))
-        put("enriched_option_bars", models.enrich_option_bars(take("stg_option_bars", days)), days)
+        put("enriched_option_bars", models.enrich_option_bars(take("stg_option_bars", days)), days, laid=True)
     if redone:
         listed = {date.fromisoformat(p) for p in pinned(spark, to.path("enriched_option_bars")).periods}
         near = {d for d in listed if start_of(d, to.stock_grain) in {start_of(r, to.stock_grain) for r in redone}}
         held = take("enriched_option_bars", near).select(
             F.col("underlying_ticker").alias("ticker"), period(to.stock_grain).alias(PERIOD),
             period(to.option_grain).alias("day"),
-        ).join(again, ["ticker", PERIOD], "left_semi")
+        ).distinct().join(again, ["ticker", PERIOD], "left_semi")
         days = days | {row[0] for row in held.select("day").distinct().collect()}
     if days:
         chosen = take("enriched_option_bars", days)
-        beside = take("enriched_stock_bars", {start_of(d, to.stock_grain) for d in days})
-        put("stocks_options_joined", models.join_options_to_stocks(chosen, beside), days)
+        stocks = take("enriched_stock_bars", {start_of(d, to.stock_grain) for d in days})
+        with beside(chosen, stocks) as (rows, laid):
+            put("stocks_options_joined", rows, days, laid)
     return seen
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -22,6 +24,28 @@ def bounded(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# While a table is written: what was shuffled for it goes when it is there, rather than when
+# the driver next collects garbage, and a task with rows of so many periods has a file open
+# for each instead of sorting them.
+WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+}
+
+
+@contextmanager
+def writing(spark: SparkSession) -> Iterator[None]:
+    """Settings for one write, of rows that are put together inside; the session's own after it."""
+    before = {name: spark.conf.get(name, None) for name in WHILE_WRITING}
+    for name, value in WHILE_WRITING.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def local_session(
     cpus: int | str = 8, app: str = "barline", checkpoints: str | None = None
 ) -> SparkSession:

@@ -13,6 +13,7 @@ from barline import schemas
 from barline.functions.dates import weekdays
 from barline.operators.history import first_snapshot, snapshot
 from barline.operators.merge import upsert
+from barline.session import writing
 from barline.sources.versions import commit, exists, period, read
 
 # --- Parquet tables -----------------------------------------------------------------
@@ -20,7 +21,8 @@ from barline.sources.versions import commit, exists, period, read
 
 def rebuild(df: DataFrame, path: str) -> None:
     """Write a plain table from scratch."""
-    df.write.mode("overwrite").parquet(path)
+    with writing(df.sparkSession):
+        df.select("*").write.mode("overwrite").parquet(path, compression="zstd")
 
 
 def upsert_table(

@@ -23,6 +23,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from barline.session import writing
+
 PERIOD, COMMIT = "period", "commit"
 VERSION_FILE = re.compile(r"(\d{12})\.json")
 
@@ -91,14 +93,19 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(version_numbers(spark, path))
 
 
-def commit(df: DataFrame, path: str, grain: str, whole: bool = False, on: str = "trade_date") -> Version:
+def commit(
+    df: DataFrame, path: str, grain: str, whole: bool = False, on: str = "trade_date", laid: bool = False
+) -> Version:
     """Replace the periods ``df`` has rows for, or with ``whole`` the table, by its rows.
 
     Rebalancing brings a period's rows together for few files, and splits a period too big
-    for one task. ``df`` may read the table itself: its files stay.
+    for one task. It costs a shuffle of the whole rows, more than they take as files, so it
+    is left out where tasks have few periods without it: by year, and of rows that are
+    ``laid`` out by such periods where they are read and were not shuffled since. ``df`` may
+    read the table itself: its files stay.
     """
     spark, name = df.sparkSession, uuid.uuid4().hex
-    write(df, data_path(path, name), grain, on)
+    write(df, data_path(path, name), grain, on, laid)
     before = pinned(spark, path)
     kept = {} if whole or before is None else before.periods
     written = [n.removeprefix(f"{PERIOD}=") for n in names_in(spark, data_path(path, name)) if n.startswith(f"{PERIOD}=")]
@@ -111,9 +118,12 @@ def data_path(path: str, commit_name: str) -> str:
     return f"{path}/data/{COMMIT}={commit_name}"
 
 
-def write(df: DataFrame, folder: str, grain: str, on: str) -> None:
-    rows = df.withColumn(PERIOD, period(grain, on)).hint("rebalance", PERIOD)
-    rows.write.partitionBy(PERIOD).parquet(folder)
+def write(df: DataFrame, folder: str, grain: str, on: str, laid: bool = False) -> None:
+    with writing(df.sparkSession):
+        rows = df.withColumn(PERIOD, period(grain, on))
+        if not laid and grain != "year":
+            rows = rows.hint("rebalance", PERIOD)
+        rows.write.partitionBy(PERIOD).parquet(folder, compression="zstd")
 
 
 def publish(spark: SparkSession, path: str, version: Version) -> None:

@@ -1,6 +1,8 @@
 """Merges, history, incremental models and stored tables."""
 
 import random
+import re
+import time
 from datetime import date, datetime, timedelta
 from decimal import Decimal
 
@@ -184,6 +186,75 @@ def test_updates_by_random_batches_equal_a_rebuild(spark, bars, tmp_path):
     same_as_rebuild(spark, to, bars(*[(*k, x) for k, x in stock.items()]), option(spark, *[(*k, x) for k, x in contracts.items()]), tmp_path)
 
 
+def shuffle_files(spark):
+    """Names of the shuffle files that the session has on its disk."""
+    kept = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().iterator()
+    names = set()
+    while kept.hasNext():
+        names.add(kept.next().getName())
+    return {n for n in names if n.startswith("shuffle_")}
+
+
+def test_a_written_table_leaves_no_shuffled_rows_on_disk(spark, tmp_path):
+    before = shuffle_files(spark)
+    many = spark.range(1000).withColumn("trade_date", F.expr("date_add(date'2020-01-01', int(id % 400))"))
+    summed = many.groupBy("trade_date").agg(F.sum("id").alias("x"))
+    versions.commit(summed, str(tmp_path / "days"), "month")
+    tables.rebuild(summed, str(tmp_path / "plain"))
+    ends = time.time() + 20  # removal goes by messages
+    while (left := shuffle_files(spark) - before) and time.time() < ends:
+        time.sleep(0.2)
+    assert not left
+    assert versions.read(spark, str(tmp_path / "days")).count() == 400 == spark.read.parquet(str(tmp_path / "plain")).count()
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
+
+
+def exchanged(df):
+    """How often the rows that a plan returns, not those joined to them, are shuffled; by adaptive execution's first plan."""
+    return re.findall(r"(?:Exchange|SortMergeJoin)", re.sub(r"BroadcastExchange.*", "", df._jdf.queryExecution().executedPlan().toString(), flags=re.S))
+
+
+@pytest.mark.parametrize("most", [refresh.MOST_DAYS, 1])
+def test_options_meet_the_bars_of_their_days_where_they_are(spark, bars, tmp_path, monkeypatch, most):
+    """As long as these are few, however many bars other tickers have; the rows are those of the plain join."""
+    monkeypatch.setattr(refresh, "MOST_DAYS", most)
+    stocks = models.enrich_stock_bars(staged_bars(bars(*[(t, d, 5 + d) for t in ("A", "B", "Z") for d in range(40)])), Series())
+    options = models.enrich_option_bars(option(spark, *[("OA", "A", 3, 9), ("OA", "A", 5, 9), ("OB", "B", 5, 4), ("OB", "B", 90, 4), ("OC", "C", 5, 4)]))
+    for name, rows_of in (("stocks", stocks), ("options", options)):
+        versions.commit(rows_of, str(tmp_path / name), "month")
+    options, stocks = (versions.read(spark, str(tmp_path / name)) for name in ("options", "stocks"))
+    plainly = rows(models.join_options_to_stocks(options, stocks))
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in names}
+    try:
+        for name in names:
+            spark.conf.set(name, "-1")  # as if all tables were large
+        with refresh.beside(options, stocks) as (joined, laid):
+            assert laid == (most > 1) and bool(exchanged(joined)) == (most == 1)
+            assert rows(joined) == plainly and len(plainly) == 5
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+@pytest.mark.parametrize("grain, laid", [("year", False), ("month", True), ("month", False)])
+def test_rows_are_dealt_by_period_only_where_that_saves_files(spark, tmp_path, monkeypatch, grain, laid):
+    path, plans = str(tmp_path / "bars"), []
+    days = spark.range(900).select(F.expr("date_add(date'2020-01-01', int(id))").alias("trade_date"), "id")
+    versions.commit(days, str(tmp_path / "source"), grain)
+    writer = type(days.write)
+
+    def parquet(self, *given, real=writer.parquet, **more):
+        plans.append(self._df._jdf.queryExecution().executedPlan().toString())
+        return real(self, *given, **more)
+
+    monkeypatch.setattr(writer, "parquet", parquet)
+    versions.commit(versions.read(spark, str(tmp_path / "source")), path, grain, laid=laid)
+    assert ("Exchange" in plans[0]) == (grain == "month" and not laid)
+    assert rows(versions.read(spark, path)) == rows(days)
+    assert set(periods_of(spark, path)) == {str(r[0]) for r in days.select(versions.period(grain)).distinct().collect()}
+
+
 def periods_of(spark, path):
     return versions.pinned(spark, str(path)).periods
 
