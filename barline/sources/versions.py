@@ -151,7 +151,7 @@ def read(
     if found is None:
         if schema is None:
             raise FileNotFoundError(f"no table at {path}")
-        return spark.createDataFrame([], schema)
+        return nothing(spark, schema)
     schema = schema or found.schema
     chosen = found.periods
     if periods is not None:
@@ -160,13 +160,18 @@ def read(
     if since is not None:
         chosen = {p: c for p, c in chosen.items() if p >= str(since)}
     if not chosen:
-        return spark.createDataFrame([], schema)
+        return nothing(spark, schema)
     folders = [f"{data_path(path, c)}/{PERIOD}={p}" for p, c in sorted(chosen.items())]
     parts = [T.StructField(COMMIT, T.StringType()), T.StructField(PERIOD, T.DateType())]
     stored = spark.read.schema(T.StructType([*schema.fields, *parts])).option("basePath", f"{path}/data")
     return stored.parquet(*folders).select(schema.names)
 
 
+def nothing(spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """No rows, which a plan can tell: joins with them are left out, with their shuffles."""
+    return spark.createDataFrame([], schema).limit(0)
+
+
 def vacuum(spark: SparkSession, path: str, keep: int = 2) -> None:
     """Delete all but the newest versions, then what none of them lists.
 

@@ -214,7 +214,7 @@ def exchanged(df):
     return re.findall(r"(?:Exchange|SortMergeJoin)", re.sub(r"BroadcastExchange.*", "", df._jdf.queryExecution().executedPlan().toString(), flags=re.S))
 
 
-@pytest.mark.parametrize("most", [refresh.MOST_DAYS, 1])
+@pytest.mark.parametrize("most", [100_000, 1])
 def test_options_meet_the_bars_of_their_days_where_they_are(spark, bars, tmp_path, monkeypatch, most):
     """As long as these are few, however many bars other tickers have; the rows are those of the plain join."""
     monkeypatch.setattr(refresh, "MOST_DAYS", most)
@@ -255,6 +255,15 @@ def test_rows_are_dealt_by_period_only_where_that_saves_files(spark, tmp_path, m
     assert set(periods_of(spark, path)) == {str(r[0]) for r in days.select(versions.period(grain)).distinct().collect()}
 
 
+def test_new_periods_are_merged_without_a_shuffle(spark, bars, tmp_path):
+    """Nothing is stored of them, so no bar can be replaced."""
+    path = str(tmp_path / "bars")
+    versions.commit(bars(("A", 0, 5)), path, "year")
+    merged = merge.replace_by_key(versions.read(spark, path, periods={date(2021, 1, 1)}), bars(("A", 400, 6)), KEY)
+    assert "Exchange" not in merged._jdf.queryExecution().executedPlan().toString()
+    assert rows(merged, "ticker", "close") == [("A", "6.0000")]
+
+
 def periods_of(spark, path):
     return versions.pinned(spark, str(path)).periods
 
